@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.operators import modeling, series
+from barflow.session import materialize
 
 
 def ols_filter_weights(n: int) -> list[float]:
@@ -101,8 +102,9 @@ def stacked_regression(df: DataFrame, lookbacks: Sequence[int], label: str, keys
     big = r * (q + 1)
     fold = F.when(F.col(series.IDX) < big, F.floor(F.col(series.IDX) / (q + 1))) \
         .otherwise(r + F.floor((F.col(series.IDX) - big) / q))
-    data = idx.withColumn("fold", fold.cast("int")).drop("_n")
-    oof_cols = []
+    # Every base model is fitted from, and scores, this one table.
+    data = materialize(idx.withColumn("fold", fold.cast("int")).drop("_n"))
+    oof_cols, fit_tables = [], []
     for lb in lookbacks:
         fcols = feat.lag_columns(base_col, lb)[1:]
         # Per-fold statistics (flat columns, one row per fold); each fold's
@@ -115,10 +117,17 @@ def stacked_regression(df: DataFrame, lookbacks: Sequence[int], label: str, keys
         oof = modeling.pack_stats(spread.groupBy(F.col("_to").alias("fold"))
                                   .agg(*[F.sum(c).alias(c) for c in stat_cols]), len(fcols), ["fold"])
         fits = oof.withColumn("_fit", modeling._solve_udf("n", "sy", "sx", "sxy", "sxx")).select(
-            "fold", F.col("_fit.coef").alias("coef"), F.col("_fit.intercept").alias("intercept"))
-        scored = modeling.ols_predict(data, fits, fcols, alias=f"oof_{lb}", group_cols=["fold"])
-        data = scored
+            "fold", F.col("_fit.coef").alias(f"_c{lb}"), F.col("_fit.intercept").alias(f"_i{lb}"))
+        fit_tables.append((lb, fcols, fits))
         oof_cols.append(f"oof_{lb}")
-    final = modeling.ols_fit(data, oof_cols, label)
-    pred = modeling.ols_predict(data, final, oof_cols, alias="stacked_pred")
-    return pred.drop(series.IDX), final.select("n", "coef", "intercept")
+    # One row per fold per model: join the small fit tables to the data once.
+    scored = data
+    for lb, fcols, fits in fit_tables:
+        pred = F.col(f"_i{lb}")
+        for i, c in enumerate(fcols):
+            pred = pred + F.col(f"_c{lb}")[i] * F.col(c)
+        scored = scored.join(F.broadcast(fits), "fold").withColumn(f"oof_{lb}", pred).drop(f"_c{lb}", f"_i{lb}")
+    scored = materialize(scored)
+    final = modeling.ols_fit(scored, oof_cols, label)
+    out = modeling.ols_predict(scored, final, oof_cols, alias="stacked_pred")
+    return out.drop(series.IDX), final.select("n", "coef", "intercept")

@@ -10,6 +10,7 @@ from barflow.operators import evaluate, features, forecast, knn, modeling, serie
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS, TEST_FRACTION, chronological_split
 from barflow.plans.registry import query, with_fixtures
+from barflow.session import materialize
 from barflow.sources.tables import read_table
 
 K = 3  # fixed value: the reference's neighbour count
@@ -115,6 +116,8 @@ def bar_model_predictions(spark: SparkSession, sf_dir: str, past_periods: int =
     cols = features.lag_columns("ask_open", past_periods)
     rows = features.normalise(features.impute(rows, cols), cols)
     rows = chronological_split(rows).withColumn("vec", F.array(*[F.col(c) for c in cols]))
+    # Used by the size check, the model broadcast and the scoring join.
+    rows = materialize(rows.select("epic", "updated_at", "seq", "split", "y_true", "level", "vec"))
     train = rows.filter(F.col("split") == "train")
     nb = knn.knn(rows, train, k, q_id="seq", t_id="seq", q_vec="vec", t_vec="vec", t_y="y_true")
     pred = knn.knn_predict(nb).withColumnRenamed("q_id", "seq")

@@ -36,7 +36,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "barflow", extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false"))
+               .config("spark.ui.showConsoleProgress", "false")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     if master:
         builder = builder.master(master)
     if shuffle_partitions:
@@ -49,6 +50,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return configure(spark)
 
 
+def materialize(df, eager: bool = True):
+    """Cut the lineage of an intermediate used by several jobs: a reliable
+    checkpoint in the shared ``spark.checkpoint.dir`` (never a local one), so
+    later jobs read it instead of recomputing, and a lost executor costs a
+    re-read, not a recompute from the source."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
