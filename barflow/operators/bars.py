@@ -18,6 +18,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.session import materialize
+
 
 def market_open(ticks: DataFrame, state_col: str = "market_state", open_state: str = "TRADEABLE") -> DataFrame:
     """Ticks of a tradeable market only."""
@@ -37,7 +39,8 @@ def _last_non_null(col: str, order) -> F.Column:
 def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = ("epic",),
               time_col: str = "updated_at", seq_col: str = "seq",
               value_cols: Sequence[str] = ("bid_open", "ask_open"),
-              start_time: str | None = None, drop_incomplete: bool = True) -> DataFrame:
+              start_time: str | None = None, drop_incomplete: bool = True,
+              materialize_bars: bool = True) -> DataFrame:
     """Tumbling bars, last value per column, right label; ``seq`` is the
     bar's last tick, so bars keep the ``(time, seq)`` order key."""
     keys = list(keys)
@@ -51,6 +54,11 @@ def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
             .na.drop("any", subset=list(value_cols)))
     if not drop_incomplete:
         return bars
+    # The bar table is read twice (bars, and the newest bar per instrument):
+    # it is written once to the shared checkpoint folder so the ticks are
+    # scanned once. Bars per instrument are bounded by time span / width.
+    if materialize_bars:
+        bars = materialize(bars)
     # As in the reference the newest remaining bar is dropped after the
     # null filter; its table is one row per instrument.
     newest = bars.groupBy(*keys).agg(F.max(time_col).alias("_newest"))

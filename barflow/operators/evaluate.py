@@ -9,32 +9,87 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def exact_quantiles(df: DataFrame, col: str, levels: Sequence[float], group_cols: Sequence[str] = (),
+                    chunks: int = 4096) -> DataFrame:
+    """Exact interpolated quantiles without holding a group in one task.
+
+    Equal values are counted first (partial aggregation, so a hot group or
+    value shrinks map-side). Each group's value range is cut into ``chunks``
+    equal-width chunks; an exclusive prefix sum over the small chunk table and
+    a running sum inside each chunk give every distinct value its rank range.
+    Each distinct value is emitted for the levels whose interpolation ranks
+    fall in its range, and the pair is blended as Spark's ``percentile``
+    does: ``(hi - h) * v_lo + (h - lo) * v_hi`` with ``h = (n - 1) q``.
+    Returns ``(group..., level, value)``.
+    """
+    g = list(group_cols)
+    levels = [float(x) for x in levels]
+    vals = df.select(*g, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    dist = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    rng = dist.groupBy(*g).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
+    if g:
+        d = dist.join(rng, g)
+    else:
+        d = dist.withColumns({c: rng.select(c).scalar() for c in ("_lo", "_hi", "_n")})
+    span = F.col("_hi") - F.col("_lo")
+    chunk = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * chunks), F.lit(chunks - 1))) \
+        .otherwise(F.lit(0))
+    d = d.withColumn("_chunk", chunk.cast("long"))
+    before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (d.groupBy(*g, "_chunk").agg(F.sum("_c").alias("_cc"))
+               .select(*g, "_chunk", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off")))
+    inner = Window.partitionBy(*g, "_chunk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = d.join(offsets, [*g, "_chunk"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inner))
+    # rank range of this value: [_end - _c, _end - 1]
+    lv = F.array(*[F.lit(x) for x in levels])
+    ranked = ranked.withColumn("_lv", F.explode(lv))
+    h = (F.col("_n") - 1) * F.col("_lv")
+    r_lo, r_hi = F.floor(h), F.ceil(h)
+    start, end = F.col("_end") - F.col("_c"), F.col("_end") - 1
+    hit = ranked.select(*g, "_lv", "_v", h.alias("_h"),
+                        ((r_lo >= start) & (r_lo <= end)).alias("_is_lo"),
+                        ((r_hi >= start) & (r_hi <= end)).alias("_is_hi")) \
+        .filter(F.col("_is_lo") | F.col("_is_hi"))
+    agg = hit.groupBy(*g, "_lv").agg(F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
+                                     F.max(F.when(F.col("_is_hi"), F.col("_v"))).alias("_vhi"),
+                                     F.first("_h").alias("_h"))
+    lo_i, hi_i = F.floor("_h"), F.ceil("_h")
+    value = F.when(lo_i == hi_i, F.col("_vlo")).otherwise(
+        (hi_i - F.col("_h")) * F.col("_vlo") + (F.col("_h") - lo_i) * F.col("_vhi"))
+    return agg.select(*g, F.col("_lv").alias("level"), value.alias("value"))
+
+
 def quantile_pairs(df: DataFrame, col: str, qs: Sequence[float], group_cols: Sequence[str] = (),
                    accuracy: int | None = None) -> DataFrame:
-    """Interpolated quantiles at (1-q, q) for each q. Exact ``percentile``
-    keeps a group's values in memory; pass ``accuracy`` for the bounded-memory
-    ``percentile_approx`` at scale."""
+    """Interpolated quantiles at (1-q, q) for each q -> (group..., level,
+    value). Exact by default (:func:`exact_quantiles`); ``accuracy`` selects
+    the sketch-based ``percentile_approx``."""
     levels = sorted({round(1 - q, 10) for q in qs} | {round(q, 10) for q in qs})
     if accuracy is None:
-        agg = F.percentile(F.col(col), F.array(*[F.lit(x) for x in levels]))
-    else:
-        agg = F.percentile_approx(F.col(col), [float(x) for x in levels], accuracy)
+        return exact_quantiles(df, col, levels, group_cols)
+    agg = F.percentile_approx(F.col(col), [float(x) for x in levels], accuracy)
     g = df.groupBy(*group_cols).agg(agg.alias("_q"))
     return g.select(*group_cols, F.posexplode("_q").alias("_i", "value")).select(
         *group_cols, F.element_at(F.array(*[F.lit(x) for x in levels]), F.col("_i") + 1).alias("level"), "value")
 
 
 def describe(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, sample sd, min, quartiles, max (exact)."""
+    """Count, mean, sample sd, min, quartiles, max (exact; quartiles via
+    :func:`exact_quantiles`, moments via one aggregation)."""
+    g = list(group_cols)
     c = F.col(col)
-    return df.groupBy(*group_cols).agg(
-        F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-        F.min(c).alias("min"), F.percentile(c, 0.25).alias("p25"), F.percentile(c, 0.5).alias("p50"),
-        F.percentile(c, 0.75).alias("p75"), F.max(c).alias("max"))
+    moments = df.groupBy(*g).agg(F.count(c).alias("count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
+                                 F.min(c).alias("min"), F.max(c).alias("max"))
+    q = exact_quantiles(df, col, [0.25, 0.5, 0.75], g)
+    wide = q.groupBy(*g).pivot("level", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    wide = wide.withColumnsRenamed({"0.25": "p25", "0.5": "p50", "0.75": "p75"})
+    out = moments.join(wide, g) if g else moments.withColumns(
+        {c2: wide.select(c2).scalar() for c2 in ("p25", "p50", "p75")})
+    return out.select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def hit_rates(df: DataFrame, threshold: float, pred: str = "y_pred", actual: str = "y_true",
@@ -92,8 +147,9 @@ def density(df: DataFrame, col: str, bins: int, q_lo: float = 0.01, q_hi: float
     per-group aggregate joined back (one row per group), then each bin gets
     ``count / (n_in_range * width)``."""
     g = list(group_cols)
-    bounds = df.groupBy(*g).agg(F.percentile(F.col(col), F.array(F.lit(q_lo), F.lit(q_hi))).alias("_b"))
-    bounds = bounds.select(*g, F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    q = exact_quantiles(df, col, [q_lo, q_hi], g)
+    bounds = q.groupBy(*g).agg(F.max(F.when(F.col("level") == q_lo, F.col("value"))).alias("_lo"),
+                               F.max(F.when(F.col("level") == q_hi, F.col("value"))).alias("_hi"))
     if g:
         d = df.join(bounds, g)
     else:  # one global range: scalar subqueries, no join

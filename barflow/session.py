@@ -11,6 +11,7 @@ skewed ones.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -50,13 +51,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return configure(spark)
 
 
-def materialize(df, eager: bool = True):
-    """Cut the lineage of an intermediate used by several jobs: a reliable
-    checkpoint in the shared ``spark.checkpoint.dir`` (never a local one), so
-    later jobs read it instead of recomputing, and a lost executor costs a
-    re-read, not a recompute from the source."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=eager)
+def materialize(df, name: str = "t"):
+    """Cut the lineage of an intermediate used by several jobs: write it once
+    as a Parquet table in the shared ``spark.checkpoint.dir`` (never a
+    machine-local folder) and read it back. Later jobs read the table instead
+    of recomputing it; a lost executor costs a re-read, not a recompute from
+    the source; and the optimizer sees its real size (broadcast decisions)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def checkpoint_root(spark: SparkSession) -> str:

@@ -77,3 +77,19 @@ def test_stacked_fold_sizes_match_ntile(spark):
            .groupBy("epic", "fold").count())
     assert got.exceptAll(ref).count() == 0
     assert len(final.first().coef) == 2
+
+
+def test_exact_quantiles_equal_builtin_percentile(spark):
+    from barflow.operators import evaluate
+    rng = np.random.default_rng(7)
+    rows = [("hot", float(v)) for v in rng.integers(0, 50, size=3000)]  # many ties, one big group
+    rows += [("cold", float(v)) for v in rng.normal(size=37)]
+    rows += [("one", 4.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    levels = [0.0, 0.01, 0.25, 0.5, 0.9, 0.99, 1.0]
+    for chunks in (1, 3, 4096):
+        got = {(r.g, r.level): r.value for r in evaluate.exact_quantiles(df, "v", levels, ["g"], chunks).collect()}
+        ref = df.groupBy("g").agg(F.percentile("v", F.array(*[F.lit(x) for x in levels])).alias("q")).collect()
+        for r in ref:
+            for lv, val in zip(levels, r.q):
+                assert abs(got[(r.g, lv)] - val) < 1e-9, (chunks, r.g, lv)
