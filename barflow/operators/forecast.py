@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barflow.functions.scalar import poly_terms
 from barflow.operators import modeling, series
 from barflow.session import materialize
 
@@ -67,7 +68,7 @@ def polynomial_trend(df: DataFrame, value: str, keys: Sequence[str], order: Sequ
     idx = series.with_row_index(df, keys, order, with_size=True)
     t = (F.col(series.IDX) / F.col("_n")).alias("_t")
     base = idx.select(*keys, F.col(value).alias("_y"), t)
-    base = base.select("*", *[F.pow(F.col("_t"), F.lit(float(d))).alias(f"_x{d}") for d in range(1, degree + 1)])
+    base = base.select("*", *poly_terms("_t", degree, prefix="_x"))
     feats = [f"_x{d}" for d in range(1, degree + 1)]
     fit = modeling.ols_fit(base, feats, "_y", keys)
     t_next = F.lit(1.0)  # position n / n

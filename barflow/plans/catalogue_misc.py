@@ -121,7 +121,11 @@ def _k(col: str = "props"):
 def position_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position-update (OPU) documents as JSON text, with a nested list of
     affected deals, one per event."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value", "props"])
+    return opu_documents(read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value", "props"]))
+
+
+def opu_documents(ev: DataFrame) -> DataFrame:
+    """The OPU text of each event row (batch or streaming input)."""
     k = _k()
     status = F.element_at(F.array(F.lit("OPENED"), F.lit("FULLY_CLOSED"), F.lit("PARTLY")), (k % 3) + 1)
     deals = F.transform(F.sequence(F.lit(1), k % 3),
@@ -156,8 +160,14 @@ OPU_SCHEMA = T.StructType(schemas.OPU.fields + [T.StructField("affectedDeals", T
 def updates_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position-update documents parsed, status checked against its enum and
     the affected-deals list exploded (empty list -> one row) (F15, F16, S10, T16)."""
-    u = position_updates(spark, sf_dir)
-    p = u.select(F.from_json("opu", OPU_SCHEMA).alias("d")).select("d.*")
+    return parse_updates(position_updates(spark, sf_dir))
+
+
+def parse_updates(updates: DataFrame, text_col: str = "opu") -> DataFrame:
+    """F15 + F16: OPU JSON -> typed columns, status domain flag, one row per
+    affected deal (an empty list keeps the update as one row). Stateless, so
+    the same function serves a batch table and a ``readStream`` (S10/T16)."""
+    p = updates.select(F.from_json(text_col, OPU_SCHEMA).alias("d")).select("d.*")
     p = p.withColumn("status_valid", scalar.in_domain("status", schemas.STATUS))
     e = p.select("*", F.explode_outer("affectedDeals").alias("_a"))
     return e.select("dealId", "direction", "epic", "status", "level", "size",

@@ -95,6 +95,9 @@ def score_new_bars(spark: SparkSession, new_bars: DataFrame, stored_bars_path: s
         hist = tail.drop("rows_from_end").withColumn("_new", F.lit(False))
     cur = new_bars.withColumn("_new", F.lit(True))
     allb = cur if hist is None else hist.unionByName(cur)
+    # An instrument is scored once it has at least ``past_periods`` bars.
+    enough = allb.groupBy("epic").agg(F.count(F.lit(1)).alias("_nb")).filter(F.col("_nb") >= past_periods)
+    allb = allb.join(enough.select("epic"), "epic", "left_semi")
     feats = features.model_features(allb, past_periods).filter(F.col("_new"))
     cols = features.lag_columns("ask_open", past_periods)
     q = feats.withColumn("vec", F.array(*[F.col(c) for c in cols]))
@@ -106,9 +109,16 @@ def score_new_bars(spark: SparkSession, new_bars: DataFrame, stored_bars_path: s
 
 def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width: str = "1 hour",
                 past_periods: int = 3, k: int = 3, r_threshold: float = 1.0, model_name: str = "knn-reg-model",
-                model_version: str = "1", hold_minutes: int = 1, out_dir: str | None = None) -> str:
+                model_version: str = "1", hold_minutes: int = 1, out_dir: str | None = None,
+                models: list[dict] | None = None) -> str:
     """T1-T9 + T14 end to end: bars stream, and per micro-batch the new bars
-    are appended to the bar table, scored and turned into positions."""
+    are appended to the bar table, scored and turned into positions.
+
+    ``models`` (T14) lists several deployed configurations
+    (``model_name, model_version, k, r_threshold``) scored on the same stream;
+    ``model_used`` tells their positions apart. Default: the single model
+    given by the keyword arguments."""
+    models = models or [dict(model_name=model_name, model_version=model_version, k=k, r_threshold=r_threshold)]
     out_dir = out_dir or stream_dir(spark, "signals")
     bars_path, pos_path = f"{out_dir}/bars", f"{out_dir}/positions"
     training = training.persist()
@@ -116,8 +126,11 @@ def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        new_pos = score_new_bars(spark, batch, bars_path, training, past_periods, k, r_threshold,
-                                 model_name, model_version, hold_minutes, before_epoch=epoch_id)
+        new_pos = None
+        for m in models:  # a handful of deployed configurations, not data
+            p = score_new_bars(spark, batch, bars_path, training, past_periods, m["k"], m["r_threshold"],
+                               m["model_name"], str(m["model_version"]), hold_minutes, before_epoch=epoch_id)
+            new_pos = p if new_pos is None else new_pos.unionByName(p)
         # Both writes replace only this epoch's partition, so a replayed batch
         # (after a failure before the commit) rewrites instead of duplicating.
         new_pos.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
