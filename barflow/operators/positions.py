@@ -25,7 +25,7 @@ def signals_to_positions(scored: DataFrame, r_threshold: float, model_name: str
     deal = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols],
                               F.col(time_col).cast("string"), label), 256).substr(1, 16)
     return chosen.select(
-        deal.alias("dealId"), label.alias("model_used"), F.col(time_col).alias("buy_date"),
+        deal.alias("dealId"), *key_cols, label.alias("model_used"), F.col(time_col).alias("buy_date"),
         scalar.round_to_minute_plus(F.col(time_col), hold_minutes).alias("sell_date"),
         F.col(level_col).alias("buy_level_responce"), F.col(pred_col).alias("y_pred"),
         (F.col(pred_col) * F.col(level_col)).alias("y_pred_actual"))
@@ -76,3 +76,15 @@ def change_needed(net: DataFrame, forecasts: DataFrame, per_unit: float = 50.0)
     return j.withColumn("change", change).withColumn(
         "action", F.when(F.col("change") > 0, F.lit("BUY")).when(F.col("change") < 0, F.lit("SELL"))
         .otherwise(F.lit("NONE")))
+
+
+def paper_fills(positions: DataFrame, bars: DataFrame, level_col: str = "bid_open", key_cols=("epic",),
+                bucket_seconds: int = 86_400) -> DataFrame:
+    """T11 (paper form): close each position at the first bar at or after its
+    ``sell_date`` (selling at that bar's bid) -> ``(dealId, close_date,
+    close_level_responce)``; positions with no later bar get no fill."""
+    from barflow.operators.asof import asof_forward
+    hit = asof_forward(positions.select("dealId", *key_cols, "sell_date"), bars, list(key_cols), "sell_date",
+                       "updated_at", [level_col], left_id="dealId", bucket_seconds=bucket_seconds, prefix="_f_")
+    return hit.filter(F.col("_f_updated_at").isNotNull()).select(
+        "dealId", F.col("_f_updated_at").alias("close_date"), F.col(f"_f_{level_col}").alias("close_level_responce"))

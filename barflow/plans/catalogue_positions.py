@@ -230,3 +230,36 @@ def latest_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = fixtures.activity(spark, sf_dir).filter(F.col("direction") == "SELL")
     top = a.orderBy(F.col("date").desc(), F.col("dealId").desc()).limit(5)
     return top.select(ts_text("date").alias("date"), "dealId", "affectedDealId", "epic", "level")
+
+
+
+PAPER_SQL = f"""
+    pos AS (
+      SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 16)
+                 AS dealId, epic, updated_at AS buy_date,
+             make_timestamp(CAST(round_even(epoch_us(updated_at) / 60000000.0, 0) AS BIGINT) * 60000000 + 60000000)
+                 AS sell_date,
+             level AS buy_level_responce
+      FROM preds
+      WHERE y_pred > {R_THRESHOLD} AND updated_at > TIMESTAMP '{SESSION_START}' AND updated_at < TIMESTAMP '{SESSION_END}'),
+    fill AS (SELECT p.dealId, s.updated_at AS close_date, s.bid_open AS close_level_responce
+             FROM pos p ASOF JOIN stream s ON p.epic = s.epic AND p.sell_date <= s.updated_at)"""
+
+
+@query("paper_fill_outcomes", with_fixtures(f"""
+    SELECT p.dealId, p.epic, strftime(f.close_date, {HOUR_TS}) AS close_date, f.close_level_responce,
+           round(f.close_level_responce / p.buy_level_responce, 6) AS y_true,
+           round(f.close_level_responce - p.buy_level_responce, 2) AS profit_responce
+    FROM pos p LEFT JOIN fill f USING (dealId)""", "stream", extra=BAR_MODEL_SQL + "," + PAPER_SQL))
+def paper_fill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions from the scored bars closed on paper at the first bar at or
+    after their exit time (a forward as-of join), with return and profit
+    (T8, T9, T11, T12)."""
+    scored = bar_model_predictions(spark, sf_dir)
+    in_session = scored.filter((F.col("updated_at") > F.lit(SESSION_START).cast("timestamp"))
+                               & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
+    pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1)
+    fills = positions.paper_fills(pos, fixtures.stream(spark, sf_dir))
+    out = positions.outcomes(pos, fills.drop("close_date")).join(fills.select("dealId", "close_date"), "dealId", "left")
+    return out.select("dealId", "epic", ts_text("close_date").alias("close_date"), "close_level_responce",
+                      _r("y_true").alias("y_true"), _r("profit_responce", 2).alias("profit_responce"))

@@ -128,3 +128,23 @@ def test_ols_filter_weights_equal_a_fitted_line(n):
     y = np.random.default_rng(n).normal(size=n)
     slope, icpt = np.polyfit(np.arange(n), y, 1)
     assert abs(float(np.dot(ols_filter_weights(n), y)) - (icpt + slope * n)) < 1e-9
+
+
+def test_asof_forward_matches_brute_force(spark):
+    import random
+    from barflow.operators.asof import asof_forward
+    rnd = random.Random(3)
+    base = dt.datetime(2024, 1, 1)
+    right = [("A" if rnd.random() < 0.7 else "B", base + dt.timedelta(minutes=rnd.randrange(0, 3000)), float(i))
+             for i in range(300)]
+    left = [(f"L{i}", "A" if rnd.random() < 0.7 else "B", base + dt.timedelta(minutes=rnd.randrange(-50, 3100)))
+            for i in range(200)]
+    left.append(("Lsame", right[0][0], right[0][1]))  # equal time counts as "at or after"
+    rdf = spark.createDataFrame(right, "epic string, updated_at timestamp, px double")
+    ldf = spark.createDataFrame(left, "id string, epic string, t timestamp")
+    got = {r.id: (r.f_updated_at, r.f_px) for r in
+           asof_forward(ldf, rdf, ["epic"], "t", "updated_at", ["px"], left_id="id", bucket_seconds=3600,
+                        prefix="f_").collect()}
+    for lid, epic, t in left:
+        cands = sorted((rt, px) for e, rt, px in right if e == epic and rt >= t)
+        assert got[lid] == (cands[0] if cands else (None, None)), lid
