@@ -25,26 +25,27 @@ def daily(df: DataFrame, date_col: str, value_col: str, out_col: str) -> DataFra
 
 
 def overlap_bounds(a: DataFrame, b: DataFrame, col: str) -> tuple[Column, Column]:
-    """(max of the minima, min of the maxima) as scalar subqueries."""
-    lo = F.greatest(a.select(F.min(col)).scalar(), b.select(F.min(col)).scalar())
-    hi = F.least(a.select(F.max(col)).scalar(), b.select(F.max(col)).scalar())
-    return lo, hi
+    """(max of the minima, min of the maxima) -- one scalar subquery per side."""
+    ra = a.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    rb = b.select(F.struct(F.min(col).alias("lo"), F.max(col).alias("hi"))).scalar()
+    return F.greatest(ra.getField("lo"), rb.getField("lo")), F.least(ra.getField("hi"), rb.getField("hi"))
 
 
 def zscore(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled") -> DataFrame:
-    """Population z-score; mean and sd are one aggregate, attached as
-    scalar subqueries (no join)."""
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])
+    """Population z-score; all means and sds come from one aggregate,
+    attached as one scalar subquery (no join)."""
+    stats = df.select(F.struct(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                               *[F.stddev_pop(c).alias(f"s_{c}") for c in cols])).scalar()
     return df.withColumns({
-        f"{c}{suffix}": F.try_divide(F.col(c) - stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar())
-        for c in cols})
+        f"{c}{suffix}": F.try_divide(F.col(c) - stats.getField(f"m_{c}"), stats.getField(f"s_{c}")) for c in cols})
 
 
 def attach_values_on(df: DataFrame, date_col: str, on: str, cols: Sequence[str], prefix: str = "current_") -> DataFrame:
     """The values of ``cols`` on the comparison date, on every row
-    (scalar subqueries: one row, no cross join)."""
+    (one scalar subquery: one row, no cross join)."""
     ref = df.filter(F.col(date_col) == F.lit(on).cast(df.schema[date_col].dataType))
-    return df.withColumns({f"{prefix}{c}": ref.select(F.max(c)).scalar() for c in cols})
+    row = ref.select(F.struct(*[F.max(c).alias(c) for c in cols])).scalar()
+    return df.withColumns({f"{prefix}{c}": row.getField(c) for c in cols})
 
 
 def similarity(df: DataFrame, cols: Sequence[str], prefix: str = "current_") -> DataFrame:

@@ -9,6 +9,7 @@ from barflow.functions.scalar import format_day
 from barflow.operators import macro
 from barflow.plans import fixtures
 from barflow.plans.registry import query, with_fixtures
+from barflow.session import materialize
 
 SIMILARITY_TO = "1998-08-31"  # the comparison date
 
@@ -61,7 +62,9 @@ def aligned_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     infl = macro.daily(macro.macro_series(long, "ONS", "MM23", "inflation"), "period", "value", "inflation")
     lo, hi = macro.overlap_bounds(rate, infl, "period")
     j = rate.join(infl, "period", "left")
-    return j.filter((F.col("period") > lo) & (F.col("period") < hi))
+    # One row per day: small and bounded by the calendar; written once so the
+    # scalar statistics downstream read it instead of re-interpolating.
+    return materialize(j.filter((F.col("period") > lo) & (F.col("period") < hi)))
 
 
 @query("macro_daily", with_fixtures("""

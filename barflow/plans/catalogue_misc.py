@@ -11,7 +11,8 @@ from barflow.functions import scalar
 from barflow.functions.scalar import ts_text
 from barflow.operators import evaluate, features
 from barflow.plans import fixtures
-from barflow.plans.catalogue_models import bar_model_predictions, BAR_MODEL_SQL
+from barflow.plans.catalogue_models import (BAR_MODEL_SQL, bar_model_neighbours, bar_model_rows,
+                                           predictions_for)
 from barflow.plans.registry import query, with_fixtures
 from barflow.sources import files
 from barflow.sources.tables import read_table
@@ -200,12 +201,19 @@ def minimum_size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("TRADEABLE").alias("marketStatus")).alias("snapshot"))
     m = ev.select(F.col("event_id").alias("seq"), k.cast("double").alias("size"),
                   F.from_json(F.to_json(doc), MARKET_SCHEMA).alias("m"))
-    instrument, rules, snap = m.select("seq", "m.instrument.*"), m.select("seq", "m.dealingRules.*"), \
-        m.select("seq", "size", "m.snapshot.*")
-    j = instrument.join(rules, "seq").join(snap, "seq")
-    mins = F.col("minDealSize.value")
-    return j.select("seq", "epic", mins.alias("min_deal_size"), "size", (F.col("size") >= mins).alias("meets_minimum"),
-                    "bid")
+    instrument, rules, snapshot = market_records(m)
+    # The rule needs one field of each record; they come from the same parsed
+    # row, so no join is needed to put them side by side.
+    mins = F.col("m.dealingRules.minDealSize.value")
+    return m.select("seq", F.col("m.instrument.epic").alias("epic"), mins.alias("min_deal_size"), "size",
+                    (F.col("size") >= mins).alias("meets_minimum"), F.col("m.snapshot.bid").alias("bid"))
+
+
+def market_records(m: DataFrame, doc: str = "m", key: str = "seq") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One market document -> its instrument, dealing-rules and snapshot
+    records as three typed tables sharing ``key``."""
+    return (m.select(key, f"{doc}.instrument.*"), m.select(key, f"{doc}.dealingRules.*"),
+            m.select(key, f"{doc}.snapshot.*"))
 
 
 # ---------------------------------------------------------------- lookups and sheets
@@ -249,9 +257,11 @@ PARAM_KEYS = ["k", "past_periods", "model_name"]
 def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Params and metrics of one training run per configuration, as EAV rows."""
     params, metrics = None, None
+    rows = bar_model_rows(spark, sf_dir)
+    neighbours = bar_model_neighbours(rows, max(RUN_KS))  # one search serves every k
     for k in RUN_KS:
         run_id = f"knn-k{k}"
-        p = bar_model_predictions(spark, sf_dir, k=k)
+        p = predictions_for(rows, neighbours, k)
         m = evaluate.error_metrics(p, group_cols=["split"])
         wide = m.groupBy().pivot("split", ["test", "train"]).agg(F.first("mae").alias("mae"), F.first("r2").alias("r2"))
         wide = wide.select(F.lit(run_id).alias("run_id"),

@@ -103,11 +103,9 @@ BAR_MODEL_SQL = f"""
               FROM fs f JOIN (SELECT q_id, avg(t_y) AS y_pred FROM bnn GROUP BY q_id) p ON p.q_id = f.seq)"""
 
 
-def bar_model_predictions(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS,
-                          k: int = K) -> DataFrame:
-    """M3 + M9 + W14: bars -> target -> past asks -> impute -999 -> normalise
-    -> chronological split -> kNN(k) fitted on the training split, scoring
-    every row (training rows see themselves, as in the reference)."""
+def bar_model_rows(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS) -> DataFrame:
+    """M3 front half + W14: bars -> target -> past asks -> impute -999 ->
+    normalise -> chronological split, with the feature vector."""
     bars = fixtures.stream(spark, sf_dir)
     rows = (features.shift_features(bars, future={"bid_open": 1}, past={"ask_open": past_periods})
             .transform(features.return_target, alias="y_true")
@@ -117,13 +115,30 @@ def bar_model_predictions(spark: SparkSession, sf_dir: str, past_periods: int =
     rows = features.normalise(features.impute(rows, cols), cols)
     rows = chronological_split(rows).withColumn("vec", F.array(*[F.col(c) for c in cols]))
     # Used by the size check, the model broadcast and the scoring join.
-    rows = materialize(rows.select("epic", "updated_at", "seq", "split", "y_true", "level", "vec"))
+    return materialize(rows.select("epic", "updated_at", "seq", "split", "y_true", "level", "vec"))
+
+
+def bar_model_neighbours(rows: DataFrame, k: int) -> DataFrame:
+    """kNN(k) fitted on the training split, every row scored (training rows
+    see themselves, as in the reference)."""
     train = rows.filter(F.col("split") == "train")
-    nb = knn.knn(rows, train, k, q_id="seq", t_id="seq", q_vec="vec", t_vec="vec", t_y="y_true")
-    pred = knn.knn_predict(nb).withColumnRenamed("q_id", "seq")
+    return knn.knn(rows, train, k, q_id="seq", t_id="seq", q_vec="vec", t_vec="vec", t_y="y_true")
+
+
+def predictions_for(rows: DataFrame, neighbours: DataFrame, k: int) -> DataFrame:
+    """M4 + M9: mean target of the first ``k`` neighbours. Ranks are exact and
+    deterministic, so one search with the largest k serves every smaller k."""
+    pred = knn.knn_predict(neighbours.filter(F.col("rank") <= k)).withColumnRenamed("q_id", "seq")
     return rows.select("epic", "updated_at", "seq", "split", "y_true", "level").join(pred, "seq")
 
 
+def bar_model_predictions(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS,
+                          k: int = K) -> DataFrame:
+    """M3 + M9 + W14: the reference's kNN model trained and scored on bars."""
+    rows = bar_model_rows(spark, sf_dir, past_periods)
+    return predictions_for(rows, bar_model_neighbours(rows, k), k)
+
+
 @query("knn_bar_model", with_fixtures(f"""
     SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, split, round(y_true, 6) AS y_true,
            round(y_pred, 6) AS y_pred FROM preds""", "stream", extra=BAR_MODEL_SQL))
