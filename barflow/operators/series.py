@@ -16,6 +16,10 @@ rows, so the helpers below split every series into bounded pieces:
   the window runs per ``(key, block)`` and the halo copies are dropped.
 * :func:`running_sum` -- prefix sums: running sum inside each block plus the
   exclusive prefix of block totals.
+
+Each helper first measures the largest key (one small aggregation). When every
+key fits in ``block_rows`` rows, a plain per-key window is already bounded and
+is used directly; otherwise the chunked form runs. Both give the same rows.
 """
 
 from __future__ import annotations
@@ -34,20 +38,44 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the biggest key (one small aggregation; partial aggregation
+    makes it cheap even for a hot key)."""
+    keys = _as_list(keys)
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else df.select(F.count(F.lit(1)).alias("_c"))
+    return int(counts.agg(F.max("_c")).first()[0] or 0)
+
+
+def _bounded(df: DataFrame, keys: Sequence[str], block_rows: int, mode: str) -> bool:
+    """True when a plain per-key window is safe: every key fits in one block.
+    ``mode``: "auto" (measure), "blocks" (always split), "plain" (caller knows)."""
+    if mode == "plain":
+        return True
+    if mode == "blocks":
+        return False
+    return largest_group(df, keys) <= block_rows
+
+
 def _chunk_col(time_col: str, chunk_seconds: int) -> Column:
     return F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    time_col: str | None = None, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                   with_size: bool = False) -> DataFrame:
+                   with_size: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS, mode: str = "auto") -> DataFrame:
     """Add ``_idx`` (0-based position inside its key, ascending ``order``).
 
     ``time_col`` (default: first ``order`` column, a timestamp) defines the
     chunks; ``chunk_seconds`` bounds how many rows one window task sees.
-    ``with_size`` also adds ``_n``, the number of rows of the key.
+    ``with_size`` also adds ``_n``, the number of rows of the key. When no
+    key has more than ``block_rows`` rows (measured, see ``mode``) a plain
+    per-key window is used -- bounded by ``block_rows`` per task.
     """
     keys, order = _as_list(keys), _as_list(order)
+    if _bounded(df, keys, block_rows, mode):
+        w = Window.partitionBy(*keys).orderBy(*order)
+        out = df.withColumn(IDX, F.row_number().over(w) - 1)
+        return out.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))) if with_size else out
     time_col = time_col or order[0]
     chunked = df.withColumn("_chunk", _chunk_col(time_col, chunk_seconds))
     counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -67,7 +95,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
 def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    build: Callable[[Window], list[Column]], lookback: int = 0, lookahead: int = 0,
                    block_rows: int = DEFAULT_BLOCK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                   indexed: bool = False, keep_index: bool = False) -> DataFrame:
+                   indexed: bool = False, keep_index: bool = False, mode: str = "auto") -> DataFrame:
     """Evaluate row-frame window columns per key, split into halo blocks.
 
     ``build(w)`` receives the window spec (partitioned by key and block,
@@ -78,7 +106,9 @@ def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     keys, order = _as_list(keys), _as_list(order)
     if lookback > block_rows or lookahead > block_rows:
         raise ValueError("frame reaches beyond one block; raise block_rows")
-    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds)
+    if not indexed and not keep_index and _bounded(df, keys, block_rows, mode):
+        return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
+    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, mode="blocks")
     blk = F.floor(F.col(IDX) / block_rows)
     pos = F.col(IDX) % block_rows
     targets = [blk]
@@ -99,14 +129,18 @@ def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
 def running_sum(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                 value: str, alias: str, skip_nulls_in_place: bool = True,
                 block_rows: int = DEFAULT_BLOCK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                indexed: bool = False, keep_index: bool = False) -> DataFrame:
+                indexed: bool = False, keep_index: bool = False, mode: str = "auto") -> DataFrame:
     """Cumulative sum of ``value`` per key in ``order``, via block prefix sums.
 
     Nulls are skipped by the sum; with ``skip_nulls_in_place`` a null input row
     keeps a null result (pandas ``cumsum``), otherwise it carries the total.
     """
     keys, order = _as_list(keys), _as_list(order)
-    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds)
+    if not indexed and not keep_index and _bounded(df, keys, block_rows, mode):
+        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        out = df.withColumn(alias, F.sum(value).over(w))
+        return out.withColumn(alias, F.when(F.col(value).isNotNull(), F.col(alias))) if skip_nulls_in_place else out
+    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, mode="blocks")
     base = base.withColumn("_blk", F.floor(F.col(IDX) / block_rows))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = (base.groupBy(*keys, "_blk")

@@ -15,7 +15,8 @@ def _ticks(spark):
 
 def test_row_index_equals_row_number(spark):
     t = _ticks(spark)
-    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=3600, with_size=True)
+    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=3600, with_size=True,
+                                mode="blocks")
     w = Window.partitionBy("epic").orderBy("updated_at", "seq")
     ref = t.withColumn("rn", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(Window.partitionBy("epic")))
     bad = idx.join(ref, "seq").filter((F.col("_idx") != F.col("rn")) | (F.col("_n") != F.col("n")))
@@ -65,3 +66,12 @@ def test_tail_and_split(spark):
     for epic in {e for e, _ in counts}:
         n = counts[(epic, "test")] + counts[(epic, "train")]
         assert counts[(epic, "test")] == int(n * 0.1)
+
+
+def test_auto_mode_picks_plain_window_only_when_bounded(spark):
+    t = _ticks(spark)
+    biggest = series.largest_group(t, ["epic"])
+    assert series._bounded(t, ["epic"], biggest, "auto") and not series._bounded(t, ["epic"], biggest - 1, "auto")
+    plain = features.shift_features(t, past={"ask_open": 2})
+    split = features.shift_features(t, past={"ask_open": 2}, block_rows=biggest - 1)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
