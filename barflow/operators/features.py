@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barflow.operators import series
@@ -170,3 +170,33 @@ def series_tail(df: DataFrame, n: int, keys: Sequence[str] = KEYS, order: Sequen
     if min_rows is not None:
         out = out.filter(F.col("_n") >= F.lit(min_rows))
     return out.withColumn("rows_from_end", F.col("_n") - F.col(series.IDX) - 1).drop(series.IDX, "_n")
+
+
+def live_feature_rows(bars: DataFrame, past_periods: int, feature_order: str = "time_correct",
+                      keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER) -> DataFrame:
+    """T6 + T7: the one row per series that live scoring uses.
+
+    * ``time_correct`` (default): the newest bar with its past asks (``lag``).
+    * ``reference_live``: the reference's live path -- the tail of
+      ``past_periods + 1`` bars, features from the *following* rows (its
+      shift on ascending bars) and the *oldest* row of the tail scored. With
+      exactly ``past_periods`` bars the last feature is missing and imputed.
+
+    Series with fewer than ``past_periods`` bars are not scored (T6). Windows
+    run over the tail only: ``past_periods + 1`` rows per series.
+    """
+    keys = list(keys)
+    tail = series_tail(bars, past_periods + 1, keys=keys, order=order, min_rows=past_periods)
+    w = Window.partitionBy(*keys).orderBy(*order)  # bounded: the tail has at most past_periods + 1 rows
+    shift = F.lag if feature_order == "time_correct" else F.lead
+    if feature_order not in ("time_correct", "reference_live"):
+        raise ValueError(feature_order)
+    lagged = tail.select("*", *[shift("ask_open", i).over(w).alias(f"ask_open_p{i}")
+                                for i in range(1, past_periods + 1)])
+    if feature_order == "time_correct":
+        pick = lagged.filter(F.col("rows_from_end") == 0)
+    else:
+        oldest = F.max("rows_from_end").over(Window.partitionBy(*keys))
+        pick = lagged.withColumn("_oldest", oldest).filter(F.col("rows_from_end") == F.col("_oldest")).drop("_oldest")
+    cols = lag_columns("ask_open", past_periods)
+    return normalise(impute(pick, cols), cols).drop("rows_from_end")

@@ -74,7 +74,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     keys, order = _as_list(keys), _as_list(order)
     if _bounded(df, keys, block_rows, mode):
         w = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(IDX, F.row_number().over(w) - 1)
+        out = df.withColumn(IDX, (F.row_number().over(w) - 1).cast("long"))
         return out.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))) if with_size else out
     time_col = time_col or order[0]
     chunked = df.withColumn("_chunk", _chunk_col(time_col, chunk_seconds))

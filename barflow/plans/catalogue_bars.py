@@ -181,8 +181,8 @@ def chronological_split(df: DataFrame, fraction: float = TEST_FRACTION, **kw) ->
     FROM (SELECT *, CASE WHEN row_index < floor(n * {TEST_FRACTION}) THEN 'test' ELSE 'train' END AS split
           FROM (SELECT *, row_number() OVER (PARTITION BY epic ORDER BY updated_at, seq) - 1 AS row_index,
                        count(*) OVER (PARTITION BY epic) AS n,
-                       floor((epoch_us(updated_at) - epoch_us(min(updated_at) OVER (PARTITION BY epic)))
-                             / 86400000000.0) AS days_since
+                       CAST(floor((epoch_us(updated_at) - epoch_us(min(updated_at) OVER (PARTITION BY epic)))
+                             / 86400000000.0) AS BIGINT) AS days_since
                 FROM stream))
     GROUP BY epic, split""", "stream"))
 def chronological_split_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -210,3 +210,35 @@ def series_rebased(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = features.elapsed_since_start(r, "_t", keys=["Name"])
     return e.select("Name", format_day("Date").alias("day"), _r("open_rebased").alias("open_rebased"),
                     F.col("days_since").cast("long").alias("days_since"))
+
+
+LIVE_PERIODS = 3
+
+
+def _live_sql(order: str, fn: str) -> str:
+    shifts = ", ".join(f"{fn}(ask_open, {i}) OVER w AS p{i}" for i in range(1, LIVE_PERIODS + 1))
+    return f"""
+    SELECT '{order}' AS feature_order, epic, strftime(updated_at, {HOUR_TS}) AS updated_at,
+           round(ask_open / ask_open, 6) AS ask_open,
+           {", ".join(f"round(coalesce(p{i}, -999.0) / ask_open, 6) AS ask_open_p{i}" for i in range(1, LIVE_PERIODS + 1))}
+    FROM (SELECT *, {shifts}, max(rfe) OVER (PARTITION BY epic) AS oldest
+          FROM tail WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq))
+    WHERE rfe = {"0" if order == "time_correct" else "oldest"}"""
+
+
+@query("live_feature_rows", with_fixtures(
+    _live_sql("time_correct", "lag") + "\n    UNION ALL" + _live_sql("reference_live", "lead"), "stream", extra=f"""
+    t AS (SELECT *, row_number() OVER (PARTITION BY epic ORDER BY updated_at DESC, seq DESC) - 1 AS rfe,
+                 count(*) OVER (PARTITION BY epic) AS n FROM stream),
+    tail AS (SELECT * FROM t WHERE rfe < {LIVE_PERIODS + 1} AND n >= {LIVE_PERIODS})"""))
+def live_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row per instrument that live scoring would use, time-correct and
+    as the reference's live path does it (T6, T7; SURVEY 1.4-2)."""
+    bars_ = fixtures.stream(spark, sf_dir)
+    out = None
+    for order in ("time_correct", "reference_live"):
+        rows = features.live_feature_rows(bars_, LIVE_PERIODS, order).select(
+            F.lit(order).alias("feature_order"), "epic", ts_text("updated_at").alias("updated_at"),
+            *[_r(c).alias(c) for c in features.lag_columns("ask_open", LIVE_PERIODS)])
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -148,3 +148,16 @@ def test_asof_forward_matches_brute_force(spark):
     for lid, epic, t in left:
         cands = sorted((rt, px) for e, rt, px in right if e == epic and rt >= t)
         assert got[lid] == (cands[0] if cands else (None, None)), lid
+
+
+def test_live_rows_time_correct_and_reference_order(spark):
+    rows = [("E", ts(f"2024-01-01 10:0{i}:00"), i, 0.0, float(10 * (i + 1))) for i in range(3)]  # exactly 3 bars
+    bars_ = spark.createDataFrame(rows, "epic string, updated_at timestamp, seq long, bid_open double, ask_open double")
+    tc = features.live_feature_rows(bars_, 3, "time_correct").first()
+    assert tc.updated_at == ts("2024-01-01 10:02:00")              # newest bar, past asks 20, 10, missing
+    assert (tc.ask_open_p1, tc.ask_open_p2, tc.ask_open_p3) == (20 / 30, 10 / 30, -999 / 30)
+    ref = features.live_feature_rows(bars_, 3, "reference_live").first()
+    assert ref.updated_at == ts("2024-01-01 10:00:00")             # oldest of the tail, following asks
+    assert (ref.ask_open_p1, ref.ask_open_p2, ref.ask_open_p3) == (2.0, 3.0, -99.9)
+    short = bars_.filter("seq < 2")                                # fewer bars than periods: not scored
+    assert features.live_feature_rows(short, 3).count() == 0
