@@ -75,3 +75,29 @@ def test_auto_mode_picks_plain_window_only_when_bounded(spark):
     plain = features.shift_features(t, past={"ask_open": 2})
     split = features.shift_features(t, past={"ask_open": 2}, block_rows=biggest - 1)
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
+def test_histogram_counts_sum_to_rows_in_range(spark):
+    from barflow.operators import evaluate
+    df = _ticks(spark)
+    h = evaluate.histogram(df, ["bid_open", "ask_open"], 0.0, 50.0, 2.5)
+    for col in ("bid_open", "ask_open"):
+        in_range = df.filter((F.col(col) >= 0) & (F.col(col) <= 50)).count()
+        assert h.filter(F.col("series") == col).agg(F.sum("count")).first()[0] == in_range
+
+
+def test_anti_plus_semi_is_everything(spark):
+    from barflow.plans import fixtures as fx
+    buys, sold = fx.buys(spark, SF_MID), fx.sold(spark, SF_MID)
+    anti = buys.join(sold, "dealId", "left_anti").count()
+    semi = buys.join(sold, "dealId", "left_semi").count()
+    assert anti + semi == buys.count()
+
+
+def test_interpolation_keeps_the_knots(spark):
+    from barflow.operators.bars import daily_interpolate
+    from barflow.plans import fixtures as fx
+    br = fx.base_rate(spark, SF_MID).withColumn("k", F.lit(1))
+    daily = daily_interpolate(br, ["k"], "date_changed", "rate", "daily")
+    j = br.join(daily.withColumnRenamed("date_changed", "d"), (F.col("date_changed") == F.col("d")))
+    assert j.filter(F.col("rate") != F.col("daily")).count() == 0
