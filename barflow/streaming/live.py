@@ -18,6 +18,7 @@ holds back each instrument's newest bar. Batch bars follow the reference.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,21 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Shuffle/state partitions a new streaming query is started with. They
+    are fixed in its checkpoint at first start, so they are sized on purpose
+    (default: the cluster's parallelism) instead of inheriting the batch
+    setting; the session value is restored afterwards."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def stream_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one streaming query under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/streams/{name}-{uuid.uuid4().hex[:12]}"
@@ -70,10 +86,11 @@ def run_bars(spark: SparkSession, source_dir: str, width: str, out_dir: str | No
     append-only Parquet table; returns its path. Re-running with the same
     ``out_dir`` resumes from the checkpoint and adds nothing twice."""
     out_dir = out_dir or stream_dir(spark, "bars")
-    q = (streaming_bars(tick_stream(spark, source_dir), width, delay)
-         .writeStream.outputMode("append").format("parquet")
-         .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
-         .trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (streaming_bars(tick_stream(spark, source_dir), width, delay)
+             .writeStream.outputMode("append").format("parquet")
+             .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
+             .trigger(availableNow=True).start())
     q.awaitTermination()
     return f"{out_dir}/data"
 
@@ -124,8 +141,16 @@ def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width
     training = training.persist()
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
+        # The micro-batch feeds several actions (size checks, scoring, two
+        # writes): keep it for the duration of this call only.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                _score_and_store(batch, epoch_id)
+        finally:
+            batch.unpersist()
+
+    def _score_and_store(batch: DataFrame, epoch_id: int) -> None:
         new_pos = None
         for m in models:  # a handful of deployed configurations, not data
             p = score_new_bars(spark, batch, bars_path, training, past_periods, m["k"], m["r_threshold"],
@@ -138,9 +163,10 @@ def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width
         batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(bars_path)
 
-    q = (streaming_bars(tick_stream(spark, source_dir), width)
-         .writeStream.outputMode("append").foreachBatch(on_batch)
-         .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
+    with state_partitions(spark):
+        q = (streaming_bars(tick_stream(spark, source_dir), width)
+             .writeStream.outputMode("append").foreachBatch(on_batch)
+             .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     training.unpersist()
     return pos_path
