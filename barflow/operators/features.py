@@ -200,3 +200,15 @@ def live_feature_rows(bars: DataFrame, past_periods: int, feature_order: str = "
         pick = lagged.withColumn("_oldest", oldest).filter(F.col("rows_from_end") == F.col("_oldest")).drop("_oldest")
     cols = lag_columns("ask_open", past_periods)
     return normalise(impute(pick, cols), cols).drop("rows_from_end")
+
+
+def volatility_target(df: DataFrame, horizons: int = 3, alias: str = "r_vol", keys: Sequence[str] = KEYS,
+                      order: Sequence[str] = ORDER, **kw) -> DataFrame:
+    """The reference's planned volatility-aware target: over the next
+    ``horizons`` bars, mean x sample sd of the return ``bid / ask now``
+    (null unless all ``horizons`` bars exist)."""
+    out = shift_features(df, future={"bid_open": horizons}, keys=keys, order=order, **kw)
+    rets = [F.try_divide(F.col(f"bid_open_f{i}"), F.col("ask_open")) for i in range(1, horizons + 1)]
+    mean = sum(rets[1:], rets[0]) / F.lit(float(horizons))
+    var = sum([(r - mean) * (r - mean) for r in rets[1:]], (rets[0] - mean) * (rets[0] - mean)) / F.lit(horizons - 1.0)
+    return out.withColumn(alias, mean * F.sqrt(var)).drop(*[f"bid_open_f{i}" for i in range(1, horizons + 1)])

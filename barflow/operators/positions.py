@@ -16,12 +16,17 @@ from barflow.operators import series
 
 def signals_to_positions(scored: DataFrame, r_threshold: float, model_name: str | Column,
                          model_version: str | Column, hold_minutes: int, time_col: str = "updated_at",
-                         level_col: str = "level", pred_col: str = "y_pred", key_cols=("epic",)) -> DataFrame:
+                         level_col: str = "level", pred_col: str = "y_pred", key_cols=("epic",),
+                         max_closeness: float | None = None, closeness_col: str = "closeness") -> DataFrame:
     """T8 + T9 + F8 + F12 + P5: forecasts above the threshold become
-    position rows; ``dealId`` is a deterministic hash of (instrument, bar, model)."""
+    position rows; ``dealId`` is a deterministic hash of (instrument, bar, model).
+    ``max_closeness`` trades only when the neighbours are near enough (sum of
+    their distances at most this)."""
     label = scalar.model_label(F.lit(model_name) if isinstance(model_name, str) else model_name,
                                F.lit(model_version) if isinstance(model_version, str) else model_version)
     chosen = scored.filter(F.col(pred_col) > F.lit(r_threshold))
+    if max_closeness is not None:
+        chosen = chosen.filter(F.col(closeness_col) <= F.lit(max_closeness))
     deal = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols],
                               F.col(time_col).cast("string"), label), 256).substr(1, 16)
     return chosen.select(

@@ -242,3 +242,19 @@ def live_feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             *[_r(c).alias(c) for c in features.lag_columns("ask_open", LIVE_PERIODS)])
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@query("target_volatility", with_fixtures(f"""
+    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at,
+           round(((r1 + r2 + r3) / 3.0)
+                 * sqrt(((r1 - (r1 + r2 + r3) / 3.0) * (r1 - (r1 + r2 + r3) / 3.0)
+                         + (r2 - (r1 + r2 + r3) / 3.0) * (r2 - (r1 + r2 + r3) / 3.0)
+                         + (r3 - (r1 + r2 + r3) / 3.0) * (r3 - (r1 + r2 + r3) / 3.0)) / 2.0), 6) AS r_vol
+    FROM (SELECT *, lead(bid_open, 1) OVER w / ask_open AS r1, lead(bid_open, 2) OVER w / ask_open AS r2,
+                 lead(bid_open, 3) OVER w / ask_open AS r3
+          FROM stream WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq))""", "stream"))
+def target_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volatility-aware target over the next three bars (a documented
+    intention of the reference)."""
+    v = features.volatility_target(fixtures.stream(spark, sf_dir), 3)
+    return v.select("epic", ts_text("updated_at").alias("updated_at"), _r("r_vol").alias("r_vol"))

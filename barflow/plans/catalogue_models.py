@@ -95,12 +95,13 @@ BAR_MODEL_SQL = f"""
                           THEN 'test' ELSE 'train' END AS split,
                   [x0, x1, x2, x3] AS v FROM feat),
     bnn AS (SELECT * FROM (
-              SELECT q.seq AS q_id, t.y_true AS t_y,
+              SELECT q.seq AS q_id, t.y_true AS t_y, list_distance(q.v, t.v) AS distance,
                      row_number() OVER (PARTITION BY q.seq ORDER BY list_distance(q.v, t.v), t.seq) AS rank
               FROM fs q, fs t WHERE t.split = 'train')
             WHERE rank <= {K}),
-    preds AS (SELECT f.epic, f.updated_at, f.seq, f.split, f.y_true, p.y_pred, f.level
-              FROM fs f JOIN (SELECT q_id, avg(t_y) AS y_pred FROM bnn GROUP BY q_id) p ON p.q_id = f.seq)"""
+    preds AS (SELECT f.epic, f.updated_at, f.seq, f.split, f.y_true, p.y_pred, p.closeness, f.level
+              FROM fs f JOIN (SELECT q_id, avg(t_y) AS y_pred, sum(distance) AS closeness FROM bnn GROUP BY q_id) p
+                   ON p.q_id = f.seq)"""
 
 
 def bar_model_rows(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS) -> DataFrame:
@@ -128,7 +129,9 @@ def bar_model_neighbours(rows: DataFrame, k: int) -> DataFrame:
 def predictions_for(rows: DataFrame, neighbours: DataFrame, k: int) -> DataFrame:
     """M4 + M9: mean target of the first ``k`` neighbours. Ranks are exact and
     deterministic, so one search with the largest k serves every smaller k."""
-    pred = knn.knn_predict(neighbours.filter(F.col("rank") <= k)).withColumnRenamed("q_id", "seq")
+    first_k = neighbours.filter(F.col("rank") <= k)
+    pred = (first_k.groupBy("q_id").agg(F.avg("t_y").alias("y_pred"), F.sum("distance").alias("closeness"))
+            .withColumnRenamed("q_id", "seq"))
     return rows.select("epic", "updated_at", "seq", "split", "y_true", "level").join(pred, "seq")
 
 

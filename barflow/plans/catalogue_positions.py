@@ -263,3 +263,28 @@ def paper_fill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = positions.outcomes(pos, fills.drop("close_date")).join(fills.select("dealId", "close_date"), "dealId", "left")
     return out.select("dealId", "epic", ts_text("close_date").alias("close_date"), "close_level_responce",
                       _r("y_true").alias("y_true"), _r("profit_responce", 2).alias("profit_responce"))
+
+
+MAX_CLOSENESS = 0.5
+
+
+@query("signals_near_enough", with_fixtures(f"""
+    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 16)
+               AS dealId, epic, strftime(updated_at, {HOUR_TS}) AS buy_date, round(y_pred, 6) AS y_pred,
+           round(closeness, 6) AS closeness
+    FROM preds
+    WHERE y_pred > {R_THRESHOLD} AND closeness <= {MAX_CLOSENESS}
+      AND updated_at > TIMESTAMP '{SESSION_START}' AND updated_at < TIMESTAMP '{SESSION_END}'""",
+                                            "stream", extra=BAR_MODEL_SQL))
+def signals_near_enough(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Positions only where the forecast's neighbours are near enough -- the
+    reference's planned distance filter before buying (M5 + T8)."""
+    scored = bar_model_predictions(spark, sf_dir)
+    in_session = scored.filter((F.col("updated_at") > F.lit(SESSION_START).cast("timestamp"))
+                               & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
+    pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1,
+                                         max_closeness=MAX_CLOSENESS)
+    close = in_session.select("epic", F.col("updated_at").alias("buy_date"), "closeness")
+    return pos.join(close, ["epic", "buy_date"]).select(
+        "dealId", "epic", ts_text("buy_date").alias("buy_date"), _r("y_pred").alias("y_pred"),
+        _r("closeness").alias("closeness"))
