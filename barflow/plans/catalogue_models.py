@@ -343,3 +343,20 @@ def rolling_ols_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     long = evaluate.to_long(means, ["Name"], [c for c in means.columns if c != "Name"])
     return long.select("Name", F.substring("metric", 6, 3).cast("int").alias("window_n"),
                        F.round("value", 4).alias("mean_abs_error"))
+
+
+@query("smoothness_ranking", with_fixtures(f"""
+    SELECT window_n, Name, round(mean_abs_error, 4) AS mean_abs_error,
+           dense_rank() OVER (PARTITION BY window_n ORDER BY round(mean_abs_error, 4)) AS smoothness_rank
+    FROM (SELECT Name, CAST(substr(metric, 6) AS INTEGER) AS window_n, value AS mean_abs_error FROM (
+            SELECT Name, {", ".join(f"avg(abs(preds_{n} - Open)) AS diff_{n}" for n in ROLL_LENGTHS)} FROM roll GROUP BY Name)
+          UNPIVOT (value FOR metric IN ({", ".join(f"diff_{n}" for n in ROLL_LENGTHS)})))""",
+                                           "daily_prices", extra=ROLL_SQL))
+def smoothness_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruments ranked by how well a short line predicts them, per window
+    length -- the reference's planned search for the smoothest series (W8)."""
+    from pyspark.sql import Window
+    err = rolling_ols_errors(spark, sf_dir)
+    # one row per (series, window length): a small table
+    w = Window.partitionBy("window_n").orderBy("mean_abs_error")
+    return err.withColumn("smoothness_rank", F.dense_rank().over(w).cast("long"))

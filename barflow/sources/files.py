@@ -64,12 +64,6 @@ def snapshot(df: DataFrame, path: str, partition_cols: list[str] | None = None,
     w.save(path)
 
 
-def run_log_rows(run_id: Column | str, values: dict[str, Column]) -> Column:
-    """One run's ``key -> value`` pairs as an array of structs to
-    ``explode`` into ``(run_id, key, value)`` rows."""
-    return F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in values.items()])
-
-
 def run_log_long(wide: DataFrame, id_col: str, keys: list[str]) -> DataFrame:
     """Wide per-run values -> EAV rows ``(run_id, key, value)``."""
     pairs = F.explode(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("string").alias("value"))
