@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.functions.scalar import format_day, poly_terms, ts_text
+from barflow.functions.scalar import format_day, ts_text
 from barflow.operators import evaluate, features, forecast, knn, modeling, series
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS, TEST_FRACTION, chronological_split
