@@ -35,18 +35,18 @@ def _simple_history_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("history_compact", f"""
     SELECT * FROM (
-      SELECT 'yf' AS source, event_type AS instrument, strftime(ts + INTERVAL 5 HOUR, {MICRO}) AS updated_at,
+      SELECT 'quotes' AS source, event_type AS instrument, strftime(ts + INTERVAL 5 HOUR, {MICRO}) AS updated_at,
              value AS bid_open, value AS ask_open FROM events
       UNION ALL
-      SELECT 'ig', event_type, strftime(ts, {MICRO}), value, value + 0.5 FROM events)""")
+      SELECT 'broker', event_type, strftime(ts, {MICRO}), value, value + 0.5 FROM events)""")
 def history_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Histories from two sources (zone-suffixed text times; nested ask/bid)
     compacted into one sorted table (S6, U1, F2, F5, P18, O1)."""
-    yf = _simple_history_parsed(spark, sf_dir).select(
-        F.lit("yf").alias("source"), "instrument", "updated_at", "bid_open", "ask_open")
-    ig = features.adapt_nested_history(fixtures.history_nested(spark, sf_dir)).select(
-        F.lit("ig").alias("source"), F.col("epic").alias("instrument"), "updated_at", "bid_open", "ask_open")
-    allh = yf.unionByName(ig, allowMissingColumns=True).orderBy("instrument", "updated_at", "source")
+    quotes = _simple_history_parsed(spark, sf_dir).select(
+        F.lit("quotes").alias("source"), "instrument", "updated_at", "bid_open", "ask_open")
+    broker = features.adapt_nested_history(fixtures.history_nested(spark, sf_dir)).select(
+        F.lit("broker").alias("source"), F.col("epic").alias("instrument"), "updated_at", "bid_open", "ask_open")
+    allh = quotes.unionByName(broker, allowMissingColumns=True).orderBy("instrument", "updated_at", "source")
     return allh.select("source", "instrument", ts_text("updated_at", micros=True).alias("updated_at"),
                        "bid_open", "ask_open")
 
@@ -58,22 +58,22 @@ AS_OF_FETCH = "2024-02-10"
     WITH h AS (SELECT event_type AS instrument, ts + INTERVAL 5 HOUR AS t FROM events),
     b AS (SELECT instrument, min(t)::DATE AS first_date, max(t)::DATE AS last_date FROM h GROUP BY instrument),
     r AS (SELECT *, last_date + 1 AS fetch_start, DATE '{AS_OF_FETCH}' - 1 AS fetch_end FROM b),
-    m AS (SELECT DISTINCT 'training/yf/' || lower(instrument) || '/1m/' || strftime(t::DATE, '%Y-%m-%d') || '_to_'
+    m AS (SELECT DISTINCT 'training/quotes/' || lower(instrument) || '/1m/' || strftime(t::DATE, '%Y-%m-%d') || '_to_'
                  || strftime(t::DATE, '%Y-%m-%d') AS bucket FROM h)
     SELECT instrument, strftime(first_date, '%Y-%m-%d') AS first_date, strftime(last_date, '%Y-%m-%d') AS last_date,
            strftime(fetch_start, '%Y-%m-%d') AS fetch_start, strftime(fetch_end, '%Y-%m-%d') AS fetch_end,
            CAST(epoch_ms(fetch_end::TIMESTAMP) - epoch_ms(fetch_start::TIMESTAMP) AS BIGINT) AS span_ms,
-           'training/yf/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
+           'training/quotes/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
                || strftime(fetch_end, '%Y-%m-%d') AS bucket
     FROM r WHERE fetch_start <= fetch_end
-      AND 'training/yf/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
+      AND 'training/quotes/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
           || strftime(fetch_end, '%Y-%m-%d') NOT IN (SELECT bucket FROM m)""")
 def history_new_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The next range to fetch per instrument from its high-water mark, minus
     buckets already loaded (S3, S4, S5, A3, F10, F17)."""
     h = _simple_history_parsed(spark, sf_dir)
     plan = files.next_ranges(h, F.lit(AS_OF_FETCH))
-    src, res = F.lit("yf"), F.lit("1m")
+    src, res = F.lit("quotes"), F.lit("1m")
     plan = plan.withColumn("bucket", files.bucket_path(src, F.col("instrument"), res, F.col("fetch_start"),
                                                        F.col("fetch_end")))
     day = F.to_date("updated_at")

@@ -35,7 +35,7 @@ def test_csv_scan_with_schema_and_pruning(spark):
 def test_buckets_are_written_once(spark):
     root = _scratch() + "/history"
     rows = spark.createDataFrame(
-        [("yf", "GOLD", "1m", "2024-01-01_to_2024-01-01", "b1", dt.datetime(2024, 1, 1, 10), 1.0)],
+        [("quotes", "GOLD", "1m", "2024-01-01_to_2024-01-01", "b1", dt.datetime(2024, 1, 1, 10), 1.0)],
         "source string, instrument string, resolution string, bucket_range string, bucket string, "
         "updated_at timestamp, open double")
     files.write_buckets(rows, root)
