@@ -95,23 +95,32 @@ def run_bars(spark: SparkSession, source_dir: str, width: str, out_dir: str | No
     return f"{out_dir}/data"
 
 
-def score_new_bars(spark: SparkSession, new_bars: DataFrame, stored_bars_path: str | None, training: DataFrame,
+def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | None:
+    """Newest ``epoch=N`` folder under ``path`` with N < ``epoch`` (a metadata
+    listing on the driver, no data read)."""
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hpath):
+        return None
+    found = []
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("epoch="):
+            e = int(name.split("=", 1)[1])
+            if e < epoch:
+                found.append(e)
+    return max(found) if found else None
+
+
+def score_new_bars(spark: SparkSession, new_bars: DataFrame, history: DataFrame | None, training: DataFrame,
                    past_periods: int, k: int, r_threshold: float, model_name: str, model_version: str,
-                   hold_minutes: int, before_epoch: int | None = None) -> DataFrame:
-    """T6 + T7 + T8: features of the new bars from the last ``past_periods``
-    stored bars per instrument (time-correct lags), kNN scoring against the
+                   hold_minutes: int) -> DataFrame:
+    """T6 + T7 + T8: features of the new bars from ``history`` (the last
+    ``past_periods`` bars per instrument, or None), kNN scoring against the
     training table, threshold -> position rows."""
-    hist = None
-    if stored_bars_path:
-        from barflow.sources.tables import read_or_empty
-        schema = T.StructType(new_bars.schema.fields + [T.StructField("epoch", T.LongType())])
-        stored = read_or_empty(spark, stored_bars_path, schema)
-        if before_epoch is not None:  # history = bars of earlier, committed batches only
-            stored = stored.filter(F.col("epoch") < before_epoch)
-        tail = features.series_tail(stored.drop("epoch"), past_periods)
-        hist = tail.drop("rows_from_end").withColumn("_new", F.lit(False))
     cur = new_bars.withColumn("_new", F.lit(True))
-    allb = cur if hist is None else hist.unionByName(cur)
+    allb = cur if history is None else history.withColumn("_new", F.lit(False)).unionByName(cur)
     # An instrument is scored once it has at least ``past_periods`` bars.
     enough = allb.groupBy("epic").agg(F.count(F.lit(1)).alias("_nb")).filter(F.col("_nb") >= past_periods)
     allb = allb.join(enough.select("epic"), "epic", "left_semi")
@@ -124,6 +133,32 @@ def score_new_bars(spark: SparkSession, new_bars: DataFrame, stored_bars_path: s
     return positions.signals_to_positions(scored, r_threshold, model_name, model_version, hold_minutes)
 
 
+def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, out_dir: str, training: DataFrame,
+                         models: list[dict], past_periods: int, hold_minutes: int) -> None:
+    """One micro-batch of new bars: score them with every model, append the
+    positions and the bars, and roll the per-instrument tail forward.
+
+    History is the tail table of the newest committed epoch: at most
+    ``past_periods`` bars per instrument, however long the stream runs. Every
+    write replaces only this epoch's partition, so a replayed batch (after a
+    failure before the commit) rewrites instead of duplicating."""
+    pos_path, bars_path, tail_path = f"{out_dir}/positions", f"{out_dir}/bars", f"{out_dir}/tails"
+    prev = _latest_epoch_before(spark, tail_path, epoch_id)
+    history = spark.read.parquet(f"{tail_path}/epoch={prev}") if prev is not None else None
+    new_pos = None
+    for m in models:  # a handful of deployed configurations, not data
+        p = score_new_bars(spark, batch, history, training, past_periods, m["k"], m["r_threshold"],
+                           m["model_name"], str(m["model_version"]), hold_minutes)
+        new_pos = p if new_pos is None else new_pos.unionByName(p)
+    new_pos.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(pos_path)
+    batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(bars_path)
+    both = batch if history is None else history.unionByName(batch)
+    tail = features.series_tail(both, past_periods).drop("rows_from_end")
+    tail.write.mode("overwrite").parquet(f"{tail_path}/epoch={epoch_id}")
+
+
 def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width: str = "1 hour",
                 past_periods: int = 3, k: int = 3, r_threshold: float = 1.0, model_name: str = "knn-reg-model",
                 model_version: str = "1", hold_minutes: int = 1, out_dir: str | None = None,
@@ -137,36 +172,22 @@ def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width
     given by the keyword arguments."""
     models = models or [dict(model_name=model_name, model_version=model_version, k=k, r_threshold=r_threshold)]
     out_dir = out_dir or stream_dir(spark, "signals")
-    bars_path, pos_path = f"{out_dir}/bars", f"{out_dir}/positions"
     training = training.persist()
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The micro-batch feeds several actions (size checks, scoring, two
-        # writes): keep it for the duration of this call only.
+        # The micro-batch feeds several actions (size checks, scoring, writes):
+        # keep it for the duration of this call only.
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                _score_and_store(batch, epoch_id)
+                process_signal_batch(spark, batch, epoch_id, out_dir, training, models, past_periods, hold_minutes)
         finally:
             batch.unpersist()
 
-    def _score_and_store(batch: DataFrame, epoch_id: int) -> None:
-        new_pos = None
-        for m in models:  # a handful of deployed configurations, not data
-            p = score_new_bars(spark, batch, bars_path, training, past_periods, m["k"], m["r_threshold"],
-                               m["model_name"], str(m["model_version"]), hold_minutes, before_epoch=epoch_id)
-            new_pos = p if new_pos is None else new_pos.unionByName(p)
-        # Both writes replace only this epoch's partition, so a replayed batch
-        # (after a failure before the commit) rewrites instead of duplicating.
-        new_pos.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(pos_path)
-        batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(bars_path)
-
     with state_partitions(spark):
         q = (streaming_bars(tick_stream(spark, source_dir), width)
              .writeStream.outputMode("append").foreachBatch(on_batch)
              .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
     training.unpersist()
-    return pos_path
+    return f"{out_dir}/positions"

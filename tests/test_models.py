@@ -93,3 +93,22 @@ def test_exact_quantiles_equal_builtin_percentile(spark):
         for r in ref:
             for lv, val in zip(levels, r.q):
                 assert abs(got[(r.g, lv)] - val) < 1e-9, (chunks, r.g, lv)
+
+
+def test_function_step_in_ml_pipeline(spark):
+    from pyspark.ml import Pipeline
+    from barflow.operators import features
+    from barflow.operators.modeling import FunctionStep
+    df = spark.createDataFrame([("E", i, 10.0 + i) for i in range(6)], "epic string, seq long, ask_open double") \
+        .withColumn("updated_at", F.timestamp_seconds(F.col("seq") * 60))
+    pipe = Pipeline(stages=[FunctionStep(features.model_features, {"past_periods": 2}),
+                            FunctionStep(lambda d: d.filter(F.col("ask_open_p2") > 0))])
+    out = pipe.fit(df).transform(df).orderBy("seq").collect()
+    assert [r.seq for r in out] == [2, 3, 4, 5] and abs(out[0].ask_open_p1 - 11.0 / 12.0) < 1e-12
+
+
+def test_observe_shape_counts_during_the_action(spark):
+    from barflow.operators.evaluate import observe_shape
+    df, get = observe_shape(_emb(spark), "emb_shape")
+    df.write.format("noop").mode("overwrite").save()
+    assert get() == (500, 3)
