@@ -14,39 +14,43 @@ from pyspark.sql import functions as F
 
 
 def exact_quantiles(df: DataFrame, col: str, levels: Sequence[float], group_cols: Sequence[str] = (),
-                    chunks: int = 4096) -> DataFrame:
+                    chunks: int = 256) -> DataFrame:
     """Exact interpolated quantiles without holding a group in one task.
 
     Equal values are counted first (partial aggregation, so a hot group or
-    value shrinks map-side). Each group's value range is cut into ``chunks``
-    equal-width chunks; an exclusive prefix sum over the small chunk table and
-    a running sum inside each chunk give every distinct value its rank range.
-    Each distinct value is emitted for the levels whose interpolation ranks
-    fall in its range, and the pair is blended as Spark's ``percentile``
-    does: ``(hi - h) * v_lo + (h - lo) * v_hi`` with ``h = (n - 1) q``.
+    value shrinks map-side). Each group is cut into about ``chunks`` pieces at
+    its sketch quantiles (``percentile_approx``: bounded memory), so pieces
+    are balanced by row count whatever the distribution (outliers included).
+    An exclusive prefix sum over the small piece table plus a running sum
+    inside each piece gives every distinct value its exact rank range. Each
+    value is emitted for the levels whose interpolation ranks fall in its
+    range, and the pair is blended as Spark's ``percentile`` does:
+    ``(hi - h) * v_lo + (h - lo) * v_hi`` with ``h = (n - 1) q``. The sketch
+    only places the cuts, so the result is exact.
     Returns ``(group..., level, value)``.
     """
     g = list(group_cols)
     levels = [float(x) for x in levels]
     vals = df.select(*g, F.col(col).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     dist = vals.groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    rng = dist.groupBy(*g).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_c").alias("_n"))
+    cuts = [i / chunks for i in range(1, chunks)]
+    per_group = vals.groupBy(*g).agg(
+        F.count(F.lit(1)).alias("_n"),
+        (F.percentile_approx("_v", cuts, 10 * chunks) if cuts else F.array().cast("array<double>")).alias("_cuts"))
     if g:
-        d = dist.join(rng, g)
+        d = dist.join(per_group, g)
     else:
-        d = dist.withColumns({c: rng.select(c).scalar() for c in ("_lo", "_hi", "_n")})
-    span = F.col("_hi") - F.col("_lo")
-    chunk = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * chunks), F.lit(chunks - 1))) \
-        .otherwise(F.lit(0))
-    d = d.withColumn("_chunk", chunk.cast("long"))
+        d = dist.withColumns({c: per_group.select(c).scalar() for c in ("_n", "_cuts")})
+    # piece = number of cuts below the value: monotone in the value, equal values share a piece
+    piece = F.aggregate("_cuts", F.lit(0), lambda acc, b: acc + F.when(b < F.col("_v"), 1).otherwise(0))
+    d = d.withColumn("_chunk", piece).drop("_cuts")
     before = Window.partitionBy(*g).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (d.groupBy(*g, "_chunk").agg(F.sum("_c").alias("_cc"))
                .select(*g, "_chunk", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off")))
     inner = Window.partitionBy(*g, "_chunk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranked = d.join(offsets, [*g, "_chunk"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inner))
     # rank range of this value: [_end - _c, _end - 1]
-    lv = F.array(*[F.lit(x) for x in levels])
-    ranked = ranked.withColumn("_lv", F.explode(lv))
+    ranked = ranked.withColumn("_lv", F.explode(F.array(*[F.lit(x) for x in levels])))
     h = (F.col("_n") - 1) * F.col("_lv")
     r_lo, r_hi = F.floor(h), F.ceil(h)
     start, end = F.col("_end") - F.col("_c"), F.col("_end") - 1
