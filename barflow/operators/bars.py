@@ -113,3 +113,14 @@ def daily_interpolate(series: DataFrame, keys: Sequence[str], date_col: str, val
              .when(d1.isNull(), v0)
              .otherwise(v0 + (v1 - v0) * frac))
     return filled.select(*keys, F.col("_d").alias(date_col), value.alias(out_col))
+
+
+def latest_prices(ticks: DataFrame, keys: Sequence[str] = ("epic",), time_col: str = "updated_at",
+                  seq_col: str = "seq", value_cols: Sequence[str] = ("bid_open", "ask_open")) -> DataFrame:
+    """S9 (MERGE subscription): the latest tick per instrument -- one hash
+    aggregation with ``max_by`` on ``(time, seq)``; on a stream it runs in
+    ``update`` mode and the state is one row per instrument."""
+    order = F.struct(F.col(time_col), F.col(seq_col))
+    return ticks.groupBy(*keys).agg(
+        F.max_by(F.struct(time_col, seq_col, *value_cols), order).alias("_last")).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in (time_col, seq_col, *value_cols)])

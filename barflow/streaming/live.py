@@ -80,6 +80,19 @@ def streaming_bars(ticks: DataFrame, width: str = "1 minute", delay: str = "0 se
             .na.drop("any", subset=["bid_open", "ask_open"]))
 
 
+def run_latest_prices(spark: SparkSession, source_dir: str, query_name: str):
+    """The conflated latest price per instrument as a stream (``update``
+    output: each trigger emits the instruments that moved) into a memory
+    table for inspection; returns the finished query."""
+    with state_partitions(spark):
+        q = (bar_ops.latest_prices(bar_ops.market_open(tick_stream(spark, source_dir)))
+             .writeStream.outputMode("update").format("memory").queryName(query_name)
+             .option("checkpointLocation", stream_dir(spark, query_name) + "/_checkpoint")
+             .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
 def run_bars(spark: SparkSession, source_dir: str, width: str, out_dir: str | None = None,
              delay: str = "0 seconds") -> str:
     """Run the bar stream to completion (``availableNow``) into an

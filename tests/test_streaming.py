@@ -85,3 +85,12 @@ def test_two_epochs_score_like_one(spark):
     a = spark.read.parquet(f"{one}/positions").drop("epoch")
     b = spark.read.parquet(f"{two}/positions").drop("epoch")
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_latest_price_stream_equals_batch(spark):
+    q = live.run_latest_prices(spark, SF_SMALL, "latest_px")
+    streamed = spark.table("latest_px")
+    batch = bars.latest_prices(bars.market_open(fixtures.raw_stream(spark, SF_SMALL)))
+    assert streamed.count() == batch.count() == 5
+    assert streamed.exceptAll(batch).count() == 0
+    assert q.lastProgress is not None
