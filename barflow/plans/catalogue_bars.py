@@ -269,3 +269,14 @@ def latest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The conflated latest tradeable price per instrument (S9, MERGE)."""
     p = bars.latest_prices(bars.market_open(fixtures.raw_stream(spark, sf_dir)))
     return p.select("epic", ts_text("updated_at", micros=True).alias("updated_at"), "seq", "bid_open", "ask_open")
+
+
+@query("gated_ticks", with_fixtures("""
+    SELECT epic, market_state, count(*) AS n_ticks, strftime(min(updated_at), '%Y-%m-%d %H:%M:%S.%f') AS first_at
+    FROM raw_stream WHERE market_state IS DISTINCT FROM 'TRADEABLE' GROUP BY epic, market_state""", "raw_stream"))
+def gated_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ticks the market-open gate holds back, as a side table per
+    instrument and state (T1: the reference raises; the query goes on)."""
+    held = bars.market_closed(fixtures.raw_stream(spark, sf_dir))
+    return held.groupBy("epic", "market_state").agg(
+        F.count(F.lit(1)).alias("n_ticks"), ts_text(F.min("updated_at"), micros=True).alias("first_at"))
