@@ -60,6 +60,29 @@ def _chunk_col(time_col: str, chunk_seconds: int) -> Column:
     return F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
 
 
+MAX_SPLIT = 1 << 20
+
+
+def _adaptive_chunks(df: DataFrame, keys: list[str], time_col: str, chunk_seconds: int,
+                     target_rows: int) -> DataFrame:
+    """Add ``_chunk``: a time bucket of ``chunk_seconds``, and for a bucket
+    holding more than ``target_rows`` rows of one key (a burst), an equal
+    split of that bucket into enough sub-intervals. Chunks stay ordered by
+    time and equal timestamps share a chunk, so positions are unchanged; only
+    the size of the largest sort shrinks. The split table has one row per
+    busy (key, bucket)."""
+    us = chunk_seconds * 1_000_000
+    t = F.unix_micros(F.col(time_col).cast("timestamp"))
+    base = df.withColumn("_b0", F.floor(t / F.lit(us)))
+    busy = (base.groupBy(*keys, "_b0").agg(F.count(F.lit(1)).alias("_bc"))
+            .filter(F.col("_bc") > target_rows)
+            .select(*keys, "_b0", F.least(F.ceil(F.col("_bc") / F.lit(target_rows)), F.lit(MAX_SPLIT))
+                    .alias("_split")))
+    j = base.join(busy, [*keys, "_b0"], "left")
+    sub = F.floor((t - F.col("_b0") * F.lit(us)) * F.coalesce(F.col("_split"), F.lit(1)) / F.lit(us))
+    return j.withColumn("_chunk", F.col("_b0") * F.lit(MAX_SPLIT) + sub).drop("_b0", "_split")
+
+
 def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    time_col: str | None = None, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
                    with_size: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS, mode: str = "auto") -> DataFrame:
@@ -77,7 +100,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
         out = df.withColumn(IDX, (F.row_number().over(w) - 1).cast("long"))
         return out.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))) if with_size else out
     time_col = time_col or order[0]
-    chunked = df.withColumn("_chunk", _chunk_col(time_col, chunk_seconds))
+    chunked = _adaptive_chunks(df, keys, time_col, chunk_seconds, block_rows)
     counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
     per_key = Window.partitionBy(*keys).orderBy("_chunk")
     offsets = counts.select(

@@ -101,3 +101,16 @@ def test_interpolation_keeps_the_knots(spark):
     daily = daily_interpolate(br, ["k"], "date_changed", "rate", "daily")
     j = br.join(daily.withColumnRenamed("date_changed", "d"), (F.col("date_changed") == F.col("d")))
     assert j.filter(F.col("rate") != F.col("daily")).count() == 0
+
+
+def test_bursty_chunks_split_and_keep_positions(spark):
+    t = _ticks(spark)
+    # 2-day buckets hold hundreds of rows per key; a 50-row target forces splits
+    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=2 * 86400, block_rows=50,
+                                mode="blocks", with_size=True)
+    w = Window.partitionBy("epic").orderBy("updated_at", "seq")
+    ref = t.withColumn("rn", F.row_number().over(w) - 1)
+    assert idx.join(ref, "seq").filter(F.col("_idx") != F.col("rn")).count() == 0
+    chunks = series._adaptive_chunks(t, ["epic"], "updated_at", 2 * 86400, 50)
+    biggest = chunks.groupBy("epic", "_chunk").count().agg(F.max("count")).first()[0]
+    assert biggest < 200  # without the split a 2-day bucket holds ~ 130 x 2 rows per key
