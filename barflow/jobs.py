@@ -86,14 +86,18 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--past-periods", type=int, default=3)
     ap.add_argument("--threshold", type=float, default=1.0)
     a = ap.parse_args(argv)
-    from barflow.session import get_session
+    from barflow.session import get_session, release_materialized
     spark = get_session(app_name=f"barflow-{a.job}")
-    if a.job == "history":
-        history_job(spark, a.tables, a.out, a.as_of)
-    elif a.job == "train":
-        train_job(spark, a.tables, a.out, a.k, a.past_periods)
-    else:
-        live_job(spark, a.tables, a.out, a.k, a.past_periods, a.threshold)
+    try:
+        if a.job == "history":
+            history_job(spark, a.tables, a.out, a.as_of)
+        elif a.job == "train":
+            train_job(spark, a.tables, a.out, a.k, a.past_periods)
+        else:
+            live_job(spark, a.tables, a.out, a.k, a.past_periods, a.threshold)
+    finally:
+        # every output is written; the intermediates in the checkpoint folder go
+        release_materialized(spark)
 
 
 if __name__ == "__main__":

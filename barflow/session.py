@@ -60,9 +60,27 @@ def materialize(df, name: str = "t"):
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    _MATERIALIZED.append(path)
     return spark.read.parquet(path)
 
 
+_MATERIALIZED: list[str] = []
+
+
+def release_materialized(spark: SparkSession) -> int:
+    """Delete the tables :func:`materialize` wrote in this process. Call it
+    only once every DataFrame reading them has been written out (a job's
+    end); returns how many were removed."""
+    jvm = spark._jvm
+    removed = 0
+    while _MATERIALIZED:
+        hpath = jvm.org.apache.hadoop.fs.Path(_MATERIALIZED.pop())
+        fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+        if fs.exists(hpath) and fs.delete(hpath, True):
+            removed += 1
+    return removed
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -18,3 +18,15 @@ def test_history_and_train_jobs_write_outputs(spark):
     assert metrics.select("run_id").distinct().count() == 2
     assert metrics.filter("key = 'test_mae'").count() == 2
     assert spark.read.parquet(f"{out}/predictions").select("run_id").distinct().count() == 2
+
+
+def test_release_materialized_removes_only_written_intermediates(spark):
+    import os
+    from pyspark.sql import functions as F
+    from barflow.session import materialize, release_materialized, _MATERIALIZED
+    release_materialized(spark)
+    t = materialize(spark.range(10).withColumn("x", F.col("id") * 2))
+    path = _MATERIALIZED[-1]
+    assert t.count() == 10 and os.path.exists(path.replace("file:", ""))
+    assert release_materialized(spark) == 1
+    assert not os.path.exists(path.replace("file:", ""))
