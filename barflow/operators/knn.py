@@ -44,9 +44,19 @@ def _top_k(q_ids, q_mat, t_ids, t_mat, t_y, k: int, budget: int = 4_000_000) ->
         q = q_mat[s:s + chunk]
         diff = q[:, None, :] - t_mat[None, :, :]
         dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-        # lexsort by (distance, training id): exact tie rule.
-        idx = np.lexsort((np.broadcast_to(order_ids, dist.shape), dist), axis=1)[:, :kk]
         rows = np.arange(len(q))[:, None]
+        # O(n) selection of k per row, then (distance, training id) order
+        # among those k only -- the exact tie rule.
+        part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < dist.shape[1] else \
+            np.broadcast_to(np.arange(dist.shape[1]), dist.shape).copy()
+        pd_ = dist[rows, part]
+        idx = np.take_along_axis(part, np.lexsort((order_ids[part], pd_), axis=1), axis=1)
+        # Rows whose k-th distance ties with rows left out: full sort there.
+        kth = pd_.max(axis=1, keepdims=True)
+        tied = np.nonzero((dist <= kth).sum(axis=1) > kk)[0]
+        if len(tied):
+            full = np.lexsort((np.broadcast_to(order_ids, (len(tied), dist.shape[1])), dist[tied]), axis=1)
+            idx[tied] = full[:, :kk]
         out.append(pd.DataFrame({
             "q_id": np.repeat(np.asarray(q_ids[s:s + chunk]), kk),
             "t_id": order_ids[idx].ravel(),

@@ -113,3 +113,20 @@ def test_observe_shape_counts_during_the_action(spark):
     df, get = observe_shape(_emb(spark), "emb_shape")
     df.write.format("noop").mode("overwrite").save()
     assert get() == (500, 3)
+
+
+def test_top_k_kernel_tie_rule():
+    from barflow.operators.knn import _top_k
+    # four training rows at the same distance from the query: the smallest ids win
+    t_ids = np.array([40, 10, 30, 20, 50])
+    t_mat = np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [0.0, -1.0], [5.0, 5.0]])
+    out = _top_k(np.array([1]), np.array([[0.0, 0.0]]), t_ids, t_mat, np.arange(5.0), 3)
+    assert list(out.t_id) == [10, 20, 30]
+    rng = np.random.default_rng(0)
+    q, t = rng.integers(0, 3, size=(30, 2)).astype(float), rng.integers(0, 3, size=(60, 2)).astype(float)
+    ids = rng.permutation(60) + 100
+    got = _top_k(np.arange(30), q, ids, t, np.zeros(60), 4)
+    d = np.sqrt(((q[:, None] - t[None]) ** 2).sum(-1))
+    for i in range(30):
+        expect = [ids[j] for j in np.lexsort((ids, d[i]))[:4]]
+        assert list(got[got.q_id == i].t_id) == expect
