@@ -40,17 +40,20 @@ def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
               time_col: str = "updated_at", seq_col: str = "seq",
               value_cols: Sequence[str] = ("bid_open", "ask_open"),
               start_time: str | None = None, drop_incomplete: bool = True,
-              materialize_bars: bool = True) -> DataFrame:
+              materialize_bars: bool = True, last_tick_col: str | None = None) -> DataFrame:
     """Tumbling bars, last value per column, right label; ``seq`` is the
-    bar's last tick, so bars keep the ``(time, seq)`` order key."""
+    bar's last tick, so bars keep the ``(time, seq)`` order key.
+    ``last_tick_col`` also keeps the time of that last tick."""
     keys = list(keys)
     bucket = (F.window(time_col, width, width, start_time) if start_time
               else F.window(time_col, width)).alias("_w")
     order = F.struct(F.col(time_col), F.col(seq_col))
     bars = (ticks.groupBy(*keys, bucket)
             .agg(F.max_by(F.col(seq_col), order).alias(seq_col),
+                 *([F.max(time_col).alias(last_tick_col)] if last_tick_col else []),
                  *[_last_non_null(c, order) for c in value_cols])
-            .select(*keys, F.col("_w.end").alias(time_col), seq_col, *value_cols)
+            .select(*keys, F.col("_w.end").alias(time_col), seq_col,
+                    *([last_tick_col] if last_tick_col else []), *value_cols)
             .na.drop("any", subset=list(value_cols)))
     if not drop_incomplete:
         return bars

@@ -30,11 +30,10 @@ def bars_last_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars of tradeable ticks (T1 gate, W11) with the minute of each
     bar's last tick (F7)."""
     ticks = bars.market_open(fixtures.raw_stream(spark, sf_dir))
-    b = bars.last_bars(ticks, fixtures.BAR_WIDTH)
-    last_tick = ticks.select("seq", F.col("updated_at").alias("_tick_at"))
-    return (b.join(last_tick, "seq")
-            .select("epic", ts_text("updated_at").alias("updated_at"), "seq", "bid_open", "ask_open",
-                    ts_text(floor_minute("_tick_at")).alias("last_tick_minute")))
+    # the last tick's time comes out of the bar aggregation itself: no join back to the ticks
+    b = bars.last_bars(ticks, fixtures.BAR_WIDTH, last_tick_col="_tick_at")
+    return b.select("epic", ts_text("updated_at").alias("updated_at"), "seq", "bid_open", "ask_open",
+                    ts_text(floor_minute("_tick_at")).alias("last_tick_minute"))
 
 
 TRAINING_SQL = with_fixtures(f"""
