@@ -7,6 +7,8 @@ and splits skewed partitions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,12 @@ from barflow.operators import series
 def signals_to_positions(scored: DataFrame, r_threshold: float, model_name: str | Column,
                          model_version: str | Column, hold_minutes: int, time_col: str = "updated_at",
                          level_col: str = "level", pred_col: str = "y_pred", key_cols=("epic",),
-                         max_closeness: float | None = None, closeness_col: str = "closeness") -> DataFrame:
+                         max_closeness: float | None = None, closeness_col: str = "closeness",
+                         keep_cols: Sequence[str] = ()) -> DataFrame:
     """T8 + T9 + F8 + F12 + P5: forecasts above the threshold become
     position rows; ``dealId`` is a deterministic hash of (instrument, bar, model).
     ``max_closeness`` trades only when the neighbours are near enough (sum of
-    their distances at most this)."""
+    their distances at most this). ``keep_cols`` pass through unchanged."""
     label = scalar.model_label(F.lit(model_name) if isinstance(model_name, str) else model_name,
                                F.lit(model_version) if isinstance(model_version, str) else model_version)
     chosen = scored.filter(F.col(pred_col) > F.lit(r_threshold))
@@ -33,7 +36,7 @@ def signals_to_positions(scored: DataFrame, r_threshold: float, model_name: str
         deal.alias("dealId"), *key_cols, label.alias("model_used"), F.col(time_col).alias("buy_date"),
         scalar.round_to_minute_plus(F.col(time_col), hold_minutes).alias("sell_date"),
         F.col(level_col).alias("buy_level_responce"), F.col(pred_col).alias("y_pred"),
-        (F.col(pred_col) * F.col(level_col)).alias("y_pred_actual"))
+        (F.col(pred_col) * F.col(level_col)).alias("y_pred_actual"), *keep_cols)
 
 
 def due_unsold(positions: DataFrame, sold: DataFrame, as_of: Column) -> DataFrame:

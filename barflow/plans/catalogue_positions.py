@@ -260,7 +260,7 @@ def paper_fill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
     pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1)
     fills = positions.paper_fills(pos, fixtures.stream(spark, sf_dir))
-    out = positions.outcomes(pos, fills.drop("close_date")).join(fills.select("dealId", "close_date"), "dealId", "left")
+    out = positions.outcomes(pos, fills)  # the left join keeps the fill's close_date
     return out.select("dealId", "epic", ts_text("close_date").alias("close_date"), "close_level_responce",
                       _r("y_true").alias("y_true"), _r("profit_responce", 2).alias("profit_responce"))
 
@@ -283,8 +283,7 @@ def signals_near_enough(spark: SparkSession, sf_dir: str) -> DataFrame:
     in_session = scored.filter((F.col("updated_at") > F.lit(SESSION_START).cast("timestamp"))
                                & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
     pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1,
-                                         max_closeness=MAX_CLOSENESS)
-    close = in_session.select("epic", F.col("updated_at").alias("buy_date"), "closeness")
-    return pos.join(close, ["epic", "buy_date"]).select(
+                                         max_closeness=MAX_CLOSENESS, keep_cols=["closeness"])
+    return pos.select(
         "dealId", "epic", ts_text("buy_date").alias("buy_date"), _r("y_pred").alias("y_pred"),
         _r("closeness").alias("closeness"))
