@@ -46,7 +46,14 @@ def _path_has_data(spark: SparkSession, path: str) -> bool:
     fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(hpath):
         return False
-    return fs.getContentSummary(hpath).getLength() > 0
+    # Stop at the first non-empty data file: no walk over a large table's files.
+    files = fs.listFiles(hpath, True)
+    while files.hasNext():
+        st = files.next()
+        name = st.getPath().getName()
+        if st.getLen() > 0 and not name.startswith(("_", ".")):
+            return True
+    return False
 
 
 def sql_table(spark: SparkSession, name: str) -> DataFrame:

@@ -59,3 +59,12 @@ def test_run_log_round_trip(spark):
     long = files.run_log_long(wide, "run_id", ["mae", "k"])
     back = files.run_log_wide(long, ["mae", "k"]).first()
     assert (back.mae, back.k) == ("0.5", "3")
+
+
+def test_folder_with_only_markers_reads_as_empty(spark):
+    import os
+    d = _scratch() + "/only_markers"
+    os.makedirs(d)
+    open(f"{d}/_SUCCESS", "w").close()
+    df = tables.read_or_empty(spark, d, schemas.SOLD)
+    assert df.count() == 0 and df.columns == ["dealId", "close_level_responce"]
