@@ -170,6 +170,20 @@ def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, o
     both = batch if history is None else history.unionByName(batch)
     tail = features.series_tail(both, past_periods).drop("rows_from_end")
     tail.write.mode("overwrite").parquet(f"{tail_path}/epoch={epoch_id}")
+    # Retention: tails older than the one this batch read are never read again
+    # (a replay of this epoch reads ``prev``), so the listing stays short.
+    if prev is not None:
+        _drop_epochs_before(spark, tail_path, prev)
+
+
+def _drop_epochs_before(spark: SparkSession, path: str, epoch: int) -> None:
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    for st in fs.listStatus(hpath):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("epoch=") and int(name.split("=", 1)[1]) < epoch:
+            fs.delete(st.getPath(), True)
 
 
 def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width: str = "1 hour",

@@ -82,6 +82,9 @@ def test_two_epochs_score_like_one(spark):
     live.process_signal_batch(spark, bars_b, 0, one, train, models, 3, 1)
     live.process_signal_batch(spark, first, 0, two, train, models, 3, 1)
     live.process_signal_batch(spark, second, 1, two, train, models, 3, 1)
+    live.process_signal_batch(spark, second.limit(0), 2, two, train, models, 3, 1)  # retention step
+    import os
+    assert sorted(os.listdir(f"{two}/tails")) == ["epoch=1", "epoch=2"]
     a = spark.read.parquet(f"{one}/positions").drop("epoch")
     b = spark.read.parquet(f"{two}/positions").drop("epoch")
     assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
