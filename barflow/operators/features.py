@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.functions.scalar import clean_identifier
 from barflow.operators import series
 
 KEYS = ("epic",)
@@ -95,18 +96,12 @@ def adapt_simple_history(df: DataFrame, time_col: str = "datetime", open_col: st
 
 
 def adapt_nested_history(df: DataFrame, time_col: str = "DateTime") -> DataFrame:
-    """P19 + P9 + P3: flatten ``ask``/``bid`` structs to ``ask_open``/``bid_open``."""
+    """P19 + P9 + P3: flatten ``ask``/``bid`` structs to ``ask_open``/``bid_open``
+    and the time column to ``updated_at``; other plain columns pass through."""
     flat = flatten_structs(df)
-    return flat.select(*[c for c in flat.columns if c not in (time_col, "ask_open", "bid_open",
-                                                               "ask_close", "bid_close")],
-                       F.col(clean(time_col)).alias("updated_at") if clean(time_col) in flat.columns
-                       else F.col(time_col).alias("updated_at"),
-                       "ask_open", "bid_open")
-
-
-def clean(name: str) -> str:
-    from barflow.functions.scalar import clean_identifier
-    return clean_identifier(name)
+    t = clean_identifier(time_col)
+    keep = [c for c in flat.columns if c != t and not c.startswith(("ask_", "bid_"))]
+    return flat.select(*keep, F.col(t).alias("updated_at"), "ask_open", "bid_open")
 
 
 def flatten_structs(df: DataFrame) -> DataFrame:
@@ -115,10 +110,10 @@ def flatten_structs(df: DataFrame) -> DataFrame:
     cols = []
     for f in df.schema.fields:
         if f.dataType.typeName() == "struct":
-            cols += [F.col(f"`{f.name}`.`{s.name}`").alias(clean(f"{f.name}_{s.name}"))
+            cols += [F.col(f"`{f.name}`.`{s.name}`").alias(clean_identifier(f"{f.name}_{s.name}"))
                      for s in f.dataType.fields]
         else:
-            cols.append(F.col(f"`{f.name}`").alias(clean(f.name)))
+            cols.append(F.col(f"`{f.name}`").alias(clean_identifier(f.name)))
     return df.select(*cols)
 
 

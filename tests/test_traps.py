@@ -161,3 +161,12 @@ def test_live_rows_time_correct_and_reference_order(spark):
     assert (ref.ask_open_p1, ref.ask_open_p2, ref.ask_open_p3) == (2.0, 3.0, -99.9)
     short = bars_.filter("seq < 2")                                # fewer bars than periods: not scored
     assert features.live_feature_rows(short, 3).count() == 0
+
+
+def test_nested_history_flattens_to_one_time_column(spark):
+    df = spark.createDataFrame([("E", ts("2024-01-01 10:00:00"), 1, (2.0, 2.5), (1.0, 1.5))],
+                               "epic string, DateTime timestamp, seq long, ask struct<Open:double,Close:double>, "
+                               "bid struct<Open:double,Close:double>")
+    out = features.adapt_nested_history(df)
+    assert out.columns == ["epic", "seq", "updated_at", "ask_open", "bid_open"]
+    assert tuple(out.first()) == ("E", 1, ts("2024-01-01 10:00:00"), 2.0, 1.0)
