@@ -95,10 +95,14 @@ def ols_fit(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequ
 
     One aggregation, then a p x p solve per group on the executors."""
     g = gram_stats(df, features, label, group_cols)
-    solved = g.withColumn("_fit", _solve_udf("n", "sy", "sx", "sxy", "sxx"))
-    # R^2 from the same statistics: 1 - SSE/SST, SSE = syy - 2 b'sxy' + b'Sxx b (centred).
-    return solved.select(*group_cols, "n", F.col("_fit.coef").alias("coef"),
-                         F.col("_fit.intercept").alias("intercept"), "sy", "syy", "sx", "sxy", "sxx")
+    solved = g.withColumn("_fit", _solve_udf("n", "sy", "sx", "sxy", "sxx")).withColumn("coef", F.col("_fit.coef"))
+    # R^2 from the same statistics: explained / total, with the centred cross
+    # products b = sxy - sx * sy / n, explained = coef . b, total = syy - sy^2 / n.
+    centred = F.zip_with("sxy", "sx", lambda xy, x: xy - x * F.col("sy") / F.col("n"))
+    explained = F.aggregate(F.zip_with("coef", centred, lambda c, v: c * v), F.lit(0.0), lambda acc, v: acc + v)
+    total = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
+    return solved.select(*group_cols, "n", "coef", F.col("_fit.intercept").alias("intercept"),
+                         F.try_divide(explained, total).alias("r2"), "sy", "syy", "sx", "sxy", "sxx")
 
 
 def ols_predict(df: DataFrame, fit: DataFrame, features: Sequence[str], alias: str = "y_hat",

@@ -50,6 +50,9 @@ def test_ols_fit_matches_regr_slope_and_numpy(spark):
     one = modeling.ols_fit(df, ["a"], "y").first()
     s = modeling.simple_ols(df, "a", "y").first()
     assert abs(one.coef[0] - s.slope) < 1e-9 and abs(one.intercept - s.intercept) < 1e-9
+    assert abs(one.r2 - s.r2) < 1e-9
+    resid = y - np.c_[np.ones(200), x] @ ref
+    assert abs(fit.r2 - (1 - (resid ** 2).sum() / ((y - y.mean()) ** 2).sum())) < 1e-9
 
 
 def test_polynomial_trend_recovers_exact_cubic(spark):
