@@ -118,10 +118,12 @@ def _broadcast_candidates(q: DataFrame, t: DataFrame, k: int) -> DataFrame:
 
 
 def _block_candidates(q: DataFrame, t: DataFrame, k: int, q_blocks: int, t_blocks: int) -> DataFrame:
-    qb = q.withColumn("_qb", F.pmod(F.xxhash64("q_id"), F.lit(q_blocks))) \
-          .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(t_blocks - 1))))
-    tb = t.withColumn("_tb", F.pmod(F.xxhash64("t_id"), F.lit(t_blocks))) \
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+    # Both sides must carry the block keys with one type (long): cogroup
+    # hash-partitions each side by its own key values.
+    qb = q.withColumn("_qb", F.pmod(F.xxhash64("q_id"), F.lit(q_blocks)).cast("long")) \
+          .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(t_blocks - 1).cast("long"))))
+    tb = t.withColumn("_tb", F.pmod(F.xxhash64("t_id"), F.lit(t_blocks)).cast("long")) \
+          .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         return _top_k(left["q_id"].to_numpy(), _matrix(left["q_vec"]), right["t_id"].to_numpy(),

@@ -133,3 +133,15 @@ def test_top_k_kernel_tie_rule():
     for i in range(30):
         expect = [ids[j] for j in np.lexsort((ids, d[i]))[:4]]
         assert list(got[got.q_id == i].t_id) == expect
+
+
+def test_knn_block_path_at_a_larger_size(spark):
+    """Several blocks per side (2,000 rows, 4 x 4 block pairs): every query
+    gets k neighbours and the block path equals the broadcast path."""
+    e = read_table(spark, "/root/testdata/sf0.1", "embeddings", ["vec_id", "embedding", "label"])
+    kw = dict(q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding", t_y="label")
+    a = knn.knn(e, e, 3, force="broadcast", **kw).select("q_id", "rank", "t_id", F.round("distance", 9).alias("d"))
+    b = knn.knn(e, e, 3, force="blocks", block_rows=500, **kw).select("q_id", "rank", "t_id",
+                                                                      F.round("distance", 9).alias("d"))
+    assert b.count() == 3 * e.count() == a.count()
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
