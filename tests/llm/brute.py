@@ -52,3 +52,13 @@ def suffix(docs, width=100):
         runs = len(re.findall(b"\1+", bytes(dead)))
         out[d] = (len(b), sum(dead), runs, hashlib.sha256(kept).hexdigest())
     return out
+
+
+def statistics(text):
+    text = text or ""
+    words = WORD.findall(text)
+    n = len(words)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    grams = [tuple(words[i:i + 3]) for i in range(n - 2)]
+    inside = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in (i, i + 1, i + 2)}
+    return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside))
