@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import rules, simhash, suffix, templates
+from barflow.llm import packing, rules, simhash, suffix, templates, tokenstore
+from barflow.llm.common import Scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{Scratch(spark).root}/token-files"
+    tokenstore.write(table(spark, sf_dir, "documents"), folder)
+    return tokenstore.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -26,10 +33,15 @@ def op5_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash, op4_suffix_dedup, op5_template_decontamination, op9_quality_rules)}
+QUERIES = {f.__name__: f for f in (
+    op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing, op9_quality_rules)}
 ORACLE_SQL: dict[str, str] = {}
