@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import packing, rules, simhash, suffix, templates, tokenstore
-from barflow.llm.common import Scratch
+from barflow.llm import chat, extract, packing, rules, simhash, suffix, templates, tokenstore
+from barflow.llm.common import Scratch, scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -42,6 +46,19 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    with scratch(spark) as s:
+        pieces = s.table(chat.format_turns(rows), "formatted")
+        bad = chat.unstable(pieces).first()
+        if bad:
+            raise ValueError(f"the template isn't stable: {bad}")
+    return chat.digest(pieces)
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing, op9_quality_rules)}
+    op1_main_text, op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing, op9_quality_rules, op10_chat)}
 ORACLE_SQL: dict[str, str] = {}
