@@ -62,3 +62,18 @@ def statistics(text):
     grams = [tuple(words[i:i + 3]) for i in range(n - 2)]
     inside = {j for i, g in enumerate(grams) if grams.count(g) > 1 for j in (i, i + 1, i + 2)}
     return (n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(inside))
+
+
+def passages(docs, window=20):
+    seen, out = set(), {}
+    for d, text in sorted(docs):
+        words = WORD.findall(text or "")
+        dead = [False] * len(words)
+        for i in range(len(words) - window + 1):
+            w = tuple(words[i:i + window])
+            if w in seen:
+                dead[i:i + window] = [True] * window
+            seen.add(w)
+        kept = " ".join(w for w, k in zip(words, dead) if not k)
+        out[d] = (len(words), sum(dead), hashlib.sha256(kept.encode()).hexdigest())
+    return out

@@ -1,9 +1,10 @@
+import hashlib
 import random
 
 import pytest
 
-from barflow.llm import queries, rolling, simhash, suffix
-from brute import groups
+from barflow.llm import automata, queries, rolling, simhash, suffix
+from brute import groups, passages
 from brute import simhash as brute_simhash
 from brute import suffix as brute_suffix
 
@@ -59,7 +60,6 @@ def test_large_buckets_link_the_same(spark, monkeypatch, distance):
 
 
 def digests(df):
-    import hashlib
     return {r.doc_id: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in df.collect()}
 
 
@@ -95,3 +95,31 @@ def test_registered(spark):
     prints = [brute_simhash(t) for _, t in docs]
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in queries.op2_simhash(spark, d).collect()} == {
         i: (f"{p:016x}", g) for (i, _), p, g in zip(docs, prints, groups([i for i, _ in docs], prints))}
+
+
+def kept_words(df):
+    return {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in df.collect()}
+
+
+@pytest.mark.parametrize("window, phrase", [(20, 8), (6, 3), (7, 7)])
+def test_passages_against_brute(spark, window, phrase):
+    docs = made(9)
+    df = spark.createDataFrame([(*d, "x") for d in docs], DOCS)
+    assert kept_words(automata.remove_passages(df, window, phrase)) == passages(docs, window)
+
+
+def test_passages_odd_rows(spark):
+    assert automata.remove_passages(spark.createDataFrame([], DOCS)).count() == 0
+    text = " ".join(f"w{i * i % 977}" for i in range(60_000))
+    rows = [(None, None, "x"), (None, "abc", "x"), (7, text, "x"), (7, text, "x"), (8, text, "x"), (9, "q " * 50_000, "x")]
+    out = automata.remove_passages(spark.createDataFrame(rows, DOCS).withColumnsRenamed({"lang": "g"}), carry=("g",)).collect()
+    want = passages([(7, text)])[7]
+    assert len(out) == 6 and [r.n_removed for r in out if r.doc_id == 7] == [want[1]] * 2
+    assert [(r.n_removed, r.kept) for r in out if r.doc_id == 8] == [(60_000, "")]
+    assert [r.n_removed for r in out if r.doc_id == 9] == [49_999] and "g" in out[0].asDict()
+
+
+def test_registered_passages(spark):
+    d = "/root/testdata/sf0.001"
+    docs = [(r.doc_id, r.text) for r in queries.table(spark, d, "documents").collect()]
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op7_passage_automata(spark, d).collect()} == passages(docs)
