@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import automata, chat, extract, packing, rules, simhash, suffix, templates, tokenstore
+from barflow.llm import automata, chat, extract, packing, pitman_yor, rules, simhash, suffix, templates, tokenstore
 from barflow.llm.common import Scratch, scratch
 
 
@@ -46,6 +46,10 @@ def op7_passage_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score(table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -66,5 +70,5 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_main_text, op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing,
-    op7_passage_automata, op9_quality_rules, op10_chat)}
+    op7_passage_automata, op8_pitman_yor, op9_quality_rules, op10_chat)}
 ORACLE_SQL: dict[str, str] = {}
