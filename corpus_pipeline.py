@@ -10,31 +10,62 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import simhash, suffix
+from barflow.llm import packing, rules, simhash, suffix, templates
 from barflow.llm.common import NULL_ID, row_id, scratch
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with column names that no operator uses, and the names by the old ones."""
+    named = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
+    return docs.withColumnsRenamed(named), named
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rule or the learned decision list rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    rows, named = _apart(docs)
+    judged = rules.judge(rows, labels, named["doc_id"], named["text"],
+                         carry=tuple(named[c] for c in docs.columns if c != "doc_id"))
+    return judged.filter("kept").select(*[F.col(new).alias(old) for old, new in named.items()])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id stays;
     documents without an id all stay, and so do all rows that repeat a kept id
     with a text of its group."""
     groups = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     keep = groups.select(row_id("doc_id").alias("_id")).distinct()
-    return docs.withColumn("_id", row_id("doc_id")).join(keep, "_id", "left_semi").drop("_id").select(docs.columns)
+    return docs.withColumn("_id", row_id("doc_id")).join(keep, "_id", "left_semi").select(docs.columns)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 100 bytes that start earlier in the corpus;
     a character cut in two goes; documents of which nothing is left go."""
-    carried = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    kept = suffix.remove_repeats(docs, carry=tuple(carried))
-    text = F.when(F.col("n_removed") > 0, F.regexp_replace(F.decode("kept", "UTF-8"), "�", "")).otherwise(
-        F.decode("kept", "UTF-8"))
-    out = kept.withColumn("text", text).filter((F.length("text") > 0) | (F.col("n_removed") == 0))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    rows, named = _apart(docs)
+    kept = suffix.remove_repeats(rows, id_col=named["doc_id"], text_col=named["text"],
+                                 carry=tuple(n for c, n in named.items() if c not in ("doc_id", "text")))
+    text = F.decode("kept", "UTF-8")
+    whole = kept.withColumn(named["text"], F.when(F.col("n_removed") > 0, F.regexp_replace(text, "\ufffd", "")).otherwise(text))
+    whole = whole.filter((F.length(named["text"]) > 0) | (F.col("n_removed") == 0))
+    whole = whole.withColumn(named["n_chars"], F.length(named["text"]).cast("long"))
+    return whole.select(*[F.col(new).alias(old) for old, new in named.items()])
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with its own or other numbers and
+    names, go; so do all rows that share such a document's id."""
+    found = templates.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    bad = found.select(row_id("doc_id").alias("_id")).distinct()
+    return docs.withColumn("_id", row_id("doc_id")).join(bad, "_id", "left_anti").select(docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents that are left, packed into sequences."""
+    return packing.pack(docs)
 
 
-STAGES = [("simhash near-dedup", near_duplicates), ("suffix-array dedup", repeats)]
+STAGES = [("quality rules", quality), ("simhash near-dedup", near_duplicates), ("suffix-array dedup", repeats),
+          ("benchmark decontamination", decontaminated), ("packing", packed)]
 ORACLE_SQL = None
 
 
