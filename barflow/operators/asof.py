@@ -44,18 +44,21 @@ def asof_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ti
             .withColumn("_b", bucket("_t")))
     # left rows sort before right rows at equal time, so the frame from a left
     # row includes right rows at the same instant ("at or after")
-    w = (Window.partitionBy(*keys, "_b").orderBy("_t", "_side", "_p")
-         .rowsBetween(0, Window.unboundedFollowing))
-    inb = (both.withColumn("_m", F.first("_p", ignorenulls=True).over(w))
+    # (read backwards: a growing frame costs one step per row, a shrinking one
+    # would start anew for each)
+    w = (Window.partitionBy(*keys, "_b").orderBy(F.desc("_t"), F.desc("_side"), F.desc("_p"))
+         .rowsBetween(Window.unboundedPreceding, 0))
+    inb = (both.withColumn("_m", F.last("_p", ignorenulls=True).over(w))
            .filter(F.col("_side") == 0).select("_lid", *keys, "_b", "_m"))
     # first right row at or after the start of each bucket, on a per-key spine
     firsts = r.groupBy(*keys, bucket("_t").alias("_b")).agg(F.min("_p").alias("_f"))
     span = left.select(*keys, bucket(left_time).alias("_b")).unionByName(firsts.select(*keys, "_b"))
     spine = (span.groupBy(*keys).agg(F.min("_b").alias("_lo"), F.max("_b").alias("_hi"))
              .select(*keys, F.explode(F.sequence("_lo", F.col("_hi") + 1)).alias("_b")))
-    ahead = Window.partitionBy(*keys).orderBy("_b").rowsBetween(0, Window.unboundedFollowing)
+    ahead = (Window.partitionBy(*keys).orderBy(F.desc("_b"))
+             .rowsBetween(Window.unboundedPreceding, 0))
     nxt = (spine.join(firsts, [*keys, "_b"], "left")
-           .select(*keys, (F.col("_b") - 1).alias("_b"), F.first("_f", ignorenulls=True).over(ahead).alias("_n")))
+           .select(*keys, (F.col("_b") - 1).alias("_b"), F.last("_f", ignorenulls=True).over(ahead).alias("_n")))
     matched = (inb.join(nxt, [*keys, "_b"], "left")
                .select("_lid", F.coalesce("_m", "_n").alias("_hit")))
     out = lft.join(matched, "_lid", "left")

@@ -18,7 +18,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barflow.session import materialize
 
 
 def market_open(ticks: DataFrame, state_col: str = "market_state", open_state: str = "TRADEABLE") -> DataFrame:
@@ -40,7 +39,7 @@ def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
               time_col: str = "updated_at", seq_col: str = "seq",
               value_cols: Sequence[str] = ("bid_open", "ask_open"),
               start_time: str | None = None, drop_incomplete: bool = True,
-              materialize_bars: bool = True, last_tick_col: str | None = None) -> DataFrame:
+              last_tick_col: str | None = None) -> DataFrame:
     """Tumbling bars, last value per column, right label; ``seq`` is the
     bar's last tick, so bars keep the ``(time, seq)`` order key.
     ``last_tick_col`` also keeps the time of that last tick."""
@@ -57,17 +56,11 @@ def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
             .na.drop("any", subset=list(value_cols)))
     if not drop_incomplete:
         return bars
-    # The bar table is read twice (bars, and the newest bar per instrument):
-    # it is written once to the shared checkpoint folder so the ticks are
-    # scanned once. Bars per instrument are bounded by time span / width.
-    if materialize_bars:
-        bars = materialize(bars)
-    # As in the reference the newest remaining bar is dropped after the
-    # null filter; its table is one row per instrument.
-    newest = bars.groupBy(*keys).agg(F.max(time_col).alias("_newest"))
-    return (bars.join(newest, keys)
-            .filter(F.col(time_col) < F.col("_newest"))
-            .drop("_newest"))
+    # As in the reference the newest remaining bar is dropped after the null
+    # filter. The window runs over bars, not ticks: a key's bars are bounded by
+    # time span / width, and the ticks are scanned once.
+    newest = F.max(time_col).over(Window.partitionBy(*keys))
+    return bars.withColumn("_newest", newest).filter(F.col(time_col) < F.col("_newest")).drop("_newest")
 
 
 def bucket_counts(ticks: DataFrame, width_seconds: int, keys: Sequence[str] = ("epic",),
@@ -108,9 +101,10 @@ def daily_interpolate(series: DataFrame, keys: Sequence[str], date_col: str, val
         "_kd", F.when(F.col("_v").isNotNull(), F.col("_d")))
     w = Window.partitionBy(*keys).orderBy("_d")
     prev = w.rowsBetween(Window.unboundedPreceding, 0)
-    nxt = w.rowsBetween(0, Window.unboundedFollowing)
+    # the next known point, seen from the end: a growing frame costs one step per row, a shrinking one starts anew each time
+    nxt = Window.partitionBy(*keys).orderBy(F.desc("_d")).rowsBetween(Window.unboundedPreceding, 0)
     d0, v0 = F.last("_kd", True).over(prev), F.last("_v", True).over(prev)
-    d1, v1 = F.first("_kd", True).over(nxt), F.first("_v", True).over(nxt)
+    d1, v1 = F.last("_kd", True).over(nxt), F.last("_v", True).over(nxt)
     frac = F.try_divide(F.datediff(F.col("_d"), d0).cast("double"), F.datediff(d1, d0).cast("double"))
     value = (F.when(F.col("_v").isNotNull(), F.col("_v"))
              .when(d1.isNull(), v0)

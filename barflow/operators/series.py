@@ -4,10 +4,10 @@ A series is all rows of one key (``epic``) ordered by ``(time, seq)``. The
 reference shifts rows positionally (a weekend gap is one step), so the
 operators here are row frames. A plain ``Window.partitionBy(epic)`` puts a
 whole instrument into one task; one hot instrument may hold a third of all
-rows, so the helpers below split every series into bounded pieces:
+rows, so the helpers below always split every series into bounded pieces:
 
 * :func:`with_row_index` -- position of each row in its series. Rows are
-  counted per ``(key, time chunk)`` (partial aggregation), an exclusive prefix
+  counted per ``(key, chunk)`` (partial aggregation), an exclusive prefix
   sum runs over the small chunk table, and each row adds its rank inside its
   chunk. Only the chunk table is windowed per key.
 * :func:`ordered_window` -- evaluates any row frame of bounded size exactly:
@@ -17,9 +17,12 @@ rows, so the helpers below split every series into bounded pieces:
 * :func:`running_sum` -- prefix sums: running sum inside each block plus the
   exclusive prefix of block totals.
 
-Each helper first measures the largest key (one small aggregation). When every
-key fits in ``block_rows`` rows, a plain per-key window is already bounded and
-is used directly; otherwise the chunked form runs. Both give the same rows.
+A chunk is a time bucket, cut at splitter rows: the rows whose order columns
+hash to zero modulo the chunk size. A busy bucket, also a burst at one instant,
+has splitters and so falls into pieces of about that size; a quiet one has none.
+Chunks are a function of the rows alone, so nothing is measured while a query is
+built. Null keys and null times are groups like any other (nulls first), and
+every join back is null-safe: the result equals the plain window, row by row.
 """
 
 from __future__ import annotations
@@ -38,87 +41,62 @@ def _as_list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest key (one small aggregation; partial aggregation
-    makes it cheap even for a hot key)."""
-    keys = _as_list(keys)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")) if keys else df.select(F.count(F.lit(1)).alias("_c"))
-    return int(counts.agg(F.max("_c")).first()[0] or 0)
-
-
-def _bounded(df: DataFrame, keys: Sequence[str], block_rows: int, mode: str) -> bool:
-    """True when a plain per-key window is safe: every key fits in one block.
-    ``mode``: "auto" (measure), "blocks" (always split), "plain" (caller knows)."""
-    if mode == "plain":
-        return True
-    if mode == "blocks":
-        return False
-    return largest_group(df, keys) <= block_rows
-
-
-def _chunk_col(time_col: str, chunk_seconds: int) -> Column:
-    return F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
-
-
-MAX_SPLIT = 1 << 20
-
-
-def _adaptive_chunks(df: DataFrame, keys: list[str], time_col: str, chunk_seconds: int,
-                     target_rows: int) -> DataFrame:
-    """Add ``_chunk``: a time bucket of ``chunk_seconds``, and for a bucket
-    holding more than ``target_rows`` rows of one key (a burst), an equal
-    split of that bucket into enough sub-intervals. Chunks stay ordered by
-    time and equal timestamps share a chunk, so positions are unchanged; only
-    the size of the largest sort shrinks. The split table has one row per
-    busy (key, bucket)."""
-    us = chunk_seconds * 1_000_000
-    t = F.unix_micros(F.col(time_col).cast("timestamp"))
-    base = df.withColumn("_b0", F.floor(t / F.lit(us)))
-    busy = (base.groupBy(*keys, "_b0").agg(F.count(F.lit(1)).alias("_bc"))
-            .filter(F.col("_bc") > target_rows)
-            .select(*keys, "_b0", F.least(F.ceil(F.col("_bc") / F.lit(target_rows)), F.lit(MAX_SPLIT))
-                    .alias("_split")))
-    j = base.join(busy, [*keys, "_b0"], "left")
-    sub = F.floor((t - F.col("_b0") * F.lit(us)) * F.coalesce(F.col("_split"), F.lit(1)) / F.lit(us))
-    return j.withColumn("_chunk", F.col("_b0") * F.lit(MAX_SPLIT) + sub).drop("_b0", "_split")
+def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal or both-null columns; they appear once, from the left."""
+    named = {c: f"_rhs_{i}" for i, c in enumerate(cols)}
+    right = right.withColumnsRenamed(named)
+    on = F.lit(True)
+    for c, r in named.items():
+        on = on & left[c].eqNullSafe(right[r])
+    return left.join(right, on, how).drop(*named.values())
+
+
+def _chunked(df: DataFrame, keys: list[str], order: list[str], time_col: str, chunk_seconds: int,
+             chunk_rows: int) -> DataFrame:
+    """Add ``_bucket`` and ``_piece``: the time bucket and the number of its
+    splitters at or before the row. Splitters are one row in ``chunk_rows``, so
+    their table is that much smaller than the input."""
+    bucket = F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
+    base = df.withColumn("_bucket", bucket)
+    at = F.struct(*order)
+    # not the hash that places rows in shuffle partitions: that one is correlated with the keys
+    splitters = (base.filter(F.pmod(F.xxhash64(F.lit("splitter"), *order), F.lit(chunk_rows)) == 0)
+                 .groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_set(at)).alias("_cuts")))
+    cut = null_safe_join(base, splitters, [*keys, "_bucket"], "left")
+    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= at)), F.lit(0))
+    return cut.withColumn("_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(piece)).drop("_cuts")
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    time_col: str | None = None, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                   with_size: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS, mode: str = "auto") -> DataFrame:
+                   with_size: bool = False, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """Add ``_idx`` (0-based position inside its key, ascending ``order``).
 
     ``time_col`` (default: first ``order`` column, a timestamp) defines the
-    chunks; ``chunk_seconds`` bounds how many rows one window task sees.
-    ``with_size`` also adds ``_n``, the number of rows of the key. When no
-    key has more than ``block_rows`` rows (measured, see ``mode``) a plain
-    per-key window is used -- bounded by ``block_rows`` per task.
+    buckets of ``chunk_seconds``; pieces have about ``block_rows / 8`` rows.
+    ``with_size`` also adds ``_n``, the number of rows of the key.
     """
     keys, order = _as_list(keys), _as_list(order)
-    if _bounded(df, keys, block_rows, mode):
-        w = Window.partitionBy(*keys).orderBy(*order)
-        out = df.withColumn(IDX, (F.row_number().over(w) - 1).cast("long"))
-        return out.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys))) if with_size else out
-    time_col = time_col or order[0]
-    chunked = _adaptive_chunks(df, keys, time_col, chunk_seconds, block_rows)
-    counts = chunked.groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
-    per_key = Window.partitionBy(*keys).orderBy("_chunk")
+    chunk = ["_bucket", "_piece"]
+    chunked = _chunked(df, keys, order, time_col or order[0], chunk_seconds, max(1, block_rows // 8))
+    counts = chunked.groupBy(*keys, *chunk).agg(F.count(F.lit(1)).alias("_cnt"))
+    per_key = Window.partitionBy(*keys).orderBy(*chunk)
     offsets = counts.select(
-        *keys, "_chunk",
+        *keys, *chunk,
         F.coalesce(F.sum("_cnt").over(per_key.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_off"),
         *([F.sum("_cnt").over(Window.partitionBy(*keys)).alias("_n")] if with_size else []),
     )
-    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy(*order)
-    return (chunked.join(offsets, [*keys, "_chunk"])
+    in_chunk = Window.partitionBy(*keys, *chunk).orderBy(*order)
+    return (null_safe_join(chunked, offsets, [*keys, *chunk])
             .withColumn(IDX, F.col("_off") + F.row_number().over(in_chunk) - 1)
-            .drop("_chunk", "_off"))
+            .drop(*chunk, "_off"))
 
 
 def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                    build: Callable[[Window], list[Column]], lookback: int = 0, lookahead: int = 0,
                    block_rows: int = DEFAULT_BLOCK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                   indexed: bool = False, keep_index: bool = False, mode: str = "auto") -> DataFrame:
+                   indexed: bool = False, keep_index: bool = False) -> DataFrame:
     """Evaluate row-frame window columns per key, split into halo blocks.
 
     ``build(w)`` receives the window spec (partitioned by key and block,
@@ -129,9 +107,7 @@ def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     keys, order = _as_list(keys), _as_list(order)
     if lookback > block_rows or lookahead > block_rows:
         raise ValueError("frame reaches beyond one block; raise block_rows")
-    if not indexed and not keep_index and _bounded(df, keys, block_rows, mode):
-        return df.select("*", *build(Window.partitionBy(*keys).orderBy(*order)))
-    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, mode="blocks")
+    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, block_rows=block_rows)
     blk = F.floor(F.col(IDX) / block_rows)
     pos = F.col(IDX) % block_rows
     targets = [blk]
@@ -152,18 +128,14 @@ def ordered_window(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
 def running_sum(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
                 value: str, alias: str, skip_nulls_in_place: bool = True,
                 block_rows: int = DEFAULT_BLOCK_ROWS, chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                indexed: bool = False, keep_index: bool = False, mode: str = "auto") -> DataFrame:
+                indexed: bool = False, keep_index: bool = False) -> DataFrame:
     """Cumulative sum of ``value`` per key in ``order``, via block prefix sums.
 
     Nulls are skipped by the sum; with ``skip_nulls_in_place`` a null input row
     keeps a null result (pandas ``cumsum``), otherwise it carries the total.
     """
     keys, order = _as_list(keys), _as_list(order)
-    if not indexed and not keep_index and _bounded(df, keys, block_rows, mode):
-        w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        out = df.withColumn(alias, F.sum(value).over(w))
-        return out.withColumn(alias, F.when(F.col(value).isNotNull(), F.col(alias))) if skip_nulls_in_place else out
-    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, mode="blocks")
+    base = df if indexed else with_row_index(df, keys, order, chunk_seconds=chunk_seconds, block_rows=block_rows)
     base = base.withColumn("_blk", F.floor(F.col(IDX) / block_rows))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     prefix = (base.groupBy(*keys, "_blk")
@@ -174,13 +146,8 @@ def running_sum(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] |
     inner = Window.partitionBy(*keys, "_blk").orderBy(IDX).rowsBetween(Window.unboundedPreceding, 0)
     seen = F.col("_bpc") + F.count(value).over(inner)
     total = F.col("_bp") + F.coalesce(F.sum(value).over(inner), F.lit(0))
-    out = base.join(prefix, [*keys, "_blk"]).withColumn(alias, F.when(seen > 0, total))
+    out = null_safe_join(base, prefix, [*keys, "_blk"]).withColumn(alias, F.when(seen > 0, total))
     if skip_nulls_in_place:
         out = out.withColumn(alias, F.when(F.col(value).isNotNull(), F.col(alias)))
     out = out.drop("_blk", "_bp", "_bpc")
     return out if keep_index else out.drop(IDX)
-
-
-def series_size(df: DataFrame, keys: Sequence[str] | str, alias: str = "_n") -> DataFrame:
-    """Rows per key as a small table (partial aggregation, skew-safe)."""
-    return df.groupBy(*_as_list(keys)).agg(F.count(F.lit(1)).alias(alias))

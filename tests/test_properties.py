@@ -1,5 +1,5 @@
 """Random series: the chunked helpers equal plain windows (duplicate
-timestamps, nulls, one hot key)."""
+timestamps, bursts, null keys and times, one hot key)."""
 
 import datetime as dt
 
@@ -11,19 +11,19 @@ from pyspark.sql import functions as F
 from barflow.operators import features, series
 
 rows_st = st.lists(
-    st.tuples(st.sampled_from(["hot", "hot", "hot", "a", "b"]),   # one key holds most rows
-              st.integers(0, 40),                                 # minutes: many equal timestamps
+    st.tuples(st.sampled_from(["hot", "hot", "hot", "a", None]),  # one key holds most rows, one is null
+              st.one_of(st.none(), st.just(7), st.integers(0, 40)),  # minutes: nulls, a burst at one instant, equal times
               st.one_of(st.none(), st.floats(-100, 100, allow_nan=False))),
     min_size=1, max_size=60)
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=rows_st, block=st.integers(2, 7), chunk_minutes=st.sampled_from([1, 5, 60]))
+@given(rows=rows_st, block=st.integers(2, 20), chunk_minutes=st.sampled_from([1, 5, 60]))
 def test_chunked_helpers_equal_plain_windows(spark, rows, block, chunk_minutes):
     base = dt.datetime(2024, 1, 1)
-    data = [(k, base + dt.timedelta(minutes=m), i, v) for i, (k, m, v) in enumerate(rows)]
+    data = [(k, None if m is None else base + dt.timedelta(minutes=m), i, v) for i, (k, m, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "epic string, updated_at timestamp, seq long, x double")
-    kw = dict(block_rows=block, chunk_seconds=chunk_minutes * 60, mode="blocks")
+    kw = dict(block_rows=block, chunk_seconds=chunk_minutes * 60)
     got = features.shift_features(df.withColumnRenamed("x", "bid_open").withColumn("ask_open", F.col("bid_open")),
                                   future={"bid_open": 2}, past={"ask_open": 1}, **kw)
     got = series.running_sum(got, ["epic"], ["updated_at", "seq"], "bid_open", "c", **kw)

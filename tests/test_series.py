@@ -15,8 +15,7 @@ def _ticks(spark):
 
 def test_row_index_equals_row_number(spark):
     t = _ticks(spark)
-    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=3600, with_size=True,
-                                mode="blocks")
+    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=3600, with_size=True)
     w = Window.partitionBy("epic").orderBy("updated_at", "seq")
     ref = t.withColumn("rn", F.row_number().over(w) - 1).withColumn("n", F.count("*").over(Window.partitionBy("epic")))
     bad = idx.join(ref, "seq").filter((F.col("_idx") != F.col("rn")) | (F.col("_n") != F.col("n")))
@@ -68,13 +67,15 @@ def test_tail_and_split(spark):
         assert counts[(epic, "test")] == int(n * 0.1)
 
 
-def test_auto_mode_picks_plain_window_only_when_bounded(spark):
+def test_building_a_query_runs_no_job(spark):
     t = _ticks(spark)
-    biggest = series.largest_group(t, ["epic"])
-    assert series._bounded(t, ["epic"], biggest, "auto") and not series._bounded(t, ["epic"], biggest - 1, "auto")
-    plain = features.shift_features(t, past={"ask_open": 2})
-    split = features.shift_features(t, past={"ask_open": 2}, block_rows=biggest - 1)
-    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "")
+    out = features.training_rows(t)
+    out = series.running_sum(out, ["epic"], ["updated_at", "seq"], "bid_open", "c")
+    features.series_tail(out, 3)
+    assert len(tracker.getJobIdsForGroup("build-only")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_histogram_counts_sum_to_rows_in_range(spark):
@@ -103,14 +104,11 @@ def test_interpolation_keeps_the_knots(spark):
     assert j.filter(F.col("rate") != F.col("daily")).count() == 0
 
 
-def test_bursty_chunks_split_and_keep_positions(spark):
-    t = _ticks(spark)
-    # 2-day buckets hold hundreds of rows per key; a 50-row target forces splits
-    idx = series.with_row_index(t, ["epic"], ["updated_at", "seq"], chunk_seconds=2 * 86400, block_rows=50,
-                                mode="blocks", with_size=True)
-    w = Window.partitionBy("epic").orderBy("updated_at", "seq")
-    ref = t.withColumn("rn", F.row_number().over(w) - 1)
-    assert idx.join(ref, "seq").filter(F.col("_idx") != F.col("rn")).count() == 0
-    chunks = series._adaptive_chunks(t, ["epic"], "updated_at", 2 * 86400, 50)
-    biggest = chunks.groupBy("epic", "_chunk").count().agg(F.max("count")).first()[0]
-    assert biggest < 200  # without the split a 2-day bucket holds ~ 130 x 2 rows per key
+def test_a_burst_at_one_instant_splits_and_keeps_positions(spark):
+    rows = spark.range(4000).select(
+        F.lit("hot").alias("epic"), F.timestamp_seconds(F.lit(1_700_000_000)).alias("updated_at"), F.col("id").alias("seq"))
+    idx = series.with_row_index(rows, ["epic"], ["updated_at", "seq"], block_rows=800, with_size=True)
+    assert idx.filter("_idx <> seq OR _n <> 4000").count() == 0
+    chunks = series._chunked(rows, ["epic"], ["updated_at", "seq"], "updated_at", 86_400, 100)
+    sizes = [r["count"] for r in chunks.groupBy("epic", "_bucket", "_piece").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) < 800 and sum(sizes) == 4000
