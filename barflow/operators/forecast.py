@@ -16,12 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.functions.scalar import poly_terms
 from barflow.operators import modeling, series
-from barflow.session import materialize
 
 
 def ols_filter_weights(n: int) -> list[float]:
@@ -78,57 +79,116 @@ def polynomial_trend(df: DataFrame, value: str, keys: Sequence[str], order: Sequ
     return fit.select(*keys, "n", "coef", "intercept", pred.alias("next_forecast"))
 
 
-def stacked_regression(df: DataFrame, lookbacks: Sequence[int], label: str, keys: Sequence[str],
-                       order: Sequence[str], base_col: str = "ask_open", folds: int = 5) -> tuple[DataFrame, DataFrame]:
-    """M8: one least-squares model per lookback (lags -> row ffill ->
-    normalise), a final least-squares model over their out-of-fold
-    predictions from ``folds`` contiguous folds per series.
-
-    Features are built once before folding. Each fold's model is fitted from
-    the total Gram statistics minus that fold's (one aggregation by fold).
-    Returns ``(predictions, final_weights)``.
-    """
+def stacked_features(df: DataFrame, deepest: int, keys: Sequence[str], order: Sequence[str],
+                     base_col: str = "ask_open") -> DataFrame:
+    """The stacked model's inputs: lags -> row ffill -> divide by the base, as one array ``x``."""
     from barflow.operators import features as feat
 
-    keys = list(keys)
-    deepest = max(lookbacks)
-    lagged = feat.past_asks(df, deepest, keys=keys, order=order)
-    cols_all = feat.lag_columns(base_col, deepest)
-    lagged = feat.row_ffill(lagged, cols_all)
-    lagged = feat.normalise(lagged, cols_all, base=base_col)
-    lagged = lagged.filter(F.col(label).isNotNull())
-    idx = series.with_row_index(lagged, keys, order, with_size=True)
-    # ntile(folds) per series: the first n % folds folds get one extra row.
+    cols = feat.lag_columns(base_col, deepest)
+    lagged = feat.past_asks(df, deepest, keys=list(keys), order=list(order))
+    lagged = feat.normalise(feat.row_ffill(lagged, cols), cols, base=base_col)
+    return lagged.withColumn("x", F.array(*[F.col(c) for c in cols[1:]])).drop(*cols[1:])
+
+
+def contiguous_folds(rows: DataFrame, folds: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Add ``fold``: contiguous parts of each series; the first ``n % folds`` have one row more."""
+    idx = series.with_row_index(rows, list(keys), list(order), with_size=True)
     q, r = F.floor(F.col("_n") / folds), F.col("_n") % folds
     big = r * (q + 1)
     fold = F.when(F.col(series.IDX) < big, F.floor(F.col(series.IDX) / (q + 1))) \
-        .otherwise(r + F.floor((F.col(series.IDX) - big) / q))
-    # Every base model is fitted from, and scores, this one table.
-    data = materialize(idx.withColumn("fold", fold.cast("int")).drop("_n"))
-    oof_cols, fit_tables = [], []
-    for lb in lookbacks:
-        fcols = feat.lag_columns(base_col, lb)[1:]
-        # Per-fold statistics (flat columns, one row per fold); each fold's
-        # row is copied to every other fold and summed there, giving the
-        # out-of-fold statistics without a join.
-        stats = modeling.gram_stats(data, fcols, label, ["fold"], flat=True)
-        stat_cols = [c for c in stats.columns if c != "fold"]
-        spread = stats.withColumn("_to", F.explode(F.sequence(F.lit(0), F.lit(folds - 1)))) \
-            .filter(F.col("_to") != F.col("fold"))
-        oof = modeling.pack_stats(spread.groupBy(F.col("_to").alias("fold"))
-                                  .agg(*[F.sum(c).alias(c) for c in stat_cols]), len(fcols), ["fold"])
-        fits = oof.withColumn("_fit", modeling._solve_udf("n", "sy", "sx", "sxy", "sxx")).select(
-            "fold", F.col("_fit.coef").alias(f"_c{lb}"), F.col("_fit.intercept").alias(f"_i{lb}"))
-        fit_tables.append((lb, fcols, fits))
-        oof_cols.append(f"oof_{lb}")
-    # One row per fold per model: join the small fit tables to the data once.
-    scored = data
-    for lb, fcols, fits in fit_tables:
-        pred = F.col(f"_i{lb}")
-        for i, c in enumerate(fcols):
-            pred = pred + F.col(f"_c{lb}")[i] * F.col(c)
-        scored = scored.join(F.broadcast(fits), "fold").withColumn(f"oof_{lb}", pred).drop(f"_c{lb}", f"_i{lb}")
-    scored = materialize(scored)
-    final = modeling.ols_fit(scored, oof_cols, label)
-    out = modeling.ols_predict(scored, final, oof_cols, alias="stacked_pred")
-    return out.drop(series.IDX), final.select("n", "coef", "intercept")
+        .otherwise(r + F.floor((F.col(series.IDX) - big) / F.greatest(q, F.lit(1))))
+    return idx.withColumn("fold", fold.cast("int")).drop("_n", series.IDX)
+
+
+def _solve(gram: np.ndarray, inputs: list[int]) -> np.ndarray:
+    """Least squares of the last-but-one variable on ``inputs`` and the constant
+    (the last), from the matrix of products: coefficients and intercept."""
+    y, one = len(gram) - 2, len(gram) - 1
+    n = gram[one, one]
+    if n <= 0:
+        return np.zeros(len(inputs) + 1)
+    mean = gram[one] / n
+    centred = gram - n * np.outer(mean, mean)
+    beta = np.linalg.lstsq(centred[np.ix_(inputs, inputs)], centred[inputs, y], rcond=1e-12)[0]
+    return np.append(beta, mean[y] - mean[inputs] @ beta)
+
+
+def stacked_fit(rows: DataFrame, lookbacks: Sequence[int], label: str, keys: Sequence[str]) -> DataFrame:
+    """M8, one model per series: a least-squares model per lookback and a final
+    one over their out-of-fold predictions. The base models in the result are
+    fitted on all rows, as a stacking regressor keeps them.
+
+    ``rows`` have ``x`` (the lags of the deepest lookback), ``label`` and
+    ``fold``. The rows are read once: per fold, the matrix of products of
+    ``(x, label, 1)`` is summed (per Arrow batch in numpy, then by Spark). A
+    lookback's inputs are the first entries of ``x``, so its matrix is a part of
+    that; a fold's out-of-fold model comes from the total less the fold, and the
+    out-of-fold predictions are linear in x, so the final model's matrix follows
+    from the same sums. Inputs and label are shifted by one (ratios are near it).
+
+    Returns per series: ``n``, ``bases`` (coefficients and intercept per
+    lookback), ``final`` (weights and intercept), ``coef`` and ``intercept`` of
+    the whole model as one linear form in x."""
+    keys, deepest = list(keys), max(lookbacks)
+    size = deepest + 2
+    ok = rows.filter(F.col(label).isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
+    data = ok.select(*keys, "fold", F.col("x").cast("array<double>").alias("x"), F.col(label).cast("double").alias("_y"))
+    named = ", ".join(f"`{k}` {data.schema[k].dataType.simpleString()}" for k in keys)
+
+    def products(batches):
+        for b in batches:
+            out = []
+            for name, part in b.groupby([*keys, "fold"], dropna=False, sort=False):
+                z = np.column_stack([np.stack(part["x"].to_numpy()) - 1.0, part["_y"].to_numpy() - 1.0, np.ones(len(part))])
+                out.append((*(None if pd.isna(v) else v for v in name), (z.T @ z).ravel()))
+            yield pd.DataFrame(out, columns=[*keys, "fold", "gram"])
+
+    sums = (data.mapInPandas(products, f"{named}, fold int, gram array<double>")
+            .select(*keys, "fold", F.posexplode("gram").alias("pos", "v"))
+            .groupBy(*keys, "fold", "pos").agg(F.sum("v").alias("v")))
+
+    def fit(part: pd.DataFrame) -> pd.DataFrame:
+        grams = {f: g.sort_values("pos")["v"].to_numpy().reshape(size, size) for f, g in part.groupby("fold")}
+        total = sum(grams.values())
+        final = np.zeros((len(lookbacks) + 2, len(lookbacks) + 2))
+        for g in grams.values():
+            # rows of the map: each lookback's out-of-fold prediction, the label, the constant, as forms in (x, y, 1)
+            forms = np.zeros((len(lookbacks) + 2, size))
+            for i, lb in enumerate(lookbacks):
+                w = _solve(total - g, list(range(lb)))
+                forms[i, :lb], forms[i, -1] = w[:-1], w[-1]
+            forms[-2, -2] = forms[-1, -1] = 1.0
+            final += forms @ g @ forms.T
+        weights = _solve(final, list(range(len(lookbacks))))
+        bases = [_solve(total, list(range(lb))) for lb in lookbacks]
+        coef, intercept = np.zeros(deepest), weights[-1]
+        for w, b in zip(weights, bases):
+            coef[:len(b) - 1] += w * b[:-1]
+            intercept += w * b[-1]
+        shifted = intercept + 1.0 - coef.sum()
+        plain = [[*b[:-1], b[-1] + 1.0 - b[:-1].sum()] for b in bases]
+        last = [*weights[:-1], weights[-1] + 1.0 - weights[:-1].sum()]
+        row = {k: [part[k].iloc[0]] for k in keys}
+        return pd.DataFrame({**row, "n": [int(total[-1, -1])], "bases": [plain], "final": [last], "coef": [coef.tolist()],
+                             "intercept": [shifted]})
+
+    return sums.groupBy(*keys).applyInPandas(
+        fit, f"{named}, n long, bases array<array<double>>, final array<double>, coef array<double>, intercept double")
+
+
+def stacked_predict(rows: DataFrame, model: DataFrame, keys: Sequence[str], alias: str = "stacked_pred") -> DataFrame:
+    """Score rows with ``x``, new ones too, by their series' model (null without one)."""
+    fit = model.select(*keys, F.col("coef").alias("_coef"), F.col("intercept").alias("_intercept"))
+    joined = series.null_safe_join(rows, fit, list(keys), "left")
+    terms = F.zip_with("x", "_coef", lambda v, c: v * c)
+    return joined.withColumn(alias, F.aggregate(terms, F.col("_intercept"), lambda a, v: a + v)).drop("_coef", "_intercept")
+
+
+def stacked_regression(df: DataFrame, lookbacks: Sequence[int], label: str, keys: Sequence[str],
+                       order: Sequence[str], base_col: str = "ask_open", folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Fit the stacked model on the labelled rows of ``df`` and score them:
+    ``(predictions, models)``."""
+    rows = stacked_features(df, max(lookbacks), keys, order, base_col).filter(F.col(label).isNotNull())
+    rows = contiguous_folds(rows, folds, keys, order)
+    model = stacked_fit(rows, lookbacks, label, keys)
+    return stacked_predict(rows, model, keys), model

@@ -287,15 +287,73 @@ def trend_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
 LOOKBACKS = (3, 10, 15)  # fixed values: the stacked model's lookbacks
 
 
-@query("stacked_forecast")
+FOLDS = 5
+
+
+def _eliminate(source: str, name: str, inputs: list[str], keep: list[str], group: str, taps: dict[int, str]) -> str:
+    """CTEs that take ``inputs`` out of each other and out of ``y`` one by one
+    (over the rows with ``fit``, per ``group``); what is left of ``y`` after
+    the n-th is kept under the name in ``taps``. Centring comes first."""
+    mean = ", ".join(f"{c} - avg({c}) FILTER (WHERE fit) OVER (PARTITION BY {group}) AS {c}" for c in [*inputs, "y"])
+    ctes = [f"{name}0 AS (SELECT {', '.join(keep)}, {mean} FROM {source})"]
+    carried: list[str] = []
+    for j, x in enumerate(inputs):
+        rest = [*inputs[j + 1:], "y"]
+        # a direction that the earlier ones already span has (nearly) nothing left
+        out = ", ".join(
+            f"{c} - {x} * coalesce((sum({x} * {c}) FILTER (WHERE fit) OVER (PARTITION BY {group})) / "
+            f"nullif(sum({x} * {x}) FILTER (WHERE fit) OVER (PARTITION BY {group}), 0), 0) AS {c}" for c in rest)
+        before = ", ".join([*keep, *carried])
+        ctes.append(f"{name}{j + 1}_ AS (SELECT {before}, {out} FROM {name}{j})")
+        tap = f", y AS {taps[j + 1]}" if j + 1 in taps else ""
+        ctes.append(f"{name}{j + 1} AS (SELECT *{tap} FROM {name}{j + 1}_)")
+        if tap:
+            carried.append(taps[j + 1])
+    return ",\n".join(ctes)
+
+
+def _stacked_sql() -> str:
+    """The stacked model by elimination on the rows: every row is copied for
+    each left-out fold and once for the fit on all rows (part -1)."""
+    deepest = max(LOOKBACKS)
+    lags = "".join(f", lag(ask_open, {i}) OVER w AS l{i}" for i in range(1, deepest + 1))
+    fill = ", ".join(f"coalesce({', '.join(f'l{j}' for j in range(i, 0, -1))}, ask_open) / ask_open AS x{i}"
+                     for i in range(1, deepest + 1))
+    xs = [f"x{i}" for i in range(1, deepest + 1)]
+    outs = [f"e{lb}" for lb in LOOKBACKS]
+    ps = [f"p{lb}" for lb in LOOKBACKS]
+    return f"""
+    lagged AS (SELECT epic, updated_at, seq, ask_open, lead(bid_open, 1) OVER w / ask_open AS y{lags}
+               FROM stream WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq)),
+    filled AS (SELECT epic, updated_at, seq, y, {fill},
+                      ntile({FOLDS}) OVER (PARTITION BY epic ORDER BY updated_at, seq) - 1 AS fold
+               FROM lagged WHERE y IS NOT NULL),
+    copied AS (SELECT *, y AS label, fold <> part AS fit
+               FROM filled, (SELECT unnest(range(-1, {FOLDS})) AS part)),
+    {_eliminate("copied", "g", xs, ["epic", "updated_at", "seq", "fold", "part", "fit", "label"], "epic, part",
+                dict(zip(LOOKBACKS, outs)))},
+    means AS (SELECT epic, part, avg(label) AS m FROM copied WHERE fit GROUP BY epic, part),
+    -- a prediction is the label less what is left of it
+    based AS (SELECT c.epic, c.updated_at, c.seq, c.fold, c.part, c.label,
+                     {", ".join(f"c.label - {e} AS {p}" for e, p in zip(outs, ps))}
+              FROM g{deepest} c),
+    second AS (SELECT epic, updated_at, seq, fold, label, label AS y, {", ".join(ps)}, part >= 0 AS fit
+               FROM based WHERE part = fold OR part = -1),
+    {_eliminate("second", "h", ps, ["epic", "updated_at", "seq", "fold", "fit", "label"], "epic", {len(ps): "left_over"})}"""
+
+
+@query("stacked_forecast", with_fixtures(f"""
+    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, fold, round(label, 4) AS y,
+           round(label - left_over, 4) AS stacked_pred
+    FROM h{len(LOOKBACKS)} WHERE NOT fit""", "stream", extra=_stacked_sql()))
 def stacked_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stacked linear model over three lookbacks with 5-fold out-of-fold
-    predictions (M8, P14); rows-only."""
+    """Stacked linear model over three lookbacks, one per instrument: base
+    models on all rows, the final one over 5-fold out-of-fold predictions (M8, P14)."""
     s = features.future_bids(fixtures.stream(spark, sf_dir), 1)
     s = features.return_target(s, alias="y")
-    pred, _ = forecast.stacked_regression(s, LOOKBACKS, "y", ["epic"], ["updated_at", "seq"])
-    return pred.select("epic", ts_text("updated_at").alias("updated_at"), "fold", _r("y").alias("y"),
-                       _r("stacked_pred").alias("stacked_pred"))
+    pred, _ = forecast.stacked_regression(s, LOOKBACKS, "y", ["epic"], ["updated_at", "seq"], folds=FOLDS)
+    return pred.select("epic", ts_text("updated_at").alias("updated_at"), F.col("fold").cast("long").alias("fold"),
+                       _r("y", 4).alias("y"), _r("stacked_pred", 4).alias("stacked_pred"))
 
 
 ROLL_LENGTHS = list(range(2, 10))

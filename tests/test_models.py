@@ -67,6 +67,32 @@ def test_polynomial_trend_recovers_exact_cubic(spark):
     assert abs(out.next_forecast - (2 + 3 - 1 + 0.5)) < 1e-6
 
 
+def test_stacked_model_equals_row_by_row_fits(spark):
+    """Against least squares on the rows: out-of-fold fits, the final fit on
+    their predictions, base fits on all rows; and it scores rows without a label."""
+    rng = np.random.default_rng(11)
+    n, folds, lookbacks = 83, 5, (1, 3)
+    x = 1 + rng.normal(scale=0.05, size=(n, 3))
+    y = 0.3 + x @ [0.5, -0.2, 0.4] + rng.normal(scale=0.01, size=n)
+    fold = np.sort(np.arange(n) % folds)
+    rows = [("a", x[i].tolist(), float(y[i]), int(fold[i])) for i in range(n)] + [(None, x[i].tolist(), float(x[i, 0]), int(fold[i]))
+                                                                                 for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, x array<double>, y double, fold int")
+    model = forecast.stacked_fit(df, lookbacks, "y", ["k"])
+    line = lambda a, b: np.linalg.lstsq(np.column_stack([a, np.ones(len(a))]), b, rcond=None)[0]
+    use = lambda w, a: np.column_stack([a, np.ones(len(a))]) @ w
+    oof = np.zeros((n, 2))
+    for f in range(folds):
+        for j, lb in enumerate(lookbacks):
+            oof[fold == f, j] = use(line(x[fold != f, :lb], y[fold != f]), x[fold == f, :lb])
+    final = line(oof, y)
+    want = use(final, np.column_stack([use(line(x[:, :lb], y), x[:, :lb]) for lb in lookbacks]))
+    new = spark.createDataFrame([(r[0], r[1], i) for i, r in enumerate(rows)], "k string, x array<double>, i int")
+    got = {r.i: r.stacked_pred for r in forecast.stacked_predict(new, model, ["k"]).collect()}
+    assert np.allclose([got[i] for i in range(n)], want, atol=1e-8)
+    assert np.allclose([got[n + i] for i in range(n)], x[:, 0], atol=1e-8)
+
+
 def test_stacked_fold_sizes_match_ntile(spark):
     from pyspark.sql import Window
     from barflow.operators import features
@@ -79,7 +105,9 @@ def test_stacked_fold_sizes_match_ntile(spark):
     ref = (base.withColumn("fold", F.ntile(5).over(Window.partitionBy("epic").orderBy("updated_at", "seq")) - 1)
            .groupBy("epic", "fold").count())
     assert got.exceptAll(ref).count() == 0
-    assert len(final.first().coef) == 2
+    models = final.collect()
+    assert len(models) == s.select("epic").distinct().count()
+    assert all(len(m.bases) == 2 and len(m.final) == 3 and len(m.coef) == 10 for m in models)
 
 
 def test_exact_quantiles_equal_builtin_percentile(spark):
