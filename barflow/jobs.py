@@ -28,7 +28,7 @@ def history_job(spark: SparkSession, tables: str, out: str, as_of: str) -> dict[
     from barflow.plans.catalogue_misc import history_compact, history_new_buckets
     results = {
         "history": history_compact(spark, tables),
-        "next_buckets": history_new_buckets(spark, tables),
+        "next_buckets": history_new_buckets(spark, tables, as_of),
         "coverage_2h": bars.bucket_counts(fixtures.raw_stream(spark, tables), 7200, count_col="n_ticks"),
     }
     for name, df in results.items():

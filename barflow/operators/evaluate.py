@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.operators.series import null_safe_join
+
 
 def exact_quantiles(df: DataFrame, col: str, levels: Sequence[float], group_cols: Sequence[str] = (),
                     chunks: int = 256) -> DataFrame:
@@ -38,7 +40,7 @@ def exact_quantiles(df: DataFrame, col: str, levels: Sequence[float], group_cols
         F.count(F.lit(1)).alias("_n"),
         (F.percentile_approx("_v", cuts, 10 * chunks) if cuts else F.array().cast("array<double>")).alias("_cuts"))
     if g:
-        d = dist.join(per_group, g)
+        d = null_safe_join(dist, per_group, g)
     else:
         d = dist.withColumns({c: per_group.select(c).scalar() for c in ("_n", "_cuts")})
     # piece = number of cuts below the value: monotone in the value, equal values share a piece
@@ -48,9 +50,11 @@ def exact_quantiles(df: DataFrame, col: str, levels: Sequence[float], group_cols
     offsets = (d.groupBy(*g, "_chunk").agg(F.sum("_c").alias("_cc"))
                .select(*g, "_chunk", F.coalesce(F.sum("_cc").over(before), F.lit(0)).alias("_off")))
     inner = Window.partitionBy(*g, "_chunk").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = d.join(offsets, [*g, "_chunk"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inner))
-    # rank range of this value: [_end - _c, _end - 1]
-    ranked = ranked.withColumn("_lv", F.explode(F.array(*[F.lit(x) for x in levels])))
+    ranked = null_safe_join(d, offsets, [*g, "_chunk"]).withColumn("_end", F.col("_off") + F.sum("_c").over(inner))
+    # rank range of this value: [_end - _c, _end - 1]; only the levels whose ranks touch it are spread
+    touched = F.filter(F.array(*[F.lit(x) for x in levels]), lambda q: (F.ceil((F.col("_n") - 1) * q) >= F.col("_end") - F.col("_c"))
+                       & (F.floor((F.col("_n") - 1) * q) <= F.col("_end") - 1))
+    ranked = ranked.withColumn("_lv", F.explode(touched))
     h = (F.col("_n") - 1) * F.col("_lv")
     r_lo, r_hi = F.floor(h), F.ceil(h)
     start, end = F.col("_end") - F.col("_c"), F.col("_end") - 1
@@ -91,17 +95,18 @@ def describe(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> DataFra
     q = exact_quantiles(df, col, [0.25, 0.5, 0.75], g)
     wide = q.groupBy(*g).pivot("level", [0.25, 0.5, 0.75]).agg(F.first("value"))
     wide = wide.withColumnsRenamed({"0.25": "p25", "0.5": "p50", "0.75": "p75"})
-    out = moments.join(wide, g) if g else moments.withColumns(
+    out = null_safe_join(moments, wide, g, "left") if g else moments.withColumns(
         {c2: wide.select(c2).scalar() for c2 in ("p25", "p50", "p75")})
     return out.select(*g, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def hit_rates(df: DataFrame, threshold: float, pred: str = "y_pred", actual: str = "y_true",
-              group_cols: Sequence[str] = ()) -> DataFrame:
-    """Share of rows whose predicted / actual value exceeds the threshold."""
+def hit_rates(df: DataFrame, pred_threshold: float, actual_threshold: float = 1.0, pred: str = "y_pred",
+              actual: str = "y_true", group_cols: Sequence[str] = ()) -> DataFrame:
+    """Share of rows whose prediction exceeds the buy threshold, and of rows
+    whose actual return exceeds its own (1: any gain)."""
     return df.groupBy(*group_cols).agg(
-        F.avg((F.col(pred) > threshold).cast("double")).alias("pred_rate"),
-        F.avg((F.col(actual) > threshold).cast("double")).alias("actual_rate"),
+        F.avg((F.col(pred) > pred_threshold).cast("double")).alias("pred_rate"),
+        F.avg((F.col(actual) > actual_threshold).cast("double")).alias("actual_rate"),
         F.count(F.lit(1)).alias("n"))
 
 
@@ -145,29 +150,39 @@ def histogram(df: DataFrame, cols: Sequence[str], lo: float, hi: float, width: f
             .withColumn("bin_lo", F.lit(lo) + F.col("bin") * F.lit(width)))
 
 
-def density(df: DataFrame, col: str, bins: int, q_lo: float = 0.01, q_hi: float = 0.99,
-            group_cols: Sequence[str] = ()) -> DataFrame:
-    """Density histogram over the quantile-clipped range: the bounds are a
-    per-group aggregate joined back (one row per group), then each bin gets
-    ``count / (n_in_range * width)``."""
-    g = list(group_cols)
-    q = exact_quantiles(df, col, [q_lo, q_hi], g)
+def density(df: DataFrame, cols: Sequence[str], bins: int, q_lo: float = 0.01, q_hi: float = 0.99,
+            group_cols: Sequence[str] = (), range_rows: Column | None = None) -> DataFrame:
+    """Density histograms of several series over one quantile-clipped range
+    per group, every bin present: ``(group..., series, bin, bin_lo, count, density)``.
+
+    The range is that of the first series, over the rows that meet
+    ``range_rows`` (the training rows, say). A bin's density is
+    ``count / (rows of the series in range * width)``; empty bins have 0."""
+    g, cols = list(group_cols), list(cols)
+    base = df if range_rows is None else df.filter(range_rows)
+    q = exact_quantiles(base, cols[0], [q_lo, q_hi], g)
     bounds = q.groupBy(*g).agg(F.max(F.when(F.col("level") == q_lo, F.col("value"))).alias("_lo"),
                                F.max(F.when(F.col("level") == q_hi, F.col("value"))).alias("_hi"))
-    if g:
-        d = df.join(bounds, g)
-    else:  # one global range: scalar subqueries, no join
-        d = df.withColumns({"_lo": bounds.select("_lo").scalar(), "_hi": bounds.select("_hi").scalar()})
+    values = df.select(*g, F.explode(F.array(*[F.struct(F.lit(c).alias("series"), F.col(c).cast("double").alias("v"))
+                                               for c in cols])).alias("_s")).select(*g, "_s.series", "_s.v")
+
+    def with_bounds(rows: DataFrame) -> DataFrame:
+        if g:
+            return null_safe_join(rows, bounds, g)
+        return rows.withColumns({c: bounds.select(c).scalar() for c in ("_lo", "_hi")})  # one range: no join
+
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    inr = d.filter((F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi")))
-    binned = inr.withColumn("bin", F.least(F.floor(F.try_divide(F.col(col) - F.col("_lo"), width)),
-                                           F.lit(bins - 1)))
-    counts = binned.groupBy(*g, "bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("count"))
-    totals = binned.groupBy(*g).agg(F.count(F.lit(1)).alias("_n"))
-    out = counts.join(totals, g) if g else counts.withColumn("_n", totals.select("_n").scalar())
-    w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    return out.select(*g, "bin", (F.col("_lo") + F.col("bin") * w).alias("bin_lo"), "count",
-                      F.try_divide(F.col("count").cast("double"), F.col("_n") * w).alias("density"))
+    inr = with_bounds(values).filter((F.col("v") >= F.col("_lo")) & (F.col("v") <= F.col("_hi")))
+    bin_ = F.least(F.floor(F.try_divide(F.col("v") - F.col("_lo"), width)), F.lit(bins - 1)).alias("bin")
+    counts = inr.select(*g, "series", bin_).groupBy(*g, "series", "bin").agg(F.count(F.lit(1)).alias("count"))
+    # every bin of every group and series: as many rows as the result has
+    groups = bounds if g else bounds.select("_lo", "_hi")
+    spine = (groups.withColumn("series", F.explode(F.array(*map(F.lit, cols))))
+             .withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long")))))
+    full = null_safe_join(spine, counts, [*g, "series", "bin"], "left").fillna(0, ["count"])
+    n = F.sum("count").over(Window.partitionBy(*g, "series"))  # ``bins`` rows
+    return full.select(*g, "series", "bin", (F.col("_lo") + F.col("bin") * width).alias("bin_lo"), "count",
+                       F.coalesce(F.try_divide(F.col("count").cast("double"), n * width), F.lit(0.0)).alias("density"))
 
 
 def observe_shape(df: DataFrame, name: str = "shape"):

@@ -31,7 +31,7 @@ def signals_to_positions(scored: DataFrame, r_threshold: float, model_name: str
     if max_closeness is not None:
         chosen = chosen.filter(F.col(closeness_col) <= F.lit(max_closeness))
     deal = F.sha2(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols],
-                              F.col(time_col).cast("string"), label), 256).substr(1, 16)
+                              F.col(time_col).cast("string"), label), 256).substr(1, 32)
     return chosen.select(
         deal.alias("dealId"), *key_cols, label.alias("model_used"), F.col(time_col).alias("buy_date"),
         scalar.round_to_minute_plus(F.col(time_col), hold_minutes).alias("sell_date"),
@@ -50,21 +50,25 @@ def still_open(positions: DataFrame, sold: DataFrame) -> DataFrame:
     return positions.join(sold.select("dealId"), "dealId", "left_anti")
 
 
-def outcomes(positions: DataFrame, sold: DataFrame, size: Column | float = 1.0,
-             order=("buy_date", "dealId"), money_scale: int = 2) -> DataFrame:
-    """T12 + J3 + P5 + P11 + W5: realised return, profit per unit (``size``
-    default 1, as live) and the running profit with nulls skipped in place."""
+def outcomes(positions: DataFrame, sold: DataFrame, size: Column | float = 1.0) -> DataFrame:
+    """T12 + J3 + P5 + P11: realised return and profit per unit (``size``
+    default 1, as live); null without a fill."""
     j = positions.join(sold, "dealId", "left")
     size_c = size if isinstance(size, Column) else F.lit(size)
-    j = (j.withColumn("y_true", F.try_divide(F.col("close_level_responce"), F.col("buy_level_responce")))
-         .withColumn("profit_responce",
-                     F.when(F.col("close_level_responce").isNull(), F.lit(None).cast("double"))
-                     .otherwise(size_c * (F.col("close_level_responce") - F.col("buy_level_responce")))))
-    # Money is summed as DECIMAL (exact, order-independent). One global
-    # running total: the row index and block prefix sums keep it distributed
-    # although there is no grouping key.
-    j = (j.withColumn("_all", F.lit(0)).withColumn("_t", F.col(order[0]).cast("timestamp"))
-         .withColumn("_money", F.col("profit_responce").cast(f"decimal(20,{money_scale})")))
+    return (j.withColumn("y_true", F.try_divide(F.col("close_level_responce"), F.col("buy_level_responce")))
+            .withColumn("profit_responce",
+                        F.when(F.col("close_level_responce").isNull(), F.lit(None).cast("double"))
+                        .otherwise(size_c * (F.col("close_level_responce") - F.col("buy_level_responce")))))
+
+
+def running_profit(outcome_rows: DataFrame, order=("buy_date", "dealId"), scale: int = 10) -> DataFrame:
+    """The running profit of :func:`outcomes`, nulls skipped in place.
+
+    Profits are summed as decimals of ``scale`` places: exact and independent of
+    the order of partial sums. One global running total: the row index and
+    block prefix sums keep it distributed although there is no grouping key."""
+    j = (outcome_rows.withColumn("_all", F.lit(0)).withColumn("_t", F.col(order[0]).cast("timestamp"))
+         .withColumn("_money", F.col("profit_responce").cast(f"decimal(28,{scale})")))
     out = series.running_sum(j, ["_all"], ["_t", *order[1:]], "_money", "profit_responce_cumsum")
     return (out.withColumn("profit_responce_cumsum", F.col("profit_responce_cumsum").cast("double"))
             .drop("_all", "_t", "_money"))
@@ -78,9 +82,9 @@ def net_size(open_positions: DataFrame) -> DataFrame:
 
 def change_needed(net: DataFrame, forecasts: DataFrame, per_unit: float = 50.0) -> DataFrame:
     """F18 + P11: wanted size ``(forecast - last) / per_unit`` minus the size
-    held, and the order side that closes the gap."""
+    held, rounded to hundredths, and the order side that closes that gap."""
     j = net.join(forecasts, "epic")
-    change = (F.col("forecast") - F.col("last")) / F.lit(per_unit) - F.col("net_size")
+    change = F.round((F.col("forecast") - F.col("last")) / F.lit(per_unit) - F.col("net_size"), 2)
     return j.withColumn("change", change).withColumn(
         "action", F.when(F.col("change") > 0, F.lit("BUY")).when(F.col("change") < 0, F.lit("SELL"))
         .otherwise(F.lit("NONE")))

@@ -68,11 +68,11 @@ AS_OF_FETCH = "2024-02-10"
     FROM r WHERE fetch_start <= fetch_end
       AND 'training/quotes/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
           || strftime(fetch_end, '%Y-%m-%d') NOT IN (SELECT bucket FROM m)""")
-def history_new_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_new_buckets(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_FETCH) -> DataFrame:
     """The next range to fetch per instrument from its high-water mark, minus
     buckets already loaded (S3, S4, S5, A3, F10, F17)."""
     h = _simple_history_parsed(spark, sf_dir)
-    plan = files.next_ranges(h, F.lit(AS_OF_FETCH))
+    plan = files.next_ranges(h, F.lit(as_of))
     src, res = F.lit("quotes"), F.lit("1m")
     plan = plan.withColumn("bucket", files.bucket_path(src, F.col("instrument"), res, F.col("fetch_start"),
                                                        F.col("fetch_end")))

@@ -16,6 +16,8 @@ from barflow.sources.tables import read_table
 K = 3  # fixed value: the reference's neighbour count
 PAST_PERIODS = 3
 R_THRESHOLD = 1.0
+#: The reference counts predictions above the buy threshold and actual returns above one.
+HIT_THRESHOLD, GAIN_THRESHOLD = 0.9, 1.0
 
 
 def _r(c, d: int = 6):
@@ -174,13 +176,13 @@ def eval_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("eval_hit_rate", with_fixtures(f"""
-    SELECT split, round(avg(CASE WHEN y_pred > {R_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS pred_rate,
-           round(avg(CASE WHEN y_true > {R_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS actual_rate,
+    SELECT split, round(avg(CASE WHEN y_pred > {HIT_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS pred_rate,
+           round(avg(CASE WHEN y_true > {GAIN_THRESHOLD} THEN 1.0 ELSE 0.0 END), 6) AS actual_rate,
            count(*) AS n
     FROM preds GROUP BY split""", "stream", extra=BAR_MODEL_SQL))
 def eval_hit_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of predicted and actual returns above the buy threshold."""
-    h = evaluate.hit_rates(bar_model_predictions(spark, sf_dir), R_THRESHOLD, group_cols=["split"])
+    h = evaluate.hit_rates(bar_model_predictions(spark, sf_dir), HIT_THRESHOLD, GAIN_THRESHOLD, group_cols=["split"])
     return h.select("split", _r("pred_rate").alias("pred_rate"), _r("actual_rate").alias("actual_rate"), "n")
 
 
@@ -240,21 +242,34 @@ DENSITY_BINS = 20
 
 
 @query("eval_density", with_fixtures(f"""
-    SELECT epic, bin, round(any_value(lo) + bin * ((any_value(hi) - any_value(lo)) / {DENSITY_BINS}), 6) AS bin_lo,
-           count(*) AS count,
-           round(count(*) / (any_value(n) * ((any_value(hi) - any_value(lo)) / {DENSITY_BINS})), 6) AS density
-    FROM binned JOIN (SELECT epic, count(*) AS n FROM binned GROUP BY epic) USING (epic)
-    GROUP BY epic, bin""", "stream", extra=TARGETS_SQL + f""",
-    b AS (SELECT epic, quantile_cont(r, 0.01) AS lo, quantile_cont(r, 0.99) AS hi FROM tgt GROUP BY epic),
-    binned AS (SELECT t.epic, b.lo, b.hi,
-                      CAST(least(floor((t.r - b.lo) / ((b.hi - b.lo) / {DENSITY_BINS})), {DENSITY_BINS - 1}) AS BIGINT)
+    SELECT s.epic, s.series, s.bin, round(s.lo + s.bin * ((s.hi - s.lo) / {DENSITY_BINS}), 6) AS bin_lo,
+           count(v.epic) AS count,
+           round(coalesce(count(v.epic) / nullif(sum(count(v.epic)) OVER (PARTITION BY s.epic, s.series)
+                          * ((s.hi - s.lo) / {DENSITY_BINS}), 0), 0), 6) AS density
+    FROM (SELECT epic, lo, hi, series, bin FROM b, (SELECT unnest(['r', 'r2']) AS series),
+          (SELECT unnest(range({DENSITY_BINS})) AS bin)) s
+    LEFT JOIN binned v ON v.epic = s.epic AND v.series = s.series AND v.bin = s.bin
+    GROUP BY s.epic, s.series, s.bin, s.lo, s.hi""", "stream", extra=f"""
+    tgt AS (SELECT * FROM (
+              SELECT epic, bid_open_f1 / ask_open AS r, bid_open_f2 / ask_open AS r2,
+                     row_number() OVER (PARTITION BY epic ORDER BY updated_at, seq) - 1 AS i, count(*) OVER (PARTITION BY epic) AS n
+              FROM (SELECT *, lead(bid_open, 1) OVER w AS bid_open_f1, lead(bid_open, 2) OVER w AS bid_open_f2
+                    FROM stream WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq))
+              WHERE bid_open_f2 IS NOT NULL)),
+    b AS (SELECT epic, quantile_cont(r, 0.01) AS lo, quantile_cont(r, 0.99) AS hi FROM tgt
+          WHERE i >= floor(n * {TEST_FRACTION}) GROUP BY epic),
+    binned AS (SELECT t.epic, series, CAST(least(floor((t.v - b.lo) / ((b.hi - b.lo) / {DENSITY_BINS})), {DENSITY_BINS - 1}) AS BIGINT)
                           AS bin
-               FROM tgt t JOIN b USING (epic) WHERE t.r >= b.lo AND t.r <= b.hi)"""))
+               FROM (SELECT epic, 'r' AS series, r AS v FROM tgt UNION ALL SELECT epic, 'r2', r2 FROM tgt) t
+               JOIN b USING (epic) WHERE t.v >= b.lo AND t.v <= b.hi)"""))
 def eval_density(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Density histogram of the target over its 1%-99% range."""
-    d = evaluate.density(_targets(spark, sf_dir), "r", DENSITY_BINS, 0.01, 0.99, ["epic"])
-    return d.select("epic", F.col("bin").cast("long").alias("bin"), _r("bin_lo").alias("bin_lo"), "count",
-                    _r("density").alias("density"))
+    """Densities of the one- and two-bar returns over one range, the 1%-99%
+    range of the training rows' one-bar return; every bin present (A13)."""
+    s = features.future_bids(fixtures.stream(spark, sf_dir), 2)
+    s = features.return_target(features.return_target(s), horizon=2, alias="r2").filter(F.col("r2").isNotNull())
+    d = evaluate.density(chronological_split(s), ["r", "r2"], DENSITY_BINS, 0.01, 0.99, ["epic"],
+                         range_rows=F.col("split") == "train")
+    return d.select("epic", "series", "bin", _r("bin_lo").alias("bin_lo"), "count", _r("density").alias("density"))
 
 
 # ---------------------------------------------------------------- trends and rolling forecasts

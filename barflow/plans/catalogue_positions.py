@@ -23,7 +23,7 @@ def _r(c, d: int = 6):
 
 
 @query("signals_to_positions", with_fixtures(f"""
-    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 16)
+    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 32)
                AS dealId,
            '{MODEL_NAME}-v{MODEL_VERSION}' AS model_used, strftime(updated_at, {HOUR_TS}) AS buy_date,
            strftime(make_timestamp(CAST(round_even(epoch_us(updated_at) / 60000000.0, 0) AS BIGINT) * 60000000
@@ -74,16 +74,16 @@ OUTCOMES_SQL = """
 
 @query("position_outcomes", with_fixtures("""
     SELECT dealId, round(y_true, 6) AS y_true, round(profit_responce, 2) AS profit_responce,
-           CASE WHEN profit_responce IS NULL THEN NULL ELSE CAST(sum(CAST(profit_responce AS DECIMAL(20, 2)))
-                OVER (ORDER BY buy_date, dealId ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+           CASE WHEN profit_responce IS NULL THEN NULL ELSE round(CAST(sum(CAST(profit_responce AS DECIMAL(28, 10)))
+                OVER (ORDER BY buy_date, dealId ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE), 4)
            END AS profit_responce_cumsum
     FROM outc""", "buys", "sold", extra=OUTCOMES_SQL))
 def position_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Realised return and profit per position with the running profit
     (J3, P5, P11, W5, T11, T12)."""
-    o = positions.outcomes(fixtures.buys(spark, sf_dir), fixtures.sold(spark, sf_dir))
+    o = positions.running_profit(positions.outcomes(fixtures.buys(spark, sf_dir), fixtures.sold(spark, sf_dir)))
     return o.select("dealId", _r("y_true").alias("y_true"), _r("profit_responce", 2).alias("profit_responce"),
-                    "profit_responce_cumsum")
+                    _r("profit_responce_cumsum", 4).alias("profit_responce_cumsum"))
 
 
 @query("monitor_positions", with_fixtures("""
@@ -185,7 +185,7 @@ def profit_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = series.running_sum(j, ["model_used"], ["sell_date", "closing_dealId"], "_pnl", "running_pnl")
     tot = j.groupBy("model_used").agg(F.sum("_pnl").cast("double").alias("total_pnl"),
                                       thousands(F.count(F.lit(1))).alias("n_deals"))
-    return run.join(tot, "model_used").select(
+    return series.null_safe_join(run, tot, ["model_used"]).select(
         "model_used", "closing_dealId", ts_text("sell_date").alias("sell_date"),
         F.col("running_pnl").cast("double").alias("running_pnl"), "total_pnl", "n_deals")
 
@@ -200,9 +200,9 @@ def net_size_by_epic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("position_change_needed", with_fixtures("""
     SELECT epic, net_size, round(forecast, 4) AS forecast, last,
-           round((forecast - last) / 50.0 - net_size, 4) AS change,
-           CASE WHEN (forecast - last) / 50.0 - net_size > 0 THEN 'BUY'
-                WHEN (forecast - last) / 50.0 - net_size < 0 THEN 'SELL' ELSE 'NONE' END AS action
+           round((forecast - last) / 50.0 - net_size, 2) AS change,
+           CASE WHEN round((forecast - last) / 50.0 - net_size, 2) > 0 THEN 'BUY'
+                WHEN round((forecast - last) / 50.0 - net_size, 2) < 0 THEN 'SELL' ELSE 'NONE' END AS action
     FROM (SELECT epic, sum(CASE WHEN direction = 'SELL' THEN -size ELSE size END) AS net_size,
                  avg(l_extendedprice / size) AS forecast,
                  arg_max(l_extendedprice / size, (l_shipdate, l_orderkey, l_linenumber)) AS last
@@ -219,7 +219,7 @@ def position_change_needed(spark: SparkSession, sf_dir: str) -> DataFrame:
                                F.max_by(unit, F.struct("l_shipdate", "l_orderkey", "l_linenumber")).alias("last")))
     ch = positions.change_needed(positions.net_size(fixtures.open_positions(spark, sf_dir)), fc)
     return ch.select("epic", "net_size", _r("forecast", 4).alias("forecast"), "last",
-                     _r("change", 4).alias("change"), "action")
+                     "change", "action")
 
 
 @query("latest_activity", with_fixtures("""
@@ -235,13 +235,13 @@ def latest_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PAPER_SQL = f"""
     pos AS (
-      SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 16)
+      SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 32)
                  AS dealId, epic, updated_at AS buy_date,
              make_timestamp(CAST(round_even(epoch_us(updated_at) / 60000000.0, 0) AS BIGINT) * 60000000 + 60000000)
                  AS sell_date,
              level AS buy_level_responce
       FROM preds
-      WHERE y_pred > {R_THRESHOLD} AND updated_at > TIMESTAMP '{SESSION_START}' AND updated_at < TIMESTAMP '{SESSION_END}'),
+      WHERE y_pred > {R_THRESHOLD}),
     fill AS (SELECT p.dealId, s.updated_at AS close_date, s.bid_open AS close_level_responce
              FROM pos p ASOF JOIN stream s ON p.epic = s.epic AND p.sell_date <= s.updated_at)"""
 
@@ -256,9 +256,7 @@ def paper_fill_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     after their exit time (a forward as-of join), with return and profit
     (T8, T9, T11, T12)."""
     scored = bar_model_predictions(spark, sf_dir)
-    in_session = scored.filter((F.col("updated_at") > F.lit(SESSION_START).cast("timestamp"))
-                               & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
-    pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1)
+    pos = positions.signals_to_positions(scored, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1)
     fills = positions.paper_fills(pos, fixtures.stream(spark, sf_dir))
     out = positions.outcomes(pos, fills)  # the left join keeps the fill's close_date
     return out.select("dealId", "epic", ts_text("close_date").alias("close_date"), "close_level_responce",
@@ -269,20 +267,17 @@ MAX_CLOSENESS = 0.5
 
 
 @query("signals_near_enough", with_fixtures(f"""
-    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 16)
+    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), '{MODEL_NAME}-v{MODEL_VERSION}')), 1, 32)
                AS dealId, epic, strftime(updated_at, {HOUR_TS}) AS buy_date, round(y_pred, 6) AS y_pred,
            round(closeness, 6) AS closeness
     FROM preds
-    WHERE y_pred > {R_THRESHOLD} AND closeness <= {MAX_CLOSENESS}
-      AND updated_at > TIMESTAMP '{SESSION_START}' AND updated_at < TIMESTAMP '{SESSION_END}'""",
+    WHERE y_pred > {R_THRESHOLD} AND closeness <= {MAX_CLOSENESS}""",
                                             "stream", extra=BAR_MODEL_SQL))
 def signals_near_enough(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Positions only where the forecast's neighbours are near enough -- the
     reference's planned distance filter before buying (M5 + T8)."""
     scored = bar_model_predictions(spark, sf_dir)
-    in_session = scored.filter((F.col("updated_at") > F.lit(SESSION_START).cast("timestamp"))
-                               & (F.col("updated_at") < F.lit(SESSION_END).cast("timestamp")))
-    pos = positions.signals_to_positions(in_session, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1,
+    pos = positions.signals_to_positions(scored, R_THRESHOLD, MODEL_NAME, MODEL_VERSION, hold_minutes=1,
                                          max_closeness=MAX_CLOSENESS, keep_cols=["closeness"])
     return pos.select(
         "dealId", "epic", ts_text("buy_date").alias("buy_date"), _r("y_pred").alias("y_pred"),

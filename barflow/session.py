@@ -47,7 +47,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_root(spark)
     return configure(spark)
 
 
@@ -84,14 +83,22 @@ def release_materialized(spark: SparkSession) -> int:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment (a shared file system or object
-    store). Only when it is unset -- local tests -- a private folder is made.
+    On a cluster the deployment sets it (a shared file system or object store);
+    without it nothing may be written that other executors must read, so this
+    raises. In local mode there is one machine, and a private folder is made.
     """
     conf = spark.sparkContext.getConf()
     root = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="barflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
+
+
+def is_local(master: str) -> bool:
+    """Driver and executors in one process (``local-cluster`` is a cluster)."""
+    return master == "local" or master.startswith("local[")
