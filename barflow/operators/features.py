@@ -20,6 +20,7 @@ from barflow.operators import series
 KEYS = ("epic",)
 ORDER = ("updated_at", "seq")
 IMPUTE_VALUE = -999.0
+TEST_FRACTION = 0.1
 
 
 def shift_features(df: DataFrame, future: dict[str, int] | None = None, past: dict[str, int] | None = None,
@@ -155,6 +156,19 @@ def elapsed_since_start(df: DataFrame, time_col: str, keys: Sequence[str] = KEYS
             .drop("_start"))
 
 
+def chronological_split(df: DataFrame, fraction: float = TEST_FRACTION, **kw) -> DataFrame:
+    """The reference holds out the last ``int(n * fraction)`` rows of a
+    series sorted newest first -- i.e. its oldest rows. Adds ``split`` and
+    ``row_index``. Lags are taken before the split, so the first training rows
+    see the last held-out bars; the reference lags each part on its own, which
+    only leaves those rows without their lags."""
+    idx = series.with_row_index(df, KEYS, ORDER, with_size=True, **kw)
+    n_test = F.floor(F.col("_n") * F.lit(fraction))
+    return (idx.withColumn("split", F.when(F.col(series.IDX) < n_test, F.lit("test")).otherwise(F.lit("train")))
+            .withColumn("row_index", F.col(series.IDX))
+            .drop(series.IDX, "_n"))
+
+
 def series_tail(df: DataFrame, n: int, keys: Sequence[str] = KEYS, order: Sequence[str] = ORDER,
                 min_rows: int | None = None, **kw) -> DataFrame:
     """W17 + T6: the newest ``n`` rows per series (``iloc[-n:]``), only for

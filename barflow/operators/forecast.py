@@ -79,15 +79,17 @@ def polynomial_trend(df: DataFrame, value: str, keys: Sequence[str], order: Sequ
     return fit.select(*keys, "n", "coef", "intercept", pred.alias("next_forecast"))
 
 
-def stacked_features(df: DataFrame, deepest: int, keys: Sequence[str], order: Sequence[str],
-                     base_col: str = "ask_open") -> DataFrame:
-    """The stacked model's inputs: lags -> row ffill -> divide by the base, as one array ``x``."""
+def stacked_features(bars: DataFrame, deepest: int, keys: Sequence[str], order: Sequence[str],
+                     base_col: str = "ask_open", future: dict[str, int] | None = None) -> DataFrame:
+    """The stacked model's inputs: lags -> row ffill -> divide by the base, as one
+    array ``x``; ``future`` columns come from the same pass over the series."""
     from barflow.operators import features as feat
 
     cols = feat.lag_columns(base_col, deepest)
-    lagged = feat.past_asks(df, deepest, keys=list(keys), order=list(order))
-    lagged = feat.normalise(feat.row_ffill(lagged, cols), cols, base=base_col)
-    return lagged.withColumn("x", F.array(*[F.col(c) for c in cols[1:]])).drop(*cols[1:])
+    lagged = feat.shift_features(bars, future=future, past={base_col: deepest}, keys=list(keys), order=list(order))
+    filled = feat.row_ffill(lagged, cols)
+    # x is divided by the raw base, which stays as it is for the target
+    return filled.withColumn("x", F.array(*[F.try_divide(F.col(c), F.col(base_col)) for c in cols[1:]])).drop(*cols[1:])
 
 
 def contiguous_folds(rows: DataFrame, folds: int, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -184,11 +186,14 @@ def stacked_predict(rows: DataFrame, model: DataFrame, keys: Sequence[str], alia
     return joined.withColumn(alias, F.aggregate(terms, F.col("_intercept"), lambda a, v: a + v)).drop("_coef", "_intercept")
 
 
-def stacked_regression(df: DataFrame, lookbacks: Sequence[int], label: str, keys: Sequence[str],
-                       order: Sequence[str], base_col: str = "ask_open", folds: int = 5) -> tuple[DataFrame, DataFrame]:
-    """Fit the stacked model on the labelled rows of ``df`` and score them:
-    ``(predictions, models)``."""
-    rows = stacked_features(df, max(lookbacks), keys, order, base_col).filter(F.col(label).isNotNull())
+def stacked_regression(bars: DataFrame, lookbacks: Sequence[int], keys: Sequence[str], order: Sequence[str],
+                       base_col: str = "ask_open", horizon: int = 1, folds: int = 5) -> tuple[DataFrame, DataFrame]:
+    """Fit the stacked model of the return ``horizon`` bars ahead on the bars that
+    have one, and score them: ``(predictions, models)``; the label is ``y``."""
+    from barflow.operators import features as feat
+
+    rows = stacked_features(bars, max(lookbacks), keys, order, base_col, future={"bid_open": horizon})
+    rows = feat.return_target(rows, horizon=horizon, alias="y").filter(F.col("y").isNotNull())
     rows = contiguous_folds(rows, folds, keys, order)
-    model = stacked_fit(rows, lookbacks, label, keys)
+    model = stacked_fit(rows, lookbacks, "y", keys)
     return stacked_predict(rows, model, keys), model

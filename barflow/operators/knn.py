@@ -1,143 +1,219 @@
 """Exact k-nearest neighbours (Euclidean) between a query set and a training set.
 
-Two physical forms, chosen from measured sizes:
-
-* **broadcast** -- when the training matrix is provably small
-  (``rows x dims x 8`` bytes under ``broadcast_limit_bytes``), it is shipped to
-  every executor once and each query partition is scored by ``mapInPandas``.
-  No shuffle of the query side.
-* **block pairs** -- otherwise both sides are hashed into blocks of about
-  ``block_rows`` rows; every (query block, training block) pair meets in one
-  ``cogroup`` task that computes the distances with numpy and keeps only the
-  ``k`` best per query; a final top-k per query merges the per-block
-  candidates (``k x blocks`` rows per query, bounded). All pairs are
-  evaluated, as exact search requires, but never materialised as rows.
-
-Ties are broken by the smaller training id, so both forms return the same rows.
+The training rows are dealt into the cells of a few pivots (training vectors,
+the first by a hash; their number is a parameter, so only they reach the
+driver). A query is first compared with the rows of its own cell; its k-th
+distance there bounds what it still needs. A row of cell j is nearer to pivot j
+than to the query's pivot i, so it lies beyond the plane between the two, and
+its distance to the query is at least
+
+    (d(q, p_j)^2 - d(q, p_i)^2) / (2 d(p_i, p_j)).
+
+In the second round a query visits only cells for which that is not above its
+bound. Cells are cut into blocks of about ``block_rows`` rows on either side, so
+a dense cell is many tasks; one task holds one block of each side and keeps the
+``k`` best per query. Distances are computed by numpy inside the tasks.
+
+Rows are identified by one or more key columns; ties go to the smaller training
+key, so the result is a function of the rows.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-OUT_SCHEMA = "q_id long, t_id long, distance double, t_y double"
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+DEFAULT_PIVOTS = 32
 DEFAULT_BLOCK_ROWS = 20_000
 
 
-def _top_k(q_ids, q_mat, t_ids, t_mat, t_y, k: int, budget: int = 4_000_000) -> pd.DataFrame:
-    """Distances of every query row to every training row, best ``k`` each.
-    Query rows are taken in chunks so one difference tensor stays under
-    ``budget`` doubles."""
-    out = []
-    if len(t_ids) == 0 or len(q_ids) == 0:
-        return pd.DataFrame({"q_id": [], "t_id": [], "distance": [], "t_y": []})
-    kk = min(k, len(t_ids))
-    chunk = max(1, min(1024, budget // max(1, t_mat.shape[0] * max(1, t_mat.shape[1]))))
-    order_ids = np.asarray(t_ids)
-    for s in range(0, len(q_ids), chunk):
-        q = q_mat[s:s + chunk]
-        diff = q[:, None, :] - t_mat[None, :, :]
-        dist = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-        rows = np.arange(len(q))[:, None]
-        # O(n) selection of k per row, then (distance, training id) order
-        # among those k only -- the exact tie rule.
-        part = np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < dist.shape[1] else \
-            np.broadcast_to(np.arange(dist.shape[1]), dist.shape).copy()
-        pd_ = dist[rows, part]
-        idx = np.take_along_axis(part, np.lexsort((order_ids[part], pd_), axis=1), axis=1)
-        # Rows whose k-th distance ties with rows left out: full sort there.
-        kth = pd_.max(axis=1, keepdims=True)
-        tied = np.nonzero((dist <= kth).sum(axis=1) > kk)[0]
-        if len(tied):
-            full = np.lexsort((np.broadcast_to(order_ids, (len(tied), dist.shape[1])), dist[tied]), axis=1)
-            idx[tied] = full[:, :kk]
-        out.append(pd.DataFrame({
-            "q_id": np.repeat(np.asarray(q_ids[s:s + chunk]), kk),
-            "t_id": order_ids[idx].ravel(),
-            "distance": dist[rows, idx].ravel(),
-            "t_y": np.asarray(t_y, dtype=float)[idx].ravel(),
-        }))
-    return pd.concat(out, ignore_index=True)
+def _keys(x: str | Sequence[str]) -> list[str]:
+    return [x] if isinstance(x, str) else list(x)
+
+
+@dataclass(frozen=True)
+class KnnModel:
+    """A fitted training set: its pivots and its rows with their cells. Fit once,
+    search often; ``cells`` is a lazy table that the caller may write or persist."""
+    pivots: np.ndarray
+    cells: DataFrame          # t0.., t_vec, t_y, cell
+    keys: tuple[str, ...]     # names of the key columns, as t0..
 
 
 def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in series]) if len(series) else np.zeros((0, 0))
 
 
-def _rank(cands: DataFrame, k: int) -> DataFrame:
-    w = Window.partitionBy("q_id").orderBy("distance", "t_id")
-    return (cands.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
-
-
-def knn(queries: DataFrame, train: DataFrame, k: int, q_id: str = "id", t_id: str = "id",
-        q_vec: str = "vec", t_vec: str = "vec", t_y: str | None = None,
-        broadcast_limit_bytes: int = DEFAULT_BROADCAST_LIMIT, block_rows: int = DEFAULT_BLOCK_ROWS,
-        force: str | None = None) -> DataFrame:
-    """k nearest training rows per query row -> (q_id, rank, t_id, distance, t_y).
-
-    Vectors are ``array<double|float>`` of one length. ``force`` selects
-    ``"broadcast"`` or ``"blocks"`` (tests); otherwise the measured training
-    size decides.
-    """
-    q = queries.select(F.col(q_id).cast("long").alias("q_id"),
-                       F.col(q_vec).cast("array<double>").alias("q_vec"))
-    t = train.select(F.col(t_id).cast("long").alias("t_id"),
-                     F.col(t_vec).cast("array<double>").alias("t_vec"),
-                     (F.col(t_y).cast("double") if t_y else F.lit(None).cast("double")).alias("t_y"))
-    n_train, dims = t.agg(F.count(F.lit(1)), F.max(F.size("t_vec"))).first()
-    dims = dims or 0
-    mode = force or ("broadcast" if n_train * max(dims, 1) * 8 <= broadcast_limit_bytes else "blocks")
-    if mode == "broadcast":
-        cands = _broadcast_candidates(q, t, k)
-    else:
-        n_query = q.count()
-        cands = _block_candidates(q, t, k, max(1, math.ceil(n_query / block_rows)),
-                                  max(1, math.ceil(n_train / block_rows)))
-    return _rank(cands, k).select("q_id", "rank", "t_id", "distance", "t_y")
-
-
-def _broadcast_candidates(q: DataFrame, t: DataFrame, k: int) -> DataFrame:
-    # Size-checked by the caller: the training matrix is below the broadcast limit.
-    pdf = t.toPandas()
-    sc = q.sparkSession.sparkContext
-    bc = sc.broadcast((pdf["t_id"].to_numpy(), _matrix(pdf["t_vec"]), pdf["t_y"].to_numpy(dtype=float)))
-
-    def score(batches):
-        ids, mat, ys = bc.value
-        for b in batches:
-            yield _top_k(b["q_id"].to_numpy(), _matrix(b["q_vec"]), ids, mat, ys, k)
+def _pivot_distances(mat: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    diff = mat[:, None, :] - pivots[None, :, :]
+    return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
 
-    return q.mapInPandas(score, OUT_SCHEMA)
 
+def _fields(df: DataFrame, cols: Sequence[str]) -> str:
+    return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in cols)
 
-def _block_candidates(q: DataFrame, t: DataFrame, k: int, q_blocks: int, t_blocks: int) -> DataFrame:
-    # Both sides must carry the block keys with one type (long): cogroup
-    # hash-partitions each side by its own key values.
-    qb = q.withColumn("_qb", F.pmod(F.xxhash64("q_id"), F.lit(q_blocks)).cast("long")) \
-          .withColumn("_tb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(t_blocks - 1).cast("long"))))
-    tb = t.withColumn("_tb", F.pmod(F.xxhash64("t_id"), F.lit(t_blocks)).cast("long")) \
-          .withColumn("_qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long"))))
 
-    def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _top_k(left["q_id"].to_numpy(), _matrix(left["q_vec"]), right["t_id"].to_numpy(),
-                      _matrix(right["t_vec"]), right["t_y"].to_numpy(dtype=float), k)
+def fit(train: DataFrame, keys: str | Sequence[str] = "id", vec: str = "vec", y: str | None = None,
+        pivots: int = DEFAULT_PIVOTS) -> KnnModel:
+    """Choose the pivots (one small job: ``pivots`` vectors come to the driver) and deal the rows."""
+    names = _keys(keys)
+    t = train.select(*[F.col(c).alias(f"t{i}") for i, c in enumerate(names)],
+                     F.col(vec).cast("array<double>").alias("t_vec"),
+                     (F.col(y).cast("double") if y else F.lit(None).cast("double")).alias("t_y"))
+    chosen = t.select("t_vec").distinct().orderBy(F.xxhash64("t_vec"), "t_vec").limit(pivots).collect()
+    mat = np.array([r["t_vec"] for r in chosen], dtype=float)
+    return KnnModel(mat, _dealt(t, "t_vec", mat), tuple(names))
 
-    return (qb.groupBy("_qb", "_tb").cogroup(tb.groupBy("_qb", "_tb"))
-            .applyInPandas(pair, OUT_SCHEMA))
 
+def _dealt(rows: DataFrame, vec: str, pivots: np.ndarray) -> DataFrame:
+    cols = rows.columns
 
-def knn_predict(neighbours: DataFrame) -> DataFrame:
+    def run(batches):
+        for b in batches:
+            near = (_pivot_distances(_matrix(b[vec]), pivots).argmin(1) if len(b) and len(pivots)
+                    else np.zeros(len(b), int))
+            yield b.assign(cell=near.astype("int32"))
+
+    return rows.mapInPandas(run, f"{_fields(rows, cols)}, cell int")
+
+
+def save(model: KnnModel, path: str) -> KnnModel:
+    """Write a fitted model: its rows and its pivots; returns it as read back."""
+    spark = model.cells.sparkSession
+    names = [(i, c) for i, c in enumerate(model.keys)]
+    spark.createDataFrame(names, "place int, key string").coalesce(1).write.mode("overwrite").parquet(f"{path}/keys")
+    rows = [(i, p.tolist()) for i, p in enumerate(model.pivots)]
+    spark.createDataFrame(rows, "place int, vec array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
+    model.cells.write.mode("overwrite").parquet(f"{path}/cells")
+    return load(spark, path)
+
+
+def load(spark: SparkSession, path: str) -> KnnModel:
+    """A stored model; only its pivots come to the driver."""
+    pivots = [r["vec"] for r in spark.read.parquet(f"{path}/pivots").orderBy("place").collect()]
+    keys = tuple(r["key"] for r in spark.read.parquet(f"{path}/keys").orderBy("place").collect())
+    return KnnModel(np.array(pivots, dtype=float), spark.read.parquet(f"{path}/cells"), keys)
+
+
+def _top_k(q_mat, t_mat, k: int, budget: int = 2_000_000):
+    """Row, column and distance of the ``k`` best columns per row; equal
+    distances go to the smaller column. Rows are taken in chunks so that one
+    difference tensor stays under ``budget`` doubles."""
+    kk = min(k, len(t_mat))
+    chunk = max(1, min(1024, budget // max(1, t_mat.size)))
+    for s in range(0, len(q_mat), chunk):
+        dist = _pivot_distances(q_mat[s:s + chunk], t_mat)
+        rows = np.arange(len(dist))[:, None]
+        part = (np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < dist.shape[1]
+                else np.broadcast_to(np.arange(dist.shape[1]), dist.shape).copy())
+        idx = np.take_along_axis(part, np.lexsort((part, dist[rows, part]), axis=1), axis=1)
+        # rows whose k-th distance ties with columns left out: full sort there
+        tied = np.nonzero((dist <= dist[rows, idx].max(axis=1, keepdims=True)).sum(axis=1) > kk)[0]
+        if len(tied):
+            full = np.lexsort((np.broadcast_to(np.arange(dist.shape[1]), (len(tied), dist.shape[1])), dist[tied]), axis=1)
+            idx[tied] = full[:, :kk]
+        yield np.repeat(np.arange(s, s + len(dist)), kk), idx.ravel(), dist[rows, idx].ravel()
+
+
+def _search(q: DataFrame, t: DataFrame, q_keys: list[str], t_keys: list[str], k: int, block_rows: int) -> DataFrame:
+    """The ``k`` best rows of ``t`` for each row of ``q`` among those of the
+    query's ``cell``, per block of the cell (a few blocks' candidates per query)."""
+    def blocks(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias(name))
+
+    sizes = blocks(t, "t_blocks").join(blocks(q, "q_blocks"), "cell")  # a row per pivot
+
+    def dealt(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
+        j = df.join(sizes, "cell")
+        mine = F.pmod(F.xxhash64(*keys), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
+        return j.select(*df.columns, mine, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"))
+
+    schema = f"{_fields(q, q_keys)}, {_fields(t, t_keys)}, distance double, t_y double"
+
+    def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        cols = [*q_keys, *t_keys, "distance", "t_y"]
+        if not len(left) or not len(right):
+            return pd.DataFrame({c: [] for c in cols})
+        right = right.sort_values(t_keys, kind="stable").reset_index(drop=True)
+        out = []
+        for qi, ti, dist in _top_k(_matrix(left["q_vec"]), _matrix(right["t_vec"]), k):
+            a = left[q_keys].iloc[qi].reset_index(drop=True)
+            b = right[[*t_keys, "t_y"]].iloc[ti].reset_index(drop=True)
+            out.append(pd.concat([a, b], axis=1).assign(distance=dist)[cols])
+        return pd.concat(out, ignore_index=True)
+
+    group = ["cell", "q_block", "t_block"]
+    return (dealt(q, q_keys, "q", "t").groupBy(*group).cogroup(dealt(t, t_keys, "t", "q").groupBy(*group))
+            .applyInPandas(pair, schema))
+
+
+def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str] = "id", vec: str = "vec",
+           block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
+    """k nearest training rows per query row: the query's key columns (one key:
+    as ``q_id``), ``rank``, the training row's (one key: ``t_id``; several:
+    ``t_<name>``), ``distance`` and ``t_y``."""
+    names = _keys(keys)
+    q_keys, t_keys = [f"q{i}" for i in range(len(names))], [f"t{i}" for i in range(len(model.keys))]
+    pivots = model.pivots
+    q = queries.select(*[F.col(c).alias(n) for c, n in zip(names, q_keys)], F.col(vec).cast("array<double>").alias("q_vec"))
+    home = _dealt(q, "q_vec", pivots)
+    first = _search(home, model.cells, q_keys, t_keys, k, block_rows)
+    # the best of the own cell, and its k-th distance (none while it has fewer rows). All uses below share this
+    # aggregate, so its shuffle is written once
+    hit = F.struct("distance", *t_keys, "t_y")
+    best = first.groupBy(*q_keys).agg(F.collect_list(hit).alias("_hits")).select(
+        *[F.col(c).alias(f"_{c}") for c in q_keys], F.slice(F.sort_array("_hits"), 1, k).alias("_best"))
+    on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in q_keys]
+    bounded = home.join(best, on, "left").select(*q_keys, "q_vec", F.get(F.col("_best.distance"), F.lit(k - 1)).alias("bound"))
+    between = _pivot_distances(pivots, pivots) if len(pivots) else np.zeros((0, 0))
+
+    def visits(batches):
+        for b in batches:
+            if not len(b) or not len(pivots):
+                continue
+            d = _pivot_distances(_matrix(b["q_vec"]), pivots)
+            own = d.argmin(1)
+            rows = np.arange(len(d))
+            apart = between[own]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                least = (d ** 2 - d[rows, own][:, None] ** 2) / (2 * apart)
+            limit = b["bound"].to_numpy(dtype=float)
+            limit = np.where(np.isnan(limit), np.inf, limit)[:, None]
+            go = least <= limit * (1 + 1e-9) + 1e-9  # rounding must not lose a neighbour
+            go[rows, own] = False
+            i, cell = np.nonzero(go)
+            yield b[[*q_keys, "q_vec"]].iloc[i].assign(cell=cell.astype("int32"))
+
+    more = bounded.mapInPandas(visits, f"{_fields(home, [*q_keys, 'q_vec'])}, cell int")
+    again = _search(more, model.cells, q_keys, t_keys, k, block_rows)
+    own = best.select(*[F.col(f"_{c}").alias(c) for c in q_keys], F.explode("_best").alias("_h")).select(
+        *q_keys, *[F.col(f"_h.{c}").alias(c) for c in (*t_keys, "distance", "t_y")])
+    found = own.unionByName(again)
+    best = Window.partitionBy(*q_keys).orderBy("distance", *t_keys)  # a few times k rows per query
+    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    q_out = ["q_id"] if len(names) == 1 else names
+    t_out = ["t_id"] if len(model.keys) == 1 else [f"t_{c}" for c in model.keys]
+    return ranked.select(*[F.col(a).alias(b) for a, b in zip(q_keys, q_out)], "rank",
+                         *[F.col(a).alias(b) for a, b in zip(t_keys, t_out)], "distance", "t_y")
+
+
+def knn(queries: DataFrame, train: DataFrame, k: int, q_id: str | Sequence[str] = "id", t_id: str | Sequence[str] = "id",
+        q_vec: str = "vec", t_vec: str = "vec", t_y: str | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
+        pivots: int = DEFAULT_PIVOTS) -> DataFrame:
+    """:func:`fit` and :func:`search` in one call."""
+    return search(queries, fit(train, t_id, t_vec, t_y, pivots), k, q_id, q_vec, block_rows)
+
+
+def knn_predict(neighbours: DataFrame, keys: str | Sequence[str] = "q_id") -> DataFrame:
     """M4: uniform-weight mean of the neighbours' targets."""
-    return neighbours.groupBy("q_id").agg(F.avg("t_y").alias("y_pred"))
+    return neighbours.groupBy(*_keys(keys)).agg(F.avg("t_y").alias("y_pred"))
 
 
-def knn_closeness(neighbours: DataFrame) -> DataFrame:
+def knn_closeness(neighbours: DataFrame, keys: str | Sequence[str] = "q_id") -> DataFrame:
     """Sum of the k neighbour distances per query row."""
-    return neighbours.groupBy("q_id").agg(F.sum("distance").alias("closeness"))
+    return neighbours.groupBy(*_keys(keys)).agg(F.sum("distance").alias("closeness"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from barflow.functions.scalar import floor_minute, format_day, ts_text
 from barflow.operators import bars, features, series
 from barflow.operators.modeling import FunctionStep
+from barflow.operators.features import TEST_FRACTION, chronological_split
 from barflow.plans import fixtures
 from barflow.plans.registry import query, with_fixtures
 
@@ -160,17 +161,6 @@ def series_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return t.select("epic", ts_text("updated_at").alias("updated_at"), "ask_open", "rows_from_end")
 
 
-TEST_FRACTION = 0.1
-
-
-def chronological_split(df: DataFrame, fraction: float = TEST_FRACTION, **kw) -> DataFrame:
-    """The reference holds out the last ``int(n * fraction)`` rows of a
-    series sorted newest first -- i.e. its oldest rows. Adds ``split``."""
-    idx = series.with_row_index(df, features.KEYS, features.ORDER, with_size=True, **kw)
-    n_test = F.floor(F.col("_n") * F.lit(fraction))
-    return (idx.withColumn("split", F.when(F.col(series.IDX) < n_test, F.lit("test")).otherwise(F.lit("train")))
-            .withColumn("row_index", F.col(series.IDX))
-            .drop(series.IDX, "_n"))
 
 
 @query("chronological_split_bounds", with_fixtures(f"""

@@ -16,6 +16,7 @@ from barflow.plans.catalogue_models import (BAR_MODEL_SQL, bar_model_neighbours,
 from barflow.plans.registry import query, with_fixtures
 from barflow.sources import files
 from barflow.sources.tables import read_table
+from barflow.streaming import live
 
 MICRO = "'%Y-%m-%d %H:%M:%S.%f'"
 
@@ -97,21 +98,13 @@ def price_items(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        values.alias("values"))).alias("item"))
 
 
-def parse_price_items(items: DataFrame) -> DataFrame:
-    """Item JSON -> typed tick (``UPDATE_TIME`` on the item's trade date)."""
-    p = items.select(F.from_json("item", schemas.PRICE_ITEM).alias("i")).select("i.*")
-    return p.select("epic", "seq", scalar.time_on_date(F.col("values.UPDATE_TIME"), F.col("trade_date")).alias("updated_at"),
-                    F.col("values.BID").alias("bid_open"), F.col("values.OFFER").alias("ask_open"),
-                    F.col("values.MARKET_STATE").alias("market_state"))
-
-
 @query("time_of_day_parsed", f"""
     SELECT event_type AS epic, event_id AS seq, strftime(ts, '%Y-%m-%d %H:%M:%S') AS updated_at,
            value AS bid_open, value + 0.5 AS ask_open FROM events""")
 def time_of_day_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items with a bare time of day become timestamps on their trade
     date (F6, T2)."""
-    t = parse_price_items(price_items(spark, sf_dir))
+    t = live.ticks_from_items(price_items(spark, sf_dir))
     return t.select("epic", "seq", ts_text("updated_at").alias("updated_at"), "bid_open", "ask_open")
 
 
@@ -316,7 +309,7 @@ def deployment_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = files.run_log_wide(params.unionByName(metrics), PARAM_KEYS + METRIC_KEYS)
     cfg = spark.createDataFrame(MODELS_TO_DEPLOY, "model_name string, model_version int, r_threshold double")
     reg = spark.createDataFrame(MODEL_VERSIONS, "name string, version int, run_id string, stage string")
-    j = (cfg.join(F.broadcast(reg), (cfg.model_name == reg.name) & (cfg.model_version == reg.version))
+    j = (cfg.join(reg, (cfg.model_name == reg.name) & (cfg.model_version == reg.version))
          .join(wide.drop("model_name"), "run_id"))
     return j.select(scalar.model_label("model_name", "model_version").alias("model_used"), "r_threshold", "run_id",
                     "stage", "k", _r(F.col("test_mean_absolute_error").cast("double")).alias("test_mean_absolute_error"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.functions.scalar import format_day, ts_text
+from barflow.jobs import training_matrix
 from barflow.operators import evaluate, features, forecast, knn, modeling, series
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS, TEST_FRACTION, chronological_split
@@ -13,6 +14,7 @@ from barflow.plans.registry import query, with_fixtures
 from barflow.session import materialize
 from barflow.sources.tables import read_table
 
+ROW_KEY = ["epic", "updated_at", "seq"]  # sequence numbers may repeat between instruments
 K = 3  # fixed value: the reference's neighbour count
 PAST_PERIODS = 3
 R_THRESHOLD = 1.0
@@ -32,19 +34,19 @@ EMB_PAIRS = f"""
              SELECT a.vec_id AS q_id, b.vec_id AS t_id, list_distance(a.v, b.v) AS distance,
                     CAST(b.label AS DOUBLE) AS t_y,
                     row_number() OVER (PARTITION BY a.vec_id ORDER BY list_distance(a.v, b.v), b.vec_id) AS rank
-             FROM e a, e b)
+             FROM e a, e b WHERE a.vec_id % 5 = 0 AND b.vec_id % 5 <> 0)
            WHERE rank <= {K})"""
 
 
 def _embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
-    # The query set is the training set itself, so each row is its own first neighbour.
-    return knn.knn(emb, emb, K, q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding", t_y="label")
+    # one row in five is a query, the others are the training set
+    return knn.knn(emb.filter("vec_id % 5 = 0"), emb.filter("vec_id % 5 <> 0"), K, q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding", t_y="label")
 
 
 @query("knn_neighbours", f"WITH {EMB_PAIRS} SELECT q_id, rank, t_id, round(distance, 6) AS distance FROM nn")
 def knn_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The k nearest embeddings of every embedding."""
+    """The k nearest training embeddings of every query embedding."""
     nb = _embedding_neighbours(spark, sf_dir)
     return nb.select("q_id", F.col("rank").cast("long").alias("rank"), "t_id", _r("distance").alias("distance"))
 
@@ -97,44 +99,36 @@ BAR_MODEL_SQL = f"""
                           THEN 'test' ELSE 'train' END AS split,
                   [x0, x1, x2, x3] AS v FROM feat),
     bnn AS (SELECT * FROM (
-              SELECT q.seq AS q_id, t.y_true AS t_y, list_distance(q.v, t.v) AS distance,
-                     row_number() OVER (PARTITION BY q.seq ORDER BY list_distance(q.v, t.v), t.seq) AS rank
+              SELECT q.epic, q.updated_at, q.seq, t.y_true AS t_y, list_distance(q.v, t.v) AS distance,
+                     row_number() OVER (PARTITION BY q.epic, q.updated_at, q.seq
+                                        ORDER BY list_distance(q.v, t.v), t.epic, t.updated_at, t.seq) AS rank
               FROM fs q, fs t WHERE t.split = 'train')
             WHERE rank <= {K}),
     preds AS (SELECT f.epic, f.updated_at, f.seq, f.split, f.y_true, p.y_pred, p.closeness, f.level
-              FROM fs f JOIN (SELECT q_id, avg(t_y) AS y_pred, sum(distance) AS closeness FROM bnn GROUP BY q_id) p
-                   ON p.q_id = f.seq)"""
+              FROM fs f JOIN (SELECT epic, updated_at, seq, avg(t_y) AS y_pred, sum(distance) AS closeness
+                              FROM bnn GROUP BY epic, updated_at, seq) p USING (epic, updated_at, seq))"""
 
 
 def bar_model_rows(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS) -> DataFrame:
     """M3 front half + W14: bars -> target -> past asks -> impute -999 ->
     normalise -> chronological split, with the feature vector."""
-    bars = fixtures.stream(spark, sf_dir)
-    rows = (features.shift_features(bars, future={"bid_open": 1}, past={"ask_open": past_periods})
-            .transform(features.return_target, alias="y_true")
-            .filter(F.col("y_true").isNotNull())
-            .withColumn("level", F.col("ask_open")))
-    cols = features.lag_columns("ask_open", past_periods)
-    rows = features.normalise(features.impute(rows, cols), cols)
-    rows = chronological_split(rows).withColumn("vec", F.array(*[F.col(c) for c in cols]))
-    # Used by the size check, the model broadcast and the scoring join.
-    return materialize(rows.select("epic", "updated_at", "seq", "split", "y_true", "level", "vec"))
+    # Used by the pivots, the cells and the scoring join.
+    return materialize(training_matrix(fixtures.stream(spark, sf_dir), past_periods))
 
 
 def bar_model_neighbours(rows: DataFrame, k: int) -> DataFrame:
     """kNN(k) fitted on the training split, every row scored (training rows
     see themselves, as in the reference)."""
     train = rows.filter(F.col("split") == "train")
-    return knn.knn(rows, train, k, q_id="seq", t_id="seq", q_vec="vec", t_vec="vec", t_y="y_true")
+    return knn.knn(rows, train, k, q_id=ROW_KEY, t_id=ROW_KEY, t_y="y_true")
 
 
 def predictions_for(rows: DataFrame, neighbours: DataFrame, k: int) -> DataFrame:
     """M4 + M9: mean target of the first ``k`` neighbours. Ranks are exact and
     deterministic, so one search with the largest k serves every smaller k."""
     first_k = neighbours.filter(F.col("rank") <= k)
-    pred = (first_k.groupBy("q_id").agg(F.avg("t_y").alias("y_pred"), F.sum("distance").alias("closeness"))
-            .withColumnRenamed("q_id", "seq"))
-    return rows.select("epic", "updated_at", "seq", "split", "y_true", "level").join(pred, "seq")
+    pred = first_k.groupBy(*ROW_KEY).agg(F.avg("t_y").alias("y_pred"), F.sum("distance").alias("closeness"))
+    return rows.select(*ROW_KEY, "split", "y_true", "level").join(pred, ROW_KEY)
 
 
 def bar_model_predictions(spark: SparkSession, sf_dir: str, past_periods: int = PAST_PERIODS,
@@ -364,9 +358,7 @@ def _stacked_sql() -> str:
 def stacked_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stacked linear model over three lookbacks, one per instrument: base
     models on all rows, the final one over 5-fold out-of-fold predictions (M8, P14)."""
-    s = features.future_bids(fixtures.stream(spark, sf_dir), 1)
-    s = features.return_target(s, alias="y")
-    pred, _ = forecast.stacked_regression(s, LOOKBACKS, "y", ["epic"], ["updated_at", "seq"], folds=FOLDS)
+    pred, _ = forecast.stacked_regression(fixtures.stream(spark, sf_dir), LOOKBACKS, ["epic"], ["updated_at", "seq"], folds=FOLDS)
     return pred.select("epic", ts_text("updated_at").alias("updated_at"), F.col("fold").cast("long").alias("fold"),
                        _r("y", 4).alias("y"), _r("stacked_pred", 4).alias("stacked_pred"))
 

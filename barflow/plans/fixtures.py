@@ -184,3 +184,23 @@ def inflation_old(spark: SparkSession, sf_dir: str) -> DataFrame:
          (3, "Period", "Source", "Inflation")],
         "source_row long, c0 string, c1 string, c2 string")
     return header.unionByName(body)
+
+
+EVENTS_SCHEMA = ("event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+
+
+def event_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The ``events`` table as a file stream."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(sf_dir)
+
+
+def tick_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Ticks of the event stream, as :func:`raw_stream` has them; the time is an instant, for the watermark."""
+    k = F.expr("try_cast(get_json_object(props, '$.k') AS INT)")
+    return event_stream(spark, sf_dir, max_files_per_trigger).select(
+        F.col("event_type").alias("epic"), F.col("ts").cast("timestamp").alias("updated_at"),
+        F.col("event_id").alias("seq"), F.col("value").alias("bid_open"), (F.col("value") + 0.5).alias("ask_open"),
+        F.when(k % 10 == 0, F.lit("SUSPENDED")).otherwise(F.lit("TRADEABLE")).alias("market_state"))

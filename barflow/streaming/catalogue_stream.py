@@ -1,5 +1,5 @@
-"""Catalogue: the streaming queries (rows-only checks; tests compare them
-with the batch operators)."""
+"""Catalogue: the streaming queries. The watermark is the newest tick, so a run
+over all files closes exactly the bars that end at or before it; that is plain SQL."""
 
 from __future__ import annotations
 
@@ -7,33 +7,57 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barflow.functions.scalar import ts_text
+from barflow.jobs import ROW_KEY
+from barflow.operators import knn
 from barflow.plans import fixtures
-from barflow.plans.catalogue_bars import chronological_split
-from barflow.operators import features
-from barflow.plans.registry import query
+from barflow.plans.catalogue_bars import HOUR_TS
+from barflow.plans.catalogue_models import BAR_MODEL_SQL, K, R_THRESHOLD, bar_model_rows
+from barflow.plans.registry import query, with_fixtures
 from barflow.streaming import live
 
+STREAMED_SQL = """
+    sbars AS (SELECT b.* FROM bars_all b WHERE b.updated_at <= (SELECT max(updated_at) FROM ticks))"""
 
-@query("stream_bars")
+
+@query("stream_bars", with_fixtures(f"""
+    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, seq, bid_open, ask_open FROM sbars""",
+                                    "bars_all", extra=STREAMED_SQL))
 def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars from the tick files as a stream in append mode."""
-    path = live.run_bars(spark, sf_dir, fixtures.BAR_WIDTH)
+    path = live.run_bars(spark, fixtures.tick_stream(spark, sf_dir), fixtures.BAR_WIDTH)
     b = spark.read.parquet(path)
     return b.select("epic", ts_text("updated_at").alias("updated_at"), "seq", "bid_open", "ask_open")
 
 
-@query("stream_signals")
+SIGNALS_SQL = f"""
+    sq AS (SELECT epic, updated_at, seq, ask_open AS level,
+                  [ask_open / ask_open, coalesce(lag(ask_open, 1) OVER w, -999.0) / ask_open,
+                   coalesce(lag(ask_open, 2) OVER w, -999.0) / ask_open, coalesce(lag(ask_open, 3) OVER w, -999.0) / ask_open] AS v,
+                  count(*) OVER (PARTITION BY epic) AS n
+           FROM sbars WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq)),
+    snn AS (SELECT * FROM (
+              SELECT q.epic, q.updated_at, q.seq, q.level, t.y_true AS t_y,
+                     row_number() OVER (PARTITION BY q.epic, q.updated_at, q.seq
+                                        ORDER BY list_distance(q.v, t.v), t.epic, t.updated_at, t.seq) AS rank
+              FROM sq q, fs t WHERE t.split = 'train' AND q.n >= 3)
+            WHERE rank <= {K}),
+    sig AS (SELECT epic, updated_at, seq, any_value(level) AS level, avg(t_y) AS y_pred FROM snn GROUP BY ALL
+            HAVING avg(t_y) > {R_THRESHOLD})"""
+
+
+@query("stream_signals", with_fixtures(f"""
+    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), 'knn-reg-model-v1')), 1, 32) AS dealId,
+           'knn-reg-model-v1' AS model_used, strftime(updated_at, {HOUR_TS}) AS buy_date,
+           strftime(updated_at + INTERVAL 1 MINUTE, {HOUR_TS}) AS sell_date, level AS buy_level_responce,
+           round(y_pred, 6) AS y_pred
+    FROM sig""", "stream", extra=BAR_MODEL_SQL + "," + STREAMED_SQL + "," + SIGNALS_SQL))
 def stream_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The live loop: streamed bars scored by the kNN model trained on the
-    batch bars' training split, positions appended per micro-batch (S8, T6-T9, T14)."""
-    bars = fixtures.stream(spark, sf_dir)
-    rows = (features.shift_features(bars, future={"bid_open": 1}, past={"ask_open": 3})
-            .transform(features.return_target, alias="y_true").filter(F.col("y_true").isNotNull()))
-    cols = features.lag_columns("ask_open", 3)
-    rows = features.normalise(features.impute(rows, cols), cols)
-    train = (chronological_split(rows).filter(F.col("split") == "train")
-             .select("seq", F.array(*[F.col(c) for c in cols]).alias("vec"), "y_true"))
-    path = live.run_signals(spark, sf_dir, train, width=fixtures.BAR_WIDTH)
-    p = spark.read.parquet(path)
+    """The live loop: streamed bars scored by the kNN model fitted once on the
+    batch bars' training split, positions written per micro-batch (S8, T6-T12, T14)."""
+    train = bar_model_rows(spark, sf_dir).filter(F.col("split") == "train")
+    model = dict(model_name="knn-reg-model", model_version=1, k=K, r_threshold=R_THRESHOLD,
+                 fitted=knn.fit(train, ROW_KEY, y="y_true"))
+    out = live.run_signals(spark, fixtures.tick_stream(spark, sf_dir), [model], width=fixtures.BAR_WIDTH)
+    p = spark.read.parquet(f"{out}/positions")
     return p.select("dealId", "model_used", ts_text("buy_date").alias("buy_date"),
                     ts_text("sell_date").alias("sell_date"), "buy_level_responce", F.round("y_pred", 6).alias("y_pred"))

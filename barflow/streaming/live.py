@@ -1,9 +1,15 @@
 """The live loop as Structured Streaming.
 
-``readStream`` ticks -> market-open gate (T1) -> typed tick (T2) -> watermark
--> tumbling bars in **append** mode (T4/T5: a bar is emitted once, when the
-watermark passes its end) -> ``foreachBatch`` scoring of the new bars (T7)
--> positions above the threshold (T8/T9) appended to a table.
+Feed items -> typed ticks (T2, :func:`ticks_from_items`) -> every tick kept, open
+and closed market apart (T3, T1, :func:`run_ticks`) -> market-open gate ->
+watermark -> tumbling bars in **append** mode (T4/T5: a bar is emitted once,
+when the watermark passes its end) -> ``foreachBatch``: the new bars are scored
+by every deployed model (T6, T7), forecasts above the threshold become positions
+(T8/T9), positions past their exit time are closed at the first bar after it
+(T10, T11), and outcomes are appended (T12). :func:`monitoring_tables` puts the
+written tables side by side (T13).
+
+The source is any streaming table of ticks; nothing here knows where it lands.
 
 State is only the open bars (the watermark drops closed ones); the
 checkpoint lives under the session's shared ``spark.checkpoint.dir``, so a
@@ -17,22 +23,20 @@ holds back each instrument's newest bar. Batch bars follow the reference.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from barflow import schemas
+from barflow.functions import scalar
 from barflow.operators import bars as bar_ops
 from barflow.operators import features, knn, positions
 from barflow.session import checkpoint_root
 
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType()),
-])
+ROW_KEY = ["epic", "updated_at", "seq"]
 
 
 @contextmanager
@@ -55,18 +59,15 @@ def stream_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/streams/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def tick_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Ticks from landed event files (a Kafka source has the same shape
-    after ``from_json``); ``updated_at`` is cast to an instant for the watermark."""
-    reader = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = reader.parquet(source_dir)
-    k = F.expr("try_cast(get_json_object(props, '$.k') AS INT)")
-    return ev.select(
-        F.col("event_type").alias("epic"), F.col("ts").cast("timestamp").alias("updated_at"),
-        F.col("event_id").alias("seq"), F.col("value").alias("bid_open"), (F.col("value") + 0.5).alias("ask_open"),
-        F.when(k % 10 == 0, F.lit("SUSPENDED")).otherwise(F.lit("TRADEABLE")).alias("market_state"))
+def ticks_from_items(items: DataFrame, item_col: str = "item") -> DataFrame:
+    """Feed items as JSON text (a Kafka value, a landed line) -> typed
+    ticks, in a batch or a stream; a bare time of day stands on the item's
+    trade date. Text that isn't an item gives a tick without values, which the
+    market-open gate holds back."""
+    p = items.select(F.from_json(F.col(item_col), schemas.PRICE_ITEM).alias("i")).select("i.*")
+    return p.select("epic", "seq", scalar.time_on_date(F.col("values.UPDATE_TIME"), F.col("trade_date")).alias("updated_at"),
+                    F.col("values.BID").alias("bid_open"), F.col("values.OFFER").alias("ask_open"),
+                    F.col("values.MARKET_STATE").alias("market_state"))
 
 
 def streaming_bars(ticks: DataFrame, width: str = "1 minute", delay: str = "0 seconds") -> DataFrame:
@@ -80,12 +81,12 @@ def streaming_bars(ticks: DataFrame, width: str = "1 minute", delay: str = "0 se
             .na.drop("any", subset=["bid_open", "ask_open"]))
 
 
-def run_latest_prices(spark: SparkSession, source_dir: str, query_name: str):
+def run_latest_prices(spark: SparkSession, ticks: DataFrame, query_name: str):
     """The conflated latest price per instrument as a stream (``update``
     output: each trigger emits the instruments that moved) into a memory
     table for inspection; returns the finished query."""
     with state_partitions(spark):
-        q = (bar_ops.latest_prices(bar_ops.market_open(tick_stream(spark, source_dir)))
+        q = (bar_ops.latest_prices(bar_ops.market_open(ticks))
              .writeStream.outputMode("update").format("memory").queryName(query_name)
              .option("checkpointLocation", stream_dir(spark, query_name) + "/_checkpoint")
              .trigger(availableNow=True).start())
@@ -93,14 +94,14 @@ def run_latest_prices(spark: SparkSession, source_dir: str, query_name: str):
     return q
 
 
-def run_bars(spark: SparkSession, source_dir: str, width: str, out_dir: str | None = None,
+def run_bars(spark: SparkSession, ticks: DataFrame, width: str, out_dir: str | None = None,
              delay: str = "0 seconds") -> str:
-    """Run the bar stream to completion (``availableNow``) into an
+    """Run the bar stream to completion (``availableNow``) into an
     append-only Parquet table; returns its path. Re-running with the same
     ``out_dir`` resumes from the checkpoint and adds nothing twice."""
     out_dir = out_dir or stream_dir(spark, "bars")
     with state_partitions(spark):
-        q = (streaming_bars(tick_stream(spark, source_dir), width, delay)
+        q = (streaming_bars(ticks, width, delay)
              .writeStream.outputMode("append").format("parquet")
              .option("path", f"{out_dir}/data").option("checkpointLocation", f"{out_dir}/_checkpoint")
              .trigger(availableNow=True).start())
@@ -108,6 +109,17 @@ def run_bars(spark: SparkSession, source_dir: str, width: str, out_dir: str | No
     return f"{out_dir}/data"
 
 
+def run_ticks(spark: SparkSession, ticks: DataFrame, out_dir: str) -> str:
+    """T3 + T1: keep every raw tick, once, in an append-only table parted into
+    ``market_open=true`` and the side table ``market_open=false``; returns its path."""
+    open_ = F.coalesce(F.col("market_state") == F.lit("TRADEABLE"), F.lit(False))
+    q = (ticks.withColumn("market_open", open_).writeStream.outputMode("append").format("parquet")
+         .partitionBy("market_open").option("path", f"{out_dir}/ticks")
+         .option("checkpointLocation", f"{out_dir}/_checkpoint_ticks").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return f"{out_dir}/ticks"
+
+
 def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | None:
     """Newest ``epoch=N`` folder under ``path`` with N < ``epoch`` (a metadata
     listing on the driver, no data read)."""
@@ -126,54 +138,86 @@ def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | No
     return max(found) if found else None
 
 
-def score_new_bars(spark: SparkSession, new_bars: DataFrame, history: DataFrame | None, training: DataFrame,
-                   past_periods: int, k: int, r_threshold: float, model_name: str, model_version: str,
-                   hold_minutes: int) -> DataFrame:
-    """T6 + T7 + T8: features of the new bars from ``history`` (the last
-    ``past_periods`` bars per instrument, or None), kNN scoring against the
-    training table, threshold -> position rows."""
+def live_features(new_bars: DataFrame, history: DataFrame | None, past_periods: int) -> DataFrame:
+    """Feature vectors of the new bars, with ``history`` (the last
+    ``past_periods`` bars per instrument, or None) before them; an instrument is
+    scored once it has at least ``past_periods`` bars."""
     cur = new_bars.withColumn("_new", F.lit(True))
     allb = cur if history is None else history.withColumn("_new", F.lit(False)).unionByName(cur)
-    # An instrument is scored once it has at least ``past_periods`` bars.
     enough = allb.groupBy("epic").agg(F.count(F.lit(1)).alias("_nb")).filter(F.col("_nb") >= past_periods)
-    allb = allb.join(enough.select("epic"), "epic", "left_semi")
+    allb = allb.join(enough.select("epic"), "epic", "left_semi").withColumn("level", F.col("ask_open"))
     feats = features.model_features(allb, past_periods).filter(F.col("_new"))
-    cols = features.lag_columns("ask_open", past_periods)
-    q = feats.withColumn("vec", F.array(*[F.col(c) for c in cols]))
-    nb = knn.knn(q, training, k, q_id="seq", t_id="seq", q_vec="vec", t_vec="vec", t_y="y_true")
-    pred = knn.knn_predict(nb).withColumnRenamed("q_id", "seq")
-    scored = new_bars.withColumnRenamed("ask_open", "level").join(pred, "seq")
-    return positions.signals_to_positions(scored, r_threshold, model_name, model_version, hold_minutes)
-
-
-def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, out_dir: str, training: DataFrame,
-                         models: list[dict], past_periods: int, hold_minutes: int) -> None:
-    """One micro-batch of new bars: score them with every model, append the
-    positions and the bars, and roll the per-instrument tail forward.
-
-    History is the tail table of the newest committed epoch: at most
-    ``past_periods`` bars per instrument, however long the stream runs. Every
-    write replaces only this epoch's partition, so a replayed batch (after a
+    return feats.select(*ROW_KEY, "level", F.array(*[F.col(c) for c in features.lag_columns("ask_open", past_periods)]).alias("vec"))
+
+
+def score(feats: DataFrame, model: dict, hold_minutes: int) -> DataFrame:
+    """T7 + T8: one deployed model on its instrument's feature rows (on all,
+    where it names none), threshold -> position rows."""
+    own = feats if model.get("instrument") is None else feats.filter(F.col("epic") == F.lit(model["instrument"]))
+    pred = knn.knn_predict(knn.search(own, model["fitted"], model["k"], ROW_KEY), ROW_KEY)
+    return positions.signals_to_positions(own.select(*ROW_KEY, "level").join(pred, ROW_KEY), model["r_threshold"],
+                                          model["model_name"], str(model["model_version"]), hold_minutes)
+
+
+def _table(spark: SparkSession, path: str, epoch: int | None) -> DataFrame | None:
+    return None if epoch is None else spark.read.parquet(f"{path}/epoch={epoch}")
+
+
+def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, out_dir: str, models: list[dict],
+                         past_periods: int, hold_minutes: int) -> None:
+    """One micro-batch of new bars: close what is due, score the bars with every
+    model, append positions, fills, outcomes and bars, and roll the state tables
+    forward (the last bars per instrument, and the open positions).
+
+    State is the newest committed epoch's: at most ``past_periods`` bars per
+    instrument and the positions still open, however long the stream runs. Every
+    write replaces only this epoch's folder, so a replayed batch (after a
     failure before the commit) rewrites instead of duplicating."""
-    pos_path, bars_path, tail_path = f"{out_dir}/positions", f"{out_dir}/bars", f"{out_dir}/tails"
-    prev = _latest_epoch_before(spark, tail_path, epoch_id)
-    history = spark.read.parquet(f"{tail_path}/epoch={prev}") if prev is not None else None
-    new_pos = None
+    def put(df: DataFrame, name: str) -> DataFrame:
+        path = f"{out_dir}/{name}/epoch={epoch_id}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    prev = _latest_epoch_before(spark, f"{out_dir}/tails", epoch_id)
+    history, held = _table(spark, f"{out_dir}/tails", prev), _table(spark, f"{out_dir}/open", prev)
+    feats = put(live_features(batch, history, past_periods), "features")  # the same for every model
+    opened = None
     for m in models:  # a handful of deployed configurations, not data
-        p = score_new_bars(spark, batch, history, training, past_periods, m["k"], m["r_threshold"],
-                           m["model_name"], str(m["model_version"]), hold_minutes)
-        new_pos = p if new_pos is None else new_pos.unionByName(p)
-    new_pos.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(pos_path)
-    batch.withColumn("epoch", F.lit(epoch_id)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("epoch").parquet(bars_path)
+        p = score(feats, m, hold_minutes)
+        opened = p if opened is None else opened.unionByName(p)
+    opened = put(opened, "positions")
+    bars = put(batch, "bars")
+    # A position is due from its exit time on; it closes at the first bar at or after it
+    candidates = opened if held is None else held.unionByName(opened)
+    fills = put(positions.paper_fills(candidates, bars), "sold")
+    put(positions.outcomes(candidates.join(fills.select("dealId"), "dealId", "left_semi"), fills), "outcomes")
+    put(positions.still_open(candidates, fills), "open")
     both = batch if history is None else history.unionByName(batch)
-    tail = features.series_tail(both, past_periods).drop("rows_from_end")
-    tail.write.mode("overwrite").parquet(f"{tail_path}/epoch={epoch_id}")
-    # Retention: tails older than the one this batch read are never read again
+    put(features.series_tail(both, past_periods).drop("rows_from_end"), "tails")
+    # Retention: states older than the one this batch read are never read again
     # (a replay of this epoch reads ``prev``), so the listing stays short.
     if prev is not None:
-        _drop_epochs_before(spark, tail_path, prev)
+        for name in ("tails", "open"):
+            _drop_epochs_before(spark, f"{out_dir}/{name}", prev)
+
+
+def monitoring_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """T13 + J4 + J6: positions with their fills and outcomes, and ticks next to
+    the bar with exactly their time, from the tables that the loop has written."""
+    opened, closed = spark.read.parquet(f"{out_dir}/positions"), spark.read.parquet(f"{out_dir}/outcomes")
+    done = closed.select("dealId", "close_date", "close_level_responce", "y_true", "profit_responce")
+    out = {"positions": opened.drop("epoch").join(done, "dealId", "left")}
+    if _latest_epoch_before(spark, f"{out_dir}/bars", 1 << 62) is not None and _exists(spark, f"{out_dir}/ticks"):
+        ticks, bars = spark.read.parquet(f"{out_dir}/ticks"), spark.read.parquet(f"{out_dir}/bars")
+        r = ticks.select("epic", "updated_at", "seq", *[F.col(c).alias(f"{c}_raw_stream") for c in ("bid_open", "ask_open")])
+        b = bars.select("epic", "updated_at", *[F.col(c).alias(f"{c}_stream") for c in ("bid_open", "ask_open")])
+        out["ticks"] = r.join(b, ["epic", "updated_at"], "left")
+    return out
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hpath)
 
 
 def _drop_epochs_before(spark: SparkSession, path: str, epoch: int) -> None:
@@ -186,35 +230,37 @@ def _drop_epochs_before(spark: SparkSession, path: str, epoch: int) -> None:
             fs.delete(st.getPath(), True)
 
 
-def run_signals(spark: SparkSession, source_dir: str, training: DataFrame, width: str = "1 hour",
-                past_periods: int = 3, k: int = 3, r_threshold: float = 1.0, model_name: str = "knn-reg-model",
-                model_version: str = "1", hold_minutes: int = 1, out_dir: str | None = None,
-                models: list[dict] | None = None) -> str:
-    """T1-T9 + T14 end to end: bars stream, and per micro-batch the new bars
-    are appended to the bar table, scored and turned into positions.
+def run_signals(spark: SparkSession, ticks: DataFrame, models: list[dict], width: str = "1 hour",
+                delay: str = "0 seconds", past_periods: int = 3, hold_minutes: int = 1,
+                out_dir: str | None = None) -> str:
+    """T1-T12 + T14 end to end: bars stream, and per micro-batch the new bars
+    are kept, scored and turned into positions, and due positions are closed.
 
-    ``models`` (T14) lists several deployed configurations
-    (``model_name, model_version, k, r_threshold``) scored on the same stream;
-    ``model_used`` tells their positions apart. Default: the single model
-    given by the keyword arguments."""
-    models = models or [dict(model_name=model_name, model_version=model_version, k=k, r_threshold=r_threshold)]
+    ``models`` lists the deployed configurations: ``model_name``,
+    ``model_version``, ``fitted`` (a :class:`barflow.operators.knn.KnnModel`,
+    fitted or loaded once, before the stream starts), ``k``, ``r_threshold`` and
+    the ``instrument`` it trades (None: all). ``delay`` is how late a tick may
+    come, over all instruments (the watermark is global): ticks later than that
+    are in the raw table, not in a bar. Returns the folder of the tables."""
     out_dir = out_dir or stream_dir(spark, "signals")
-    training = training.persist()
+    models = [{**m, "fitted": dataclasses.replace(m["fitted"], cells=m["fitted"].cells.persist())} for m in models]
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
-        # The micro-batch feeds several actions (size checks, scoring, writes):
-        # keep it for the duration of this call only.
+        # The micro-batch feeds several writes: keep it for the duration of this call only.
         batch = batch.persist()
         try:
             if not batch.isEmpty():
-                process_signal_batch(spark, batch, epoch_id, out_dir, training, models, past_periods, hold_minutes)
+                process_signal_batch(spark, batch, epoch_id, out_dir, models, past_periods, hold_minutes)
         finally:
             batch.unpersist()
 
-    with state_partitions(spark):
-        q = (streaming_bars(tick_stream(spark, source_dir), width)
-             .writeStream.outputMode("append").foreachBatch(on_batch)
-             .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
-    q.awaitTermination()
-    training.unpersist()
-    return f"{out_dir}/positions"
+    try:
+        with state_partitions(spark):
+            q = (streaming_bars(ticks, width, delay)
+                 .writeStream.outputMode("append").foreachBatch(on_batch)
+                 .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        for m in models:
+            m["fitted"].cells.unpersist()
+    return out_dir

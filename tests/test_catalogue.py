@@ -27,7 +27,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_sql_or_is_known_rows_only():
     rows_only = set(E.queries()) - set(SQL)
-    assert rows_only == {"trend_cubic", "stream_bars", "stream_signals"}
+    assert rows_only == {"trend_cubic"}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -2,22 +2,64 @@
 
 import tempfile
 
+from pyspark.sql import functions as F
+
 from barflow import jobs
+from barflow.operators import knn
+from barflow.plans import fixtures
 
 from conftest import SF_SMALL
 
 
-def test_history_and_train_jobs_write_outputs(spark):
+def test_history_job_adds_only_new_buckets(spark):
+    out = tempfile.mkdtemp(prefix="barflow-jobs-")
+    ticks = fixtures.raw_stream(spark, SF_SMALL)
+    cut = ticks.selectExpr("date_trunc('day', percentile_approx(updated_at, 0.5))").first()[0]
+    jobs.history_job(spark, ticks.filter(F.col("updated_at") < F.lit(cut)), out, "2024-02-10")
+    n = spark.read.parquet(f"{out}/history").count()
+    got = jobs.history_job(spark, ticks, out, "2024-02-20")  # the stored buckets stay, the others come
+    assert n < got["history"].count() == ticks.count()
+    assert [str(r.fetch_end) for r in got["next_buckets"].select("fetch_end").distinct().collect()] == ["2024-02-19"]
+    assert got["coverage_2h"].agg(F.sum("n_ticks")).first()[0] == ticks.count()
+
+
+def test_train_stores_a_model_that_the_live_job_loads(spark):
     out = tempfile.mkdtemp(prefix="barflow-jobs-")
-    jobs.history_job(spark, SF_SMALL, out, "2024-02-10")
-    assert spark.read.parquet(f"{out}/history").count() == 2 * spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
-    assert spark.read.parquet(f"{out}/next_buckets").count() == 5
-    jobs.train_job(spark, SF_SMALL, out, 3, 3)
-    jobs.train_job(spark, SF_SMALL, out, 5, 3)  # a second run appends to the log
+    bars = fixtures.stream(spark, SF_SMALL)
+    epic = bars.select(F.min("epic")).first()[0]
+    all_, one = jobs.train_job(spark, bars, out, 3, 3), jobs.train_job(spark, bars, out, 5, 3, instrument=epic)
     metrics = spark.read.parquet(f"{out}/run_metrics")
     assert metrics.select("run_id").distinct().count() == 2
-    assert metrics.filter("key = 'test_mae'").count() == 2
+    keys = {r.key for r in metrics.collect()}
+    assert {"test_mae", "train_predicted_frequency", "test_actual_frequency", "train_first_time", "test_quantile_0.99"} <= keys
     assert spark.read.parquet(f"{out}/predictions").select("run_id").distinct().count() == 2
+    models = jobs.load_models(spark, out, [(all_["run_id"], None), (one["run_id"], 0.8)])
+    assert [(m["k"], m["r_threshold"], m["instrument"]) for m in models] == [(3, 1.0, None), (5, 0.8, epic)]
+    near = knn.search(spark.read.parquet(f"{out}/matrix/{all_['run_id']}"), models[0]["fitted"], 3, jobs.ROW_KEY)
+    again = knn.knn_predict(near, jobs.ROW_KEY)
+    stored = all_["predictions"].select(*jobs.ROW_KEY, "y_pred")
+    assert stored.count() == again.count() and stored.exceptAll(again).count() == 0
+    ticks = fixtures.tick_stream(spark, SF_SMALL)
+    tables = jobs.live_job(spark, ticks, out, [(all_["run_id"], 0.9), (one["run_id"], 0.8)], f"{out}/live")
+    used = {(r.model_used, r.epic) for r in tables["positions"].collect()}
+    assert {m for m, _ in used} == {"knn-reg-model-v1", "knn-reg-model-v2"} and {e for m, e in used if m.endswith("v2")} == {epic}
+
+
+def test_the_checkpoint_folder_is_asked_for_off_local_mode(monkeypatch):
+    import pytest
+    from barflow import session
+
+    class Fake:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+        conf = {}
+    with pytest.raises(RuntimeError):
+        session.checkpoint_root(Fake)
+    assert session.is_local("local[4]") and session.is_local("local") and not session.is_local("local-cluster[2,1,1024]")
 
 
 def test_release_materialized_removes_only_written_intermediates(spark):

@@ -13,14 +13,28 @@ def _emb(spark):
     return read_table(spark, SF_SMALL, "embeddings", ["vec_id", "embedding", "label"])
 
 
-def test_knn_block_path_equals_broadcast_path(spark):
-    e = _emb(spark)
+def test_knn_is_the_same_for_any_cut(spark):
+    """Pivots and block sizes change the work, not the rows; duplicates tie."""
+    e = _emb(spark).limit(400)
+    e = e.unionByName(e.limit(60).withColumn("vec_id", F.col("vec_id") + 10_000))
     kw = dict(q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding", t_y="label")
-    a = knn.knn(e, e, 3, force="broadcast", **kw).select("q_id", "rank", "t_id", F.round("distance", 9).alias("d"))
-    b = knn.knn(e, e, 3, force="blocks", block_rows=60, **kw).select("q_id", "rank", "t_id",
-                                                                     F.round("distance", 9).alias("d"))
-    assert a.count() == 3 * e.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    got = [{(r.q_id, r["rank"]): (r.t_id, round(r.distance, 9)) for r in
+            knn.knn(e, e, 3, pivots=p, block_rows=b, **kw).collect()} for p, b in ((1, 10**6), (7, 60), (64, 25))]
+    assert got[0] == got[1] == got[2] and len(got[0]) == 3 * e.count()
+
+
+def test_knn_keys_of_two_instruments_stay_apart(spark):
+    rows = [(k, i, [float(i), 1.0 if k == "a" else 50.0], float(i)) for k in "ab" for i in range(20)]
+    df = spark.createDataFrame(rows, "epic string, seq long, vec array<double>, y double")
+    nb = knn.knn(df, df, 2, q_id=["epic", "seq"], t_id=["epic", "seq"], t_y="y", pivots=4)
+    assert nb.count() == 80 and nb.filter("epic <> t_epic").count() == 0
+    own = knn.knn_predict(nb, ["epic", "seq"])
+    assert own.count() == 40
+
+
+def test_knn_without_training_rows_finds_nothing(spark):
+    e = _emb(spark)
+    assert knn.knn(e, e.limit(0), 3, q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding").count() == 0
 
 
 def test_knn_matches_numpy_brute_force(spark):
@@ -99,7 +113,7 @@ def test_stacked_fold_sizes_match_ntile(spark):
     from barflow.plans import fixtures
     from conftest import SF_MID
     s = features.return_target(features.future_bids(fixtures.stream(spark, SF_MID), 1), alias="y")
-    pred, final = forecast.stacked_regression(s, (3, 10), "y", ["epic"], ["updated_at", "seq"])
+    pred, final = forecast.stacked_regression(fixtures.stream(spark, SF_MID), (3, 10), ["epic"], ["updated_at", "seq"])
     got = pred.groupBy("epic", "fold").count()
     base = s.filter(F.col("y").isNotNull())
     ref = (base.withColumn("fold", F.ntile(5).over(Window.partitionBy("epic").orderBy("updated_at", "seq")) - 1)
@@ -148,28 +162,10 @@ def test_observe_shape_counts_during_the_action(spark):
 
 def test_top_k_kernel_tie_rule():
     from barflow.operators.knn import _top_k
-    # four training rows at the same distance from the query: the smallest ids win
-    t_ids = np.array([40, 10, 30, 20, 50])
-    t_mat = np.array([[1.0, 0.0], [0.0, 1.0], [-1.0, 0.0], [0.0, -1.0], [5.0, 5.0]])
-    out = _top_k(np.array([1]), np.array([[0.0, 0.0]]), t_ids, t_mat, np.arange(5.0), 3)
-    assert list(out.t_id) == [10, 20, 30]
     rng = np.random.default_rng(0)
     q, t = rng.integers(0, 3, size=(30, 2)).astype(float), rng.integers(0, 3, size=(60, 2)).astype(float)
-    ids = rng.permutation(60) + 100
-    got = _top_k(np.arange(30), q, ids, t, np.zeros(60), 4)
+    rows, cols, dist = (np.concatenate(x) for x in zip(*_top_k(q, t, 4, budget=500)))
     d = np.sqrt(((q[:, None] - t[None]) ** 2).sum(-1))
-    for i in range(30):
-        expect = [ids[j] for j in np.lexsort((ids, d[i]))[:4]]
-        assert list(got[got.q_id == i].t_id) == expect
-
-
-def test_knn_block_path_at_a_larger_size(spark):
-    """Several blocks per side (2,000 rows, 4 x 4 block pairs): every query
-    gets k neighbours and the block path equals the broadcast path."""
-    e = read_table(spark, "/root/testdata/sf0.1", "embeddings", ["vec_id", "embedding", "label"])
-    kw = dict(q_id="vec_id", t_id="vec_id", q_vec="embedding", t_vec="embedding", t_y="label")
-    a = knn.knn(e, e, 3, force="broadcast", **kw).select("q_id", "rank", "t_id", F.round("distance", 9).alias("d"))
-    b = knn.knn(e, e, 3, force="blocks", block_rows=500, **kw).select("q_id", "rank", "t_id",
-                                                                      F.round("distance", 9).alias("d"))
-    assert b.count() == 3 * e.count() == a.count()
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for i in range(30):  # equal distances: the smaller place wins
+        expect = np.lexsort((np.arange(60), d[i]))[:4]
+        assert list(cols[rows == i]) == list(expect) and np.allclose(dist[rows == i], d[i][expect])

@@ -1,10 +1,12 @@
-"""Streaming bars equal the batch bars minus open ones; restarts add nothing."""
+"""Streaming bars equal the batch bars minus open ones; restarts add nothing;
+the live loop's tables equal the batch operators on all bars."""
 
 import tempfile
 
 from pyspark.sql import functions as F
 
-from barflow.operators import bars
+from barflow.jobs import ROW_KEY, training_matrix
+from barflow.operators import bars, knn, positions
 from barflow.plans import fixtures
 from barflow.streaming import live
 
@@ -13,7 +15,8 @@ from conftest import SF_SMALL
 
 def test_stream_bars_match_batch_and_restart_is_idempotent(spark):
     out = tempfile.mkdtemp(prefix="barflow-stream-")
-    path = live.run_bars(spark, SF_SMALL, "1 hour", out_dir=out)
+    ticks = lambda: fixtures.tick_stream(spark, SF_SMALL)
+    path = live.run_bars(spark, ticks(), "1 hour", out_dir=out)
     streamed = spark.read.parquet(path)
     n1 = streamed.count()
     batch_all = bars.last_bars(bars.market_open(fixtures.raw_stream(spark, SF_SMALL)), "1 hour",
@@ -25,16 +28,14 @@ def test_stream_bars_match_batch_and_restart_is_idempotent(spark):
     newest = batch_all.agg(F.max("updated_at")).first()[0]
     missing = batch_all.join(streamed.select("epic", "updated_at"), ["epic", "updated_at"], "left_anti")
     assert missing.filter(F.col("updated_at") < newest).count() == 0
-    live.run_bars(spark, SF_SMALL, "1 hour", out_dir=out)  # restart from the checkpoint
+    live.run_bars(spark, ticks(), "1 hour", out_dir=out)  # restart from the checkpoint
     assert spark.read.parquet(path).count() == n1
 
 
 def test_update_stream_parse_equals_batch(spark):
     """S10/T16 as a real stream: the same parse over readStream."""
     from barflow.plans.catalogue_misc import opu_documents, parse_updates, updates_parsed
-    ev = (spark.readStream.schema(live.EVENTS_SCHEMA).option("pathGlobFilter", "events.parquet")
-          .parquet(SF_SMALL))
-    parsed = parse_updates(opu_documents(ev))
+    parsed = parse_updates(opu_documents(fixtures.event_stream(spark, SF_SMALL)))
     q = parsed.writeStream.format("memory").queryName("opu_stream").outputMode("append") \
         .trigger(availableNow=True).start()
     q.awaitTermination()
@@ -44,54 +45,85 @@ def test_update_stream_parse_equals_batch(spark):
     assert streamed.exceptAll(batch).count() == 0
 
 
-def test_stream_signals_two_models(spark):
-    from barflow.streaming.catalogue_stream import stream_signals  # noqa: F401 (registers)
-    from barflow.operators import features
-    from barflow.plans.catalogue_bars import chronological_split
-    bars_b = fixtures.stream(spark, SF_SMALL)
-    rows = (features.shift_features(bars_b, future={"bid_open": 1}, past={"ask_open": 3})
-            .transform(features.return_target, alias="y_true").filter(F.col("y_true").isNotNull()))
-    cols = features.lag_columns("ask_open", 3)
-    rows = features.normalise(features.impute(rows, cols), cols)
-    train = (chronological_split(rows).filter(F.col("split") == "train")
-             .select("seq", F.array(*[F.col(c) for c in cols]).alias("vec"), "y_true"))
-    models = [dict(model_name="knn-reg-model", model_version=1, k=3, r_threshold=1.0),
-              dict(model_name="knn-reg-model", model_version=2, k=5, r_threshold=1.0)]
-    path = live.run_signals(spark, SF_SMALL, train, width="1 hour", models=models)
-    got = {r.model_used for r in spark.read.parquet(path).select("model_used").distinct().collect()}
-    assert got <= {"knn-reg-model-v1", "knn-reg-model-v2"} and len(got) >= 1
-
-
-def test_two_epochs_score_like_one(spark):
-    """The per-instrument tail carried between micro-batches gives the same
-    features (and so positions) as scoring all bars at once."""
-    from barflow.operators import features
-    from barflow.plans.catalogue_bars import chronological_split
-    bars_b = fixtures.stream(spark, SF_SMALL).select("epic", "updated_at", "seq", "bid_open", "ask_open")
-    rows = (features.shift_features(bars_b, future={"bid_open": 1}, past={"ask_open": 3})
-            .transform(features.return_target, alias="y_true").filter(F.col("y_true").isNotNull()))
-    cols = features.lag_columns("ask_open", 3)
-    rows = features.normalise(features.impute(rows, cols), cols)
-    train = (chronological_split(rows).filter(F.col("split") == "train")
-             .select("seq", F.array(*[F.col(c) for c in cols]).alias("vec"), "y_true"))
-    models = [dict(model_name="m", model_version=1, k=3, r_threshold=0.0)]
-    cut = bars_b.selectExpr("percentile(unix_seconds(updated_at), 0.5)").first()[0]
-    first = bars_b.filter(F.unix_seconds("updated_at") <= cut)
-    second = bars_b.filter(F.unix_seconds("updated_at") > cut)
-    one, two = tempfile.mkdtemp(prefix="bf-one-"), tempfile.mkdtemp(prefix="bf-two-")
-    live.process_signal_batch(spark, bars_b, 0, one, train, models, 3, 1)
-    live.process_signal_batch(spark, first, 0, two, train, models, 3, 1)
-    live.process_signal_batch(spark, second, 1, two, train, models, 3, 1)
-    live.process_signal_batch(spark, second.limit(0), 2, two, train, models, 3, 1)  # retention step
-    import os
-    assert sorted(os.listdir(f"{two}/tails")) == ["epoch=1", "epoch=2"]
-    a = spark.read.parquet(f"{one}/positions").drop("epoch")
-    b = spark.read.parquet(f"{two}/positions").drop("epoch")
-    assert a.count() > 0 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+def _models(spark, **more):
+    rows = training_matrix(fixtures.stream(spark, SF_SMALL), 3)
+    fitted = knn.save(knn.fit(rows.filter(F.col("split") == "train"), ROW_KEY, y="y_true"), tempfile.mkdtemp(prefix="bf-model-"))
+    return [dict(model_name="m", model_version=v, k=k, r_threshold=0.9, fitted=fitted, **more) for v, k in ((1, 3), (2, 5))]
+
+
+def _bars(spark):
+    return fixtures.stream(spark, SF_SMALL).select("epic", "updated_at", "seq", "bid_open", "ask_open")
+
+
+def test_epochs_equal_one_and_the_batch_operators(spark):
+    """Whatever the cut into micro-batches, also with a batch run twice, the
+    written tables are the same, and equal the batch operators on all bars."""
+    models, b = _models(spark), _bars(spark)
+    cuts = b.selectExpr("percentile(unix_seconds(updated_at), array(0.3, 0.6)) AS c").first()[0]
+    t = F.unix_seconds("updated_at")
+    parts = [b.filter(t <= cuts[0]), b.filter((t > cuts[0]) & (t <= cuts[1])), b.filter(t > cuts[1])]
+    one, many = tempfile.mkdtemp(prefix="bf-one-"), tempfile.mkdtemp(prefix="bf-many-")
+    live.process_signal_batch(spark, b, 0, one, models, 3, 90)
+    for epoch, part in ((0, parts[0]), (1, parts[1]), (1, parts[1]), (2, parts[2])):
+        live.process_signal_batch(spark, part, epoch, many, models, 3, 90)
+    for name in ("positions", "sold", "outcomes", "bars"):
+        x, y = (spark.read.parquet(f"{d}/{name}").drop("epoch") for d in (one, many))
+        assert x.count() > 0 and x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0, name
+    still = [spark.read.parquet(f"{d}/open/epoch={e}") for d, e in ((one, 0), (many, 2))]
+    assert still[0].exceptAll(still[1]).count() == 0 and still[1].exceptAll(still[0]).count() == 0
+    opened = spark.read.parquet(f"{one}/positions").drop("epoch")
+    want = positions.outcomes(opened, positions.paper_fills(opened, b))
+    table = live.monitoring_tables(spark, many)["positions"].select(want.columns)
+    assert want.exceptAll(table).count() == 0 and table.exceptAll(want).count() == 0
+    assert still[0].count() == want.filter("close_date IS NULL").count() > 0
+
+
+def test_signals_end_to_end_one_instrument_per_model(spark):
+    models, out = _models(spark), tempfile.mkdtemp(prefix="bf-live-")
+    epic = fixtures.raw_stream(spark, SF_SMALL).select(F.min("epic")).first()[0]
+    models[1]["instrument"] = epic
+    path = live.run_ticks(spark, fixtures.tick_stream(spark, SF_SMALL), out)
+    kept = spark.read.parquet(path)
+    assert kept.drop("market_open").exceptAll(fixtures.raw_stream(spark, SF_SMALL).select(kept.drop("market_open").columns)).count() == 0
+    assert kept.count() == fixtures.raw_stream(spark, SF_SMALL).count()
+    assert kept.filter("NOT market_open").count() == bars.market_closed(fixtures.raw_stream(spark, SF_SMALL)).count() > 0
+    assert live.run_signals(spark, fixtures.tick_stream(spark, SF_SMALL), models, out_dir=out, delay="10 minutes") == out
+    got = {(r.model_used, r.epic) for r in spark.read.parquet(f"{out}/positions").collect()}
+    assert {m for m, _ in got} == {"m-v1", "m-v2"} and {e for m, e in got if m == "m-v2"} == {epic}
+    assert len({e for m, e in got if m == "m-v1"}) > 1
+    assert live.monitoring_tables(spark, out)["ticks"].count() == kept.count()
+
+
+def test_items_parse_the_same_in_batch_and_stream(spark):
+    from barflow.plans.catalogue_misc import price_items
+    folder = tempfile.mkdtemp(prefix="bf-items-")
+    price_items(spark, SF_SMALL).write.mode("overwrite").text(f"{folder}/in")
+    stream = live.ticks_from_items(spark.readStream.text(f"{folder}/in"), "value")
+    q = stream.writeStream.format("memory").queryName("items").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination()
+    batch = live.ticks_from_items(price_items(spark, SF_SMALL))
+    got = spark.table("items")
+    assert batch.count() > 0 and got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
+
+
+def test_late_ticks_are_kept_within_the_delay(spark):
+    import datetime as dt
+    base = dt.datetime(2024, 1, 1, 10)
+    rows = [("a", base + dt.timedelta(minutes=m), i, 1.0 + i, 2.0 + i, "TRADEABLE")
+            for i, m in enumerate((1, 61, 125, 59, 190, 250))]  # the fourth comes late
+    names = "epic string, updated_at timestamp, seq long, bid_open double, ask_open double, market_state string"
+    folder = tempfile.mkdtemp(prefix="bf-late-")
+    for r in rows:  # one file per tick, in order of arrival
+        spark.createDataFrame([r], names).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    for delay, want in (("0 seconds", 0), ("2 hours", 3)):
+        ticks = spark.readStream.schema(names).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+        out = spark.read.parquet(live.run_bars(spark, ticks, "1 hour", delay=delay))
+        first = out.filter(F.col("updated_at") == F.lit(base + dt.timedelta(hours=1))).first()
+        assert first.seq == want
 
 
 def test_latest_price_stream_equals_batch(spark):
-    q = live.run_latest_prices(spark, SF_SMALL, "latest_px")
+    q = live.run_latest_prices(spark, fixtures.tick_stream(spark, SF_SMALL), "latest_px")
     streamed = spark.table("latest_px")
     batch = bars.latest_prices(bars.market_open(fixtures.raw_stream(spark, SF_SMALL)))
     assert streamed.count() == batch.count() == 5
