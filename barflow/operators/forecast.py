@@ -61,21 +61,27 @@ def forecast_errors(df: DataFrame, value: str, prefix: str = "preds_", out_prefi
 
 
 def polynomial_trend(df: DataFrame, value: str, keys: Sequence[str], order: Sequence[str],
-                     degree: int = 3) -> DataFrame:
-    """M7 + F14: fit value ~ poly(t) per key, t = position / n (scaled before
-    the powers), and forecast the next position. Returns one row per key:
+                     degree: int = 3, hours: bool = False) -> DataFrame:
+    """M7 + F14: fit value ~ poly(t) per key and forecast one step ahead. The
+    axis is the position in the series, or with ``hours`` the whole hours since
+    its first row; t is the axis over one more than its last value (scaled
+    before the powers), so the next step is t = 1. Returns one row per key:
     ``(keys..., n, coef, intercept, next_forecast)``."""
     keys = list(keys)
-    idx = series.with_row_index(df, keys, order, with_size=True)
-    t = (F.col(series.IDX) / F.col("_n")).alias("_t")
-    base = idx.select(*keys, F.col(value).alias("_y"), t)
+    if hours:
+        secs = F.unix_micros(F.col(order[0]).cast("timestamp")) / F.lit(1_000_000)
+        span = df.groupBy(*keys).agg(F.min(secs).alias("_s0"), F.max(secs).alias("_s1"))
+        at = series.null_safe_join(df, span, keys)
+        axis = F.floor((secs - F.col("_s0")) / 3600)
+        t = axis / (F.floor((F.col("_s1") - F.col("_s0")) / 3600) + 1)
+    else:
+        at = series.with_row_index(df, keys, order, with_size=True)
+        t = F.col(series.IDX) / F.col("_n")
+    base = at.select(*keys, F.col(value).alias("_y"), t.alias("_t"))
     base = base.select("*", *poly_terms("_t", degree, prefix="_x"))
     feats = [f"_x{d}" for d in range(1, degree + 1)]
     fit = modeling.ols_fit(base, feats, "_y", keys)
-    t_next = F.lit(1.0)  # position n / n
-    pred: Column = F.col("intercept")
-    for i in range(degree):
-        pred = pred + F.col("coef")[i] * F.pow(t_next, F.lit(float(i + 1)))
+    pred = F.aggregate("coef", F.col("intercept"), lambda acc, c: acc + c)  # every power of 1 is 1
     return fit.select(*keys, "n", "coef", "intercept", pred.alias("next_forecast"))
 
 

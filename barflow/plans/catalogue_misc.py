@@ -15,7 +15,7 @@ from barflow.plans.catalogue_models import (BAR_MODEL_SQL, bar_model_neighbours,
                                            predictions_for)
 from barflow.plans.registry import query, with_fixtures
 from barflow.sources import files
-from barflow.sources.tables import read_table
+from barflow.sources.tables import read_or_empty, read_table, sql_text
 from barflow.streaming import live
 
 MICRO = "'%Y-%m-%d %H:%M:%S.%f'"
@@ -53,6 +53,7 @@ def history_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 AS_OF_FETCH = "2024-02-10"
+ALREADY_FETCHED = ("click", "signup")  # instruments whose planned range an earlier run has stored
 
 
 @query("history_new_buckets", f"""
@@ -60,7 +61,10 @@ AS_OF_FETCH = "2024-02-10"
     b AS (SELECT instrument, min(t)::DATE AS first_date, max(t)::DATE AS last_date FROM h GROUP BY instrument),
     r AS (SELECT *, last_date + 1 AS fetch_start, DATE '{AS_OF_FETCH}' - 1 AS fetch_end FROM b),
     m AS (SELECT DISTINCT 'training/quotes/' || lower(instrument) || '/1m/' || strftime(t::DATE, '%Y-%m-%d') || '_to_'
-                 || strftime(t::DATE, '%Y-%m-%d') AS bucket FROM h)
+                 || strftime(t::DATE, '%Y-%m-%d') AS bucket FROM h
+          UNION
+          SELECT 'training/quotes/' || lower(instrument) || '/1m/' || strftime(fetch_start, '%Y-%m-%d') || '_to_'
+                 || strftime(fetch_end, '%Y-%m-%d') FROM r WHERE instrument IN {ALREADY_FETCHED})
     SELECT instrument, strftime(first_date, '%Y-%m-%d') AS first_date, strftime(last_date, '%Y-%m-%d') AS last_date,
            strftime(fetch_start, '%Y-%m-%d') AS fetch_start, strftime(fetch_end, '%Y-%m-%d') AS fetch_end,
            CAST(epoch_ms(fetch_end::TIMESTAMP) - epoch_ms(fetch_start::TIMESTAMP) AS BIGINT) AS span_ms,
@@ -78,7 +82,8 @@ def history_new_buckets(spark: SparkSession, sf_dir: str, as_of: str = AS_OF_FET
     plan = plan.withColumn("bucket", files.bucket_path(src, F.col("instrument"), res, F.col("fetch_start"),
                                                        F.col("fetch_end")))
     day = F.to_date("updated_at")
-    manifest = h.select(files.bucket_path(src, F.col("instrument"), res, day, day).alias("bucket")).distinct()
+    manifest = (h.select(files.bucket_path(src, F.col("instrument"), res, day, day).alias("bucket"))
+                .unionByName(plan.filter(F.col("instrument").isin(*ALREADY_FETCHED)).select("bucket")).distinct())
     new = plan.join(manifest, "bucket", "left_anti")
     span = scalar.elapsed_millis(F.col("fetch_start").cast("timestamp"), F.col("fetch_end").cast("timestamp"))
     return new.select("instrument", *[scalar.format_day(c).alias(c) for c in
@@ -331,3 +336,28 @@ def run_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
         Window.orderBy("test_mean_absolute_error", "run_id")))  # a handful of runs: one small partition
     return ranked.select("run_id", "k", *[_r(c).alias(c) for c in METRIC_KEYS],
                          F.col("rank_by_test_mae").cast("long").alias("rank_by_test_mae"))
+
+
+# ---------------------------------------------------------------- scans
+
+
+@query("scan_or_empty", """
+    SELECT CASE WHEN part = 'events' THEN event_type END AS instrument, part, count(event_id) AS n
+    FROM (SELECT 'events' AS part, event_type, event_id FROM events) GROUP BY ALL""")
+def scan_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is there and one that isn't, both with declared columns."""
+    schema = read_table(spark, sf_dir, "events", ["event_id", "event_type"]).schema
+    there = read_or_empty(spark, f"{sf_dir}/events.parquet", schema).withColumn("part", F.lit("events"))
+    missing = read_or_empty(spark, f"{sf_dir}/events_of_next_year.parquet", schema).withColumn("part", F.lit("missing"))
+    return (there.unionByName(missing).groupBy(F.col("event_type").alias("instrument"), "part")
+            .agg(F.count("event_id").alias("n")))
+
+
+@query("sql_text_view", with_fixtures("""
+    SELECT model_used, count(*) AS n, round(sum(buy_level_responce), 2) AS total FROM buys
+    WHERE sell_date >= TIMESTAMP '1995-01-01' GROUP BY model_used""", "buys"))
+def sql_text_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL text over a view."""
+    return sql_text(spark, "SELECT model_used, count(*) AS n, round(sum(buy_level_responce), 2) AS total FROM {positions} "
+                           "WHERE sell_date >= TIMESTAMP '1995-01-01' GROUP BY model_used",
+                    positions=fixtures.buys(spark, sf_dir))

@@ -284,13 +284,47 @@ def trend_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.round(F.col("intercept") + F.col("slope") * F.col("n"), 2).alias("next_forecast"))
 
 
-@query("trend_cubic")
+def _cubic_sql(points: str) -> str:
+    """Cubic least squares of ``points(g, t, y)`` by the closed solution of its
+    three normal equations (sums about the means)."""
+    det = "({0} * ({4} * {8} - {5} * {7}) - {1} * ({3} * {8} - {5} * {6}) + {2} * ({3} * {7} - {4} * {6}))".format
+    a = ["a11", "a12", "a13", "a12", "a22", "a23", "a13", "a23", "a33"]
+    swap = lambda k: [f"b{i // 3 + 1}" if i % 3 == k else x for i, x in enumerate(a)]
+    sums = ", ".join(f"sum((pow(t, {i}) - m{i}) * (pow(t, {j}) - m{j})) AS a{i}{j}" for i in (1, 2, 3) for j in range(i, 4))
+    sums += ", " + ", ".join(f"sum((pow(t, {i}) - m{i}) * (y - my)) AS b{i}" for i in (1, 2, 3))
+    return f"""
+    points AS ({points}),
+    moments AS (SELECT g, count(*) AS n, avg(t) AS m1, avg(pow(t, 2)) AS m2, avg(pow(t, 3)) AS m3, avg(y) AS my FROM points GROUP BY g),
+    normal AS (SELECT g, n, m1, m2, m3, my, {sums} FROM points JOIN moments USING (g) GROUP BY ALL),
+    cubic AS (SELECT g, n, m1, m2, m3, my, {", ".join(f"{det(*swap(k))} / {det(*a)} AS c{k + 1}" for k in range(3))} FROM normal)"""
+
+
+CUBIC_NEXT = "my + c1 * (1 - m1) + c2 * (1 - m2) + c3 * (1 - m3)"
+
+
+@query("trend_cubic", with_fixtures(f"""
+    SELECT g AS Name, n, round({CUBIC_NEXT}, 2) AS next_forecast, round(c1, 1) AS c1, round(c2, 1) AS c2, round(c3, 1) AS c3
+    FROM cubic""", "daily_prices", extra=_cubic_sql("""
+    SELECT Name AS g, Open AS y, (row_number() OVER (PARTITION BY Name ORDER BY Date) - 1) / count(*) OVER (PARTITION BY Name) AS t
+    FROM daily_prices""")))
 def trend_cubic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cubic trend per daily series and its next value (M7, F14); rows-only."""
+    """Cubic trend per daily series and its next value."""
     d = fixtures.daily_prices(spark, sf_dir).withColumn("_t", F.col("Date").cast("timestamp"))
     out = forecast.polynomial_trend(d, "Open", ["Name"], ["_t"], degree=3)
     return out.select("Name", "n", F.round("next_forecast", 2).alias("next_forecast"),
-                      F.transform("coef", lambda c: F.round(c, 4)).alias("coef"))
+                      *[F.round(F.col("coef")[i], 1).alias(f"c{i + 1}") for i in range(3)])
+
+
+@query("trend_hours", with_fixtures(f"""
+    SELECT g AS epic, n, round({CUBIC_NEXT}, 4) AS next_forecast FROM cubic""", "stream", extra=_cubic_sql("""
+    SELECT epic AS g, bid_open AS y,
+           floor((epoch(updated_at) - min(epoch(updated_at)) OVER w) / 3600)
+             / (floor((max(epoch(updated_at)) OVER w - min(epoch(updated_at)) OVER w) / 3600) + 1) AS t
+    FROM stream WINDOW w AS (PARTITION BY epic)""")))
+def trend_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cubic trend over elapsed hours per instrument and its value one hour on."""
+    out = forecast.polynomial_trend(fixtures.stream(spark, sf_dir), "bid_open", ["epic"], ["updated_at"], degree=3, hours=True)
+    return out.select("epic", "n", F.round("next_forecast", 4).alias("next_forecast"))
 
 
 LOOKBACKS = (3, 10, 15)  # fixed values: the stacked model's lookbacks
@@ -366,18 +400,14 @@ def stacked_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 ROLL_LENGTHS = list(range(2, 10))
 
 
-def _roll_sql_cols() -> str:
-    cols = []
-    for n in ROLL_LENGTHS:
-        terms = " + ".join(f"CAST('{c!r}' AS DOUBLE) * lag(Open, {n - j}) OVER w"
-                           for j, c in enumerate(forecast.ols_filter_weights(n)))
-        cols.append(f"({terms}) AS preds_{n}")
-    return ", ".join(cols)
-
-
+# regressions of the window functions themselves: nothing of the code under test
 ROLL_SQL = f"""
-    roll AS (SELECT Name, Date, Open, {_roll_sql_cols()}
-             FROM daily_prices WINDOW w AS (PARTITION BY Name ORDER BY Date))"""
+    placed AS (SELECT *, row_number() OVER (PARTITION BY Name ORDER BY Date) - 1 AS i FROM daily_prices),
+    roll AS (SELECT Name, Date, Open, {", ".join(
+        f"CASE WHEN i >= {n} THEN regr_intercept(Open, i) OVER w{n} + i * regr_slope(Open, i) OVER w{n} END AS preds_{n}"
+        for n in ROLL_LENGTHS)}
+             FROM placed WINDOW {", ".join(
+        f"w{n} AS (PARTITION BY Name ORDER BY Date ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)" for n in ROLL_LENGTHS)})"""
 
 
 def _rolling(spark: SparkSession, sf_dir: str) -> DataFrame:

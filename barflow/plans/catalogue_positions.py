@@ -103,18 +103,25 @@ def monitor_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _r("profit_responce", 2).alias("profit_responce"), "close_level_text")
 
 
-@query("monitor_ticks", with_fixtures("""
-    SELECT r.epic, strftime(r.updated_at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at, r.seq,
+SNAPSHOT_EVERY = 7  # every so many ticks, the feed sends one on the full hour
+
+
+@query("monitor_ticks", with_fixtures(f"""
+    SELECT r.epic, strftime(r.at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at, r.seq,
            r.bid_open AS bid_open_raw_stream, r.ask_open AS ask_open_raw_stream,
            s.bid_open AS bid_open_stream, s.ask_open AS ask_open_stream
-    FROM raw_stream r LEFT JOIN stream s ON r.epic = s.epic AND r.updated_at = s.updated_at""",
-                                      "raw_stream", "stream"))
+    FROM (SELECT *, CASE WHEN seq % {SNAPSHOT_EVERY} = 0 THEN date_trunc('hour', updated_at) ELSE updated_at END AS at
+          FROM raw_stream) r
+    LEFT JOIN stream s ON r.epic = s.epic AND r.at = s.updated_at""", "raw_stream", "stream"))
 def monitor_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tick next to the bar with exactly its timestamp."""
-    raw = fixtures.raw_stream(spark, sf_dir)
+    full = F.date_trunc("hour", "updated_at").cast("timestamp")
+    raw = fixtures.raw_stream(spark, sf_dir).withColumn(
+        "updated_at", F.when(F.col("seq") % SNAPSHOT_EVERY == 0, full).otherwise(F.col("updated_at").cast("timestamp")))
     bars = fixtures.stream(spark, sf_dir)
     r = raw.select("epic", "updated_at", "seq", *[F.col(c).alias(f"{c}_raw_stream") for c in ("bid_open", "ask_open")])
-    b = bars.select("epic", "updated_at", *[F.col(c).alias(f"{c}_stream") for c in ("bid_open", "ask_open")])
+    b = bars.select("epic", F.col("updated_at").cast("timestamp").alias("updated_at"),
+                    *[F.col(c).alias(f"{c}_stream") for c in ("bid_open", "ask_open")])
     j = r.join(b, ["epic", "updated_at"], "left")
     return j.select("epic", ts_text("updated_at", micros=True).alias("updated_at"), "seq", "bid_open_raw_stream",
                     "ask_open_raw_stream", "bid_open_stream", "ask_open_stream")

@@ -61,6 +61,11 @@ def sql_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def sql_text(spark: SparkSession, text: str, **views: DataFrame) -> DataFrame:
+    """SQL text (S11) over DataFrames named in braces: ``FROM {positions}``."""
+    return spark.sql(text, **views)
+
+
 def object_store_csv(spark: SparkSession, bucket: str, key: str, schema: T.StructType) -> DataFrame:
     """Object-store file read (S12). Only the path form differs from S1."""
     return spark.read.schema(schema).option("header", "true").csv(f"s3a://{bucket}/{key}")
