@@ -71,4 +71,31 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_main_text, op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing,
     op7_passage_automata, op8_pitman_yor, op9_quality_rules, op10_chat)}
-ORACLE_SQL: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+TURNS = """
+    turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+              UNION ALL VALUES (-7, 0, 'user', '\\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\\### Assistant: </turn> ok'))"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op7_passage_automata": f"""
+    WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+    windows AS (SELECT doc_id, i, array_to_string(words[i:i + 19], ' ') AS said
+                FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM w WHERE len(words) >= 20)),
+    again AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY said ORDER BY doc_id, i) AS nth FROM windows)
+              WHERE nth > 1),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS at FROM again),
+    places AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS at FROM w),
+    kept AS (SELECT p.doc_id, count(*) AS n, string_agg(p.word, ' ' ORDER BY p.at) AS said
+             FROM places p ANTI JOIN gone g ON g.doc_id = p.doc_id AND g.at = p.at GROUP BY p.doc_id)
+    SELECT w.doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(said, '')) AS kept_sha256
+    FROM w LEFT JOIN kept USING (doc_id)""",
+    "op10_chat": f"""
+    WITH {TURNS}
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(14 + length(replace(regexp_replace(role, '(\\\\|###|</turn>)', '\\\\\\1', 'g'), chr(10), '\\n'))
+                    + length(regexp_replace(text, '(\\\\|###|</turn>)', '\\\\\\1', 'g'))) AS BIGINT) AS formatted_chars
+    FROM turns GROUP BY conv_id""",
+}
