@@ -16,8 +16,10 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def strip_currency(c: ColumnOrName, symbol: str = "£") -> Column:
-    """F1: '£12.50' -> 12.5 (a leading symbol removed, then a safe cast)."""
-    return F.regexp_replace(_c(c), "^" + re.escape(symbol), "").try_cast("double")
+    """F1: '£12.50' -> 12.5 and '£1,234.50' -> 1234.5: a leading symbol and commas
+    between groups of three digits removed, then a safe cast."""
+    plain = F.regexp_replace(_c(c), "^" + re.escape(symbol), "")
+    return F.regexp_replace(plain, r"(?<=\d),(?=\d{3}(\D|,|$))", "").try_cast("double")
 
 
 def parse_offset_timestamp(c: ColumnOrName) -> Column:
@@ -25,11 +27,6 @@ def parse_offset_timestamp(c: ColumnOrName) -> Column:
     return F.try_to_timestamp(_c(c), F.lit("yyyy-MM-dd HH:mm:ss[.SSSSSS]XXX"))
 
 
-def strip_zone_suffix(c: ColumnOrName, suffix: str = "-05:00") -> Column:
-    """F2 (compatibility form): drop one literal suffix, keep the wall clock."""
-    return F.try_to_timestamp(F.regexp_replace(_c(c), re.escape(suffix) + "$", ""))
-
-
 def matches_any(c: ColumnOrName, names: Sequence[str]) -> Column:
     """contains any of the names; names join into one alternation and keep
     their regex meaning, as a pandas ``str.contains`` pattern does."""
@@ -46,11 +43,6 @@ def clean_identifier(name: str) -> str:
     return re.sub(r"[.\s]+", "_", name.strip().lower())
 
 
-def to_ts(c: ColumnOrName, fmt: str | None = None) -> Column:
-    """text -> timestamp, null when unparsable."""
-    return F.try_to_timestamp(_c(c), F.lit(fmt)) if fmt else F.try_to_timestamp(_c(c))
-
-
 def time_on_date(time_text: ColumnOrName, trade_date: ColumnOrName) -> Column:
     """'HH:MM:SS' on an explicit trade date (no wall clock involved)."""
     return F.try_to_timestamp(F.concat_ws(" ", _c(trade_date).cast("string"), _c(time_text)),

@@ -36,15 +36,7 @@ class FunctionStep(Transformer):
         return self._fn(dataset, **self.getOrDefault(self.kwargs))
 
 
-def chain(df: DataFrame, *steps: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """M1: ``df.pipe(f1).pipe(f2)`` as ``df.transform(f1).transform(f2)``."""
-    for step in steps:
-        df = df.transform(step)
-    return df
-
-
-def gram_stats(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = (),
-               flat: bool = False) -> DataFrame:
+def gram_stats(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Sufficient statistics of least squares per group (rows with a null
     feature or label are left out, as a fit on ``dropna`` data would)."""
     feats = list(features)
@@ -58,7 +50,7 @@ def gram_stats(df: DataFrame, features: Sequence[str], label: str, group_cols: S
     aggs += [F.sum(F.col(a) * F.col(b)).alias(f"sxx_{i}_{j}")
              for i, a in enumerate(feats) for j, b in enumerate(feats) if j >= i]
     g = d.groupBy(*group_cols).agg(*aggs)
-    return g if flat else pack_stats(g, len(feats), group_cols)
+    return pack_stats(g, len(feats), group_cols)
 
 
 def pack_stats(g: DataFrame, p: int, group_cols: Sequence[str] = ()) -> DataFrame:

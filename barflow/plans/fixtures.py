@@ -3,7 +3,7 @@
 The reference's inputs (price ticks, positions, fills, macro series...) are
 not shipped, so each is derived from the TPC-H-like tables by a projection or
 a small aggregation. The same definitions exist as SQL in
-:mod:`barflow.plans.oracle` for the DuckDB cross-check.
+:mod:`barflow.plans.registry` for the DuckDB cross-check.
 """
 
 from __future__ import annotations

@@ -170,3 +170,28 @@ def test_nested_history_flattens_to_one_time_column(spark):
     out = features.adapt_nested_history(df)
     assert out.columns == ["epic", "seq", "updated_at", "ask_open", "bid_open"]
     assert tuple(out.first()) == ("E", 1, ts("2024-01-01 10:00:00"), 2.0, 1.0)
+
+
+def test_currency_with_thousands(spark):
+    from barflow.functions.scalar import strip_currency
+    rows = [("£1,234.50", 1234.5), ("£12.50", 12.5), ("-£3", None), ("£1,234,567", 1234567.0), ("£1,23", None), (None, None), ("x", None)]
+    df = spark.createDataFrame([(i, a) for i, (a, _) in enumerate(rows)], "i int, a string")
+    got = [r.v for r in df.select("i", strip_currency("a").alias("v")).orderBy("i").collect()]
+    assert got == [b for _, b in rows]
+
+
+def test_null_groups_are_kept_and_profit_is_not_rounded(spark):
+    from barflow.operators import evaluate, positions
+    df = spark.createDataFrame([(None, 1.0), (None, 2.0), ("a", 3.0)], "g string, v double")
+    assert evaluate.describe(df, "v", ["g"]).count() == 2
+    assert evaluate.quantile_pairs(df, "v", (0.9,), ["g"]).count() == 4
+    d = evaluate.density(df, ["v"], 4, 0.0, 1.0, ["g"]).collect()
+    assert len(d) == 8 and sum(r["count"] for r in d if r.g is None) == 2
+    p = spark.createDataFrame([("x", 1, 1.0), ("y", 2, 1.0)], "dealId string, d int, buy_level_responce double").selectExpr(
+        "dealId", "timestamp_seconds(d) AS buy_date", "buy_level_responce")
+    s = spark.createDataFrame([("x", 1.003), ("y", 1.004)], "dealId string, close_level_responce double")
+    run = positions.running_profit(positions.outcomes(p, s)).orderBy("buy_date").collect()
+    assert [round(r.profit_responce_cumsum, 6) for r in run] == [0.003, 0.007]
+    net = spark.createDataFrame([("e", 0.0)], "epic string, net_size double")
+    fc = spark.createDataFrame([("e", 1.2, 1.0)], "epic string, forecast double, last double")
+    assert positions.change_needed(net, fc).first().action == "NONE"  # 0.004 rounds to nothing
