@@ -11,6 +11,7 @@ from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS
 from barflow.plans.catalogue_models import BAR_MODEL_SQL, R_THRESHOLD, bar_model_predictions
 from barflow.plans.registry import query, with_fixtures
+from barflow.session import materialize
 
 DAY_TS = "'%Y-%m-%d %H:%M:%S'"
 MODEL_NAME, MODEL_VERSION = "knn-reg-model", "1"
@@ -187,8 +188,9 @@ def transactions_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profit_by_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running and total P&L per model with the deal count in thousands
     format (A2, W5, F13)."""
-    j = transactions_joined_df(spark, sf_dir, sort=False).withColumn(
-        "_pnl", F.col("profitAndLoss_numeric").cast("decimal(20,2)"))
+    # the reconciled rows feed the index, the sums and the totals: joined once
+    j = materialize(transactions_joined_df(spark, sf_dir, sort=False).select(
+        "model_used", "closing_dealId", "sell_date", F.col("profitAndLoss_numeric").cast("decimal(20,2)").alias("_pnl")))
     run = series.running_sum(j, ["model_used"], ["sell_date", "closing_dealId"], "_pnl", "running_pnl")
     tot = j.groupBy("model_used").agg(F.sum("_pnl").cast("double").alias("total_pnl"),
                                       thousands(F.count(F.lit(1))).alias("n_deals"))
