@@ -134,10 +134,10 @@ def _pack(path: str, capacity: int, end_id: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sequence ids: the task's number, then a count
-        encode, packer, at = encoder(path).encode, Packer(capacity), TaskContext.get().partitionId() << 40
+        encode, packer, at = encoder(path).encode_all, Packer(capacity), TaskContext.get().partitionId() << 40
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                packer.add(doc, encode(text) + end)
+            for doc, ids in zip(b.column(0).to_pylist(), encode(b.column(1).to_pylist())):
+                packer.add(doc, ids + end)
                 if len(packer.done) >= 512:
                     n = len(packer.done)
                     yield rows(packer, at)

@@ -8,15 +8,23 @@ property encodes whole texts.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 
 #: Words a worker remembers, in each of two generations.
-REMEMBERED = 300_000
-#: Ids encoded at once.
-_CHUNK = 2_000
-_MARKS = b".,;:!?"
+REMEMBERED = 400_000
+#: Words encoded at once, and bytes of text looked up at once.
+_CHUNK, _PART = 2_000, 1 << 20
+#: Runs of letters, single digits, runs of marks, in texts that have beyond ASCII only letters which stay one letter
+#: when normalised and lowered (Latin, Cyrillic, Han, Hangul).
+_UNITS = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]|[^A-Za-z0-9\x80-\xff\x20\x09-\x0D]+")
+#: Texts of letters, blanks, and points and commas that stand alone.
+_PROSE = bytes(range(65, 91)) + bytes(range(97, 123)) + bytes(range(128, 256)) + b" \t\n\x0b\x0c\r.,"
+_PAIRS = (b"..", b",,", b".,", b",.")
+_ODD = re.compile("[^\\x00-\\x7fªµºÀ-ÖØ-öø-įı-ɏЀ-ҁ一-龥가-힣]")
 
 
 def default_path() -> str:
@@ -48,67 +56,81 @@ class Encoder:
             for a in parts for b in parts for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  "))
 
     def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
+        return next(self.encode_all([text]))
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text, in order."""
         if not self.by_word:
-            return np.array(self._ids(text), "<u4").tobytes()
-        words = text.encode("utf-8", "replace").split()
-        out = []
-        for at in range(0, len(words), 1 << 16):
-            part = words[at:at + (1 << 16)]
-            try:
-                out.append(b"".join(map(self.young.__getitem__, part)))
-            except KeyError:
-                known = self._learn(set(part))
-                out.append(b"".join(map(known.__getitem__, part)))
-        return b"".join(out)
-
-    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        missing = [w for w in words if w not in self.young]
+            for t in texts:
+                yield np.array(self._ids(t or ""), "<u4").tobytes()
+            return
+        held: list[list[list[bytes]]] = []  # per text: lists of units
+        size = 0
+        for t in texts:
+            data = (t or "").encode("utf-8", "replace")
+            plain = not t or t.isascii() or not _ODD.search(t)
+            if len(data) > _PART:  # alone, and part by part
+                yield from self._looked_up(held)
+                held, size = [], 0
+                yield b"".join(x for units in self._units(data, plain) for x in self._looked_up([[units]]))
+                continue
+            held.append(list(self._units(data, plain)))
+            size += len(data)
+            if size > _PART:
+                yield from self._looked_up(held)
+                held, size = [], 0
+        yield from self._looked_up(held)
+
+    def _looked_up(self, held: list[list[list[bytes]]]) -> Iterator[bytes]:
+        needed = set().union(*(units for text in held for units in text))
+        missing = needed.difference(self.young)
         if len(self.young) + len(missing) > REMEMBERED:
             self.old, self.young = self.young, {}
-            missing = list(words)
-        known = self.young
-        plain, new = {}, []
-        for w in missing:
-            if (ids := self.old.get(w)) is not None:
-                known[w] = ids
-            else:
-                new.append(w)
-                plain[w] = self._split_mark(w)
-        todo = sorted({c for c, _ in plain.values() if c not in known and c not in self.old})
-        cores = self._encode_words(todo)
-        for w in new:
-            core, mark = plain[w]
-            ids = cores.get(core) or known.get(core) or self.old.get(core) or b""
-            known[w] = ids + (self._mark(mark) if mark else b"")
-        return known
-
-    @lru_cache(maxsize=64)  # noqa: B019 -- one encoder a process
-    def _mark(self, mark: bytes) -> bytes:
-        return np.array(self._ids(mark.decode()), "<u4").tobytes()
+            missing = needed
+        known = {u: ids for u in missing if (ids := self.old.get(u)) is not None}
+        self.young.update(known)
+        self.young.update(self._encode_words([u for u in missing if u not in known]))
+        ids_of = self.young.__getitem__
+        for text in held:
+            yield b"".join([b"".join(map(ids_of, units)) for units in text])
 
     @staticmethod
-    def _split_mark(word: bytes) -> tuple[bytes, bytes]:
-        """ASCII capitals lowered (the tokenizer lowers them too) and one last
-        mark set apart where a letter stands before it: the tokenizer parts
-        letters from marks. Words that may hold a control string stay whole."""
-        if b"<|" in word:
-            return word, b""
-        word = word.lower()
-        if len(word) > 1 and word[-1] in _MARKS and 97 <= word[-2] <= 122:
-            return word[:-1], word[-1:]
-        return word, b""
+    def _units(data: bytes, plain: bool) -> Iterator[list[bytes]]:
+        """What is looked up: letters, digits and marks apart, as the tokenizer
+        parts them; it lowers capitals too. A word with an apostrophe (part of
+        some units) or the beginning of a control string stays whole, and so
+        does any word of a text that isn't ``plain``."""
+        if not plain:
+            words = data.split()
+            for at in range(0, len(words), 1 << 16):
+                yield words[at:at + (1 << 16)]
+            return
+        if b"'" not in data and b"<|" not in data:
+            if len(data) < _PART:
+                if data.translate(None, _PROSE) or any(pair in data for pair in _PAIRS):
+                    yield _UNITS.findall(data.lower())
+                else:  # the same units, found faster
+                    yield data.lower().replace(b".", b" . ").replace(b",", b" , ").split()
+                return
+            words = data.split()
+            for at in range(0, len(words), 1 << 16):
+                yield _UNITS.findall(b" ".join(words[at:at + (1 << 16)]).lower())
+            return
+        words = data.split()
+        for at in range(0, len(words), 1 << 16):
+            yield [u for w in words[at:at + (1 << 16)]
+                   for u in ((w,) if b"'" in w or b"<|" in w else _UNITS.findall(w.lower()))]
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Letters below U+0130 make one unit each, so such words are encoded in
         a row and parted at the ids that end a unit; all others go one by one."""
         out: dict[bytes, bytes] = {}
         texts = {w: w.decode("utf-8", "replace") for w in words}
-        row = [w for w, t in texts.items() if t.isalpha() and max(t) < "İ" and b"<|" not in w]
+        row = [w for w, t in texts.items() if t.isalpha() and max(t) < "İ"]
         for at in range(0, len(row), _CHUNK):
             part = row[at:at + _CHUNK]
-            ids = np.array(self._ids(" ".join(texts[w] for w in part)), "<u4")
+            whole = self.tokenizer.encode_batch_fast([" ".join(texts[w] for w in part)], add_special_tokens=False)
+            ids = np.array(whole[0].ids, "<u4")
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) == len(part):
                 data, stops = ids.tobytes(), (ends * 4).tolist()
@@ -116,7 +138,7 @@ class Encoder:
         rest = [w for w in words if w not in out]
         for at in range(0, len(rest), _CHUNK):
             part = rest[at:at + _CHUNK]
-            for w, e in zip(part, self.tokenizer.encode_batch([texts[w] for w in part], add_special_tokens=False)):
+            for w, e in zip(part, self.tokenizer.encode_batch_fast([texts[w] for w in part], add_special_tokens=False)):
                 out[w] = np.array(e.ids, "<u4").tobytes()
         return out
 
