@@ -195,3 +195,26 @@ def test_null_groups_are_kept_and_profit_is_not_rounded(spark):
     net = spark.createDataFrame([("e", 0.0)], "epic string, net_size double")
     fc = spark.createDataFrame([("e", 1.2, 1.0)], "epic string, forecast double, last double")
     assert positions.change_needed(net, fc).first().action == "NONE"  # 0.004 rounds to nothing
+
+
+def test_asof_over_a_hot_day_equals_the_plain_answer(spark):
+    import random
+    import time
+    from barflow.operators.asof import asof_forward
+    r = random.Random(3)
+    left = [(i, "hot" if r.random() < .9 else r.choice(["a", None]), r.choice([None, 50]) if r.random() < .02 else r.randint(0, 100_000))
+            for i in range(300)]
+    right = [("hot" if r.random() < .9 else "a", r.choice([50, r.randint(0, 100_000)]), r.randint(0, 9)) for _ in range(300)]
+    as_frame = lambda rows, names: spark.createDataFrame(rows, names)
+    lf = as_frame(left, "i int, k string, s long").selectExpr("i", "k", "timestamp_seconds(s) AS t")
+    rf = as_frame(right, "k string, s long, v int").selectExpr("k", "timestamp_seconds(s) AS u", "v")
+    for rows in (8, 80, 10**6):
+        got = {x.i: (x.s, x.v) for x in asof_forward(lf, rf, ["k"], "t", "u", ["v"], "i", block_rows=rows)
+               .selectExpr("i", "unix_seconds(u) AS s", "v").collect()}
+        for i, k, s in left:
+            hits = [(b, v) for kk, b, v in right if kk == k and s is not None and b >= s]
+            assert got[i] == (min(hits) if hits else (None, None))
+    many = spark.range(20_000).selectExpr("id AS i", "'x' AS k", "timestamp_seconds(id) AS t")
+    began = time.perf_counter()
+    n = asof_forward(many, many.selectExpr("k", "t AS u", "i AS v"), ["k"], "t", "u", ["v"], "i").filter("v = i").count()
+    assert n == 20_000 and time.perf_counter() - began < 30
