@@ -72,17 +72,18 @@ class Runs:
     anchor: np.ndarray
 
 
-def runs(codes: np.ndarray, width: int, gram: int) -> Runs:
+def runs(codes: np.ndarray, width: int, gram: int, table: np.ndarray | None = None) -> Runs:
     """Group all windows of ``width`` codes by anchor.
 
     The anchor of a window is its sub-window of ``gram`` codes with the smallest
     fingerprint, the rightmost on ties, so it depends on the window's content
     alone: equal windows have equal anchors at equal places. Blocks only cut
-    runs in two, which changes no window's anchor."""
+    runs in two, which changes no window's anchor. With ``table``, ``codes`` are
+    indices into it, looked up block by block."""
     parts: list[Runs] = []
     width_keys = width - gram + 1
     for at in range(0, max(0, len(codes) - width + 1), BLOCK):
-        x = codes[at:at + BLOCK + width - 1]
+        x = _looked_up(codes[at:at + BLOCK + width - 1], table)
         sums = prefix(x)
         n = len(x) - gram + 1
         _, inverse = _powers(len(x) + 1)
@@ -104,19 +105,27 @@ def runs(codes: np.ndarray, width: int, gram: int) -> Runs:
     return Runs(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("gram", "span", "first", "last", "anchor")))
 
 
-def pairs_at(codes: np.ndarray, width: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _looked_up(codes: np.ndarray, table: np.ndarray | None) -> np.ndarray:
+    return codes if table is None else table[codes]
+
+
+def span_ranks(codes: np.ndarray, start: np.ndarray, stop: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Fingerprints of short spans with ascending starts, block by block."""
+    out, lo = np.zeros(len(start), np.uint64), 0
+    while lo < len(start):
+        base = start[lo]
+        hi = max(lo + 1, int(np.searchsorted(start, base + BLOCK)))
+        sums = prefix(_looked_up(codes[base:stop[lo:hi].max()], table))
+        out[lo:hi] = spans(sums, start[lo:hi] - base, stop[lo:hi] - base)
+        lo = hi
+    return out
+
+
+def pairs_at(codes: np.ndarray, width: int, wanted: np.ndarray, table: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Rank pairs of the windows that start at ``wanted`` (ascending): the
     fingerprints of each window's first and second half."""
-    half = width // 2
-    left, right = np.zeros(len(wanted), np.uint64), np.zeros(len(wanted), np.uint64)
-    for at in range(0, max(0, len(codes) - width + 1), BLOCK):
-        lo, hi = np.searchsorted(wanted, (at, at + BLOCK))
-        if lo == hi:
-            continue
-        sums = prefix(codes[at:at + BLOCK + width - 1])
-        p = wanted[lo:hi] - at
-        left[lo:hi], right[lo:hi] = spans(sums, p, p + half), spans(sums, p + half, p + width)
-    return left, right
+    half = wanted + width // 2
+    return span_ranks(codes, wanted, half, table), span_ranks(codes, half, wanted + width, table)
 
 
 def word_bounds(text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

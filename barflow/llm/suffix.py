@@ -9,7 +9,6 @@ half the threshold. Spark deals and groups the rank rows of every round.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,45 +17,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barflow.llm.common import Scratch, bit_test, keep_bits, row_id, scratch
-from barflow.llm.rolling import BYTE_CODES, mix, pairs_at, prefix, runs, spans
+from barflow.llm.places import LENGTH, MOST, SPANS, by_id, covered, longs, place, ranges, texts, tie
+from barflow.llm.rolling import BYTE_CODES, mix, pairs_at, runs, span_ranks
 
 #: Bits of the filters that spare the shuffle rows that can't match (16 MB; more rows only weaken them).
 FILTER_BITS = 27
-# A place is one long: 21 bits of the text's hash (parts rows that repeat an id), 31 of position, 11 of length.
-_LENGTH, _POSITION = 11, 31
 #: Windows of one run are compared in so many blocks of common core before one by one.
 CORES = 4
 Batches = Iterator[pa.RecordBatch]
 
 
-def _tie(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=4).digest(), "big") & ((1 << 21) - 1)
-
-
-def _place(tie: int, first: np.ndarray, length: np.ndarray) -> np.ndarray:
-    return (np.int64(tie) << (_LENGTH + _POSITION)) | (first << _LENGTH) | length
-
-
-def _texts(b: pa.RecordBatch):
-    for key, data in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist()):
-        yield key, data or b""
-
-
-def _long(parts: list[np.ndarray]) -> pa.Array:
-    x = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    return pa.array(x.view(np.int64))
-
-
 def _first_ranks(threshold: int):
     """Round one: a row per run of windows, ranked by its sampled position's first half."""
     def run(batches: Batches) -> Batches:
         for b in batches:
             gram, span = [], []
-            for _, data in _texts(b):
-                r = runs(BYTE_CODES[np.frombuffer(data, np.uint8)], threshold, threshold // 2)
+            for _, data in texts(b):
+                r = runs(np.frombuffer(data, np.uint8), threshold, threshold // 2, BYTE_CODES)
                 gram.append(r.gram)
                 span.append(r.span)
-            yield pa.record_batch([_long(gram), _long(span)], names=["g", "s"])
+            yield pa.record_batch([longs(gram), longs(span)], names=["g", "s"])
     return run
 
 
@@ -67,7 +47,7 @@ def _blocks(threshold: int) -> list[tuple[int, int]]:
     return [(k * step, min((k + 1) * step - 1, widest)) for k in range(CORES)]
 
 
-def _cores(sums: np.ndarray, r, threshold: int) -> list[np.ndarray]:
+def _cores(text: np.ndarray, r, threshold: int) -> list[np.ndarray]:
     """Per block of window offsets, the rank of the bytes that all windows of
     the block hold; zero where the run has no window of the block."""
     near, far = r.anchor - r.last, r.anchor - r.first
@@ -75,8 +55,9 @@ def _cores(sums: np.ndarray, r, threshold: int) -> list[np.ndarray]:
     for k, (lo, hi) in enumerate(_blocks(threshold)):
         have = (near <= hi) & (far >= lo)
         start, stop = r.anchor[have] - lo, r.anchor[have] - hi + threshold
-        out.append(np.zeros(len(near), np.uint64))
-        out[-1][have] = mix(spans(sums, start, stop) + np.uint64(k + 1))
+        # 32 bits: cores only rule windows out, and an odd number is never the zero of a missing one
+        out.append(np.zeros(len(near), np.int32))
+        out[-1][have] = (mix(span_ranks(text, start, stop, BYTE_CODES) + np.uint64(k + 1)).astype(np.uint32) | np.uint32(1)).view(np.int32)
     return out
 
 
@@ -87,19 +68,19 @@ def _recurring_runs(threshold: int, bits):
     def run(batches: Batches) -> Batches:
         for b in batches:
             cols: list[list[np.ndarray]] = [[] for _ in names]
-            for key, data in _texts(b):
-                codes = BYTE_CODES[np.frombuffer(data, np.uint8)]
-                r = runs(codes, threshold, threshold // 2)
+            for key, data in texts(b):
+                text = np.frombuffer(data, np.uint8)
+                r = runs(text, threshold, threshold // 2, BYTE_CODES)
                 keep = bit_test(bits.value, FILTER_BITS, r.gram) if len(r.gram) else np.zeros(0, bool)
                 if not keep.any():
                     continue
                 r = type(r)(r.gram[keep], r.span[keep], r.first[keep], r.last[keep], r.anchor[keep])
-                place = _place(_tie(data), r.first, r.last - r.first + 1)
-                own = [r.gram, r.span, np.full(len(place), key, np.int64), place, r.anchor - r.last]
-                for col, x in zip(cols, own + _cores(prefix(codes), r, threshold)):
+                at = place(tie(data), r.first, r.last - r.first + 1)
+                own = [r.gram, r.span, np.full(len(at), key, np.int64), at, r.anchor - r.last]
+                for col, x in zip(cols, own + _cores(text, r, threshold)):
                     col.append(x)
             if cols[0]:
-                yield pa.record_batch([_long(c) for c in cols], names=names)
+                yield pa.record_batch([longs(c) for c in cols[:5]] + [pa.array(np.concatenate(c)) for c in cols[5:]], names=names)
     return run
 
 
@@ -108,50 +89,39 @@ def _window_pairs(threshold: int):
     def run(batches: Batches) -> Batches:
         for b in batches:
             cols: list[list[np.ndarray]] = [[], [], [], []]
-            for (key, data), places in zip(_texts(b), b.column(2)):
-                tie = _tie(data)
-                open_ = _ranges(np.asarray(places.values), tie)
+            for (key, data), places in zip(texts(b), b.column(2)):
+                own = tie(data)
+                open_ = ranges(np.asarray(places.values), own)
                 at = np.unique(np.concatenate([np.arange(f, f + n) for f, n in open_])) if len(open_) else np.zeros(0, int)
                 if not len(at):
                     continue
-                left, right = pairs_at(BYTE_CODES[np.frombuffer(data, np.uint8)], threshold, at)
-                for col, x in zip(cols, (left, right, np.full(len(at), key, np.int64),
-                                         _place(tie, at, np.ones(len(at), np.int64)))):
+                left, right = pairs_at(np.frombuffer(data, np.uint8), threshold, at, BYTE_CODES)
+                # 96 bits tell windows apart
+                for col, x in zip(cols, (left, right.astype(np.uint32).view(np.int32), np.full(len(at), key, np.int64),
+                                         place(own, at, 1))):
                     col.append(x)
             if cols[0]:
-                yield pa.record_batch([_long(c) for c in cols], names=["r1", "r2", "id", "at"])
+                yield pa.record_batch([longs(cols[0]), pa.array(np.concatenate(cols[1])), longs(cols[2]), longs(cols[3])],
+                                      names=["r1", "r2", "id", "at"])
     return run
 
 
-def _ranges(places: np.ndarray, tie: int) -> np.ndarray:
-    """``(first, length)`` of the places that belong to the text with this tie."""
-    p = places[(places >> (_LENGTH + _POSITION)) == tie]
-    return np.stack([(p >> _LENGTH) & ((1 << _POSITION) - 1), p & ((1 << _LENGTH) - 1)], 1)
-
-
-def _cut(threshold: int):
+def _cut(threshold: int, as_text: bool):
     """Remove what the marked windows cover."""
-    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
-
     def run(batches: Batches) -> Batches:
         for b in batches:
             n_bytes, n_removed, cuts, kept = [], [], [], []
-            for (_, data), places in zip(_texts(b), b.column(2)):
-                mine = _ranges(np.asarray(places.values), _tie(data)) if places.is_valid else ()
-                found = []
-                for first, length in (mine[np.argsort(mine[:, 0])] if len(mine) else ()):
-                    start, stop = int(first), int(first + length - 1 + threshold)
-                    if found and start <= found[-1]["stop"]:
-                        found[-1]["stop"] = max(found[-1]["stop"], stop)
-                    else:
-                        found.append({"start": start, "stop": stop})
+            for (_, data), places in zip(texts(b), b.column(2)):
+                found = covered(places, tie(data), threshold)
                 edges = [0, *[x for c in found for x in (c["start"], c["stop"])], len(data)]
                 n_bytes.append(len(data))
                 n_removed.append(sum(c["stop"] - c["start"] for c in found))
                 cuts.append(found)
                 kept.append(b"".join(data[i:j] for i, j in zip(edges[::2], edges[1::2])))
             yield pa.record_batch([*[b.column(i) for i in range(3, b.num_columns)], pa.array(n_bytes, pa.int64()),
-                                   pa.array(n_removed, pa.int64()), pa.array(cuts, kind), pa.array(kept, pa.binary())],
+                                   pa.array(n_removed, pa.int64()), pa.array(cuts, SPANS),
+                                   pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text
+                                   else pa.array(kept, pa.binary())],
                                   names=[*b.schema.names[3:], "n_bytes", "n_removed", "spans", "kept"])
     return run
 
@@ -169,7 +139,7 @@ def _marks(found: DataFrame, threshold: int, s: Scratch) -> tuple[DataFrame, Dat
         *[F.min(f"c{k}").alias(f"c{k}") for k in range(CORES)]), "spans")
     later = (found.join(earliest.filter("n > 1").select("g", "s", "first"), ["g", "s"])
              .filter(where != F.col("first")).select("id", "at"))
-    at, length = F.col("first.at"), F.col("first.at").bitwiseAND(F.lit((1 << _LENGTH) - 1))
+    at, length = F.col("first.at"), F.col("first.at").bitwiseAND(F.lit(MOST))
     cores = earliest.select("first", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.col(f"c{k}").alias("c"),
                  F.greatest(F.lit(lo), "near").alias("lo"), F.least(F.lit(hi), F.col("near") + length - 1).alias("hi"))
@@ -177,7 +147,7 @@ def _marks(found: DataFrame, threshold: int, s: Scratch) -> tuple[DataFrame, Dat
         (length - 1 + F.col("near")).alias("anchor")).filter("x.c <> 0").select(
         F.col("first.id").alias("id"), "x.k", "x.c",
         # the block's windows: their first is anchor - hi, counted from the run's first
-        (F.expr(f"at - (at & {(1 << _LENGTH) - 1})") + (F.col("anchor") - F.col("x.hi")) * F.lit(1 << _LENGTH)
+        (F.expr(f"at - (at & {MOST})") + (F.col("anchor") - F.col("x.hi")) * F.lit(1 << LENGTH)
          + F.col("x.hi") - F.col("x.lo") + 1).alias("at"))
     cores = s.table(cores, "cores")
     again = cores.groupBy("k", "c").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("k", "c")
@@ -185,44 +155,48 @@ def _marks(found: DataFrame, threshold: int, s: Scratch) -> tuple[DataFrame, Dat
 
 
 def remove_repeats(docs: DataFrame, threshold: int = 100, id_col: str = "doc_id", text_col: str = "text",
-                   carry: tuple[str, ...] = ()) -> DataFrame:
+                   carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """Cut from every text each byte covered by a string of ``threshold`` bytes
     that also starts earlier: in a text of a smaller id or earlier in the same
     text. Strings are judged on the input and never cross texts.
 
     Returns the id, the ``carry`` columns, ``n_bytes``, ``n_removed``, ``spans``
-    (maximal removed runs, byte offsets) and ``kept`` (remaining bytes, which
-    may end inside a character). One row per row of ``docs``.
+    (maximal removed runs, byte offsets) and ``kept``: the remaining bytes, which
+    may lack part of a character, or with ``as_text`` the text they make without
+    such characters. One row per row of ``docs``.
 
     Null text counts as empty. A null id counts as the smallest. Rows with one
     id and different texts are ordered by a hash of their text; rows with one id
     and one text are one document, and each gets its result. An empty table
     gives no rows; other columns are ignored."""
     spark = docs.sparkSession
-    if not 8 <= threshold < 1 << _LENGTH:
-        raise ValueError(f"threshold must be from 8 to {(1 << _LENGTH) - 1}")
+    if not 8 <= threshold < 1 << LENGTH:
+        raise ValueError(f"threshold must be from 8 to {MOST}")
     with scratch(spark) as s:
         text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
         rows = docs.select(row_id(id_col).alias("id"), text)
         first = rows.mapInArrow(_first_ranks(threshold), "g long, s long")
         again = s.table(first.groupBy("g").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("g"), "ranks")
         bits = spark.sparkContext.broadcast(keep_bits(again, "g", FILTER_BITS))
-        kinds = "g long, s long, id long, at long, near long, " + ", ".join(f"c{k} long" for k in range(CORES))
+        kinds = "g long, s long, id long, at long, near long, " + ", ".join(f"c{k} int" for k in range(CORES))
         found = s.table(rows.mapInArrow(_recurring_runs(threshold, bits), kinds).join(again, "g"), "runs")
         later, open_ = _marks(found, threshold, s)
         later = s.table(later, "later")
-        wanted = open_.groupBy("id").agg(F.collect_list("at").alias("places"))
+        s.drop(found, again)
+        wanted = by_id(open_)
         pairs = s.table(rows.join(wanted, "id").select("id", "text", "places")
-                        .mapInArrow(_window_pairs(threshold), "r1 long, r2 long, id long, at long"), "pairs")
+                        .mapInArrow(_window_pairs(threshold), "r1 long, r2 int, id long, at long"), "pairs")
         low = pairs.groupBy("r1", "r2").agg(F.min(F.struct("id", "at")).alias("first"), F.count(F.lit(1)).alias("n")
                                             ).filter("n > 1").select("r1", "r2", "first")
         low = s.table(low, "low")
         marked = pairs.join(low, ["r1", "r2"]).filter(F.struct("id", "at") != F.col("first")).select("id", "at")
-        places = s.table(later.unionByName(marked).groupBy("id").agg(F.collect_list("at").alias("places")), "places")
+        places = s.table(by_id(later.unionByName(marked)), "places")
+        s.drop(pairs, low, later)
         kept = [F.col(c).alias(f"_carry_{i}") for i, c in enumerate((id_col, *carry))]
         whole = docs.select(row_id(id_col).alias("id"), text, *kept)
         joined = whole.join(places, "id", "left").select("id", "text", "places", *[f"_carry_{i}" for i in range(len(kept))])
         schema = ", ".join([*[f"_carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate((id_col, *carry))],
-                            "n_bytes long", "n_removed long", "spans array<struct<start:long,stop:long>>", "kept binary"])
-        out = joined.mapInArrow(_cut(threshold), schema)
+                            "n_bytes long", "n_removed long", "spans array<struct<start:long,stop:long>>",
+                            f"kept {'string' if as_text else 'binary'}"])
+        out = joined.mapInArrow(_cut(threshold, as_text), schema)
         return out.withColumnsRenamed({f"_carry_{i}": c for i, c in enumerate((id_col, *carry))})

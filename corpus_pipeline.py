@@ -43,9 +43,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     a character cut in two goes; documents of which nothing is left go."""
     rows, named = _apart(docs)
     kept = suffix.remove_repeats(rows, id_col=named["doc_id"], text_col=named["text"],
-                                 carry=tuple(n for c, n in named.items() if c not in ("doc_id", "text")))
-    text = F.decode("kept", "UTF-8")
-    whole = kept.withColumn(named["text"], F.when(F.col("n_removed") > 0, F.regexp_replace(text, "\ufffd", "")).otherwise(text))
+                                 carry=tuple(n for c, n in named.items() if c not in ("doc_id", "text")), as_text=True)
+    whole = kept.withColumn(named["text"], F.col("kept"))
     whole = whole.filter((F.length(named["text"]) > 0) | (F.col("n_removed") == 0))
     whole = whole.withColumn(named["n_chars"], F.length(named["text"]).cast("long"))
     return whole.select(*[F.col(new).alias(old) for old, new in named.items()])

@@ -72,6 +72,15 @@ def test_suffix_against_brute(spark, monkeypatch, block):
         assert digests(suffix.remove_repeats(df, width)) == brute_suffix(docs, width)
 
 
+def test_a_cut_inside_a_character(spark):
+    a, b = "é" * 80 + "x", "ê" + "é" * 79 + "ë"  # é, ê and ë share their first byte
+    got = {r.doc_id: r for r in suffix.remove_repeats(spark.createDataFrame([(1, a, ""), (2, b, "")], DOCS)).collect()}
+    text = {r.doc_id: r.kept for r in suffix.remove_repeats(spark.createDataFrame([(1, a, ""), (2, b, "")], DOCS), as_text=True).collect()}
+    want = brute_suffix([(1, a), (2, b)])
+    assert {i: (r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(r.kept).hexdigest()) for i, r in got.items()} == want
+    assert text == {i: bytes(r.kept).decode("utf-8", "ignore") for i, r in got.items()} and got[2].n_removed % 2 == 1
+
+
 def test_odd_rows(spark):
     empty = spark.createDataFrame([], DOCS)
     assert simhash.near_duplicates(empty).count() == 0 and suffix.remove_repeats(empty).count() == 0
@@ -123,3 +132,18 @@ def test_registered_passages(spark):
     d = "/root/testdata/sf0.001"
     docs = [(r.doc_id, r.text) for r in queries.table(spark, d, "documents").collect()]
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in queries.op7_passage_automata(spark, d).collect()} == passages(docs)
+
+
+def test_blocks_only_cut_runs(monkeypatch):
+    """Whatever the block, windows keep their anchors and rank pairs."""
+    import numpy as np
+    text = np.frombuffer((made()[3][1] * 40 + "ab" * 300).encode(), np.uint8)
+
+    def by_window():
+        r = rolling.runs(text, 60, 30, rolling.BYTE_CODES)
+        at = np.arange(len(text) - 59)
+        gram = [(int(g), int(a)) for g, a, n in zip(r.gram, r.anchor, r.last - r.first + 1) for _ in range(n)]
+        return gram, [x.tolist() for x in rolling.pairs_at(text, 60, at, rolling.BYTE_CODES)]
+    whole = by_window()
+    monkeypatch.setattr(rolling, "BLOCK", 101)
+    assert by_window() == whole and len(whole[0]) == len(text) - 59
