@@ -117,12 +117,13 @@ def _located(window: int, phrase: int):
                     left, right = pairs_at(t.codes, window, at)
                     new = first_in_text(left, right)
                     again = joined(t.tie, at[~new])
-                    none = np.zeros(len(again), np.int64)
-                    cols[0] += [left[new].view(np.int64), none]
-                    cols[1] += [right[new].view(np.int64), none]
+                    cols[0] += [left[new].view(np.int64), np.zeros(len(again), np.int64)]
+                    # 96 bits tell windows apart; fewer would not, more cost disk
+                    cols[1] += [right[new].astype(np.uint32).view(np.int32), np.zeros(len(again), np.int32)]
                     cols[2] += [place(t.tie, at[new], 1), again]
                     cols[3].append(np.full(int(new.sum()) + len(again), t.key, np.int64))
-                yield pa.record_batch([longs(c) for c in cols], names=["r1", "r2", "at", "id"])
+                yield pa.record_batch([longs(cols[0]), pa.array(np.concatenate(cols[1])), longs(cols[2]), longs(cols[3])],
+                                      names=["r1", "r2", "at", "id"])
     return run
 
 
@@ -170,13 +171,15 @@ def remove_passages(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE,
         sampled = rows.mapInArrow(_sampled_places(window, phrase, bits), "g long, id long, at long")
         wanted = s.table(by_id(sampled.join(phrases, "g").select("id", "at")), "sampled")
         located = s.table(rows.join(wanted, "id").select("id", "text", "places")
-                          .mapInArrow(_located(window, phrase), "r1 long, r2 long, at long, id long"), "located")
+                          .mapInArrow(_located(window, phrase), "r1 long, r2 int, at long, id long"), "located")
+        s.drop(phrases, wanted)
         ranked = located.filter("r1 <> 0 OR r2 <> 0")
         low = s.table(ranked.groupBy("r1", "r2").agg(F.min("id").alias("least"), F.max("id").alias("most"))
                       .filter("most > least").select("r1", "r2", "least"), "low")
         marks = (ranked.join(low, ["r1", "r2"]).filter("id > least").select("id", "at")
                  .unionByName(located.filter("r1 = 0 AND r2 = 0").select("id", "at")))
         places = s.table(by_id(marks), "places")
+        s.drop(located, low)
         kept = [F.col(c).alias(f"_carry_{i}") for i, c in enumerate((id_col, *carry))]
         whole = docs.select(row_id(id_col).alias("id"), text, *kept).join(places, "id", "left")
         fields = [f"_carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate((id_col, *carry))]
