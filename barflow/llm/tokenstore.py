@@ -28,7 +28,7 @@ END_ID = 2
 SAMPLE_DOCS, SAMPLE_BYTES, DICTIONARY_BYTES = 2_000, 4_096, 64 << 10
 #: A shard ends when its payload has so many bytes.
 SHARD_BYTES = 2 << 20
-LEVEL = 3
+LEVEL = 1
 _SHARD = ("part int, shard int, dictionary string, before long, doc_ids array<long>, stops array<long>, "
           "n_tokens array<long>, payload binary")
 
@@ -37,21 +37,27 @@ def _width(path: str) -> str:
     return "<u2" if encoder(path).size <= 1 << 16 else "<u4"
 
 
-def _serialized(path: str, text: str | None, end_id: int) -> np.ndarray:
-    return np.append(np.frombuffer(encoder(path).encode(text), "<u4"), end_id).astype(_width(path))
+def _serialized(path: str, texts: list[str | None], end_id: int) -> Iterator[np.ndarray]:
+    width, end = _width(path), np.array([end_id], "<u4").tobytes()
+    for ids in encoder(path).encode_all(texts):
+        yield np.frombuffer(ids + end, "<u4").astype(width)
 
 
 def _samples(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.record_batch([pa.array([_serialized(path, t, end_id).tobytes()[:SAMPLE_BYTES]
-                                             for t in b.column(0).to_pylist()], pa.binary())], names=["ids"])
+            yield pa.record_batch([pa.array([x.tobytes()[:SAMPLE_BYTES]
+                                             for x in _serialized(path, b.column(0).to_pylist(), end_id)], pa.binary())], names=["ids"])
     return run
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int) -> bytes:
     """From a bounded sample; with too little to train on, no dictionary."""
-    chosen = (docs.select("id", "text").orderBy(F.xxhash64("id"), "id", F.xxhash64("text")).limit(SAMPLE_DOCS).select("text"))
+    order = F.xxhash64("id")
+    first = docs.select(order.alias("h")).orderBy("h").limit(SAMPLE_DOCS).agg(F.max("h")).first()[0]  # ids alone
+    if first is None:
+        return b""
+    chosen = docs.filter(order <= F.lit(first)).orderBy(order, "id", F.xxhash64("text")).limit(SAMPLE_DOCS).select("text")
     samples = [bytes(r["ids"]) for r in chosen.mapInArrow(_samples(path, end_id), "ids binary").collect()]
     total = sum(map(len, samples))
     if len(samples) < 16 or total < 8 * 1024:
@@ -80,8 +86,7 @@ def _shards(path: str, end_id: int, dictionary: bytes):
             return pa.record_batch([pa.array(v, k) for v, k in zip(values, kinds)],
                                    names=[x.split()[0] for x in _SHARD.split(", ")])
         for b in batches:
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                tokens = _serialized(path, text, end_id)
+            for doc, tokens in zip(b.column(0).to_pylist(), _serialized(path, b.column(1).to_pylist(), end_id)):
                 frame = packer.compress(tokens.tobytes())
                 size += len(frame)
                 ids.append(doc), counts.append(len(tokens)), stops.append(size), payload.append(frame)
@@ -150,7 +155,7 @@ def read(spark: SparkSession, folder: str, only: list[int] | None = None, tokeni
     ``only``: ``start`` counts the ids of all documents before, ``ids`` are
     little-endian unsigned 32-bit integers. With ``only``, the index picks the
     shards, and of their payloads only these documents are decompressed."""
-    for key, value in {**ARROW, "spark.sql.execution.arrow.maxRecordsPerBatch": "4"}.items():
+    for key, value in ARROW.items():  # a few shards make a batch's bytes
         spark.conf.set(key, value)
     shards, dictionary = _load(spark, folder)
     # tokens before each part: one row per part of the store
