@@ -426,7 +426,7 @@ def rolling_ols_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("rolling_ols_errors", with_fixtures(f"""
-    SELECT Name, CAST(substr(metric, 6) AS INTEGER) AS window_n, round(value, 4) AS mean_abs_error FROM (
+    SELECT Name, CAST(substr(metric, 6) AS INTEGER) AS window_n, round(value, 2) AS mean_abs_error FROM (
       SELECT Name, {", ".join(f"avg(abs(preds_{n} - Open)) AS diff_{n}" for n in ROLL_LENGTHS)} FROM roll GROUP BY Name)
     UNPIVOT (value FOR metric IN ({", ".join(f"diff_{n}" for n in ROLL_LENGTHS)}))""", "daily_prices", extra=ROLL_SQL))
 def rolling_ols_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -437,12 +437,12 @@ def rolling_ols_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = diffs.groupBy("Name").agg(*[F.avg(c).alias(c) for c in diffs.columns if c != "Name"])
     long = evaluate.to_long(means, ["Name"], [c for c in means.columns if c != "Name"])
     return long.select("Name", F.substring("metric", 6, 3).cast("int").alias("window_n"),
-                       F.round("value", 4).alias("mean_abs_error"))
+                       F.round("value", 2).alias("mean_abs_error"))
 
 
 @query("smoothness_ranking", with_fixtures(f"""
-    SELECT window_n, Name, round(mean_abs_error, 4) AS mean_abs_error,
-           dense_rank() OVER (PARTITION BY window_n ORDER BY round(mean_abs_error, 4)) AS smoothness_rank
+    SELECT window_n, Name, round(mean_abs_error, 2) AS mean_abs_error,
+           dense_rank() OVER (PARTITION BY window_n ORDER BY round(mean_abs_error, 2)) AS smoothness_rank
     FROM (SELECT Name, CAST(substr(metric, 6) AS INTEGER) AS window_n, value AS mean_abs_error FROM (
             SELECT Name, {", ".join(f"avg(abs(preds_{n} - Open)) AS diff_{n}" for n in ROLL_LENGTHS)} FROM roll GROUP BY Name)
           UNPIVOT (value FOR metric IN ({", ".join(f"diff_{n}" for n in ROLL_LENGTHS)})))""",
