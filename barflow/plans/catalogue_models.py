@@ -261,8 +261,9 @@ def eval_density(spark: SparkSession, sf_dir: str) -> DataFrame:
     range of the training rows' one-bar return; every bin present (A13)."""
     s = features.future_bids(fixtures.stream(spark, sf_dir), 2)
     s = features.return_target(features.return_target(s), horizon=2, alias="r2").filter(F.col("r2").isNotNull())
-    d = evaluate.density(chronological_split(s), ["r", "r2"], DENSITY_BINS, 0.01, 0.99, ["epic"],
-                         range_rows=F.col("split") == "train")
+    # the range, the counts and the bins all read the split rows
+    rows = materialize(chronological_split(s).select("epic", "split", "r", "r2"))
+    d = evaluate.density(rows, ["r", "r2"], DENSITY_BINS, 0.01, 0.99, ["epic"], range_rows=F.col("split") == "train")
     return d.select("epic", "series", "bin", _r("bin_lo").alias("bin_lo"), "count", _r("density").alias("density"))
 
 
