@@ -14,7 +14,7 @@ from barflow.session import checkpoint_root
 
 #: Arrow batches to Python workers are bounded by rows and by bytes.
 ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
-         "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 #: Shuffle files go when the write that needed them ends; its table is kept.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Stands for a null id inside an operator.

@@ -145,6 +145,7 @@ def _pack(path: str, capacity: int, end_id: int):
         packer.close()
         if packer.done:
             yield rows(packer, at)
+        encoder(path).forget()
     return run
 
 

@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 
 #: Words a worker remembers, in each of two generations.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Words encoded at once, and bytes of text looked up at once.
 _CHUNK, _PART = 2_000, 1 << 20
 #: Runs of letters, single digits, runs of marks, in texts that have beyond ASCII only letters which stay one letter
@@ -81,6 +81,10 @@ class Encoder:
                 held, size = [], 0
         yield from self._looked_up(held)
 
+    def forget(self) -> None:
+        """Drop the older generation of words: workers outlive their tasks."""
+        self.old = {}
+
     def _looked_up(self, held: list[list[list[bytes]]]) -> Iterator[bytes]:
         needed = set().union(*(units for text in held for units in text))
         missing = needed.difference(self.young)

@@ -96,6 +96,7 @@ def _shards(path: str, end_id: int, dictionary: bytes):
                     ids, counts, stops, payload, size = [], [], [], [], 0
         if ids:
             yield row()
+        encoder(path).forget()
     return run
 
 
