@@ -39,17 +39,19 @@ def tokens(text: Column) -> Column:
 
 
 def _windows(rows: DataFrame, id_name: str, size: int) -> DataFrame:
-    """``(id_name, place, w)``: a hash for every window of templates, but for
-    windows of which over half are slots. A shorter text is one window."""
+    """``(id_name, place, w, dense)``: a hash for every window of templates. A
+    window of which over half are slots (``dense``) would match too much, so its
+    hash takes the surfaces in. A shorter text is one window."""
     kind = "CASE WHEN ascii(t) IN (35, 64, 126) THEN cast(ascii(t) AS bigint) ELSE xxhash64(t) END"
     last = f"greatest(size(h) - {size}, 0)"
-    grams = ", ".join(f"get(h, i + {k})" for k in range(size))
+    grams, surfaces = (", ".join(f"get({x}, i + {k})" for k in range(size)) for x in ("h", "_tokens"))
     slots = " + ".join(f"cast(coalesce(get(h, i + {k}), 0L) IN (35L, 64L, 126L) AS int)" for k in range(size))
-    return (rows.select(id_name, F.expr(f"transform(_tokens, t -> {kind})").alias("h"))
+    dense = f"{slots} > {size // 2}"
+    return (rows.select(id_name, "_tokens", F.expr(f"transform(_tokens, t -> {kind})").alias("h"))
             .select(id_name, F.posexplode(F.expr(
-                f"CASE WHEN size(h) > 0 THEN transform(sequence(0, {last}), "
-                f"i -> CASE WHEN {slots} <= {size // 2} THEN xxhash64({grams}) END) END")).alias("place", "w"))
-            .filter("w IS NOT NULL"))
+                f"CASE WHEN size(h) > 0 THEN transform(sequence(0, {last}), i -> CASE WHEN {dense} "
+                f"THEN struct(xxhash64({surfaces}) AS w, true AS dense) ELSE struct(xxhash64({grams}) AS w, false AS dense) END) END"
+            )).alias("place", "x")).select(id_name, "place", "x.w", "x.dense"))
 
 
 def _aligned_slots(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -68,7 +70,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     found in each document, one row per pair.
 
     ``cover`` is the largest share of the item's template windows that one
-    alignment matches, ``n_windows`` their number; ``same_slots`` tells whether
+    alignment matches, of all or of those that aren't mostly slots (mostly slots
+    match by their surfaces only), ``n_windows`` the number of all it matches; ``same_slots`` tells whether
     that alignment has the item's own numbers, names and units.
 
     Null or empty texts and items match nothing; items shorter than a window
@@ -84,12 +87,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         many = theirs.count()
         wanted = F.broadcast(theirs) if many <= broadcast_windows else theirs
         rows = docs.select(row_id(id_col).alias("doc"), tokens(F.col(text_col)).alias("_tokens"))
-        hits = s.table(_windows(rows, "doc", window).join(wanted, "w").select("doc", "item", "place", "item_place"), "hits")
-        sizes = theirs.groupBy("item").agg(F.countDistinct("item_place").alias("of"))
+        hits = s.table(_windows(rows, "doc", window).drop("dense").join(wanted, "w")
+                       .select("doc", "item", "place", "item_place", "dense"), "hits")
+        plain = F.when(~F.col("dense"), F.col("item_place"))
+        sizes = theirs.groupBy("item").agg(F.countDistinct("item_place").alias("of"), F.countDistinct(plain).alias("of_plain"))
         found = (hits.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("doc", "item", "shift")
-                 .agg(F.countDistinct("item_place").alias("n_windows"), F.min("item_place").alias("lo"),
-                      (F.max("item_place") + window - 1).alias("hi"))
-                 .join(sizes, "item").withColumn("cover", F.col("n_windows") / F.col("of"))
+                 .agg(F.countDistinct("item_place").alias("n_windows"), F.countDistinct(plain).alias("n_plain"),
+                      F.min("item_place").alias("lo"), (F.max("item_place") + window - 1).alias("hi"))
+                 .join(sizes, "item").withColumn("cover", F.greatest(F.col("n_windows") / F.col("of"), F.try_divide("n_plain", "of_plain")))
                  .filter(F.col("cover") >= min_cover))
         found = s.table(found, "alignments")
         texts = (docs.select(row_id(id_col).alias("doc"), F.col(text_col).alias("_text"))

@@ -27,6 +27,19 @@ def test_reparameterised_and_inconsistent(spark):
         assert got[10, 1].same_slots and not got[11, 1].same_slots and got[17, 2].cover == 1
 
 
+def test_items_of_numbers(spark):
+    """Windows that are mostly slots match by their surfaces and count in the cover."""
+    items = [(1, "Compute 12 + 37 * 4 - 9 + 15"), (2, "Given 8 and 9 and 10 and 11 add 1 2 3 4 5 6 and say how large the whole sum is")]
+    rows = [(20, "Here is one. Compute 12 + 37 * 4 - 9 + 15 and say why."), (21, "Here is one. Compute 13 + 37 * 4 - 9 + 15 and say why."),
+            (22, "Now. " + items[1][1]), (23, "Now. " + items[1][1].replace("8", "18").replace("2", "22"))]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], DOCS)
+    got = {(r.doc_id, r.item_id): r for r in templates.leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == {(20, 1), (22, 2), (23, 2)}
+    assert got[20, 1].cover == 1 and got[22, 2].cover == 1 and got[22, 2].same_slots and not got[23, 2].same_slots
+    n = len("given 8 and 9 and 10 and 11 add 1 2 3 4 5 6 and say how large the whole sum is".split())
+    assert got[22, 2].n_windows == n - 5
+
+
 def test_empty_tables(spark):
     assert found(spark, []) == {}
     docs = spark.createDataFrame([(1, "a b c d e f g", "x")], DOCS)
