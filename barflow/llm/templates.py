@@ -20,14 +20,18 @@ UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mi mile miles mg
          "ml cl l litre litres liter liters s sec second seconds min minute minutes h hr hour hours day days week weeks "
          "month months year years cent cents dollar dollars euro euros percent degrees kmh mph").split()
 WINDOW, MIN_COVER = 6, 0.4
+#: A letter of a script without spaces between words is a token.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}&&\p{L}]"
 #: Benchmark windows joined by broadcast at most (32 bytes each); more go by a shuffle.
 BROADCAST_WINDOWS = 1_000_000
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words; ``#surface`` for a number, ``@surface`` for a unit after
-    a number, ``~surface`` for capitalised words inside a sentence. Null: none."""
+    a number, ``~surface`` for capitalised words inside a sentence. A letter of a
+    script without spaces is a word. Null: none."""
     t = F.regexp_replace(F.coalesce(text, F.lit("")), "[#@~]+", " ")
+    t = F.regexp_replace(t, UNSPACED, " $0 ")
     name = r"([\p{Ll}\p{N},;:] +)(\p{Lu}[\p{L}]*)(?: +(\p{Lu}[\p{L}]*))?(?: +(\p{Lu}[\p{L}]*))?"
     t = F.regexp_replace(t, name, "$1~$2$3$4")
     # a number before a unit; then numbers that are left
@@ -38,29 +42,34 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(t, r"[^\p{L}#@~_\p{N}]+"), lambda w: w != "")
 
 
-def _windows(rows: DataFrame, id_name: str, size: int) -> DataFrame:
-    """``(id_name, place, w, dense)``: a hash for every window of templates. A
-    window of which over half are slots (``dense``) would match too much, so its
-    hash takes the surfaces in. A shorter text is one window."""
+def _windows(rows: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """``(*keys, n, place, w, dense)``: a hash for every window of ``n`` templates;
+    ``n`` is a column or, where there is none, each of ``lengths``. A window of
+    which over half are slots (``dense``) would match too much, so its hash takes
+    the surfaces in."""
     kind = "CASE WHEN ascii(t) IN (35, 64, 126) THEN cast(ascii(t) AS bigint) ELSE xxhash64(t) END"
-    last = f"greatest(size(h) - {size}, 0)"
-    grams, surfaces = (", ".join(f"get({x}, i + {k})" for k in range(size)) for x in ("h", "_tokens"))
-    slots = " + ".join(f"cast(coalesce(get(h, i + {k}), 0L) IN (35L, 64L, 126L) AS int)" for k in range(size))
-    dense = f"{slots} > {size // 2}"
-    return (rows.select(id_name, "_tokens", F.expr(f"transform(_tokens, t -> {kind})").alias("h"))
-            .select(id_name, F.posexplode(F.expr(
-                f"CASE WHEN size(h) > 0 THEN transform(sequence(0, {last}), i -> CASE WHEN {dense} "
-                f"THEN struct(xxhash64({surfaces}) AS w, true AS dense) ELSE struct(xxhash64({grams}) AS w, false AS dense) END) END"
-            )).alias("place", "x")).select(id_name, "place", "x.w", "x.dense"))
+
+    def hashes(size: int) -> str:
+        grams, surfaces = (", ".join(f"get({x}, i + {k})" for k in range(size)) for x in ("h", "_tokens"))
+        slots = " + ".join(f"cast(get(h, i + {k}) IN (35L, 64L, 126L) AS int)" for k in range(size))
+        return (f"WHEN {size} THEN transform(sequence(0, size(h) - {size}), i -> CASE WHEN {slots} > {size // 2} THEN "
+                f"struct(xxhash64({surfaces}) AS w, true AS dense) ELSE struct(xxhash64({grams}) AS w, false AS dense) END)")
+    if not lengths:
+        lengths = [WINDOW]
+    rows = rows.select(*keys, "_tokens", F.expr(f"transform(_tokens, t -> {kind})").alias("h"),
+                       F.col("n") if "n" in rows.columns else F.explode(F.array(*map(F.lit, lengths))).alias("n"))
+    return (rows.select(*keys, "n", F.posexplode(F.expr(f"CASE WHEN size(h) >= n THEN CASE n {' '.join(map(hashes, lengths))} END END"))
+                        .alias("place", "x")).select(*keys, "n", "place", "x.w", "x.dense"))
 
 
 def _aligned_slots(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Surfaces that the alignments ``(doc, item, shift)`` set against each other."""
-    side = found.select("doc", "item", "shift", "lo", "hi")
-    item = items.select("item", F.col("_tokens").alias("item_tokens"))
-    both = side.join(item, "item").join(docs, "doc")
+    """Surfaces that the alignments ``(doc, item, item_key, shift)`` set against each other."""
+    side = found.select("doc", "item", "item_key", "shift", "lo", "hi")
+    item = items.select("item", "item_key", F.col("_tokens").alias("item_tokens"))
+    both = side.join(item, ["item", "item_key"]).join(docs, "doc")
     pairs = F.expr("transform(sequence(lo, hi), i -> struct(get(item_tokens, i) AS a, get(_tokens, i + shift) AS b))")
-    return (both.select("doc", "item", "shift", F.explode(pairs).alias("x")).select("doc", "item", "shift", "x.a", "x.b")
+    return (both.select("doc", "item", "item_key", "shift", F.explode(pairs).alias("x"))
+            .select("doc", "item", "item_key", "shift", "x.a", "x.b")
             .filter("ascii(a) IN (35, 64, 126)").distinct())
 
 
@@ -75,33 +84,38 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     that alignment has the item's own numbers, names and units.
 
     Null or empty texts and items match nothing; items shorter than a window
-    match by their whole text; repeated rows count once; null ids match as one
+    are one window of their length, sought in every document; repeated rows count once; null ids match as one
     document with a null id; empty tables give no rows. ``benchmark`` windows
     are sent to every task only up to ``broadcast_windows`` of them; above, the
     join shuffles."""
     with scratch(docs.sparkSession) as s:
-        items = s.table(benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item"), "text").distinct()
-                        .select("item", tokens(F.col("text")).alias("_tokens"))
-                        .withColumn("item_key", F.struct("item", F.xxhash64("_tokens"))), "items")
-        theirs = s.table(_windows(items, "item", window).withColumnRenamed("place", "item_place"), "item-windows")
+        # an item's first words are names after some text: the item is also sought as it reads there
+        own = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item"), "text").distinct()
+        inside = tokens(F.concat(F.lit("x "), F.ltrim("text")))
+        items = s.table(own.select("item", F.explode(F.array(tokens(F.col("text")), F.slice(inside, 2, F.greatest(F.size(inside) - 1, F.lit(0)))))
+                                   .alias("_tokens")).distinct()
+                        .withColumn("item_key", F.xxhash64("_tokens")).withColumn("n", F.least(F.size("_tokens"), F.lit(window)))
+                        .filter("n > 0"), "items")
+        lengths = sorted(r["n"] for r in items.select("n").distinct().collect())  # at most ``window``
+        theirs = s.table(_windows(items, ["item", "item_key"], lengths).withColumnRenamed("place", "item_place"), "item-windows")
         many = theirs.count()
         wanted = F.broadcast(theirs) if many <= broadcast_windows else theirs
         rows = docs.select(row_id(id_col).alias("doc"), tokens(F.col(text_col)).alias("_tokens"))
-        hits = s.table(_windows(rows, "doc", window).drop("dense").join(wanted, "w")
-                       .select("doc", "item", "place", "item_place", "dense"), "hits")
+        hits = s.table(_windows(rows, ["doc"], lengths).drop("dense").join(wanted, ["n", "w"])
+                       .select("doc", "item", "item_key", "n", "place", "item_place", "dense"), "hits")
         plain = F.when(~F.col("dense"), F.col("item_place"))
-        sizes = theirs.groupBy("item").agg(F.countDistinct("item_place").alias("of"), F.countDistinct(plain).alias("of_plain"))
-        found = (hits.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("doc", "item", "shift")
+        sizes = theirs.groupBy("item", "item_key").agg(F.countDistinct("item_place").alias("of"), F.countDistinct(plain).alias("of_plain"))
+        found = (hits.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("doc", "item", "item_key", "shift")
                  .agg(F.countDistinct("item_place").alias("n_windows"), F.countDistinct(plain).alias("n_plain"),
-                      F.min("item_place").alias("lo"), (F.max("item_place") + window - 1).alias("hi"))
-                 .join(sizes, "item").withColumn("cover", F.greatest(F.col("n_windows") / F.col("of"), F.try_divide("n_plain", "of_plain")))
+                      F.min("item_place").alias("lo"), (F.max(F.col("item_place") + F.col("n")) - 1).alias("hi"))
+                 .join(sizes, ["item", "item_key"]).withColumn("cover", F.greatest(F.col("n_windows") / F.col("of"), F.try_divide("n_plain", "of_plain")))
                  .filter(F.col("cover") >= min_cover))
         found = s.table(found, "alignments")
         texts = (docs.select(row_id(id_col).alias("doc"), F.col(text_col).alias("_text"))
                  .join(found.select("doc").distinct(), "doc", "left_semi").distinct()
                  .select("doc", tokens(F.col("_text")).alias("_tokens")))
         slots = s.table(_aligned_slots(found, texts, items), "slots")
-        key = ["doc", "item", "shift"]
+        key = ["doc", "item", "item_key", "shift"]
         clash = (slots.groupBy(*key, "a").agg(F.countDistinct("b").alias("n")).filter("n > 1").select(*key)
                  .unionByName(slots.groupBy(*key, "b").agg(F.countDistinct("a").alias("n")).filter("n > 1").select(*key)).distinct())
         changed = slots.filter("a <> b").select(*key, F.lit(True).alias("changed")).distinct()

@@ -40,6 +40,19 @@ def test_items_of_numbers(spark):
     assert got[22, 2].n_windows == n - 5
 
 
+def test_short_items_inside_documents(spark):
+    items = [(1, "Two plus two"), (2, "Explain how the water cycle works"), (3, "三加四等于几"), (4, "Why"), (5, "Is 7 prime or not")]
+    rows = [(30, "Nobody knew that two plus two is four."), (31, "We say please Explain how the water cycle works in a text."),
+            (32, "请问三加四等于几呢我不知道这个问题的答案是什么"), (33, "nothing of them"), (34, "so tell me Is 11 prime or not my friend"),
+            (35, "two plus"), (36, "tell me why it is so")]
+    docs = spark.createDataFrame([(*r, "x") for r in rows], DOCS)
+    for many in (10**6, 0):
+        got = {(r.doc_id, r.item_id): r for r in templates.leaks(
+            docs, spark.createDataFrame(items, "item_id long, text string"), broadcast_windows=many).collect()}
+        assert set(got) == {(30, 1), (31, 2), (32, 3), (34, 5), (36, 4)}
+        assert all(r.cover == 1 and r.n_windows == 1 for r in got.values()) and not got[34, 5].same_slots
+
+
 def test_empty_tables(spark):
     assert found(spark, []) == {}
     docs = spark.createDataFrame([(1, "a b c d e f g", "x")], DOCS)
