@@ -63,31 +63,25 @@ def _windows(rows: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
 
 
 def _aligned_slots(found: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Surfaces that the alignments ``(doc, item, item_key, shift)`` set against each other."""
-    side = found.select("doc", "item", "item_key", "shift", "lo", "hi")
+    """Surfaces that the alignments ``(doc, doc_key, item, item_key, shift)`` set against each other."""
+    side = found.select("doc", "doc_key", "item", "item_key", "shift", "lo", "hi")
     item = items.select("item", "item_key", F.col("_tokens").alias("item_tokens"))
-    both = side.join(item, ["item", "item_key"]).join(docs, "doc")
+    both = side.join(item, ["item", "item_key"]).join(docs, ["doc", "doc_key"])
     pairs = F.expr("transform(sequence(lo, hi), i -> struct(get(item_tokens, i) AS a, get(_tokens, i + shift) AS b))")
-    return (both.select("doc", "item", "item_key", "shift", F.explode(pairs).alias("x"))
-            .select("doc", "item", "item_key", "shift", "x.a", "x.b")
+    return (both.select("doc", "doc_key", "item", "item_key", "shift", F.explode(pairs).alias("x"))
+            .select("doc", "doc_key", "item", "item_key", "shift", "x.a", "x.b")
             .filter("ascii(a) IN (35, 64, 126)").distinct())
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          window: int = WINDOW, min_cover: float = MIN_COVER, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """``(doc_id, item_id, n_windows, cover, same_slots)``: the benchmark items
-    found in each document, one row per pair.
+def text_key(column: str) -> Column:
+    """Parts the rows that share an id, or have none, by their texts."""
+    return F.xxhash64(F.coalesce(F.col(column), F.lit("")))
 
-    ``cover`` is the largest share of the item's template windows that one
-    alignment matches, of all or of those that aren't mostly slots (mostly slots
-    match by their surfaces only), ``n_windows`` the number of all it matches; ``same_slots`` tells whether
-    that alignment has the item's own numbers, names and units.
 
-    Null or empty texts and items match nothing; items shorter than a window
-    are one window of their length, sought in every document; repeated rows count once; null ids match as one
-    document with a null id; empty tables give no rows. ``benchmark`` windows
-    are sent to every task only up to ``broadcast_windows`` of them; above, the
-    join shuffles."""
+def leaking_texts(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  window: int = WINDOW, min_cover: float = MIN_COVER, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """``(doc, doc_key, item, b)``: the best alignment of each item in each text,
+    known by its row's :func:`row_id` and :func:`text_key`."""
     with scratch(docs.sparkSession) as s:
         # an item's first words are names after some text: the item is also sought as it reads there
         own = benchmark.filter("item_id IS NOT NULL").select(F.col("item_id").cast("long").alias("item"), "text").distinct()
@@ -100,27 +94,49 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         theirs = s.table(_windows(items, ["item", "item_key"], lengths).withColumnRenamed("place", "item_place"), "item-windows")
         many = theirs.count()
         wanted = F.broadcast(theirs) if many <= broadcast_windows else theirs
-        rows = docs.select(row_id(id_col).alias("doc"), tokens(F.col(text_col)).alias("_tokens"))
-        hits = s.table(_windows(rows, ["doc"], lengths).drop("dense").join(wanted, ["n", "w"])
-                       .select("doc", "item", "item_key", "n", "place", "item_place", "dense"), "hits")
+        rows = docs.select(row_id(id_col).alias("doc"), text_key(text_col).alias("doc_key"), tokens(F.col(text_col)).alias("_tokens"))
+        hits = s.table(_windows(rows, ["doc", "doc_key"], lengths).drop("dense").join(wanted, ["n", "w"])
+                       .select("doc", "doc_key", "item", "item_key", "n", "place", "item_place", "dense"), "hits")
         plain = F.when(~F.col("dense"), F.col("item_place"))
         sizes = theirs.groupBy("item", "item_key").agg(F.countDistinct("item_place").alias("of"), F.countDistinct(plain).alias("of_plain"))
-        found = (hits.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("doc", "item", "item_key", "shift")
+        found = (hits.withColumn("shift", F.col("place") - F.col("item_place")).groupBy("doc", "doc_key", "item", "item_key", "shift")
                  .agg(F.countDistinct("item_place").alias("n_windows"), F.countDistinct(plain).alias("n_plain"),
                       F.min("item_place").alias("lo"), (F.max(F.col("item_place") + F.col("n")) - 1).alias("hi"))
                  .join(sizes, ["item", "item_key"]).withColumn("cover", F.greatest(F.col("n_windows") / F.col("of"), F.try_divide("n_plain", "of_plain")))
                  .filter(F.col("cover") >= min_cover))
         found = s.table(found, "alignments")
-        texts = (docs.select(row_id(id_col).alias("doc"), F.col(text_col).alias("_text"))
-                 .join(found.select("doc").distinct(), "doc", "left_semi").distinct()
-                 .select("doc", tokens(F.col("_text")).alias("_tokens")))
+        texts = (docs.select(row_id(id_col).alias("doc"), text_key(text_col).alias("doc_key"), F.col(text_col).alias("_text"))
+                 .join(found.select("doc", "doc_key").distinct(), ["doc", "doc_key"], "left_semi").distinct()
+                 .select("doc", "doc_key", tokens(F.col("_text")).alias("_tokens")))
         slots = s.table(_aligned_slots(found, texts, items), "slots")
-        key = ["doc", "item", "item_key", "shift"]
+        key = ["doc", "doc_key", "item", "item_key", "shift"]
         clash = (slots.groupBy(*key, "a").agg(F.countDistinct("b").alias("n")).filter("n > 1").select(*key)
                  .unionByName(slots.groupBy(*key, "b").agg(F.countDistinct("a").alias("n")).filter("n > 1").select(*key)).distinct())
         changed = slots.filter("a <> b").select(*key, F.lit(True).alias("changed")).distinct()
         good = found.join(clash, key, "left_anti").join(changed, key, "left")
-        best = good.groupBy("doc", "item").agg(F.max(F.struct("cover", "n_windows", F.col("changed").isNull().alias("same_slots"))).alias("b"))
-        return best.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), F.col("item").alias("item_id"),
-                           F.col("b.n_windows").alias("n_windows"), F.col("b.cover").alias("cover"),
-                           F.col("b.same_slots").alias("same_slots"))
+        return good.groupBy("doc", "doc_key", "item").agg(
+            F.max(F.struct("cover", "n_windows", F.col("changed").isNull().alias("same_slots"))).alias("b"))
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          window: int = WINDOW, min_cover: float = MIN_COVER, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """``(doc_id, item_id, n_windows, cover, same_slots)``: the benchmark items
+    found in each document, one row per pair.
+
+    ``cover`` is the largest share of the item's template windows that one
+    alignment matches, of all or of those that aren't mostly slots (mostly slots
+    match by their surfaces only), ``n_windows`` the number of all it matches;
+    ``same_slots`` tells whether that alignment has the item's own numbers, names
+    and units.
+
+    Null or empty texts and items match nothing; items shorter than a window
+    are one window of their length, sought in every document; repeated rows
+    count once; texts that share an id, or have none, are aligned each by itself,
+    and the id has the best of them; empty tables give no rows. ``benchmark``
+    windows are sent to every task only up to ``broadcast_windows`` of them;
+    above, the join shuffles."""
+    best = leaking_texts(docs, benchmark, id_col, text_col, window, min_cover, broadcast_windows).groupBy("doc", "item").agg(
+        F.max("b").alias("b"))
+    return best.select(F.when(F.col("doc") != NULL_ID, F.col("doc")).alias(id_col), F.col("item").alias("item_id"),
+                       F.col("b.n_windows").alias("n_windows"), F.col("b.cover").alias("cover"),
+                       F.col("b.same_slots").alias("same_slots"))

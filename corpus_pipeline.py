@@ -52,10 +52,14 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item, with its own or other numbers and
-    names, go; so do all rows that share such a document's id."""
-    found = templates.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.select(row_id("doc_id").alias("_id")).distinct()
-    return docs.withColumn("_id", row_id("doc_id")).join(bad, "_id", "left_anti").select(docs.columns)
+    names, go; so do rows with such a document's id and text, but no other texts
+    that share its id or have none."""
+    rows, named = _apart(docs)
+    found = templates.leaking_texts(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), named["doc_id"], named["text"])
+    bad = found.select("doc", "doc_key").distinct()
+    keyed = rows.withColumn("doc", row_id(named["doc_id"])).withColumn("doc_key", templates.text_key(named["text"]))
+    clean = keyed.join(bad, ["doc", "doc_key"], "left_anti")
+    return clean.select(*[F.col(new).alias(old) for old, new in named.items()])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

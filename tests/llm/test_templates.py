@@ -1,3 +1,4 @@
+import corpus_pipeline
 from barflow.llm import queries, templates
 
 DOCS = "doc_id long, text string, lang string"
@@ -53,6 +54,18 @@ def test_short_items_inside_documents(spark):
         assert all(r.cover == 1 and r.n_windows == 1 for r in got.values()) and not got[34, 5].same_slots
 
 
+def test_texts_that_share_an_id(spark, tmp_path):
+    a = ITEMS[0][1]
+    clean = "Nothing of the kind is said in this text at all, it only talks of apples and of trains and of rain."
+    leaked = ["Intro here. " + a.replace("60", "75"), "Other start of it. " + a.replace("60", "85").replace("Anna", "Tom")]
+    rows = [(k, t) for k in (None, 7) for t in [*leaked, clean]]
+    assert set(found(spark, rows)) == {(None, 1), (7, 1)}
+    spark.createDataFrame(ITEMS, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS)
+    left = corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (7, clean)]
+
+
 def test_empty_tables(spark):
     assert found(spark, []) == {}
     docs = spark.createDataFrame([(1, "a b c d e f g", "x")], DOCS)
