@@ -32,6 +32,10 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 BOILERPLATE = {"nav", "footer", "aside", "form", "header", "menu", "dialog", "fieldset", "address"}
 CONTENT = {"article": 5.0, "main": 4.0}
 CLOSED_BY_SIBLING = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+#: Elements of RAW whose content is text up to their end tag, whatever stands in it; without one, the rest of the page.
+TEXT_ONLY = {"script", "style", "noscript", "iframe", "textarea"}
+#: Elements that may stand in a head; any other one ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "title", "style", "script", "noscript", "template", "head", "html"}
 #: Words in class, id or role names.
 BAD_NAME = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|banner|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notification|alert|popup|modal|"
@@ -44,6 +48,54 @@ _UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|
 _MARKUP = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|$)""", re.S)
 _WORD = re.compile(r"\w+")
 
+
+def _head_end(html: str, at: int) -> int:
+    """Where a head ends: after its end tag, or before what can't stand in it."""
+    while m := _MARKUP.search(html, at):
+        name = (m[2] or "").lower()
+        text = html[at:m.start()]
+        if text.strip():
+            return m.start() - len(text.lstrip())
+        if name and m[1]:
+            if name == "head":
+                return m.end()
+            if name in ("body", "html"):
+                return m.start()
+        elif name and name not in IN_HEAD:
+            return m.start()
+        at = m.end()
+        if name and not m[1] and (name in TEXT_ONLY or name in ("title", "template")):
+            end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+            at = len(html) if end is None else end.end()
+    return len(html) if not html[at:].strip() else at
+
+
+def _skipped(html: str, at: int, name: str, around: list[str]) -> int:
+    """Where the element of RAW that opened before ``at`` ends: after its end
+    tag, where it isn't text only also before an end tag of an element around it."""
+    if name in TEXT_ONLY:
+        end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+        return len(html) if end is None else end.end()
+    inner: Counter = Counter([name])
+    while m := _MARKUP.search(html, at):
+        at = m.end()
+        tag = (m[2] or "").lower()
+        if not tag or tag in VOID:
+            continue
+        if not m[1]:
+            if tag in TEXT_ONLY:
+                end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+                at = len(html) if end is None else end.end()
+            elif not m[3].endswith("/"):
+                inner[tag] += 1
+        elif inner[tag]:
+            inner[tag] -= 1
+            if tag == name and not inner[tag]:
+                return at
+        elif tag in around:
+            return m.start()
+    return len(html)
+
 #: Costs: a word of text, a sentence mark, a link's share, an element or name of boilerplate, neighbours.
 WORD, WORDS_MOST, MARK, LINK, BAD, GOOD, HEADING, PRIOR = 0.06, 2.4, 0.5, 6.0, 9.0, 2.0, 0.5, -1.0
 NEXT, SIBLING, ALIKE = 0.6, 0.9, 2.0
@@ -129,8 +181,10 @@ def blocks(html: str) -> list[Block]:
             continue
         if not m[1]:  # an opening tag
             if name in RAW:
-                end = re.compile(rf"</{re.escape(name)}\s*>" + (r"|<body\b" if name == "head" else ""), re.I).search(html, at)
-                at = n if end is None else end.start() if html[end.start() + 1] != "/" else end.end()
+                if name == "head":
+                    at = _head_end(html, at)
+                elif not (name in ("svg", "math") and m[3].endswith("/")):
+                    at = _skipped(html, at, name, [x for x, _, _ in stack])
                 if name not in INLINE:
                     flush()
                 continue

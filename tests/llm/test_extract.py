@@ -62,3 +62,16 @@ def test_registered_gives_the_article(spark):
         body = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         parts = [" ".join(unescape(re.sub(r"<[^>]*(>|$)", "", x)).split()) for x in re.split(r"</?(?:p|h1|br)\b[^>]*>", body)]
         assert got[r.page_id] == "\n".join(x for x in parts if x)
+
+
+def test_unclosed_and_self_closing_elements():
+    text = "These are the words of the story, long enough to count as text. And one more."
+    story = f"<div><p>{text}</p></div>"
+    for page in (f"<body>{story}<svg class='icon'/>{story}</body>", f"<body><math/>{story}</body>", f"<body><p><svg/></p>{story}",
+                 f"<!DOCTYPE html><html><head><meta charset=utf-8><title>T</title><style>p > a {{}}</style>{story}",
+                 f"<head><title>T</title>\n<p>{text}", f"<body><form><button>Send</form>{story}</body>",
+                 f"<body><div><select><option>One<option>Two</div>{story}</body>", f"<body><div><object data=x></div>{story}</body>"):
+        assert extract.main_text(page).split("\n")[-1] == text, page
+        assert not {"T", "Send", "One", "Two"} & set(extract.main_text(page).split("\n"))
+    whole = f"<body><svg><style>a</svg</style><g><path d='x'/><text>Icon</text></g></svg>{story}</body>"
+    assert extract.main_text(whole) == text
