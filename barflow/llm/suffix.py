@@ -1,10 +1,11 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
-
-Ranks name the strings of a length: equal strings, equal ranks. The doubling
-starts at half the threshold, on a sample of positions that every repeated
-string must hit, and drops positions as soon as their rank is unique; what is
-left is ranked at the full threshold by the pair of ranks at offset zero and at
-half the threshold. Spark deals and groups the rank rows of every round.
+"""Removal of repeated byte strings by hashed anchors and one doubling step.
+
+Ranks name the strings of a length: equal strings, equal ranks. They are hashes
+of the strings, not ranks from rounds of prefix doubling: strings of half the
+threshold are hashed on a sample of positions that every repeated string must
+hit, and positions go as soon as their rank is unique; what is left is ranked
+once more, at the full threshold, by the pair of hashes at offset zero and at
+half the threshold. Spark deals and groups the rank rows of both steps.
 """
 
 from __future__ import annotations
