@@ -30,12 +30,17 @@ class Scratch:
         self.root = f"{checkpoint_root(spark)}/llm/{uuid.uuid4().hex}"
         self.made = 0
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``df`` written and reread, in folders ``by`` a column if one is named."""
         self.made += 1
         path = f"{self.root}/{self.made:03d}-{name}"
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def tables(self, like: DataFrame, name: str) -> DataFrame:
+        """The rows of all tables written under ``name``, which have the columns of ``like``."""
+        return self.spark.read.schema(like.schema).parquet(f"{self.root}/*-{name}")
+
     def drop(self, *tables: DataFrame) -> None:
         """Delete tables that no later step reads."""
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barflow.llm import automata, chat, extract, packing, pitman_yor, rules, simhash, suffix, templates, tokenstore
+from barflow.llm import (align, automata, bpe, chat, extract, packing, pitman_yor, rules, simhash, spelling, suffix,
+                         templates, tokenstore)
 from barflow.llm.common import Scratch, scratch
 
 
@@ -68,9 +69,24 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(pieces)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return bpe.decode(ids).select(
+        "doc_id", F.expr("octet_length(ids) div 4").cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_main_text, op2_simhash, op3_token_files, op4_suffix_dedup, op5_template_decontamination, op6_packing,
-    op7_passage_automata, op8_pitman_yor, op9_quality_rules, op10_chat)}
+    op7_passage_automata, op8_pitman_yor, op9_quality_rules, op10_chat, op11_spelling, op12_bpe, op13_align)}
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 TURNS = """
     turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
