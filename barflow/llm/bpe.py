@@ -7,7 +7,8 @@ merged away, or the pair there no longer makes its symbol), else the right
 symbol is unlinked and the two new neighbourhoods are queued.
 
 Where a tokenizer parts texts at white space, a text's ids are its words' ids in
-a row, and a worker remembers the words it met lately.
+a row, and a worker remembers the words it met lately; where it also parts
+letters, digits and marks and lowers capitals, it remembers those instead.
 """
 
 from __future__ import annotations
@@ -23,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barflow.llm.tokens import default_path
+from barflow.llm.tokens import _ODD, Encoder, default_path
 
 #: Words remembered in each of two generations, the longest one in bytes, and
 #: bytes of text (ids, when decoding) handled at once.
 REMEMBERED, WORD_BYTES, PART = 250_000, 64, 1 << 20
 #: Odd rows (a text of a huge single word) don't fill a batch past this many bytes.
 BATCH = 16 << 20
-_BLANK = re.compile(rb"[\x20\x09-\x0D]")
+_PLACE = (1 << 40) - 1
 
 
 class Codec:
@@ -52,9 +53,9 @@ class Codec:
         self.vocabulary: dict[str, int] = model["vocab"]
         self.suffix = model.get("end_of_word_suffix") or ""
         self.width = max(self.vocabulary.values()) + 1
-        self.merges: dict[int, tuple[int, int]] = {}  # a pair of ids -> rank, id of the two together
-        for rank, (a, b) in enumerate(m if isinstance(m, list) else m.split(" ") for m in model["merges"]):
-            self.merges[self.vocabulary[a] * self.width + self.vocabulary[b]] = rank, self.vocabulary[a + b]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        self.rank = {self.vocabulary[a] * self.width + self.vocabulary[b]: r for r, (a, b) in enumerate(pairs)}
+        self.together = [self.vocabulary[a + b] for a, b in pairs]
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.strings: list[str | None] = [None] * (max(self.width, *self.special.values(), 0) + 1)
         for text, i in (self.vocabulary | self.special).items():
@@ -63,6 +64,7 @@ class Codec:
         library = Tokenizer.from_file(path)
         self.normalizer, self.splitter = library.normalizer, library.pre_tokenizer
         self.by_word = self._splits()
+        self.by_class = self.by_word and self._classes()
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
@@ -76,34 +78,52 @@ class Codec:
         return all(self.units(f" {a}{gap}{b}\n") == self.units(a) + self.units(b)
                    for a in parts for b in parts for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  "))
 
+    def _classes(self) -> bool:
+        """Whether a plain text's units are its lower-case letters, digits and marks."""
+        said = "One two,three... x.y 7a a77 Été_d'ou, (b)c -- 'S 'it's Ärger’s <|x|> Привет, 中文字 한국"
+        return self.units(said) == [u for units in Encoder._units(said.encode(), True) for w in units for u in self.units(w.decode())] and all(
+            self.units(w) == [self.spelled(w.encode())] for w in ("one", "été", "привет"))
+
+    @staticmethod
+    def spelled(word: bytes) -> str:
+        """Bytes in the byte-level alphabet."""
+        return "".join(map(_letter_of().__getitem__, word))
+
     def merged(self, unit: str) -> list[int]:
         """The ids of one unit."""
         marked = [*unit[:-1], unit[-1:] + self.suffix] if unit else []
         ids = [i for c in marked if (i := self.vocabulary.get(c)) is not None]
-        n, width, merges = len(ids), self.width, self.merges
+        n, width, rank_of, together = len(ids), self.width, self.rank.get, self.together
+        if n < 2:
+            return ids
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue = [(m[0], i, m[1]) for i in range(n - 1) if (m := merges.get(ids[i] * width + ids[i + 1]))]
+        # an entry is one number: the rank above, the place of the left symbol below
+        queue = [r << 40 | i for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := rank_of(a * width + b)) is not None]
         heapify(queue)
         while queue:
-            _, i, new = heappop(queue)
+            entry = heappop(queue)
+            rank, i = entry >> 40, entry & _PLACE
             j = after[i]
             if ids[i] < 0 or j < 0:
                 continue
-            m = merges.get(ids[i] * width + ids[j])
-            if m is None or m[1] != new:
+            new = together[rank]
+            r = rank_of(ids[i] * width + ids[j])
+            if r != rank and (r is None or together[r] != new):
                 continue
             ids[i], ids[j] = new, -1
             after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if m := merges.get(new * width + ids[k]):
-                    heappush(queue, (m[0], i, m[1]))
+                if (r := rank_of(new * width + ids[k])) is not None:
+                    heappush(queue, r << 40 | i)
             h = before[i]
-            if h >= 0 and (m := merges.get(ids[h] * width + new)):
-                heappush(queue, (m[0], h, m[1]))
+            if h >= 0 and (r := rank_of(ids[h] * width + new)) is not None:
+                heappush(queue, r << 40 | h)
         return [i for i in ids if i >= 0]
 
     def _fresh(self, text: str) -> bytes:
+        if self.by_class and text.isalpha() and max(text) < "İ" and text.islower():
+            return np.array(self.merged(self.spelled(text.encode())), "<u4").tobytes()
         ids: list[int] = []
         at = 0
         for found in self.parted.finditer(text):  # special strings are taken out of the text as it stands
@@ -130,16 +150,8 @@ class Codec:
         text = text or ""
         if not self.by_word:
             return self._fresh(text)
-        data = text.encode("utf-8")
-        out, at = [], 0
-        while at < len(data):
-            stop = len(data)
-            if stop - at > PART:
-                gap = _BLANK.search(data, at + PART)
-                stop = gap.start() if gap else stop
-            out += self._known(data[at:stop].split())
-            at = stop
-        return b"".join(out)
+        data, plain = text.encode("utf-8"), self.by_class and (text.isascii() or not _ODD.search(text))
+        return b"".join([ids for words in Encoder._units(data, plain) for ids in self._known(words)])
 
     def forget(self) -> None:
         self.old = {}
@@ -166,6 +178,11 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=1)
+def _letter_of() -> list[str]:
+    return [c for _, c in sorted((b, c) for c, b in _byte_of().items())]
+
+
 @lru_cache(maxsize=2)
 def codec(path: str) -> Codec:
     return Codec(path)
