@@ -28,9 +28,9 @@ from barflow.llm.tokens import _ODD, Encoder, default_path
 
 #: Words remembered in each of two generations, the longest one in bytes, and
 #: bytes of text (ids, when decoding) handled at once.
-REMEMBERED, WORD_BYTES, PART = 250_000, 64, 1 << 20
+REMEMBERED, WORD_BYTES, PART = 200_000, 64, 1 << 20
 #: Odd rows (a text of a huge single word) don't fill a batch past this many bytes.
-BATCH = 16 << 20
+BATCH = 4 << 20
 _PLACE = (1 << 40) - 1
 
 

@@ -106,6 +106,19 @@ def test_registered(spark):
         i: (f"{p:016x}", g) for (i, _), p, g in zip(docs, prints, groups([i for i, _ in docs], prints))}
 
 
+def test_rows_of_one_id_are_told_apart(spark):
+    """However many texts share an id, or have none, each is cut at its own places only."""
+    r = random.Random(11)
+    texts = [" ".join("".join(r.choice("abcdefgh") for _ in range(6)) for _ in range(60)) for _ in range(1200)]
+    rows = [(1, texts[5], "x")] + [(7, t, "x") for t in texts]
+    df = spark.createDataFrame(rows, DOCS)
+    for out, whole in ((suffix.remove_repeats(df), len(texts[5])), (automata.remove_passages(df), 60)):
+        assert sorted(x.n_removed for x in out.collect()) == [0] * 1200 + [whole]
+    alone = spark.createDataFrame([(None, t, "x") for t in texts], DOCS)
+    for out in (suffix.remove_repeats(alone), automata.remove_passages(alone)):
+        assert {x.n_removed for x in out.collect()} == {0}
+
+
 def kept_words(df):
     return {r.doc_id: (r.n_words, r.n_removed, hashlib.sha256(r.kept.encode()).hexdigest()) for r in df.collect()}
 
