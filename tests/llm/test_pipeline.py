@@ -74,3 +74,21 @@ def test_clean_documents_stay(spark):
     after = {r.doc_id: r.text for r in corpus_pipeline.repeats(spark, docs, SMALL).collect()}
     digest = suffix(list(texts.items()))
     assert all(after[i] == t for i, t in texts.items() if digest[i][1] == 0)
+
+
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    a, b, c = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue white black brown")
+    rows = [(3, a), (7, a), (7, b), (None, c), (None, c), (None, a), (9, c), (9, b), (10, None), (11, "")]
+    docs = spark.createDataFrame([(i, t, "x", "y", 0, "p", "q") for i, t in rows], DOCS)
+    left = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    # the smallest id of each group, no id below all: both rows of its text stay
+    assert sorted((str(r.doc_id), str(r.text)) for r in left.collect()) == sorted(
+        [("None", c), ("None", c), ("None", a), ("7", b), ("10", "None")])
+
+
+def test_short_items_leave_documents_alone(spark, tmp_path):
+    spark.createDataFrame([(1, "Why"), (2, "Tell me why it is so cold")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(1, "nobody knows why"), (2, "please tell me why it is so cold today"), (3, "Why")]
+    docs = spark.createDataFrame([(i, t, "x", "y", 0, "p", "q") for i, t in rows], DOCS)
+    assert sorted(r.doc_id for r in corpus_pipeline.decontaminated(spark, docs, str(tmp_path)).collect()) == [1, 3]

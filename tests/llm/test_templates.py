@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from barflow.llm import queries, templates
 
@@ -24,7 +26,7 @@ def test_reparameterised_and_inconsistent(spark):
             (17, "x " * 3000 + ITEMS[1][1].upper().lower() + " y" * 3000), (18, "She said two plus two is four")]
     for many in (10**6, 0):
         got = found(spark, rows, broadcast_windows=many)
-        assert set(got) == {(10, 1), (11, 1), (None, 2), (17, 2)}
+        assert set(got) == {(10, 1), (11, 1), (None, 2), (17, 2), (18, 5)}  # three words are sought inside texts too
         assert got[10, 1].same_slots and not got[11, 1].same_slots and got[17, 2].cover == 1
 
 
@@ -66,6 +68,26 @@ def test_texts_that_share_an_id(spark, tmp_path):
     assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, clean), (7, clean)]
 
 
+def test_lists_of_digits(spark):
+    """A long run of digits neither fills the stack nor takes quadratic time."""
+    a = ITEMS[0][1]
+    got = found(spark, [(1, "1," * 500_000 + " " + a), (2, "7" * 500_000), (3, "1.5 km, 2,000 kg")])
+    assert set(got) == {(1, 1)}
+    row = spark.range(1).select(templates.tokens(F.lit("Run 1,000.5 km or 3kg in 7 kmx")).alias("t")).first().t
+    assert row == ["run", "#1_000_5", "@km", "or", "#3", "@kg", "in", "#7", "kmx"]
+
+
+def test_a_shared_beginning_is_no_leak(spark):
+    """Items that begin alike don't all match a text that has only that beginning; an item's own rest does."""
+    start = "Read the following text with care and then answer the question that is asked below in full"
+    rest = lambda i: " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + k)}" for k in range(14))
+    items = [(i, f"{start} {rest(i)}") for i in range(60)] + [(None, "an item that has no id of its own but eleven words")]
+    rows = [(100 + i, f"so {start} please do it", "x") for i in range(50)] + [
+        (1, f"it says {items[7][1]} end", "x"), (2, f"only {rest(9)} here", "x"), (3, "see " + items[-1][1] + " there", "x")]
+    out = templates.leaks(spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in out} == {(1, 7), (2, 9), (3, None)}
+
+
 def test_empty_tables(spark):
     assert found(spark, []) == {}
     docs = spark.createDataFrame([(1, "a b c d e f g", "x")], DOCS)
