@@ -14,6 +14,10 @@ from barflow.llm import packing, rules, simhash, suffix, templates
 from barflow.llm.common import NULL_ID, row_id, scratch
 
 
+#: Shorter benchmark items ("Why") stand in clean documents too; op5 reports them, the pipeline drops nothing for them.
+LEAST_TOKENS = 4
+
+
 def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with column names that no operator uses, and the names by the old ones."""
     named = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
@@ -30,12 +34,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays;
-    documents without an id all stay, and so do all rows that repeat a kept id
-    with a text of its group."""
-    groups = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    keep = groups.select(row_id("doc_id").alias("_id")).distinct()
-    return docs.withColumn("_id", row_id("doc_id")).join(keep, "_id", "left_semi").select(docs.columns)
+    """Of each group of near duplicates the document with the smallest id stays
+    (of documents without an id one text, the one with the smallest hash), and so
+    does a row that repeats its id and text."""
+    rows, named = _apart(docs)
+    key = F.xxhash64(F.coalesce(F.col(named["text"]), F.lit("")))
+    names = rows.select(row_id(named["doc_id"]).alias("id"), key.alias("key")).distinct()
+    several = names.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if several.isEmpty():
+        groups = simhash.near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+        keep = groups.select(row_id("doc_id").alias("_id")).distinct()
+        return docs.withColumn("_id", row_id("doc_id")).join(keep, "_id", "left_semi").select(docs.columns)
+    first = F.min(F.struct("id", "key"))
+    # texts stand for the rows: groups of texts are found, then each group's first row
+    prints = simhash.near_duplicates(rows.withColumn("_key", key), "_key", named["text"])
+    group = prints.select(F.col("_key").alias("key"), F.col("component_id").alias("grp")).distinct()
+    keep = names.join(group, "key").groupBy("grp").agg(first.alias("x")).select("x.id", "x.key")
+    kept = rows.withColumn("id", row_id(named["doc_id"])).withColumn("key", key).join(keep, ["id", "key"], "left_semi")
+    return kept.select(*[F.col(new).alias(old) for old, new in named.items()])
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,11 +67,12 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item, with its own or other numbers and
-    names, go; so do rows with such a document's id and text, but no other texts
+    """Documents that hold a benchmark item of at least ``LEAST_TOKENS`` tokens, with
+    its own or other numbers and names, go; so do rows with such a document's id and text, but no other texts
     that share its id or have none."""
     rows, named = _apart(docs)
-    found = templates.leaking_texts(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), named["doc_id"], named["text"])
+    found = templates.leaking_texts(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), named["doc_id"], named["text"],
+                                    least_tokens=LEAST_TOKENS)
     bad = found.select("doc", "doc_key").distinct()
     keyed = rows.withColumn("doc", row_id(named["doc_id"])).withColumn("doc_key", templates.text_key(named["text"]))
     clean = keyed.join(bad, ["doc", "doc_key"], "left_anti")
