@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barflow.operators.series import null_safe_join
 
 
 def market_open(ticks: DataFrame, state_col: str = "market_state", open_state: str = "TRADEABLE") -> DataFrame:
@@ -56,11 +57,11 @@ def last_bars(ticks: DataFrame, width: str = "1 minute", keys: Sequence[str] = (
             .na.drop("any", subset=list(value_cols)))
     if not drop_incomplete:
         return bars
-    # As in the reference the newest remaining bar is dropped after the null
-    # filter. The window runs over bars, not ticks: a key's bars are bounded by
-    # time span / width, and the ticks are scanned once.
-    newest = F.max(time_col).over(Window.partitionBy(*keys))
-    return bars.withColumn("_newest", newest).filter(F.col(time_col) < F.col("_newest")).drop("_newest")
+    # The newest remaining bar goes after the null filter. Its time is a partial
+    # aggregate per key, a row each, joined back: no task holds a key's bars.
+    newest = bars.groupBy(*keys).agg(F.max(time_col).alias("_newest"))
+    return (null_safe_join(bars, newest, keys).filter(F.col(time_col) < F.col("_newest"))
+            .select(bars.columns))
 
 
 def bucket_counts(ticks: DataFrame, width_seconds: int, keys: Sequence[str] = ("epic",),

@@ -135,23 +135,22 @@ def to_long(df: DataFrame, group_cols: Sequence[str], metrics: Sequence[str]) ->
 def report(preds: DataFrame, pred_threshold: float, actual_threshold: float = 1.0, time_col: str = "updated_at",
            pred: str = "y_pred", actual: str = "y_true", group_cols: Sequence[str] = ("split",),
            levels: Sequence[float] = (0.1, 0.05, 0.01, 0.9, 0.95, 0.99)) -> DataFrame:
-    """The whole evaluation of a run in one aggregation, long and as text:
+    """The whole evaluation of a run, long and as text:
     ``(group..., metric, value)`` with the errors, the share of predictions and
     of actual returns above their thresholds, the date bounds and the quantile
-    limits of the actual returns (sketched: bounded memory)."""
+    limits of the actual returns (exact, interpolated, see :func:`exact_quantiles`)."""
     e, g = F.col(actual) - F.col(pred), list(group_cols)
     wide = preds.groupBy(*g).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.lit(1.0) - F.try_divide(F.sum(e * e), F.var_pop(F.col(actual)) * F.count(F.lit(1)))).alias("r2"),
         F.avg((F.col(pred) > pred_threshold).cast("double")).alias("predicted_frequency"),
         F.avg((F.col(actual) > actual_threshold).cast("double")).alias("actual_frequency"),
-        F.min(time_col).alias("first_time"), F.max(time_col).alias("last_time"),
-        F.percentile_approx(actual, [float(x) for x in levels], 10_000).alias("_q"))
+        F.min(time_col).alias("first_time"), F.max(time_col).alias("last_time"))
     metrics = ["n", "mae", "mse", "rmse", "r2", "predicted_frequency", "actual_frequency", "first_time", "last_time"]
     cols = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("string").alias("value")) for m in metrics]
-    cols += [F.struct(F.lit(f"quantile_{x:g}").alias("metric"), F.get("_q", F.lit(i)).cast("string").alias("value"))
-             for i, x in enumerate(levels)]
-    return wide.select(*g, F.explode(F.array(*cols)).alias("_m")).select(*g, "_m.metric", "_m.value")
+    name = F.coalesce(*[F.when(F.col("level") == float(x), F.lit(f"quantile_{x:g}")) for x in levels])
+    limits = exact_quantiles(preds, actual, levels, g).select(*g, name.alias("metric"), F.col("value").cast("string").alias("value"))
+    return (wide.select(*g, F.explode(F.array(*cols)).alias("_m")).select(*g, "_m.metric", "_m.value").unionByName(limits))
 
 
 def _bucket(c: Column, lo: float, hi: float, width: float) -> Column:

@@ -169,3 +169,13 @@ def test_top_k_kernel_tie_rule():
     for i in range(30):  # equal distances: the smaller place wins
         expect = np.lexsort((np.arange(60), d[i]))[:4]
         assert list(cols[rows == i]) == list(expect) and np.allclose(dist[rows == i], d[i][expect])
+
+
+def test_report_limits_are_exact(spark):
+    """Quantile limits interpolate between the two middle values, as the run log's do."""
+    from barflow.operators import evaluate
+    rows = [("a", float(i * i), 0.5, i) for i in range(11)] + [("b", 3.0, 0.5, 0), (None, 1.0, 0.5, 0), (None, 2.0, 0.5, 1)]
+    preds = spark.createDataFrame(rows, "split string, y_true double, y_pred double, updated_at long")
+    got = {(r.split, r.metric): float(r.value) for r in evaluate.report(preds, 0.4, levels=(0.25, 0.9)).filter("value is not null").collect()}
+    assert got["a", "quantile_0.25"] == 6.5 and got["a", "quantile_0.9"] == 81.0
+    assert got["b", "quantile_0.9"] == 3.0 and got[None, "quantile_0.25"] == 1.25 and got["a", "n"] == 11

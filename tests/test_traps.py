@@ -218,3 +218,11 @@ def test_asof_over_a_hot_day_equals_the_plain_answer(spark):
     began = time.perf_counter()
     n = asof_forward(many, many.selectExpr("k", "t AS u", "i AS v"), ["k"], "t", "u", ["v"], "i").filter("v = i").count()
     assert n == 20_000 and time.perf_counter() - began < 30
+
+
+def test_each_key_drops_its_own_newest_bar(spark):
+    """A key without a name keeps its bars, and a key of one bar has none left."""
+    rows = [(k, ts(f"2024-01-01 10:0{m}:05"), m, 1.0 + m, 2.0 + m) for k, n in (("A", 4), (None, 3), ("B", 1)) for m in range(n)]
+    ticks = spark.createDataFrame(rows, "epic string, updated_at timestamp, seq long, bid_open double, ask_open double")
+    out = [(r.epic, r.seq) for r in bars.last_bars(ticks, "1 minute").collect()]
+    assert sorted(out, key=str) == sorted([("A", 0), ("A", 1), ("A", 2), (None, 0), (None, 1)], key=str)
