@@ -182,13 +182,8 @@ MARKET_SCHEMA = T.StructType([
 ])
 
 
-@query("minimum_size_check", """
-    SELECT event_id AS seq, event_type AS epic, (k % 5) * 0.5 AS min_deal_size, CAST(k AS DOUBLE) AS size,
-           CAST(k AS DOUBLE) >= (k % 5) * 0.5 AS meets_minimum, value AS bid
-    FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""")
-def minimum_size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A market document split into its instrument, dealing-rule and snapshot
-    records; the requested size checked against the nested minimum (P21)."""
+def _markets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(seq, size, m)``: a requested size and the market's nested document."""
     ev = read_table(spark, sf_dir, "events", ["event_id", "event_type", "value", "props"])
     k = _k()
     doc = F.struct(
@@ -197,9 +192,17 @@ def minimum_size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("dealingRules"),
         F.struct(F.col("value").alias("bid"), (F.col("value") + 0.5).alias("offer"),
                  F.lit("TRADEABLE").alias("marketStatus")).alias("snapshot"))
-    m = ev.select(F.col("event_id").alias("seq"), k.cast("double").alias("size"),
+    return ev.select(F.col("event_id").alias("seq"), k.cast("double").alias("size"),
                   F.from_json(F.to_json(doc), MARKET_SCHEMA).alias("m"))
-    instrument, rules, snapshot = market_records(m)
+
+
+@query("minimum_size_check", """
+    SELECT event_id AS seq, event_type AS epic, (k % 5) * 0.5 AS min_deal_size, CAST(k AS DOUBLE) AS size,
+           CAST(k AS DOUBLE) >= (k % 5) * 0.5 AS meets_minimum, value AS bid
+    FROM (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""")
+def minimum_size_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requested size checked against the minimum nested in the market's document."""
+    m = _markets(spark, sf_dir)
     # The rule needs one field of each record; they come from the same parsed
     # row, so no join is needed to put them side by side.
     mins = F.col("m.dealingRules.minDealSize.value")
@@ -214,6 +217,22 @@ def market_records(m: DataFrame, doc: str = "m", key: str = "seq") -> tuple[Data
             m.select(key, f"{doc}.snapshot.*"))
 
 
+@query("market_records", """
+    WITH e AS (SELECT event_id AS seq, event_type, value, (TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) % 5) * 0.5 AS least FROM events)
+    SELECT seq, 'instrument' AS record, event_type AS epic, upper(event_type) AS name, CAST(NULL AS VARCHAR) AS unit,
+           CAST(NULL AS DOUBLE) AS min_deal_size, CAST(NULL AS DOUBLE) AS bid, CAST(NULL AS DOUBLE) AS offer, CAST(NULL AS VARCHAR) AS status FROM e
+    UNION ALL SELECT seq, 'rules', NULL, NULL, 'POINTS', least, NULL, NULL, NULL FROM e
+    UNION ALL SELECT seq, 'snapshot', NULL, NULL, NULL, NULL, value, value + 0.5, 'TRADEABLE' FROM e""")
+def market_records_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instrument, dealing-rule and snapshot records of every market document, one row each."""
+    instrument, rules, snapshot = market_records(_markets(spark, sf_dir))
+    rules = rules.select("seq", F.col("minDealSize.unit").alias("unit"), F.col("minDealSize.value").alias("min_deal_size"))
+    snapshot = snapshot.select("seq", "bid", "offer", F.col("marketStatus").alias("status"))
+    parts = [df.withColumn("record", F.lit(name)) for name, df in (("instrument", instrument), ("rules", rules), ("snapshot", snapshot))]
+    rows = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    return rows.select("seq", "record", "epic", "name", "unit", "min_deal_size", "bid", "offer", "status")
+
+
 # ---------------------------------------------------------------- lookups and sheets
 
 NAMES = ["blue", "red w", "gi.mo"]  # alternation; '.' keeps its regex meaning
