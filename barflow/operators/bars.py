@@ -115,10 +115,13 @@ def daily_interpolate(series: DataFrame, keys: Sequence[str], date_col: str, val
 
 def latest_prices(ticks: DataFrame, keys: Sequence[str] = ("epic",), time_col: str = "updated_at",
                   seq_col: str = "seq", value_cols: Sequence[str] = ("bid_open", "ask_open")) -> DataFrame:
-    """S9 (MERGE subscription): the latest tick per instrument -- one hash
-    aggregation with ``max_by`` on ``(time, seq)``; on a stream it runs in
-    ``update`` mode and the state is one row per instrument."""
+    """S9 (MERGE subscription): the conflated price per instrument, in one hash
+    aggregation with ``max_by`` on ``(time, seq)``. An update may carry some fields
+    only (the others null): each value is the newest one that was given, time and
+    sequence are the newest update's. On a stream it runs in ``update`` mode
+    and the state is one row per instrument."""
     order = F.struct(F.col(time_col), F.col(seq_col))
     return ticks.groupBy(*keys).agg(
-        F.max_by(F.struct(time_col, seq_col, *value_cols), order).alias("_last")).select(
-        *keys, *[F.col(f"_last.{c}").alias(c) for c in (time_col, seq_col, *value_cols)])
+        F.max(order).alias("_last"),
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in value_cols]).select(
+        *keys, *[F.col(f"_last.{c}").alias(c) for c in (time_col, seq_col)], *value_cols)

@@ -51,20 +51,47 @@ def null_safe_join(left: DataFrame, right: DataFrame, cols: Sequence[str], how:
     return left.join(right, on, how).drop(*named.values())
 
 
+def _at_or_below(cuts: str, at: Column) -> Column:
+    """How many entries of the ascending array ``cuts`` are at or below ``at``
+    (0 without an array), by binary search."""
+    size = F.size(cuts)
+    steps = F.sequence(F.lit(0), F.floor(F.log2(size)).cast("int"))
+
+    def halve(s: Column, _: Column) -> Column:
+        lo, hi = s["lo"], s["hi"]
+        mid = F.shiftright(lo + hi, 1)
+        below = F.get(F.col(cuts), mid) <= at
+        return F.when(lo >= hi, s).otherwise(F.struct(F.when(below, mid + 1).otherwise(lo).alias("lo"),
+                                                      F.when(below, hi).otherwise(mid).alias("hi")))
+    whole = F.struct(F.lit(0).alias("lo"), size.alias("hi"))
+    return F.when(F.coalesce(size, F.lit(0)) > 0, F.aggregate(steps, whole, halve)["lo"]).otherwise(F.lit(0))
+
+
 def _chunked(df: DataFrame, keys: list[str], order: list[str], time_col: str, chunk_seconds: int,
              chunk_rows: int) -> DataFrame:
-    """Add ``_bucket`` and ``_piece``: the time bucket and the number of its
-    splitters at or before the row. Splitters are one row in ``chunk_rows``, so
-    their table is that much smaller than the input."""
+    """Add ``_bucket``, ``_branch`` and ``_piece``: the time bucket, and the
+    row's place in its tree of splitters. Splitters are one row in
+    ``chunk_rows``, so their table is that much smaller than the input. A
+    bucket's n splitters fall into about sqrt(n) branches of sqrt(n) each: a row
+    meets the branches' first splitters, then those of its own branch, and is
+    placed by binary search in either, so no row carries or scans all of them."""
     bucket = F.floor(F.unix_micros(F.col(time_col).cast("timestamp")) / F.lit(chunk_seconds * 1_000_000))
     base = df.withColumn("_bucket", bucket)
     at = F.struct(*order)
     # not the hash that places rows in shuffle partitions: that one is correlated with the keys
     splitters = (base.filter(F.pmod(F.xxhash64(F.lit("splitter"), *order), F.lit(chunk_rows)) == 0)
-                 .groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_set(at)).alias("_cuts")))
-    cut = null_safe_join(base, splitters, [*keys, "_bucket"], "left")
-    piece = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= at)), F.lit(0))
-    return cut.withColumn("_piece", F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(piece)).drop("_cuts")
+                 .groupBy(*keys, "_bucket").agg(F.sort_array(F.collect_set(at)).alias("_cuts"))
+                 .withColumn("_width", F.ceil(F.sqrt(F.size("_cuts"))).cast("int")))
+    firsts = F.sequence(F.lit(1), F.size("_cuts"), F.col("_width"))
+    tops = splitters.select(*keys, "_bucket", F.transform(firsts, lambda i: F.element_at("_cuts", i)).alias("_tops"))
+    # branch 0 lies before the first splitter and has none
+    leaves = splitters.select(
+        *keys, "_bucket", F.posexplode(F.transform(firsts, lambda i: F.slice("_cuts", i, F.col("_width")))).alias("_at", "_leaf"))
+    leaves = leaves.select(*keys, "_bucket", (F.col("_at") + 1).alias("_branch"), "_leaf")
+    placed = (null_safe_join(base, tops, [*keys, "_bucket"], "left")
+              .withColumn("_branch", _at_or_below("_tops", at)).drop("_tops"))
+    return (null_safe_join(placed, leaves, [*keys, "_bucket", "_branch"], "left")
+            .withColumn("_piece", _at_or_below("_leaf", at)).drop("_leaf"))
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
@@ -77,7 +104,7 @@ def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str
     ``with_size`` also adds ``_n``, the number of rows of the key.
     """
     keys, order = _as_list(keys), _as_list(order)
-    chunk = ["_bucket", "_piece"]
+    chunk = ["_bucket", "_branch", "_piece"]
     chunked = _chunked(df, keys, order, time_col or order[0], chunk_seconds, max(1, block_rows // 8))
     counts = chunked.groupBy(*keys, *chunk).agg(F.count(F.lit(1)).alias("_cnt"))
     per_key = Window.partitionBy(*keys).orderBy(*chunk)

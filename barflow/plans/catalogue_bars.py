@@ -251,11 +251,12 @@ def target_volatility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("latest_price", with_fixtures(f"""
     SELECT epic, strftime(arg_max(updated_at, (updated_at, seq)), {MICRO_TS}) AS updated_at,
-           arg_max(seq, (updated_at, seq)) AS seq, arg_max(bid_open, (updated_at, seq)) AS bid_open,
-           arg_max(ask_open, (updated_at, seq)) AS ask_open
+           arg_max(seq, (updated_at, seq)) AS seq,
+           arg_max(bid_open, (updated_at, seq)) FILTER (WHERE bid_open IS NOT NULL) AS bid_open,
+           arg_max(ask_open, (updated_at, seq)) FILTER (WHERE ask_open IS NOT NULL) AS ask_open
     FROM ticks GROUP BY epic""", "ticks"))
 def latest_price(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conflated latest tradeable price per instrument (S9, MERGE)."""
+    """The conflated latest tradeable price per instrument, field by field (S9, MERGE)."""
     p = bars.latest_prices(bars.market_open(fixtures.raw_stream(spark, sf_dir)))
     return p.select("epic", ts_text("updated_at", micros=True).alias("updated_at"), "seq", "bid_open", "ask_open")
 

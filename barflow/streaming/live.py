@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import dataclasses
 import uuid
+from collections.abc import Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,6 +95,18 @@ def run_latest_prices(spark: SparkSession, ticks: DataFrame, query_name: str):
     return q
 
 
+def distinct_updates(updates: DataFrame, keys: Sequence[str] = ("dealId", "timestamp"), time_col: str = "timestamp",
+                     delay: str = "1 hour") -> DataFrame:
+    """S10/T16 (DISTINCT subscription): every update once, also when the feed
+    repeats it after a reconnect. A stream's state holds the keys seen in the
+    last ``delay`` of event time; a batch drops every repeat. An update without
+    a time can't be watermarked and is left out of either."""
+    timed = updates.filter(F.col(time_col).isNotNull())
+    if not updates.isStreaming:
+        return timed.dropDuplicates(list(keys))
+    return timed.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(list(keys))
+
+
 def run_bars(spark: SparkSession, ticks: DataFrame, width: str, out_dir: str | None = None,
              delay: str = "0 seconds") -> str:
     """Run the bar stream to completion (``availableNow``) into an

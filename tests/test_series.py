@@ -112,3 +112,18 @@ def test_a_burst_at_one_instant_splits_and_keeps_positions(spark):
     chunks = series._chunked(rows, ["epic"], ["updated_at", "seq"], "updated_at", 86_400, 100)
     sizes = [r["count"] for r in chunks.groupBy("epic", "_bucket", "_piece").count().collect()]
     assert len(sizes) >= 20 and max(sizes) < 800 and sum(sizes) == 4000
+
+
+def test_many_splitters_in_one_bucket(spark):
+    """Rows of one key and day, ties in time and null times included, cut at
+    hundreds of splitters: positions equal the plain row number."""
+    t = spark.range(6000).select(
+        F.when(F.col("id") % 7 == 0, None).otherwise(F.lit("a")).alias("epic"), F.col("id").alias("seq"),
+        F.when(F.col("id") % 50 != 0, F.timestamp_seconds(F.lit(1_700_000_000) + F.pmod(F.hash("id"), F.lit(900)))).alias("updated_at"))
+    got = series.with_row_index(t, ["epic"], ["updated_at", "seq"], block_rows=80)
+    ref = t.withColumn("rn", F.row_number().over(Window.partitionBy("epic").orderBy("updated_at", "seq")) - 1)
+    both = got.join(ref.select("seq", "rn"), "seq")
+    assert both.count() == 6000 and both.filter("_idx <> rn").count() == 0
+    pieces = series._chunked(t, ["epic"], ["updated_at", "seq"], "updated_at", 86_400, 10)
+    sizes = pieces.groupBy("epic", "_bucket", "_branch", "_piece").count()
+    assert sizes.count() > 300 and sizes.agg(F.max("count")).first()[0] < 200

@@ -129,3 +129,26 @@ def test_latest_price_stream_equals_batch(spark):
     assert streamed.count() == batch.count() == 5
     assert streamed.exceptAll(batch).count() == 0
     assert q.lastProgress is not None
+
+
+def test_a_partial_update_keeps_the_other_field(spark):
+    rows = [("a", 1, 1, 1.0, 2.0), ("a", 2, 2, None, 2.5), ("a", 3, 3, 1.5, None), ("b", 1, 4, None, None)]
+    t = spark.createDataFrame(rows, "epic string, t long, seq long, bid_open double, ask_open double") \
+        .withColumn("updated_at", F.timestamp_seconds("t")).drop("t")
+    got = {r.epic: (r.seq, r.bid_open, r.ask_open) for r in bars.latest_prices(t).collect()}
+    assert got == {"a": (3, 1.5, 2.5), "b": (4, None, None)}
+
+
+def test_a_replayed_feed_adds_no_update(spark):
+    folder = tempfile.mkdtemp(prefix="bf-feed-")
+    names = "dealId string, timestamp timestamp, status string"
+    day = spark.range(40).selectExpr("concat('d', id % 8) AS dealId", "timestamp_seconds(1700000000 + id * 60) AS timestamp",
+                                     "'OPEN' AS status")
+    for _ in range(2):  # the second file repeats the first after a reconnect
+        day.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    feed = spark.readStream.schema(names).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    q = live.distinct_updates(feed).writeStream.format("memory").queryName("feed").outputMode("append") \
+        .option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got, batch = spark.table("feed"), live.distinct_updates(spark.read.schema(names).parquet(f"{folder}/in"))
+    assert len(sorted(got.collect())) == 40 and sorted(got.collect()) == sorted(batch.collect())
