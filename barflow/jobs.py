@@ -1,14 +1,15 @@
 """Batch and streaming jobs: the three run modes of the reference as Spark jobs.
 
     python -m barflow.jobs history --ticks DIR --out DIR --source NAME [--resolution 1m] [--as-of 2024-02-10]
-    python -m barflow.jobs train   --bars DIR --out DIR [--instrument EPIC] [--k 3] [--past-periods 3] [--threshold 1.0]
+    python -m barflow.jobs train   --bars DIR --out DIR [--model knn|linear|stacked] [--instrument EPIC] [--k 3] [--past-periods 3]
+                           [--lookbacks 3,10,15] [--threshold 1.0]
     python -m barflow.jobs live    --ticks DIR --models DIR --out DIR --run ID[:THRESHOLD] [--run ...] [--delay "10 minutes"]
 
 ``--ticks`` holds Parquet files with ``epic, updated_at, seq, bid_open,
 ask_open, market_state``, ``--bars`` with ``epic, updated_at, seq, bid_open,
 ask_open``; the job functions take any DataFrames of these columns. ``train``
-stores the fitted model under its run id in ``--out``, and ``live`` loads it
-from there. On a cluster all folders are shared paths, and checkpoints go to the
+stores the fitted model with its kind under its run id in ``--out``, and ``live``
+loads it from there; a loop may run models of different kinds. On a cluster all folders are shared paths, and checkpoints go to the
 session's ``spark.checkpoint.dir``.
 """
 
@@ -16,17 +17,18 @@ from __future__ import annotations
 
 import argparse
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barflow.operators import bars as bar_ops
-from barflow.operators import evaluate, features, knn
+from barflow.operators import evaluate, scoring
+from barflow.operators.scoring import ROW_KEY, training_matrix  # noqa: F401
 from barflow.sources import files
 from barflow.sources.tables import read_or_empty
 
-ROW_KEY = ["epic", "updated_at", "seq"]
 HISTORY = T.StructType([T.StructField(c, t) for c, t in (
     ("instrument", T.StringType()), ("updated_at", T.TimestampType()), ("seq", T.LongType()), ("bid_open", T.DoubleType()),
     ("ask_open", T.DoubleType()), ("source", T.StringType()), ("resolution", T.StringType()), ("bucket_range", T.StringType()),
@@ -56,35 +58,29 @@ def history_job(spark: SparkSession, ticks: DataFrame, out: str, as_of: str, sou
     return {name: spark.read.parquet(f"{out}/{name}") for name in results}
 
 
-def training_matrix(bars: DataFrame, past_periods: int) -> DataFrame:
-    """M3 front half + W14: target, past asks, impute, normalise, chronological
-    split -> one row per labelled bar with its feature vector."""
-    rows = (features.shift_features(bars, future={"bid_open": 1}, past={"ask_open": past_periods})
-            .transform(features.return_target, alias="y_true").filter(F.col("y_true").isNotNull())
-            .withColumn("level", F.col("ask_open")))
-    cols = features.lag_columns("ask_open", past_periods)
-    rows = features.normalise(features.impute(rows, cols), cols)
-    return features.chronological_split(rows).select(*ROW_KEY, "split", "y_true", "level",
-                                            F.array(*[F.col(c) for c in cols]).alias("vec"))
-
-
 def train_job(spark: SparkSession, bars: DataFrame, out: str, k: int, past_periods: int, threshold: float = 1.0,
-              instrument: str | None = None) -> dict[str, DataFrame]:
-    """Training run on one instrument's bars (all, where none is named): the
-    fitted model stored under the run id (M9), predictions, and the run log (S15)
-    with the evaluation report per split (M13)."""
-    run_id = f"knn-k{k}-p{past_periods}-{uuid.uuid4().hex[:8]}"
+              instrument: str | None = None, model: str = "knn", lookbacks: Sequence[int] = (3, 10, 15)) -> dict[str, DataFrame]:
+    """Training run on one instrument's bars (all, where none is named): a
+    model of the kind ``model``, stored under the run id (M9), predictions, and the run
+    log (S15) with the evaluation report per split (M13). ``knn`` takes ``k`` and
+    ``past_periods``, ``linear`` ``past_periods``, ``stacked`` ``lookbacks``."""
+    kind = scoring.KINDS[model]
+    lookbacks = list(lookbacks) if model == "stacked" else [past_periods]
+    depth = max(lookbacks)
+    name = f"knn-k{k}-p{depth}" if model == "knn" else f"{model}-p{'-'.join(map(str, lookbacks))}"
+    run_id = f"{name}-{uuid.uuid4().hex[:8]}"
     own = bars if instrument is None else bars.filter(F.col("epic") == F.lit(instrument))
-    files.snapshot(training_matrix(own, past_periods), f"{out}/matrix/{run_id}")
+    files.snapshot(kind.matrix(own, depth), f"{out}/matrix/{run_id}")
     rows = spark.read.parquet(f"{out}/matrix/{run_id}")
-    fitted = knn.save(knn.fit(rows.filter(F.col("split") == "train"), ROW_KEY, y="y_true"), f"{out}/models/{run_id}")
-    near = knn.search(rows, fitted, k, ROW_KEY)
-    preds = rows.join(knn.knn_predict(near, ROW_KEY), ROW_KEY).drop("vec")
+    fitted = kind.fit(rows.filter(F.col("split") == "train"), lookbacks=lookbacks)
+    stored = scoring.save(spark, model, fitted, f"{out}/models/{run_id}")
+    preds = rows.join(kind.predict(rows, stored, k=k), ROW_KEY).drop("vec")
     files.snapshot(preds.withColumn("run_id", F.lit(run_id)), f"{out}/predictions", partition_cols=["run_id"])
     preds = spark.read.parquet(f"{out}/predictions").filter(F.col("run_id") == run_id)
     report = evaluate.report(preds, threshold, group_cols=["split"])
     metrics_log = report.select(F.lit(run_id).alias("run_id"), F.concat_ws("_", "split", "metric").alias("key"), "value")
-    params = {"k": k, "past_periods": past_periods, "r_threshold": threshold, "instrument": instrument or ""}
+    params = {"model": model, "k": k, "past_periods": depth, "lookbacks": ",".join(map(str, lookbacks)),
+              "r_threshold": threshold, "instrument": instrument or ""}
     params_log = spark.createDataFrame([(run_id, key, str(v)) for key, v in params.items()],
                                        "run_id string, key string, value string")
     files.append(metrics_log, f"{out}/run_metrics")
@@ -94,7 +90,7 @@ def train_job(spark: SparkSession, bars: DataFrame, out: str, k: int, past_perio
 
 def load_models(spark: SparkSession, models: str, runs: list[tuple[str, float | None]]) -> list[dict]:
     """J9 + T14: the deployed configurations of the given runs, each with its
-    stored model, its parameters from the run log and (optionally) its own threshold."""
+    stored model and kind, its parameters from the run log and (optionally) its own threshold."""
     wanted = [r for r, _ in runs]
     log = spark.read.parquet(f"{models}/run_params").filter(F.col("run_id").isin(wanted)).collect()  # a few keys per run
     params: dict[str, dict[str, str]] = {r: {} for r in wanted}
@@ -105,10 +101,10 @@ def load_models(spark: SparkSession, models: str, runs: list[tuple[str, float |
         p = params[run_id]
         if not p:
             raise ValueError(f"no run {run_id} in {models}/run_params")
-        out.append({"model_name": "knn-reg-model", "model_version": version, "run_id": run_id, "k": int(p["k"]),
-                    "past_periods": int(p["past_periods"]), "instrument": p["instrument"] or None,
-                    "r_threshold": float(p["r_threshold"]) if threshold is None else threshold,
-                    "fitted": knn.load(spark, f"{models}/models/{run_id}")})
+        kind, fitted = scoring.load(spark, f"{models}/models/{run_id}")
+        out.append({"model_name": scoring.KINDS[kind].label, "model_version": version, "run_id": run_id, "kind": kind,
+                    "k": int(p["k"]), "past_periods": int(p["past_periods"]), "instrument": p["instrument"] or None,
+                    "r_threshold": float(p["r_threshold"]) if threshold is None else threshold, "fitted": fitted})
     return out
 
 
@@ -118,10 +114,8 @@ def live_job(spark: SparkSession, ticks: DataFrame, models: str, runs: list[tupl
     bars, positions, fills and outcomes per micro-batch, then the monitoring tables."""
     from barflow.streaming import live
     configs = load_models(spark, models, runs)
-    if len({c["past_periods"] for c in configs}) > 1:
-        raise ValueError("the runs of one loop must have the same past_periods")
     live.run_ticks(spark, ticks, out)
-    live.run_signals(spark, ticks, configs, width=width, delay=delay, past_periods=configs[0]["past_periods"], out_dir=out)
+    live.run_signals(spark, ticks, configs, width=width, delay=delay, out_dir=out)
     tables = live.monitoring_tables(spark, out)
     for name, df in tables.items():
         files.snapshot(df, f"{out}/monitor_{name}")
@@ -139,6 +133,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--source", default="broker")
     ap.add_argument("--resolution", default="1m")
     ap.add_argument("--instrument")
+    ap.add_argument("--model", choices=sorted(scoring.KINDS), default="knn")
+    ap.add_argument("--lookbacks", type=lambda x: [int(n) for n in x.split(",")], default=[3, 10, 15])
     ap.add_argument("--k", type=int, default=3)
     ap.add_argument("--past-periods", type=int, default=3)
     ap.add_argument("--threshold", type=float, default=1.0)
@@ -152,7 +148,8 @@ def main(argv: list[str] | None = None) -> None:
         if a.job == "history":
             history_job(spark, spark.read.parquet(a.ticks), a.out, a.as_of, a.source, a.resolution)
         elif a.job == "train":
-            train_job(spark, spark.read.parquet(a.bars), a.out, a.k, a.past_periods, a.threshold, a.instrument)
+            train_job(spark, spark.read.parquet(a.bars), a.out, a.k, a.past_periods, a.threshold, a.instrument,
+                      a.model, a.lookbacks)
         else:
             schema = spark.read.parquet(a.ticks).schema
             runs = [(r.partition(":")[0], float(r.partition(":")[2]) if ":" in r else None) for r in a.run]

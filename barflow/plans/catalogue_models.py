@@ -356,9 +356,11 @@ def _eliminate(source: str, name: str, inputs: list[str], keep: list[str], group
     return ",\n".join(ctes)
 
 
-def _stacked_sql() -> str:
+def stacked_sql(scored: str | None = None) -> str:
     """The stacked model by elimination on the rows: every row is copied for
-    each left-out fold and once for the fit on all rows (part -1)."""
+    each left-out fold and once for the fit on all rows (part -1). The bars of the
+    table ``scored`` are scored by it too, as fold -2; they are in no fit, and
+    their label is 0."""
     deepest = max(LOOKBACKS)
     lags = "".join(f", lag(ask_open, {i}) OVER w AS l{i}" for i in range(1, deepest + 1))
     fill = ", ".join(f"coalesce({', '.join(f'l{j}' for j in range(i, 0, -1))}, ask_open) / ask_open AS x{i}"
@@ -366,14 +368,18 @@ def _stacked_sql() -> str:
     xs = [f"x{i}" for i in range(1, deepest + 1)]
     outs = [f"e{lb}" for lb in LOOKBACKS]
     ps = [f"p{lb}" for lb in LOOKBACKS]
+    more = "" if scored is None else f"""
+               UNION ALL
+               SELECT epic, updated_at, seq, 0.0, {fill}, -2
+               FROM (SELECT *{lags} FROM {scored} WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq))"""
     return f"""
     lagged AS (SELECT epic, updated_at, seq, ask_open, lead(bid_open, 1) OVER w / ask_open AS y{lags}
                FROM stream WINDOW w AS (PARTITION BY epic ORDER BY updated_at, seq)),
     filled AS (SELECT epic, updated_at, seq, y, {fill},
                       ntile({FOLDS}) OVER (PARTITION BY epic ORDER BY updated_at, seq) - 1 AS fold
-               FROM lagged WHERE y IS NOT NULL),
-    copied AS (SELECT *, y AS label, fold <> part AS fit
-               FROM filled, (SELECT unnest(range(-1, {FOLDS})) AS part)),
+               FROM lagged WHERE y IS NOT NULL{more}),
+    copied AS (SELECT *, y AS label, fold <> part AND fold <> -2 AS fit
+               FROM filled, (SELECT unnest(range(-1, {FOLDS})) AS part) WHERE fold <> -2 OR part = -1),
     {_eliminate("copied", "g", xs, ["epic", "updated_at", "seq", "fold", "part", "fit", "label"], "epic, part",
                 dict(zip(LOOKBACKS, outs)))},
     means AS (SELECT epic, part, avg(label) AS m FROM copied WHERE fit GROUP BY epic, part),
@@ -389,7 +395,7 @@ def _stacked_sql() -> str:
 @query("stacked_forecast", with_fixtures(f"""
     SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, fold, round(label, 4) AS y,
            round(label - left_over, 4) AS stacked_pred
-    FROM h{len(LOOKBACKS)} WHERE NOT fit""", "stream", extra=_stacked_sql()))
+    FROM h{len(LOOKBACKS)} WHERE NOT fit""", "stream", extra=stacked_sql()))
 def stacked_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stacked linear model over three lookbacks, one per instrument: base
     models on all rows, the final one over 5-fold out-of-fold predictions (M8, P14)."""

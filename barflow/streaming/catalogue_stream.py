@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from barflow.functions.scalar import ts_text
 from barflow.jobs import ROW_KEY
-from barflow.operators import knn
+from barflow.operators import features, forecast, knn, scoring
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS
-from barflow.plans.catalogue_models import BAR_MODEL_SQL, K, R_THRESHOLD, bar_model_rows
+from barflow.plans.catalogue_models import BAR_MODEL_SQL, K, LOOKBACKS, R_THRESHOLD, bar_model_rows, stacked_sql
 from barflow.plans.registry import query, with_fixtures
 from barflow.streaming import live
 
@@ -61,3 +61,32 @@ def stream_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = spark.read.parquet(f"{out}/positions")
     return p.select("dealId", "model_used", ts_text("buy_date").alias("buy_date"),
                     ts_text("sell_date").alias("sell_date"), "buy_level_responce", F.round("y_pred", 6).alias("y_pred"))
+
+
+STACKED_SIGNALS_SQL = f"""
+    scored AS (SELECT epic, updated_at, seq, label - left_over AS y_pred FROM h{len(LOOKBACKS)} WHERE fold = -2),
+    enough AS (SELECT epic FROM sbars GROUP BY epic HAVING count(*) >= {max(LOOKBACKS)})"""
+
+
+@query("stream_stacked_signals", with_fixtures(f"""
+    SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), 'stacked-linear-reg-model-v1')), 1, 32) AS dealId,
+           'stacked-linear-reg-model-v1' AS model_used, strftime(updated_at, {HOUR_TS}) AS buy_date,
+           strftime(updated_at + INTERVAL 1 MINUTE, {HOUR_TS}) AS sell_date, ask_open AS buy_level_responce,
+           round(y_pred, 4) AS y_pred
+    FROM scored JOIN sbars USING (epic, updated_at, seq) JOIN enough USING (epic) WHERE y_pred > {R_THRESHOLD}""", "stream",
+                                              extra=STREAMED_SQL + "," + stacked_sql("sbars") + "," + STACKED_SIGNALS_SQL))
+def stream_stacked_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stacked model deployed: fitted on the batch bars with a label, stored, loaded
+    by its kind, and scoring the streamed bars of every instrument with enough of them (M8, M9, T14)."""
+    order = list(features.ORDER)
+    rows = forecast.stacked_features(fixtures.stream(spark, sf_dir), max(LOOKBACKS), ["epic"], order, future={"bid_open": 1})
+    rows = features.return_target(rows, alias="y_true").filter(F.col("y_true").isNotNull()).withColumnRenamed("x", "vec")
+    path = live.stream_dir(spark, "model")
+    scoring.save(spark, "stacked", scoring.KINDS["stacked"].fit(rows, lookbacks=LOOKBACKS), path)
+    kind, fitted = scoring.load(spark, path)
+    model = dict(model_name=scoring.KINDS[kind].label, model_version=1, kind=kind, past_periods=max(LOOKBACKS),
+                 r_threshold=R_THRESHOLD, fitted=fitted)
+    out = live.run_signals(spark, fixtures.tick_stream(spark, sf_dir), [model], width=fixtures.BAR_WIDTH)
+    p = spark.read.parquet(f"{out}/positions")
+    return p.select("dealId", "model_used", ts_text("buy_date").alias("buy_date"),
+                    ts_text("sell_date").alias("sell_date"), "buy_level_responce", F.round("y_pred", 4).alias("y_pred"))

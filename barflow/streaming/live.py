@@ -23,7 +23,6 @@ holds back each instrument's newest bar. Batch bars follow the reference.
 
 from __future__ import annotations
 
-import dataclasses
 import uuid
 from collections.abc import Sequence
 from contextlib import contextmanager
@@ -34,7 +33,7 @@ from pyspark.sql import functions as F
 from barflow import schemas
 from barflow.functions import scalar
 from barflow.operators import bars as bar_ops
-from barflow.operators import features, knn, positions
+from barflow.operators import features, positions, scoring
 from barflow.session import checkpoint_root
 
 ROW_KEY = ["epic", "updated_at", "seq"]
@@ -151,27 +150,30 @@ def _latest_epoch_before(spark: SparkSession, path: str, epoch: int) -> int | No
     return max(found) if found else None
 
 
-def live_features(new_bars: DataFrame, history: DataFrame | None, past_periods: int) -> DataFrame:
-    """Feature vectors of the new bars, with ``history`` (the last
-    ``past_periods`` bars per instrument, or None) before them; an instrument is
-    scored once it has at least ``past_periods`` bars."""
+def live_features(new_bars: DataFrame, history: DataFrame | None, past_periods: int, kind: str = "knn") -> DataFrame:
+    """Feature vectors of the new bars as a model of ``kind`` takes them, with
+    ``history`` (the last bars per instrument, at least ``past_periods``, or
+    None) before them; an instrument is scored once it has at least ``past_periods`` bars."""
     cur = new_bars.withColumn("_new", F.lit(True))
     allb = cur if history is None else history.withColumn("_new", F.lit(False)).unionByName(cur)
     enough = allb.groupBy("epic").agg(F.count(F.lit(1)).alias("_nb")).filter(F.col("_nb") >= past_periods)
-    allb = allb.join(enough.select("epic"), "epic", "left_semi").withColumn("level", F.col("ask_open"))
-    feats = features.model_features(allb, past_periods).filter(F.col("_new"))
-    return feats.select(*ROW_KEY, "level", F.array(*[F.col(c) for c in features.lag_columns("ask_open", past_periods)]).alias("vec"))
+    allb = allb.join(enough.select("epic"), "epic", "left_semi")
+    return scoring.KINDS[kind].vectors(allb, past_periods).filter(F.col("_new")).select(*ROW_KEY, "level", "vec")
 
 
 def score(feats: DataFrame, model: dict, hold_minutes: int) -> DataFrame:
     """T7 + T8: one deployed model on its instrument's feature rows (on all,
     where it names none), threshold -> position rows."""
     own = feats if model.get("instrument") is None else feats.filter(F.col("epic") == F.lit(model["instrument"]))
-    pred = knn.knn_predict(knn.search(own, model["fitted"], model["k"], ROW_KEY), ROW_KEY)
+    pred = scoring.KINDS[_kind(model)].predict(own, model["fitted"], k=model.get("k"))
     return positions.signals_to_positions(own.select(*ROW_KEY, "level").join(pred, ROW_KEY), model["r_threshold"],
                                           model["model_name"], str(model["model_version"]), hold_minutes)
 
 
+def _kind(model: dict) -> str:
+    return model.get("kind", "knn")
+
+
 def _table(spark: SparkSession, path: str, epoch: int | None) -> DataFrame | None:
     return None if epoch is None else spark.read.parquet(f"{path}/epoch={epoch}")
 
@@ -182,8 +184,10 @@ def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, o
     model, append positions, fills, outcomes and bars, and roll the state tables
     forward (the last bars per instrument, and the open positions).
 
-    State is the newest committed epoch's: at most ``past_periods`` bars per
-    instrument and the positions still open, however long the stream runs. Every
+    A model's features reach back its own ``past_periods`` bars (``past_periods``
+    where it has none); models that take the same features share them.
+    State is the newest committed epoch's: per instrument as many bars as the deepest model
+    reaches back, and the positions still open, however long the stream runs. Every
     write replaces only this epoch's folder, so a replayed batch (after a
     failure before the commit) rewrites instead of duplicating."""
     def put(df: DataFrame, name: str) -> DataFrame:
@@ -193,10 +197,15 @@ def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, o
 
     prev = _latest_epoch_before(spark, f"{out_dir}/tails", epoch_id)
     history, held = _table(spark, f"{out_dir}/tails", prev), _table(spark, f"{out_dir}/open", prev)
-    feats = put(live_features(batch, history, past_periods), "features")  # the same for every model
+    depth = {id(m): m.get("past_periods") or past_periods for m in models}
+    deepest = max(depth.values())
+    feats: dict[tuple, DataFrame] = {}
     opened = None
     for m in models:  # a handful of deployed configurations, not data
-        p = score(feats, m, hold_minutes)
+        form = (scoring.KINDS[_kind(m)].vectors, depth[id(m)])
+        if form not in feats:
+            feats[form] = put(live_features(batch, history, depth[id(m)], _kind(m)), f"features_{form[0].__name__}_{form[1]}")
+        p = score(feats[form], m, hold_minutes)
         opened = p if opened is None else opened.unionByName(p)
     opened = put(opened, "positions")
     bars = put(batch, "bars")
@@ -206,7 +215,7 @@ def process_signal_batch(spark: SparkSession, batch: DataFrame, epoch_id: int, o
     put(positions.outcomes(candidates.join(fills.select("dealId"), "dealId", "left_semi"), fills), "outcomes")
     put(positions.still_open(candidates, fills), "open")
     both = batch if history is None else history.unionByName(batch)
-    put(features.series_tail(both, past_periods).drop("rows_from_end"), "tails")
+    put(features.series_tail(both, deepest).drop("rows_from_end"), "tails")
     # Retention: states older than the one this batch read are never read again
     # (a replay of this epoch reads ``prev``), so the listing stays short.
     if prev is not None:
@@ -250,13 +259,15 @@ def run_signals(spark: SparkSession, ticks: DataFrame, models: list[dict], width
     are kept, scored and turned into positions, and due positions are closed.
 
     ``models`` lists the deployed configurations: ``model_name``,
-    ``model_version``, ``fitted`` (a :class:`barflow.operators.knn.KnnModel`,
-    fitted or loaded once, before the stream starts), ``k``, ``r_threshold`` and
-    the ``instrument`` it trades (None: all). ``delay`` is how late a tick may
+    ``model_version``, ``kind`` (of :data:`barflow.operators.scoring.KINDS`; default
+    ``knn``), ``fitted`` (a model of that kind, fitted or loaded once, before the
+    stream starts), ``k`` for ``knn``, ``past_periods`` (default: the argument),
+    ``r_threshold`` and the ``instrument`` it trades (None: all). ``delay`` is how late a tick may
     come, over all instruments (the watermark is global): ticks later than that
     are in the raw table, not in a bar. Returns the folder of the tables."""
     out_dir = out_dir or stream_dir(spark, "signals")
-    models = [{**m, "fitted": dataclasses.replace(m["fitted"], cells=m["fitted"].cells.persist())} for m in models]
+    pinned = [scoring.KINDS[_kind(m)].pin(m["fitted"]) for m in models]
+    models = [{**m, "fitted": held} for m, (held, _) in zip(models, pinned)]
 
     def on_batch(batch: DataFrame, epoch_id: int) -> None:
         # The micro-batch feeds several writes: keep it for the duration of this call only.
@@ -274,6 +285,6 @@ def run_signals(spark: SparkSession, ticks: DataFrame, models: list[dict], width
                  .option("checkpointLocation", f"{out_dir}/_checkpoint").trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        for m in models:
-            m["fitted"].cells.unpersist()
+        for _, release in pinned:
+            release()
     return out_dir

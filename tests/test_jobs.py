@@ -45,6 +45,32 @@ def test_train_stores_a_model_that_the_live_job_loads(spark):
     assert {m for m, _ in used} == {"knn-reg-model-v1", "knn-reg-model-v2"} and {e for m, e in used if m.endswith("v2")} == {epic}
 
 
+def test_models_of_all_kinds_run_in_one_loop(spark):
+    """Stored kNN, linear and stacked models of different depths score the same
+    stream; each position's forecast is the stored model's on the batch features."""
+    from barflow.operators import scoring
+    out = tempfile.mkdtemp(prefix="barflow-kinds-")
+    bars = fixtures.stream(spark, SF_SMALL)
+    runs = [jobs.train_job(spark, bars, out, 3, 4, model=m, lookbacks=(2, 5)) for m in ("knn", "linear", "stacked")]
+    models = jobs.load_models(spark, out, [(r["run_id"], 0.5) for r in runs])
+    assert [(m["kind"], m["past_periods"]) for m in models] == [("knn", 4), ("linear", 4), ("stacked", 5)]
+    for r, m in zip(runs, models):
+        rows = spark.read.parquet(f"{out}/matrix/{r['run_id']}")
+        again = {(x.epic, x.updated_at, x.seq): x.y_pred for x in scoring.KINDS[m["kind"]].predict(rows, m["fitted"], k=3).collect()}
+        stored = r["predictions"].collect()
+        assert len(stored) == len(again) == rows.count()
+        assert all(abs(again[x.epic, x.updated_at, x.seq] - x.y_pred) < 1e-9 for x in stored)
+    folder = f"{out}/live"
+    tables = jobs.live_job(spark, fixtures.tick_stream(spark, SF_SMALL), out, [(r["run_id"], 0.5) for r in runs], folder)
+    got = tables["positions"].groupBy("model_used").count().collect()
+    assert {x.model_used for x in got} == {"knn-reg-model-v1", "linear-reg-model-v2", "stacked-linear-reg-model-v3"}
+    streamed = spark.read.parquet(f"{folder}/bars").drop("epoch")
+    feats = scoring.ratio_vectors(streamed, 5)
+    want = scoring.KINDS["stacked"].predict(feats, models[2]["fitted"]).withColumnRenamed("updated_at", "buy_date")
+    both = tables["positions"].filter("model_used LIKE 'stacked%'").withColumnRenamed("y_pred", "p").join(want, ["epic", "buy_date"])
+    assert both.count() > 0 and both.filter("abs(p - y_pred) > 1e-9").count() == 0
+
+
 def test_the_checkpoint_folder_is_asked_for_off_local_mode(monkeypatch):
     import pytest
     from barflow import session
