@@ -45,7 +45,8 @@ BAD_NAME = re.compile(
 GOOD_NAME = re.compile(r"(?:^|[\s_-])(?:article\w*|content|entry|main|post|story|body|text)(?:$|[\s_-])", re.I)
 _NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _UNSEEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
-_MARKUP = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|</?[a-zA-Z][^>]*(?:>|$)""", re.S)
+# In a tag a quote opens a value only after an equals sign (title=it's has none); the group gives nothing back, so a tag is read once.
+_MARKUP = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?>=\s*(?:"[^"]*"|'[^']*')|[^>])*+)>|</?[a-zA-Z][^>]*(?:>|$)""", re.S)
 _WORD = re.compile(r"\w+")
 
 
@@ -96,8 +97,11 @@ def _skipped(html: str, at: int, name: str, around: list[str]) -> int:
             return m.start()
     return len(html)
 
+
 #: Costs: a word of text, a sentence mark, a link's share, an element or name of boilerplate, neighbours.
 WORD, WORDS_MOST, MARK, LINK, BAD, GOOD, HEADING, PRIOR = 0.06, 2.4, 0.5, 6.0, 9.0, 2.0, 0.5, -1.0
+#: The most that elements and names of content add, however many are nested: less than a boilerplate name takes away.
+GOOD_MOST = 6.0
 NEXT, SIBLING, ALIKE = 0.6, 0.9, 2.0
 
 
@@ -110,33 +114,37 @@ class Block:
     far: int         # DOM steps from the block before
 
 
-def _name_cost(attrs: str) -> float:
+def _named(attrs: str) -> tuple[float, bool]:
+    """What the class, id and role names say: evidence for content, and whether one is of boilerplate (or the element is hidden)."""
     if not attrs:
-        return 0.0
-    cost = -BAD if _UNSEEN.search(attrs) else 0.0
+        return 0.0, False
+    good, bad = 0.0, _UNSEEN.search(attrs) is not None
     for m in _NAMES.finditer(attrs):
         name = m[1] or m[2] or m[3] or ""
         if BAD_NAME.search(name):
-            cost -= BAD
+            bad = True
         elif GOOD_NAME.search(name):
-            cost += GOOD
-    return cost
+            good = GOOD
+    return good, bad
 
 
 def blocks(html: str) -> list[Block]:
-    """Blocks of text in page order, white space folded, references decoded."""
-    stack: list[tuple[str, int, float]] = [("", 0, PRIOR)]  # element, number, cost of its place
+    """Blocks of text in page order, white space folded, references decoded
+    (each run of text by itself: none reaches over a tag). A place in
+    boilerplate counts once, evidence for content up to ``GOOD_MOST``."""
+    # element, number, evidence for content from it and around it, whether it is or stands in boilerplate
+    stack: list[tuple[str, int, float, bool]] = [("", 0, 0.0, False)]
     out: list[Block] = []
     parts: list[str] = []
     opened: Counter = Counter()
     linked, made, at, links, low, depth = 0, 0, 0, 0, 0, 1  # low: the shallowest place since the last block
 
-    def push(name: str, cost: float) -> None:
+    def push(name: str, good: float, bad: bool) -> None:
         nonlocal made, links
         made += 1
         links += name == "a"
         opened[name] += 1
-        stack.append((name, made, cost))
+        stack.append((name, made, good, bad))
 
     def pop() -> str:
         nonlocal links, low
@@ -149,13 +157,14 @@ def blocks(html: str) -> list[Block]:
     def flush() -> None:
         nonlocal parts, linked, low, depth
         if parts:
-            text = " ".join(unescape("".join(parts)).split())
+            text = " ".join("".join(parts).split())
             if text:
                 words = len(_WORD.findall(text))
                 own = len(stack) - 1
                 while stack[own][0] in INLINE:
                     own -= 1
-                name, _, place = stack[own]
+                name, _, good, bad = stack[own]
+                place = PRIOR + good - BAD * bad
                 share = min(1.0, linked / max(1, len(text)))
                 cost = place + min(WORDS_MOST, WORD * words) + MARK * (text[-1] in ".!?:;\"”»" or ". " in text) - LINK * share
                 if len(name) == 2 and name[0] == "h" and name[1].isdigit():
@@ -170,9 +179,9 @@ def blocks(html: str) -> list[Block]:
         m = _MARKUP.search(html, at)
         stop = m.start() if m else n
         if stop > at:
-            parts.append(html[at:stop])
+            parts.append(unescape(html[at:stop]))
             if links:
-                linked += stop - at
+                linked += len(parts[-1])
         if not m:
             break
         at = m.end()
@@ -184,7 +193,7 @@ def blocks(html: str) -> list[Block]:
                 if name == "head":
                     at = _head_end(html, at)
                 elif not (name in ("svg", "math") and m[3].endswith("/")):
-                    at = _skipped(html, at, name, [x for x, _, _ in stack])
+                    at = _skipped(html, at, name, [x[0] for x in stack])
                 if name not in INLINE:
                     flush()
                 continue
@@ -199,11 +208,8 @@ def blocks(html: str) -> list[Block]:
                     same = {name, "p"} if name in CLOSED_BY_SIBLING else {"p"}
                     if stack[-1][0] in same:
                         pop()
-            cost = stack[-1][2] + _name_cost(m[3])
-            if name in BOILERPLATE:
-                cost -= BAD
-            cost += CONTENT.get(name, 0.0)
-            push(name, cost)
+            good, bad = _named(m[3])
+            push(name, min(GOOD_MOST, stack[-1][2] + good + CONTENT.get(name, 0.0)), stack[-1][3] or bad or name in BOILERPLATE)
         else:
             if name not in INLINE:
                 flush()
@@ -315,7 +321,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Null or empty html, and pages without content, give an empty text; null ids
     and urls stay; repeated rows are read each; an empty table gives no rows;
-    other columns are ignored. A page is read by one task, whole."""
+    other columns are ignored. A header is left out wherever it stands, an
+    article's own too. A page is read by one task, whole."""
     for key, value in ARROW.items():
         pages.sparkSession.conf.set(key, value)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), "html")

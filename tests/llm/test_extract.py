@@ -40,6 +40,35 @@ def test_page_without_article():
         "Last words of the story, and then it is over."])
 
 
+def test_comments_go_however_deep_the_content_names():
+    words = "I liked the story very much indeed and would read it again, " * 6
+    page = ("<body class=main><main><div id=content><div class=post><article class=article><p>The story itself, as it was told.</p>"
+            f"<p><a href=/x>A line that is a link</a></p><p>And its end.</p><div class=comments><p>{words}.</p><p>{words}.</p></div></article>")
+    assert extract.main_text(page) == "The story itself, as it was told.\nA line that is a link\nAnd its end."
+
+
+def test_quotes_and_references_in_odd_places():
+    body = "The article goes on for some words here, and it's not over until they're all read."
+    assert extract.main_text(f"<article><p title=it's>{body}</p><p>More 'words' of it.</p>") == body + "\nMore 'words' of it."
+    assert extract.main_text(f'<article><p title = "a > b" data-x=\'c > "d\'>{body}</p>') == body
+    assert extract.main_text("<article><p>One &am<b>p; two</b> &lt;b&gt; three.</p>") == "One &amp; two <b> three."
+    many = "<article><p " + "a='\"=" * 50_000 + ">" + body
+    assert extract.main_text(many + "</p>") in (body, "")
+
+
+def test_the_cut_decides_on_pages_without_names():
+    """Lines too short to count as text by themselves stay between paragraphs;
+    a menu's links go, and so does the short line among them."""
+    long = "This is a paragraph of the story with quite a number of words in it, enough of them to be told from a menu."
+    page = (f"<body><ul><li><a href=a>Home</a><li>or<li><a href=b>News of today</a></ul><div><p>{long}</p><p>And then</p><p>{long}</p>"
+            f"<p>silence</p><p>{long}</p></div>")
+    found = extract.blocks(page)
+    costs = [b.cost for b in found]
+    keep = extract.minimum_cut(costs, extract._edges(found))
+    assert [b.text for b, k in zip(found, keep) if k] == [long, "And then", long, "silence", long]
+    assert sum(k != (c > 0) for c, k in zip(costs, keep)) == 2
+
+
 def test_broken_markup_and_odd_rows(spark):
     deep = "<div>" * 20_000 + "<p>Words at the bottom of it, quite a few of them in fact.</p>"
     many = "<article>" + "".join(f"<p>Paragraph number {i}, with a few words more.</p>" for i in range(20_000))
