@@ -7,7 +7,9 @@ wrote before is detected. Where the text of a turn lies in its span shows by
 rendering the same prefix with two short texts in its place.
 
 Long conversations are rendered in blocks of turns that overlap, so no task
-holds one whole; turns in the overlap are rendered twice and must agree.
+holds one whole; turns in the overlap are rendered twice and must agree. What a
+block can't show, a template that changes its mind only after more turns than one
+has, shows by a last rendering of the whole conversation (:func:`against_whole`).
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from barflow.llm.common import ARROW
 
 #: Turns of one block, and turns before it that are rendered again.
 BLOCK, OVERLAP = 16, 2
+#: The largest conversation, in code points of its texts and turns of it, that one task renders whole.
+WHOLE_CHARS, WHOLE_TURNS = 1 << 24, 1 << 17
 Turn = tuple[str, str]
 HEAD, TAIL = "### ", "</turn>\n"
 _CONTROL = re.compile(r"\\|###|</turn>")
@@ -85,6 +89,16 @@ def _render_block(render, trained: str):
     return run
 
 
+def _turns(conversations: DataFrame) -> DataFrame:
+    """``conv_id, place, role, text``; a turn's place in its conversation counts from 0."""
+    for key, value in ARROW.items():
+        conversations.sparkSession.conf.set(key, value)
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
+                                F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    return rows.withColumn("place", (F.row_number().over(order) - 1).cast("long")).drop("turn")
+
+
 def format_turns(conversations: DataFrame, render: Callable[[list[Turn]], str] = markdown_turns,
                  trained: str = "assistant") -> DataFrame:
     """One row per turn: ``conv_id``, ``place`` (from 0), ``formatted``, the loss
@@ -99,12 +113,7 @@ def format_turns(conversations: DataFrame, render: Callable[[list[Turn]], str] =
     Turns are ordered by ``turn``, then role and text. Null roles and texts are
     empty; a null ``conv_id`` is a conversation of its own; repeated rows are
     turns each; an empty table gives no rows; other columns are ignored."""
-    for key, value in ARROW.items():
-        conversations.sparkSession.conf.set(key, value)
-    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), "turn",
-                                F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
-    rows = rows.withColumn("place", (F.row_number().over(order) - 1).cast("long")).drop("turn")
+    rows = _turns(conversations)
     home = F.floor(F.col("place") / BLOCK)
     last = F.when(F.col("place") % BLOCK >= BLOCK - OVERLAP, home + 1)
     blocks = rows.withColumn("block", F.explode(F.array_compact(F.array(home, last))))
@@ -114,7 +123,8 @@ def format_turns(conversations: DataFrame, render: Callable[[list[Turn]], str] =
 def unstable(pieces: DataFrame) -> DataFrame:
     """Turns that show that the template isn't safe to render piece by piece:
     it rewrote history, or a turn came out otherwise with fewer turns before it.
-    The first turn of an overlap has none before it and isn't compared."""
+    The first turn of an overlap has none before it and isn't compared. Blocks
+    show what happens within their turns; :func:`against_whole` shows the rest."""
     again = pieces.filter(f"NOT core AND place % {BLOCK} > {BLOCK - OVERLAP}").select(
         F.col("conv_id").alias("c"), F.col("place").alias("p"), F.col("formatted").alias("other"))
     first = pieces.filter("core")
@@ -123,6 +133,64 @@ def unstable(pieces: DataFrame) -> DataFrame:
     return pieces.filter("rewrites AND core").select("conv_id", "place").unionByName(changed).distinct()
 
 
+_WHOLE = "conv_id long, whole string"
+
+
+def _render_whole(render):
+    def run(key, table):
+        t = table.sort_by("place").to_pydict()
+        text = render(list(zip(t["role"], t["text"])))
+        return pa.table({"conv_id": pa.array(t["conv_id"][:1], pa.int64()), "whole": [_sha256([text])]})
+    return run
+
+
+def _sha256(pieces) -> str:
+    h = hashlib.sha256()
+    for x in pieces:
+        h.update(x.encode("utf-8", "surrogatepass"))
+    return h.hexdigest()
+
+
+def _join_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each conversation's pieces in order, one piece at a time."""
+    key, h = None, None
+    for batch in batches:
+        done = []
+        for conv, piece in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if h is None or conv != key:
+                if h is not None:
+                    done.append((key, h.hexdigest()))
+                key, h = conv, hashlib.sha256()
+            h.update(piece.encode("utf-8", "surrogatepass"))
+        if done:
+            yield pa.record_batch([pa.array(x, t) for x, t in zip(zip(*done), (pa.int64(), pa.string()))], names=["c", "joined"])
+    if h is not None:
+        yield pa.record_batch([pa.array([key], pa.int64()), pa.array([h.hexdigest()])], names=["c", "joined"])
+
+
+def against_whole(conversations: DataFrame, pieces: DataFrame, render: Callable[[list[Turn]], str] = markdown_turns,
+                  most_chars: int = WHOLE_CHARS, most_turns: int = WHOLE_TURNS) -> DataFrame:
+    """``(conv_id, n_turns, same)``, one row per conversation: whether the template's output
+    for the whole conversation is the core pieces in order, so that a template
+    that rewrites or looks back over any number of turns is found.
+
+    One task renders a conversation whole, so ``same`` is null where it has more than
+    ``most_chars`` code points of text or ``most_turns`` turns: there the template's
+    look-back has to be known to be at most ``OVERLAP`` turns. Rows are read as in
+    :func:`format_turns`, whose result for the same rows is ``pieces``."""
+    rows = _turns(conversations)
+    sizes = conversations.groupBy(F.col("conv_id").cast("long").alias("s")).agg(
+        F.count(F.lit(1)).alias("n_turns"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars"))
+    small = sizes.filter((F.col("chars") <= most_chars) & (F.col("n_turns") <= most_turns))
+    whole = rows.join(small, F.col("conv_id").eqNullSafe(F.col("s")), "left_semi").groupBy("conv_id").applyInArrow(
+        _render_whole(render), _WHOLE)
+    core = pieces.filter("core").select("conv_id", "place", "formatted")
+    joined = (core.repartition("conv_id").sortWithinPartitions("conv_id", "place").select("conv_id", "formatted")
+              .mapInArrow(_join_pieces, "c long, joined string"))
+    both = whole.join(joined, F.col("conv_id").eqNullSafe(F.col("c"))).select("conv_id", (F.col("whole") == F.col("joined")).alias("same"))
+    return sizes.join(both, F.col("conv_id").eqNullSafe(F.col("s")), "left").select(F.col("s").alias("conv_id"), "n_turns", "same")
+
+
 _DIGEST = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 

@@ -67,6 +67,25 @@ def test_templates_that_rewrite_or_look_back_are_found(spark):
     assert [r.formatted[r.loss_start:r.loss_stop] for r in text if r.loss_start is not None] == [f"t{t}" for t in range(1, 40, 2)]
 
 
+def test_a_template_that_changes_its_mind_late_is_found(spark):
+    """The first answer goes once there are more than 20 turns: no block has that many."""
+    rows = [(c, t, ("user", "assistant")[t % 2], f"t{t}", "x") for c, n in ((1, 40), (2, 12), (None, 30)) for t in range(n)]
+    df = spark.createDataFrame([*rows, (3, 0, None, None, "x")], ROWS)
+
+    def drops_late(turns):
+        return "".join(f"<{r}>{'' if i == 1 and len(turns) > 20 else t}" for i, (r, t) in enumerate(turns))
+
+    def same(render, **most):
+        return {r.conv_id: (r.n_turns, r.same) for r in chat.against_whole(df, chat.format_turns(df, render), render, **most).collect()}
+    assert chat.unstable(chat.format_turns(df, drops_late)).count() == 0
+    assert same(drops_late) == {1: (40, False), 2: (12, True), None: (30, False), 3: (1, True)}
+    assert same(chat.markdown_turns) == {1: (40, True), 2: (12, True), None: (30, True), 3: (1, True)}
+    assert same(drops_late, most_turns=35) == {1: (40, None), 2: (12, True), None: (30, False), 3: (1, True)}
+    assert same(drops_late, most_chars=50)[1] == (40, None)
+    empty = df.limit(0)
+    assert chat.against_whole(empty, chat.format_turns(empty)).count() == 0
+
+
 def test_registered(spark):
     d = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in queries.table(spark, d, "conversations").select("conv_id", "turn", "role", "text").collect()]
