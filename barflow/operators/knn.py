@@ -1,18 +1,25 @@
 """Exact k-nearest neighbours (Euclidean) between a query set and a training set.
 
-The training rows are dealt into the cells of a few pivots (training vectors,
-the first by a hash; their number is a parameter, so only they reach the
-driver). A query is first compared with the rows of its own cell; its k-th
-distance there bounds what it still needs. A row of cell j is nearer to pivot j
-than to the query's pivot i, so it lies beyond the plane between the two, and
-its distance to the query is at least
-
-    (d(q, p_j)^2 - d(q, p_i)^2) / (2 d(p_i, p_j)).
-
-In the second round a query visits only cells for which that is not above its
-bound. Cells are cut into blocks of about ``block_rows`` rows on either side, so
-a dense cell is many tasks; one task holds one block of each side and keeps the
-``k`` best per query. Distances are computed by numpy inside the tasks.
+The training rows are indexed by a metric tree of two levels. Its pivots are
+training vectors, the first by a hash; there is one per ``LEAF_ROWS`` rows, so
+their number grows with the data up to ``MAX_DOUBLES`` numbers in all (32 MB; only
+they reach the driver). The first sqrt of them are the upper nodes, each other
+pivot belongs to the nearest of these, and a row goes to the nearest upper node
+and there to the nearest pivot, its leaf. Of each leaf the tree keeps the number of its
+rows, their least and largest distance from the pivot and from the upper node.
+
+A query is first compared with the rows of its own leaf; its k-th distance there
+bounds what it still needs (with fewer than k rows, the distance within which the
+leaves' own bounds promise k rows). In the second round it descends: a node is left out if even
+the nearest point it could hold is beyond the bound. Rows of node j lie
+
+* in a ring around p_j, so not nearer than ``d(q, p_j) - largest`` or ``least - d(q, p_j)``;
+* beyond the plane between p_j and the sibling p_i that is nearest to the query, so not
+  nearer than ``(d(q, p_j)^2 - d(q, p_i)^2) / (2 d(p_i, p_j))``.
+
+Leaves are cut into blocks of about ``block_rows`` rows on either side, so a dense leaf (a
+vector that a third of all rows share) is many tasks; one task holds one block of each side
+and keeps the ``k`` best per query. Distances are computed by numpy inside the tasks.
 
 Rows are identified by one or more key columns; ties go to the smaller training
 key, so the result is a function of the rows.
@@ -20,15 +27,19 @@ key, so the result is a function of the rows.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-DEFAULT_PIVOTS = 32
+from barflow.session import materialize
+
+LEAF_ROWS = 1_000
+MAX_DOUBLES = 1 << 22
 DEFAULT_BLOCK_ROWS = 20_000
 
 
@@ -36,68 +47,186 @@ def _keys(x: str | Sequence[str]) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
-@dataclass(frozen=True)
-class KnnModel:
-    """A fitted training set: its pivots and its rows with their cells. Fit once,
-    search often; ``cells`` is a lazy table that the caller may write or persist."""
-    pivots: np.ndarray
-    cells: DataFrame          # t0.., t_vec, t_y, cell
-    keys: tuple[str, ...]     # names of the key columns, as t0..
-
-
 def _matrix(series: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=float) for v in series]) if len(series) else np.zeros((0, 0))
 
 
-def _pivot_distances(mat: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    diff = mat[:, None, :] - pivots[None, :, :]
+def _distances(mat: np.ndarray, points: np.ndarray) -> np.ndarray:
+    diff = mat[:, None, :] - points[None, :, :]
     return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
 
 
+def _chunks(rows: int, points: np.ndarray, budget: int = 2_000_000) -> Iterator[slice]:
+    """Pieces of the rows whose differences from all points stay under ``budget`` numbers."""
+    step = max(1, min(4096, budget // max(1, points.size)))
+    return (slice(s, min(rows, s + step)) for s in range(0, rows, step))
+
+
+def _beyond(d: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Least distance of each query (row) from the points nearer to node j than to the node nearest to the query."""
+    own = d.argmin(1)
+    apart = _distances(points, points)[own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return np.nan_to_num((d ** 2 - d.min(1)[:, None] ** 2) / (2 * apart), nan=0.0)
+
+
+@dataclass(frozen=True)
+class PivotTree:
+    """``pivots``, the upper node of each (the first pivots are the upper nodes), and of each
+    leaf ``rows``, ``near`` and ``far`` from its pivot, ``upper_near`` and ``upper_far`` from its upper node."""
+    pivots: np.ndarray
+    parent: np.ndarray
+    rows: np.ndarray
+    near: np.ndarray
+    far: np.ndarray
+    upper_near: np.ndarray
+    upper_far: np.ndarray
+
+    @staticmethod
+    def of(pivots: np.ndarray) -> PivotTree:
+        """The tree of these pivots, without rows yet."""
+        uppers = pivots[:int(np.ceil(np.sqrt(len(pivots))))]
+        parts = [_distances(pivots[c], uppers).argmin(1) for c in _chunks(len(pivots), uppers)]
+        none = np.zeros(len(pivots))
+        return PivotTree(pivots, np.concatenate(parts) if parts else none.astype(int), none.astype(int), none, none, none, none)
+
+    @cached_property
+    def uppers(self) -> np.ndarray:
+        return self.pivots[:int(self.parent.max()) + 1 if len(self.parent) else 0]
+
+    @cached_property
+    def children(self) -> list[np.ndarray]:
+        return [np.flatnonzero(self.parent == a) for a in range(len(self.uppers))]
+
+    @cached_property
+    def upper_ring(self) -> tuple[np.ndarray, np.ndarray]:
+        least, most = np.full(len(self.uppers), np.inf), np.full(len(self.uppers), -np.inf)
+        np.minimum.at(least, self.parent, self.upper_near)
+        np.maximum.at(most, self.parent, self.upper_far)
+        return least, most
+
+    def leaf_of(self, mat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per vector: its leaf, and its distances from the leaf's pivot and from the upper node."""
+        leaf, own, upper = np.zeros(len(mat), np.int32), np.zeros(len(mat)), np.zeros(len(mat))
+        if not len(self.pivots):
+            return leaf, own, upper
+        node = np.zeros(len(mat), np.int32)
+        for c in _chunks(len(mat), self.uppers):
+            d = _distances(mat[c], self.uppers)
+            node[c], upper[c] = d.argmin(1), d.min(1)
+        for a in np.unique(node):
+            rows, under = np.flatnonzero(node == a), self.children[a]
+            for c in _chunks(len(rows), self.pivots[under]):
+                d = _distances(mat[rows[c]], self.pivots[under])
+                leaf[rows[c]], own[rows[c]] = under[d.argmin(1)], d.min(1)
+        return leaf, own, upper
+
+    def promised(self, mat: np.ndarray, k: int) -> np.ndarray:
+        """Per query a distance within which there are ``k`` rows, by the leaves' rings alone (infinite if there are fewer)."""
+        out = np.full(len(mat), np.inf)
+        for c in _chunks(len(mat), self.pivots):
+            most = _distances(mat[c], self.pivots) + self.far
+            order = most.argsort(1)
+            enough = np.cumsum(self.rows[order], 1) >= k
+            at = enough.argmax(1)
+            ends = np.take_along_axis(most, np.take_along_axis(order, at[:, None], 1), 1)[:, 0]
+            out[c] = np.where(enough.any(1), ends, np.inf)
+        return out
+
+    def visits(self, mat: np.ndarray, bound: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of query and leaf, but for its own leaf, where a row may be within the query's bound."""
+        if not len(mat) or not len(self.pivots):
+            return
+        limit = bound * (1 + 1e-9) + 1e-9  # rounding must not lose a neighbour
+        home, _, _ = self.leaf_of(mat)
+        least, most = self.upper_ring
+        go = np.zeros((len(mat), len(self.uppers)), bool)
+        for c in _chunks(len(mat), self.uppers):
+            d = _distances(mat[c], self.uppers)
+            go[c] = np.maximum.reduce([d - most, least - d, _beyond(d, self.uppers)]) <= limit[c, None]
+        for a, under in enumerate(self.children):
+            rows = np.flatnonzero(go[:, a])
+            for c in _chunks(len(rows), self.pivots[under]):
+                at = rows[c]
+                d = _distances(mat[at], self.pivots[under])
+                least_of = np.maximum.reduce([d - self.far[under], self.near[under] - d, _beyond(d, self.pivots[under])])
+                i, j = np.nonzero((least_of <= limit[at, None]) & (under[None, :] != home[at, None]))
+                yield at[i], under[j]
+
+
+@dataclass(frozen=True)
+class KnnModel:
+    """A fitted training set: its tree and its rows with their leaves. Fit once, search often."""
+    tree: PivotTree
+    cells: DataFrame          # t0.., t_vec, t_y, cell
+    keys: tuple[str, ...]     # names of the key columns, as t0..
+
+
 def _fields(df: DataFrame, cols: Sequence[str]) -> str:
     return ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in cols)
 
 
 def fit(train: DataFrame, keys: str | Sequence[str] = "id", vec: str = "vec", y: str | None = None,
-        pivots: int = DEFAULT_PIVOTS) -> KnnModel:
-    """Choose the pivots (one small job: ``pivots`` vectors come to the driver) and deal the rows."""
+        pivots: int | None = None) -> KnnModel:
+    """Grow the tree and write the rows with their leaves as a table (shared by the tree's bounds and every search).
+    ``pivots`` sets the number of leaves; by default it follows from the number of rows."""
     names = _keys(keys)
     t = train.select(*[F.col(c).alias(f"t{i}") for i, c in enumerate(names)],
                      F.col(vec).cast("array<double>").alias("t_vec"),
                      (F.col(y).cast("double") if y else F.lit(None).cast("double")).alias("t_y"))
-    chosen = t.select("t_vec").distinct().orderBy(F.xxhash64("t_vec"), "t_vec").limit(pivots).collect()
-    mat = np.array([r["t_vec"] for r in chosen], dtype=float)
-    return KnnModel(mat, _dealt(t, "t_vec", mat), tuple(names))
-
-
-def _dealt(rows: DataFrame, vec: str, pivots: np.ndarray) -> DataFrame:
+    count, width = t.agg(F.count(F.lit(1)), F.max(F.size("t_vec"))).first()
+    wanted = pivots or max(1, min(-(-count // LEAF_ROWS), MAX_DOUBLES // max(1, width or 1)))
+    # the first rows by hash; a vector that many rows share counts once
+    ids = [f"t{i}" for i in range(len(names))]
+    chosen = t.orderBy(F.xxhash64("t_vec", *ids), "t_vec", *ids).select("t_vec").limit(wanted).collect()
+    mat = np.array(list(dict.fromkeys(tuple(r["t_vec"]) for r in chosen)), dtype=float)
+    tree = PivotTree.of(mat)
+    rows = materialize(_dealt(t, "t_vec", tree, "own double, upper double"), "knn")
+    found = rows.groupBy("cell").agg(F.count(F.lit(1)), F.min("own"), F.max("own"), F.min("upper"), F.max("upper")).collect()
+    stats = np.zeros((5, len(mat)))
+    for leaf, *values in found:  # a row per leaf
+        if len(mat):
+            stats[:, leaf] = values
+    tree = PivotTree(mat, tree.parent, stats[0].astype(int), *stats[1:])
+    return KnnModel(tree, rows.drop("own", "upper"), tuple(names))
+
+
+def _dealt(rows: DataFrame, vec: str, tree: PivotTree, more: str = "") -> DataFrame:
     cols = rows.columns
 
     def run(batches):
         for b in batches:
-            near = (_pivot_distances(_matrix(b[vec]), pivots).argmin(1) if len(b) and len(pivots)
-                    else np.zeros(len(b), int))
-            yield b.assign(cell=near.astype("int32"))
+            leaf, own, upper = tree.leaf_of(_matrix(b[vec]))
+            b = b.assign(cell=leaf)
+            yield b.assign(own=own, upper=upper) if more else b
+
+    return rows.mapInPandas(run, f"{_fields(rows, cols)}, cell int" + (f", {more}" if more else ""))
 
-    return rows.mapInPandas(run, f"{_fields(rows, cols)}, cell int")
+
+_NODE = "place int, vec array<double>, parent int, rows long, near double, far double, upper_near double, upper_far double"
 
 
 def save(model: KnnModel, path: str) -> KnnModel:
-    """Write a fitted model: its rows and its pivots; returns it as read back."""
+    """Write a fitted model: its rows and its tree; returns it as read back."""
     spark = model.cells.sparkSession
     names = [(i, c) for i, c in enumerate(model.keys)]
     spark.createDataFrame(names, "place int, key string").coalesce(1).write.mode("overwrite").parquet(f"{path}/keys")
-    rows = [(i, p.tolist()) for i, p in enumerate(model.pivots)]
-    spark.createDataFrame(rows, "place int, vec array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/pivots")
+    t = model.tree
+    nodes = [(i, t.pivots[i].tolist(), int(t.parent[i]), int(t.rows[i]), *(float(x[i]) for x in (t.near, t.far, t.upper_near, t.upper_far)))
+             for i in range(len(t.pivots))]
+    spark.createDataFrame(nodes, _NODE).coalesce(1).write.mode("overwrite").parquet(f"{path}/tree")
     model.cells.write.mode("overwrite").parquet(f"{path}/cells")
     return load(spark, path)
 
 
 def load(spark: SparkSession, path: str) -> KnnModel:
-    """A stored model; only its pivots come to the driver."""
-    pivots = [r["vec"] for r in spark.read.parquet(f"{path}/pivots").orderBy("place").collect()]
+    """A stored model; only its tree comes to the driver."""
+    nodes = spark.read.parquet(f"{path}/tree").orderBy("place").collect()
+    column = lambda name, kind: np.array([r[name] for r in nodes], dtype=kind)
+    tree = PivotTree(column("vec", float), column("parent", int), column("rows", int),
+                     *(column(c, float) for c in ("near", "far", "upper_near", "upper_far")))
     keys = tuple(r["key"] for r in spark.read.parquet(f"{path}/keys").orderBy("place").collect())
-    return KnnModel(np.array(pivots, dtype=float), spark.read.parquet(f"{path}/cells"), keys)
+    return KnnModel(tree, spark.read.parquet(f"{path}/cells"), keys)
 
 
 def _top_k(q_mat, t_mat, k: int, budget: int = 2_000_000):
@@ -107,7 +236,7 @@ def _top_k(q_mat, t_mat, k: int, budget: int = 2_000_000):
     kk = min(k, len(t_mat))
     chunk = max(1, min(1024, budget // max(1, t_mat.size)))
     for s in range(0, len(q_mat), chunk):
-        dist = _pivot_distances(q_mat[s:s + chunk], t_mat)
+        dist = _distances(q_mat[s:s + chunk], t_mat)
         rows = np.arange(len(dist))[:, None]
         part = (np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < dist.shape[1]
                 else np.broadcast_to(np.arange(dist.shape[1]), dist.shape).copy())
@@ -120,13 +249,13 @@ def _top_k(q_mat, t_mat, k: int, budget: int = 2_000_000):
         yield np.repeat(np.arange(s, s + len(dist)), kk), idx.ravel(), dist[rows, idx].ravel()
 
 
-def _search(q: DataFrame, t: DataFrame, q_keys: list[str], t_keys: list[str], k: int, block_rows: int) -> DataFrame:
-    """The ``k`` best rows of ``t`` for each row of ``q`` among those of the
+def _search(q: DataFrame, model: KnnModel, q_keys: list[str], t_keys: list[str], k: int, block_rows: int) -> DataFrame:
+    """The ``k`` best training rows for each row of ``q`` among those of the
     query's ``cell``, per block of the cell (a few blocks' candidates per query)."""
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias(name))
-
-    sizes = blocks(t, "t_blocks").join(blocks(q, "q_blocks"), "cell")  # a row per pivot
+    t, spark = model.cells, q.sparkSession
+    held = [(i, max(1, -(-int(n) // block_rows))) for i, n in enumerate(model.tree.rows)] or [(0, 1)]
+    asked = q.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("q_blocks"))
+    sizes = asked.join(spark.createDataFrame(held, "cell int, t_blocks int"), "cell")  # a row per leaf
 
     def dealt(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
         j = df.join(sizes, "cell")
@@ -159,43 +288,35 @@ def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str
     ``t_<name>``), ``distance`` and ``t_y``."""
     names = _keys(keys)
     q_keys, t_keys = [f"q{i}" for i in range(len(names))], [f"t{i}" for i in range(len(model.keys))]
-    pivots = model.pivots
+    tree = model.tree
     q = queries.select(*[F.col(c).alias(n) for c, n in zip(names, q_keys)], F.col(vec).cast("array<double>").alias("q_vec"))
-    home = _dealt(q, "q_vec", pivots)
-    first = _search(home, model.cells, q_keys, t_keys, k, block_rows)
-    # the best of the own cell, and its k-th distance (none while it has fewer rows). All uses below share this
+    home = _dealt(q, "q_vec", tree)
+    first = _search(home, model, q_keys, t_keys, k, block_rows)
+    # the best of the own leaf, and its k-th distance (none while it has fewer rows). All uses below share this
     # aggregate, so its shuffle is written once
     hit = F.struct("distance", *t_keys, "t_y")
     best = first.groupBy(*q_keys).agg(F.collect_list(hit).alias("_hits")).select(
         *[F.col(c).alias(f"_{c}") for c in q_keys], F.slice(F.sort_array("_hits"), 1, k).alias("_best"))
     on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in q_keys]
     bounded = home.join(best, on, "left").select(*q_keys, "q_vec", F.get(F.col("_best.distance"), F.lit(k - 1)).alias("bound"))
-    between = _pivot_distances(pivots, pivots) if len(pivots) else np.zeros((0, 0))
 
     def visits(batches):
         for b in batches:
-            if not len(b) or not len(pivots):
-                continue
-            d = _pivot_distances(_matrix(b["q_vec"]), pivots)
-            own = d.argmin(1)
-            rows = np.arange(len(d))
-            apart = between[own]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                least = (d ** 2 - d[rows, own][:, None] ** 2) / (2 * apart)
-            limit = b["bound"].to_numpy(dtype=float)
-            limit = np.where(np.isnan(limit), np.inf, limit)[:, None]
-            go = least <= limit * (1 + 1e-9) + 1e-9  # rounding must not lose a neighbour
-            go[rows, own] = False
-            i, cell = np.nonzero(go)
-            yield b[[*q_keys, "q_vec"]].iloc[i].assign(cell=cell.astype("int32"))
-
-    more = bounded.mapInPandas(visits, f"{_fields(home, [*q_keys, 'q_vec'])}, cell int")
-    again = _search(more, model.cells, q_keys, t_keys, k, block_rows)
+            mat, bound = _matrix(b["q_vec"]), b["bound"].to_numpy(dtype=float)
+            few = np.isnan(bound)
+            if few.any():
+                bound = bound.copy()
+                bound[few] = tree.promised(mat[few], k)
+            for i, cell in tree.visits(mat, bound):
+                yield b[[*q_keys, "q_vec"]].iloc[i].assign(cell=cell.astype("int32"))
+
     own = best.select(*[F.col(f"_{c}").alias(c) for c in q_keys], F.explode("_best").alias("_h")).select(
         *q_keys, *[F.col(f"_h.{c}").alias(c) for c in (*t_keys, "distance", "t_y")])
-    found = own.unionByName(again)
+    if len(tree.pivots) > 1:
+        more = bounded.mapInPandas(visits, f"{_fields(home, [*q_keys, 'q_vec'])}, cell int")
+        own = own.unionByName(_search(more, model, q_keys, t_keys, k, block_rows))
     best = Window.partitionBy(*q_keys).orderBy("distance", *t_keys)  # a few times k rows per query
-    ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    ranked = own.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     q_out = ["q_id"] if len(names) == 1 else names
     t_out = ["t_id"] if len(model.keys) == 1 else [f"t_{c}" for c in model.keys]
     return ranked.select(*[F.col(a).alias(b) for a, b in zip(q_keys, q_out)], "rank",
@@ -204,7 +325,7 @@ def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str
 
 def knn(queries: DataFrame, train: DataFrame, k: int, q_id: str | Sequence[str] = "id", t_id: str | Sequence[str] = "id",
         q_vec: str = "vec", t_vec: str = "vec", t_y: str | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
-        pivots: int = DEFAULT_PIVOTS) -> DataFrame:
+        pivots: int | None = None) -> DataFrame:
     """:func:`fit` and :func:`search` in one call."""
     return search(queries, fit(train, t_id, t_vec, t_y, pivots), k, q_id, q_vec, block_rows)
 

@@ -179,3 +179,38 @@ def test_report_limits_are_exact(spark):
     got = {(r.split, r.metric): float(r.value) for r in evaluate.report(preds, 0.4, levels=(0.25, 0.9)).filter("value is not null").collect()}
     assert got["a", "quantile_0.25"] == 6.5 and got["a", "quantile_0.9"] == 81.0
     assert got["b", "quantile_0.9"] == 3.0 and got[None, "quantile_0.25"] == 1.25 and got["a", "n"] == 11
+
+
+def test_knn_tree_compares_few_pairs_and_loses_none():
+    """200,000 rows in three dimensions: fewer than a tenth of all pairs are compared, no neighbour lies in a leaf left out."""
+    rng = np.random.default_rng(3)
+    rows = np.concatenate([rng.normal(size=(140_000, 3)), np.tile([0.5, 0.5, 0.5], (60_000, 1))])
+    tree = knn.PivotTree.of(rng.permutation(np.unique(rows, axis=0))[:len(rows) // knn.LEAF_ROWS])
+    leaf, own, upper = tree.leaf_of(rows)
+    n = len(tree.pivots)
+    ring = []
+    for d in (own, upper):
+        least, most = np.full(n, np.inf), np.zeros(n)
+        np.minimum.at(least, leaf, d)
+        np.maximum.at(most, leaf, d)
+        ring += [least, most]
+    tree = knn.PivotTree(tree.pivots, tree.parent, np.bincount(leaf, minlength=n), *ring)
+    asked = rows[rng.choice(len(rows), 300, replace=False)]
+    home, _, _ = tree.leaf_of(asked)
+    k, pairs = 3, int(tree.rows[home].sum())
+    every = np.stack([np.sqrt(((rows - q) ** 2).sum(1)) for q in asked])
+    kth = np.sort(every, 1)[:, k - 1]
+    bound = np.array([np.sort(every[i, leaf == home[i]])[k - 1] if tree.rows[home[i]] >= k else np.inf for i in range(len(asked))])
+    assert (tree.promised(asked, k) >= kth - 1e-9).all()
+    bound = np.minimum(bound, tree.promised(asked, k))
+    seen = {(i, int(home[i])) for i in range(len(asked))}
+    for i, cell in tree.visits(asked, bound):
+        seen.update(zip(i.tolist(), cell.tolist()))
+        pairs += int(tree.rows[cell].sum())
+    for i in range(len(asked)):
+        for j in np.unique(leaf[every[i] <= kth[i]]):
+            assert (i, int(j)) in seen
+    hot = (asked == 0.5).all(1)
+    cold = sum(int(tree.rows[j]) for i, j in seen if not hot[i])
+    print("share", pairs / every.size, "of the others", cold / (every.shape[1] * (~hot).sum()))
+    assert cold < 0.1 * every.shape[1] * (~hot).sum()
