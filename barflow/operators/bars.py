@@ -84,33 +84,37 @@ def bucket_counts(ticks: DataFrame, width_seconds: int, keys: Sequence[str] = ("
 
 
 def daily_interpolate(series: DataFrame, keys: Sequence[str], date_col: str, value_col: str,
-                      out_col: str | None = None) -> DataFrame:
+                      out_col: str | None = None, bucket_days: int = 1024) -> DataFrame:
     """Upsample to one row per day and fill gaps linearly in time.
 
     Known points stay; a day between two known points gets
     ``v0 + (v1 - v0) * (d - d0) / (d1 - d0)``; days after the last known point
-    keep the last value (pandas ``interpolate`` pads forward, never back).
-    The day spine per key is bounded by its date span.
+    keep the last value (pandas ``interpolate`` pads forward, never back), days before the first have none.
+    Every gap is filled from its two knots alone. The next knot is sought among those of the same
+    ``bucket_days``; the last of a bucket takes the first knot of the next bucket that has one, so the only
+    window over a whole key is over its buckets. Points without a date are left out; a null key is a key.
     """
     keys = list(keys)
     out_col = out_col or value_col
-    pts = series.select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(value_col).alias("_v"))
-    spine = (pts.groupBy(*keys).agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"))
-             .select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("_d")))
-    known = pts.filter(F.col("_v").isNotNull())
-    filled = spine.join(known, [*keys, "_d"], "left").withColumn(
-        "_kd", F.when(F.col("_v").isNotNull(), F.col("_d")))
-    w = Window.partitionBy(*keys).orderBy("_d")
-    prev = w.rowsBetween(Window.unboundedPreceding, 0)
-    # the next known point, seen from the end: a growing frame costs one step per row, a shrinking one starts anew each time
-    nxt = Window.partitionBy(*keys).orderBy(F.desc("_d")).rowsBetween(Window.unboundedPreceding, 0)
-    d0, v0 = F.last("_kd", True).over(prev), F.last("_v", True).over(prev)
-    d1, v1 = F.last("_kd", True).over(nxt), F.last("_v", True).over(nxt)
-    frac = F.try_divide(F.datediff(F.col("_d"), d0).cast("double"), F.datediff(d1, d0).cast("double"))
-    value = (F.when(F.col("_v").isNotNull(), F.col("_v"))
-             .when(d1.isNull(), v0)
-             .otherwise(v0 + (v1 - v0) * frac))
-    return filled.select(*keys, F.col("_d").alias(date_col), value.alias(out_col))
+    pts = series.select(*keys, F.col(date_col).cast("date").alias("_d"), F.col(value_col).alias("_v")).filter(F.col("_d").isNotNull())
+    span = pts.groupBy(*keys).agg(F.min("_d").alias("_lo"), F.max("_d").alias("_hi"),
+                                  F.min(F.when(F.col("_v").isNotNull(), F.col("_d"))).alias("_first"))
+    known = pts.filter(F.col("_v").isNotNull()).withColumn("_bucket", F.floor(F.unix_date("_d") / F.lit(bucket_days)))
+    firsts = known.groupBy(*keys, "_bucket").agg(F.min(F.struct("_d", "_v")).alias("_knot"))
+    later = firsts.select(*keys, "_bucket", F.lead("_knot").over(Window.partitionBy(*keys).orderBy("_bucket")).alias("_later"))
+    inside = F.lead(F.struct("_d", "_v")).over(Window.partitionBy(*keys, "_bucket").orderBy("_d", "_v"))
+    knots = null_safe_join(known.withColumn("_next", inside), later, [*keys, "_bucket"])
+    knots = null_safe_join(knots, span.drop("_lo", "_first"), keys).withColumn("_next", F.coalesce("_next", "_later"))
+    d1, v1 = F.col("_next._d"), F.col("_next._v")
+    # up to the day before the next knot; of knots on one day, the last goes on
+    until = F.when(d1.isNull(), F.col("_hi")).otherwise(F.greatest(F.col("_d"), F.date_sub(d1, 1)))
+    day = F.explode(F.sequence("_d", until)).alias("_day")
+    frac = F.try_divide(F.datediff("_day", "_d").cast("double"), F.datediff(d1, "_d").cast("double"))
+    value = F.when(d1.isNull() | (F.col("_day") == F.col("_d")), F.col("_v")).otherwise(F.col("_v") + (v1 - F.col("_v")) * frac)
+    filled = knots.select(*keys, "_d", "_v", "_next", day).select(*keys, F.col("_day").alias(date_col), value.alias(out_col))
+    before = F.coalesce(F.date_sub("_first", 1), F.col("_hi"))
+    bare = span.filter(F.col("_lo") <= before).select(*keys, F.explode(F.sequence("_lo", before)).alias(date_col))
+    return filled.unionByName(bare.withColumn(out_col, F.lit(None).cast(filled.schema[out_col].dataType)))
 
 
 def latest_prices(ticks: DataFrame, keys: Sequence[str] = ("epic",), time_col: str = "updated_at",

@@ -1,5 +1,6 @@
 """Properties of the distributed ordered-series helpers."""
 
+import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -127,3 +128,28 @@ def test_many_splitters_in_one_bucket(spark):
     pieces = series._chunked(t, ["epic"], ["updated_at", "seq"], "updated_at", 86_400, 10)
     sizes = pieces.groupBy("epic", "_bucket", "_branch", "_piece").count()
     assert sizes.count() > 300 and sizes.agg(F.max("count")).first()[0] < 200
+
+
+def test_daily_values_come_from_the_knots_of_any_bucket(spark):
+    """Gaps longer than a bucket, null values at both ends, a series without a value, a null key: as pandas interpolates."""
+    import datetime
+    import random
+
+    from barflow.operators.bars import daily_interpolate
+
+    rng, day0 = random.Random(5), datetime.date(2020, 1, 1)
+    rows = [(k, day0 + datetime.timedelta(days=d), None if rng.random() < 0.3 else rng.random() * 10)
+            for k in ("a", "b", None) for d in sorted(rng.sample(range(300), 25))]
+    rows += [("none", day0, None), ("none", day0 + datetime.timedelta(days=3), None), ("a", None, 5.0)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    for days in (1, 7, 1024):
+        got = {(r.k, r.d): r.v for r in daily_interpolate(df, ["k"], "d", "v", bucket_days=days).collect()}
+        count = 0
+        for key in ("a", "b", None, "none"):
+            own = sorted((d, v) for k, d, v in rows if k == key and d is not None)
+            s = pd.Series({pd.Timestamp(d): v for d, v in own}, dtype=float).asfreq("D").interpolate()
+            count += len(s)
+            for d, v in s.items():
+                have = got[(key, d.date())]
+                assert (have is None) == bool(pd.isna(v)) and (have is None or abs(have - v) < 1e-9)
+        assert len(got) == count
