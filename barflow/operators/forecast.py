@@ -108,31 +108,19 @@ def contiguous_folds(rows: DataFrame, folds: int, keys: Sequence[str], order: Se
     return idx.withColumn("fold", fold.cast("int")).drop("_n", series.IDX)
 
 
-def _solve(gram: np.ndarray, inputs: list[int]) -> np.ndarray:
-    """Least squares of the last-but-one variable on ``inputs`` and the constant
-    (the last), from the matrix of products: coefficients and intercept."""
-    y, one = len(gram) - 2, len(gram) - 1
-    n = gram[one, one]
-    if n <= 0:
-        return np.zeros(len(inputs) + 1)
-    mean = gram[one] / n
-    centred = gram - n * np.outer(mean, mean)
-    beta = np.linalg.lstsq(centred[np.ix_(inputs, inputs)], centred[inputs, y], rcond=1e-12)[0]
-    return np.append(beta, mean[y] - mean[inputs] @ beta)
-
-
 def stacked_fit(rows: DataFrame, lookbacks: Sequence[int], label: str, keys: Sequence[str]) -> DataFrame:
     """M8, one model per series: a least-squares model per lookback and a final
     one over their out-of-fold predictions. The base models in the result are
     fitted on all rows, as a stacking regressor keeps them.
 
     ``rows`` have ``x`` (the lags of the deepest lookback), ``label`` and
-    ``fold``. The rows are read once: per fold, the matrix of products of
-    ``(x, label, 1)`` is summed (per Arrow batch in numpy, then by Spark). A
-    lookback's inputs are the first entries of ``x``, so its matrix is a part of
-    that; a fold's out-of-fold model comes from the total less the fold, and the
-    out-of-fold predictions are linear in x, so the final model's matrix follows
-    from the same sums. Inputs and label are shifted by one (ratios are near it).
+    ``fold``. The rows are read once: per fold, the triangular factor of the rows
+    ``(1, x, label)`` is built (``modeling.qr_factors``), which keeps their condition
+    number though neighbouring lags are near equal. A lookback's inputs are the
+    first entries of ``x``, so its columns are some of the factor's; a fold's
+    out-of-fold model comes from the other folds' factors, and the out-of-fold
+    predictions are linear in x, so the final model's rows follow from the same
+    factors. Inputs and label are shifted by one (ratios are near it).
 
     Returns per series: ``n``, ``bases`` (coefficients and intercept per
     lookback), ``final`` (weights and intercept), ``coef`` and ``intercept`` of
@@ -140,47 +128,42 @@ def stacked_fit(rows: DataFrame, lookbacks: Sequence[int], label: str, keys: Seq
     keys, deepest = list(keys), max(lookbacks)
     size = deepest + 2
     ok = rows.filter(F.col(label).isNotNull() & F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v)))
-    data = ok.select(*keys, "fold", F.col("x").cast("array<double>").alias("x"), F.col(label).cast("double").alias("_y"))
-    named = ", ".join(f"`{k}` {data.schema[k].dataType.simpleString()}" for k in keys)
-
-    def products(batches):
-        for b in batches:
-            out = []
-            for name, part in b.groupby([*keys, "fold"], dropna=False, sort=False):
-                z = np.column_stack([np.stack(part["x"].to_numpy()) - 1.0, part["_y"].to_numpy() - 1.0, np.ones(len(part))])
-                out.append((*(None if pd.isna(v) else v for v in name), (z.T @ z).ravel()))
-            yield pd.DataFrame(out, columns=[*keys, "fold", "gram"])
-
-    sums = (data.mapInPandas(products, f"{named}, fold int, gram array<double>")
-            .select(*keys, "fold", F.posexplode("gram").alias("pos", "v"))
-            .groupBy(*keys, "fold", "pos").agg(F.sum("v").alias("v")))
+    shifted = F.transform(F.col("x").cast("array<double>"), lambda v: v - 1)
+    row = F.concat(F.array(F.lit(1.0)), shifted, F.array(F.col(label).cast("double") - 1))
+    factors = modeling.qr_factors(ok.select(*keys, "fold", row.alias("z")), "z", [*keys, "fold"])
+    named = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in keys)
 
     def fit(part: pd.DataFrame) -> pd.DataFrame:
-        grams = {f: g.sort_values("pos")["v"].to_numpy().reshape(size, size) for f, g in part.groupby("fold")}
-        total = sum(grams.values())
-        final = np.zeros((len(lookbacks) + 2, len(lookbacks) + 2))
-        for g in grams.values():
-            # rows of the map: each lookback's out-of-fold prediction, the label, the constant, as forms in (x, y, 1)
+        part = part.sort_values("fold")
+        own = [np.asarray(r).reshape(size, size) for r in part["r"]]
+        all_rows = np.vstack(own)
+        inputs = [range(1, lb + 1) for lb in lookbacks]
+        second = []
+        for f, r in enumerate(own):
+            # columns of the final model's rows: the constant, each lookback's out-of-fold prediction, the label, as forms in (1, x, y)
             forms = np.zeros((len(lookbacks) + 2, size))
-            for i, lb in enumerate(lookbacks):
-                w = _solve(total - g, list(range(lb)))
-                forms[i, :lb], forms[i, -1] = w[:-1], w[-1]
-            forms[-2, -2] = forms[-1, -1] = 1.0
-            final += forms @ g @ forms.T
-        weights = _solve(final, list(range(len(lookbacks))))
-        bases = [_solve(total, list(range(lb))) for lb in lookbacks]
+            forms[0, 0] = forms[-1, -1] = 1.0
+            others = [x for g, x in enumerate(own) if g != f]
+            rest = np.linalg.qr(np.vstack(others), mode="r") if others else np.zeros((size, size))
+            for i, cols in enumerate(inputs):
+                w = modeling.solve_factor(rest, cols)
+                forms[1 + i, list(cols)], forms[1 + i, 0] = w[:-1], w[-1]
+            second.append(r @ forms.T)
+        weights = modeling.solve_factor(np.linalg.qr(np.vstack(second), mode="r"), range(1, len(lookbacks) + 1))
+        whole = np.linalg.qr(all_rows, mode="r")
+        bases = [modeling.solve_factor(whole, cols) for cols in inputs]
         coef, intercept = np.zeros(deepest), weights[-1]
         for w, b in zip(weights, bases):
             coef[:len(b) - 1] += w * b[:-1]
             intercept += w * b[-1]
-        shifted = intercept + 1.0 - coef.sum()
+        level = intercept + 1.0 - coef.sum()
         plain = [[*b[:-1], b[-1] + 1.0 - b[:-1].sum()] for b in bases]
         last = [*weights[:-1], weights[-1] + 1.0 - weights[:-1].sum()]
         row = {k: [part[k].iloc[0]] for k in keys}
-        return pd.DataFrame({**row, "n": [int(total[-1, -1])], "bases": [plain], "final": [last], "coef": [coef.tolist()],
-                             "intercept": [shifted]})
+        return pd.DataFrame({**row, "n": [int(round(whole[0, 0] ** 2))], "bases": [plain], "final": [last], "coef": [coef.tolist()],
+                             "intercept": [level]})
 
-    return sums.groupBy(*keys).applyInPandas(
+    return factors.groupBy(*keys).applyInPandas(
         fit, f"{named}, n long, bases array<array<double>>, final array<double>, coef array<double>, intercept double")
 
 

@@ -82,6 +82,60 @@ def _solve_udf(n: pd.Series, sy: pd.Series, sx: pd.Series, sxy: pd.Series, sxx:
     return pd.DataFrame({"coef": [o[0] for o in out], "intercept": [o[1] for o in out]})
 
 
+def _reduced(parts: list[np.ndarray], width: int) -> np.ndarray:
+    """The triangular factor of the rows below one another, filled up to a square."""
+    r = np.linalg.qr(np.vstack(parts), mode="r")
+    return np.vstack([r, np.zeros((width - len(r), width))]) if len(r) < width else r
+
+
+def qr_factors(rows: DataFrame, vec: str, group_cols: Sequence[str], slots: int = 64, held: int = 4096) -> DataFrame:
+    """``(group..., r)``: the triangular factor R (row by row) of the QR decomposition
+    of each group's rows ``vec`` (equally long arrays without nulls).
+
+    Each partition reduces its rows to one R per group, batch by batch (at most ``held`` groups at a
+    time); these are merged in ``slots`` parts and then as one. Only R's are shuffled, one per
+    partition and group, and unlike a matrix of products R keeps the condition number of the rows."""
+    keys = list(group_cols)
+    data = rows.select(*keys, F.col(vec).cast("array<double>").alias("_z"))
+    named = ", ".join(f"`{k}` {data.schema[k].dataType.simpleString()}" for k in keys)
+
+    def local(batches):
+        found: dict[tuple, np.ndarray] = {}
+
+        def given():
+            out = pd.DataFrame([(*k, r.ravel()) for k, r in found.items()], columns=[*keys, "r"])
+            found.clear()
+            return out
+        for b in batches:
+            for name, part in b.groupby(keys, dropna=False, sort=False):
+                name = tuple(None if pd.isna(v) else v for v in name)
+                z = np.stack(part["_z"].to_numpy())
+                found[name] = _reduced([found[name], z] if name in found else [z], z.shape[1])
+            if len(found) > held:
+                yield given()
+        if found:
+            yield given()
+
+    def merged(part: pd.DataFrame) -> pd.DataFrame:
+        width = int(np.sqrt(len(part["r"].iloc[0])))
+        r = _reduced([np.asarray(x).reshape(width, width) for x in part["r"]], width)
+        return pd.DataFrame({**{k: [part[k].iloc[0]] for k in keys}, "r": [r.ravel()]})
+
+    form = f"{named}, r array<double>"
+    parts = data.mapInPandas(local, form).withColumn("_slot", F.pmod(F.spark_partition_id(), F.lit(slots)))
+    return parts.groupBy(*keys, "_slot").applyInPandas(merged, form).groupBy(*keys).applyInPandas(merged, form)
+
+
+def solve_factor(r: np.ndarray, inputs: Sequence[int]) -> np.ndarray:
+    """Least squares of the last column on the columns ``inputs`` and the constant,
+    which is column 0: coefficients and intercept. Below its first row R is the factor of the centred columns."""
+    if not r[0, 0]:
+        return np.zeros(len(inputs) + 1)
+    mean = r[0] / r[0, 0]
+    beta = np.linalg.lstsq(r[1:, list(inputs)], r[1:, -1], rcond=1e-10)[0]
+    return np.append(beta, mean[-1] - mean[list(inputs)] @ beta)
+
+
 def ols_fit(df: DataFrame, features: Sequence[str], label: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """M6: ordinary least squares per group -> (group..., n, coef, intercept, r2).
 

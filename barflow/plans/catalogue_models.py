@@ -393,15 +393,15 @@ def stacked_sql(scored: str | None = None) -> str:
 
 
 @query("stacked_forecast", with_fixtures(f"""
-    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, fold, round(label, 4) AS y,
-           round(label - left_over, 4) AS stacked_pred
+    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, fold, round(label, 6) AS y,
+           round(label - left_over, 6) AS stacked_pred
     FROM h{len(LOOKBACKS)} WHERE NOT fit""", "stream", extra=stacked_sql()))
 def stacked_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stacked linear model over three lookbacks, one per instrument: base
     models on all rows, the final one over 5-fold out-of-fold predictions (M8, P14)."""
     pred, _ = forecast.stacked_regression(fixtures.stream(spark, sf_dir), LOOKBACKS, ["epic"], ["updated_at", "seq"], folds=FOLDS)
     return pred.select("epic", ts_text("updated_at").alias("updated_at"), F.col("fold").cast("long").alias("fold"),
-                       _r("y", 4).alias("y"), _r("stacked_pred", 4).alias("stacked_pred"))
+                       _r("y", 6).alias("y"), _r("stacked_pred", 6).alias("stacked_pred"))
 
 
 ROLL_LENGTHS = list(range(2, 10))
