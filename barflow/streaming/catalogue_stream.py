@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 
 from barflow.functions.scalar import ts_text
 from barflow.jobs import ROW_KEY
-from barflow.operators import features, forecast, knn, scoring
+from barflow.operators import features, forecast, knn, positions, scoring
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS
 from barflow.plans.catalogue_models import BAR_MODEL_SQL, K, LOOKBACKS, R_THRESHOLD, bar_model_rows, stacked_sql
 from barflow.plans.registry import query, with_fixtures
-from barflow.streaming import live
+from barflow.streaming import keyed, live
 
 STREAMED_SQL = """
     sbars AS (SELECT b.* FROM bars_all b WHERE b.updated_at <= (SELECT max(updated_at) FROM ticks))"""
@@ -90,3 +90,67 @@ def stream_stacked_signals(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = spark.read.parquet(f"{out}/positions")
     return p.select("dealId", "model_used", ts_text("buy_date").alias("buy_date"),
                     ts_text("sell_date").alias("sell_date"), "buy_level_responce", F.round("y_pred", 4).alias("y_pred"))
+
+
+def _as_files(df: DataFrame, name: str, files: int = 1) -> DataFrame:
+    """A table as a file stream; with several files, rows arrive dealt by a hash, one file a micro-batch."""
+    spark, path = df.sparkSession, live.stream_dir(df.sparkSession, name)
+    (df.repartition(files, F.xxhash64(F.lit(name), "seq")) if files > 1 else df).write.parquet(path)
+    reader = spark.readStream.schema(df.schema)
+    return (reader.option("maxFilesPerTrigger", 1) if files > 1 else reader).parquet(path)
+
+
+@query("stream_instrument_bars", with_fixtures(f"""
+    SELECT epic, strftime(updated_at, {HOUR_TS}) AS updated_at, seq, bid_open, ask_open FROM stream""", "stream"))
+def stream_instrument_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars that close on their own instrument's progress, corrected by late ticks: the ticks arrive
+    out of order in four files, the last revisions are the batch bars (T4, W11)."""
+    ticks = fixtures.raw_stream(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    stream = keyed.instrument_bars(_as_files(ticks, "ticks", 4), fixtures.BAR_WIDTH, keep="36500 days")
+    b = keyed.current_bars(keyed.run_table(spark, stream, live.stream_dir(spark, "instrument-bars")))
+    return b.select("epic", ts_text("updated_at").alias("updated_at"), "seq", "bid_open", "ask_open")
+
+
+HOLD_MINUTES = 90
+EXIT_SQL = f"""
+    pos AS (SELECT substr(sha256(concat_ws('|', epic, CAST(updated_at AS VARCHAR), 'exits-v1')), 1, 32) AS dealId, epic,
+                   make_timestamp(CAST(round_even(epoch_us(updated_at) / 60000000.0, 0) AS BIGINT) * 60000000
+                                  + {HOLD_MINUTES * 60_000_000}) AS sell_date
+            FROM stream WHERE bid_open / ask_open > 0.99),
+    fill AS (SELECT p.dealId, p.epic, s.updated_at AS close_date, s.bid_open AS close_level_responce
+             FROM pos p ASOF JOIN stream s ON p.epic = s.epic AND p.sell_date <= s.updated_at)"""
+
+
+@query("stream_exit_fills", with_fixtures(f"""
+    SELECT dealId, epic, strftime(close_date, {HOUR_TS}) AS close_date, close_level_responce FROM fill""", "stream", extra=EXIT_SQL))
+def stream_exit_fills(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exits by event-time timers on keyed state: each position closes at its instrument's first bar
+    at or after its exit time (T9, T10, T11)."""
+    b = fixtures.stream(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    scored = b.withColumn("y_pred", F.try_divide("bid_open", "ask_open")).withColumn("level", F.col("ask_open"))
+    opened = positions.signals_to_positions(scored, 0.99, "exits", "1", HOLD_MINUTES, keep_cols=["seq"])
+    fills = keyed.exit_fills(_as_files(opened, "positions"), _as_files(b, "bars"), parts=4)
+    out = keyed.run_table(spark, fills, live.stream_dir(spark, "exits"))
+    return out.select("dealId", "epic", ts_text("close_date").alias("close_date"), "close_level_responce")
+
+
+@query("stream_monitor_ticks", with_fixtures("""
+    SELECT r.epic, strftime(r.at, '%Y-%m-%d %H:%M:%S.%f') AS updated_at, r.seq,
+           r.bid_open AS bid_open_raw_stream, r.ask_open AS ask_open_raw_stream,
+           s.bid_open AS bid_open_stream, s.ask_open AS ask_open_stream
+    FROM (SELECT *, CASE WHEN seq % 7 = 0 THEN date_trunc('hour', updated_at) ELSE updated_at END AS at FROM raw_stream) r
+    LEFT JOIN stream s ON r.epic = s.epic AND r.at = s.updated_at
+    WHERE s.epic IS NOT NULL
+       OR epoch_ms(r.at) <= least((SELECT max(epoch_ms(updated_at)) FROM stream),
+                       (SELECT max(epoch_ms(CASE WHEN seq % 7 = 0 THEN date_trunc('hour', updated_at) ELSE updated_at END)) FROM raw_stream))""",
+                                             "raw_stream", "stream"))
+def stream_monitor_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live monitoring: every tick beside the bar of exactly its time, as two streams joined. The ticks
+    that neither have a bar nor are passed by both streams' watermark are still waiting (T13, J6)."""
+    full = F.date_trunc("hour", "updated_at").cast("timestamp")
+    ticks = fixtures.raw_stream(spark, sf_dir).withColumn(
+        "updated_at", F.when(F.col("seq") % 7 == 0, full).otherwise(F.col("updated_at").cast("timestamp")))
+    bars = fixtures.stream(spark, sf_dir).withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    j = keyed.run_table(spark, keyed.ticks_beside_bars(_as_files(ticks, "raw"), _as_files(bars, "bars")), live.stream_dir(spark, "monitor"))
+    return j.select("epic", ts_text("updated_at", micros=True).alias("updated_at"), "seq", "bid_open_raw_stream", "ask_open_raw_stream",
+                    "bid_open_stream", "ask_open_stream")
