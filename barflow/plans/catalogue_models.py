@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barflow.functions.scalar import format_day, ts_text
 from barflow.jobs import training_matrix
-from barflow.operators import evaluate, features, forecast, knn, modeling, series
+from barflow.operators import evaluate, features, forecast, knn, modeling, promotion, series
 from barflow.plans import fixtures
 from barflow.plans.catalogue_bars import HOUR_TS, TEST_FRACTION, chronological_split
 from barflow.plans.registry import query, with_fixtures
@@ -462,3 +462,46 @@ def smoothness_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per (series, window length): a small table
     w = Window.partitionBy("window_n").orderBy("mean_abs_error")
     return err.withColumn("smoothness_rank", F.dense_rank().over(w).cast("long"))
+
+
+# ---------------------------------------------------------------- promotion of shadow models
+
+DEPLOYED_LENGTH, SHADOW_LENGTH = 3, 8
+BLOCK, REPLICATES, SEED, LEVEL = 20, 200, 1, 0.95
+
+
+def _trade_sql(n: int) -> str:
+    return f"CASE WHEN preds_{n} > before THEN 1 ELSE -1 END * CAST(CAST(Open AS DECIMAL(28, 2)) - CAST(before AS DECIMAL(28, 2)) AS DECIMAL(28, 2))"
+
+
+@query("shadow_promotion", with_fixtures(f"""
+    SELECT Name, any_value(n) AS n, round(any_value(total) / any_value(n), 4) AS mean_gain,
+           round(quantile_cont(mean, {1 - LEVEL}), 4) AS lower, round(avg(CASE WHEN mean <= 0 THEN 1.0 ELSE 0.0 END), 6) AS p_value,
+           quantile_cont(mean, {1 - LEVEL}) > 0 AS promote
+    FROM (SELECT Name, rep, any_value(n) AS n, any_value(total) AS total, CAST(sum(gain) AS DOUBLE) / any_value(n) AS mean
+          FROM picked GROUP BY Name, rep) GROUP BY Name""", "daily_prices", extra=ROLL_SQL + f""",
+    told AS (SELECT *, lag(Open) OVER (PARTITION BY Name ORDER BY Date) AS before FROM roll),
+    gains AS (SELECT Name, Date, {_trade_sql(SHADOW_LENGTH)} - {_trade_sql(DEPLOYED_LENGTH)} AS gain
+              FROM told WHERE preds_{SHADOW_LENGTH} IS NOT NULL AND preds_{DEPLOYED_LENGTH} IS NOT NULL),
+    placed_gains AS (SELECT Name, gain, row_number() OVER (PARTITION BY Name ORDER BY Date) - 1 AS at FROM gains),
+    spans AS (SELECT Name, count(*) AS n, CAST(sum(gain) AS DOUBLE) AS total, least({BLOCK}, count(*)) AS size FROM gains GROUP BY Name),
+    drawn AS (SELECT Name, n, total, rep, no,
+                     CAST('0x' || md5('{SEED}:' || rep || ':' || no)[1:15] AS BIGINT) % (n - size + 1) AS first,
+                     least(size, n - no * size) AS len
+              FROM (SELECT *, unnest(range(0, (n - 1) // size + 1)) AS no
+                    FROM (SELECT *, unnest(range(0, {REPLICATES})) AS rep FROM spans))),
+    picked AS (SELECT d.Name, d.rep, d.n, d.total, g.gain FROM drawn d
+               JOIN placed_gains g ON g.Name = d.Name AND g.at >= d.first AND g.at < d.first + d.len)"""))
+def shadow_promotion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deployed and a shadow trend model trade the same days; the shadow one is promoted
+    when its gain holds in a paired moving-block bootstrap."""
+    preds = materialize(_rolling(spark, sf_dir))
+    lagged = features.shift_features(preds, past={"Open": 1}, keys=["Name"], order=["_t"])
+    before = F.col(features.lag_columns("Open", 1)[-1])
+    step = F.col("Open").cast("decimal(28,2)") - before.cast("decimal(28,2)")
+
+    def profit(n: int):
+        return (F.when(F.col(f"preds_{n}") > before, step).when(F.col(f"preds_{n}").isNotNull(), -step))
+    trades = lagged.select("Name", "_t", profit(DEPLOYED_LENGTH).alias("deployed"), profit(SHADOW_LENGTH).alias("shadow"))
+    out = promotion.paired_block_bootstrap(trades, ["Name"], ["_t"], "deployed", "shadow", BLOCK, REPLICATES, SEED, LEVEL)
+    return out.select("Name", "n", _r("mean_gain", 4).alias("mean_gain"), _r("lower", 4).alias("lower"), _r("p_value").alias("p_value"), "promote")
