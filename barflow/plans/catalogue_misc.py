@@ -56,6 +56,30 @@ AS_OF_FETCH = "2024-02-10"
 ALREADY_FETCHED = ("click", "signup")  # instruments whose planned range an earlier run has stored
 
 
+@query("history_bucket_commits", """
+    WITH h AS (SELECT event_id AS seq, event_type AS instrument, value AS open,
+                      'training/quotes/' || lower(event_type) || '/1m/' || strftime(ts::DATE, '%Y-%m-%d') || '_to_'
+                          || strftime(ts::DATE, '%Y-%m-%d') AS bucket FROM events)
+    SELECT bucket, count(*) AS n, CAST(sum(CAST(round(open, 2) AS DECIMAL(18, 2))) AS DOUBLE) AS total, count(DISTINCT instrument) AS instruments
+    FROM h GROUP BY bucket""")
+def history_bucket_commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily buckets written by two runs that overlap: each is committed once, by the run that
+    came first, and read back whole (S3, S4)."""
+    from barflow.sources.tables import read_table
+    from barflow.streaming.live import stream_dir
+
+    e = read_table(spark, sf_dir, "events", ["event_id", "event_type", "ts", "value"])
+    day = F.to_date("ts")
+    h = e.select(F.col("event_id").alias("seq"), F.col("event_type").alias("instrument"), F.col("value").alias("open"),
+                 files.bucket_path(F.lit("quotes"), F.col("event_type"), F.lit("1m"), day, day).alias("bucket"))
+    root = stream_dir(spark, "buckets")
+    files.commit_buckets(h.filter(F.col("instrument").isin(*ALREADY_FETCHED)), root)
+    files.commit_buckets(h, root)
+    money = F.sum(F.round("open", 2).cast("decimal(18,2)")).cast("double")
+    return files.read_buckets(spark, root, h.schema).groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("n"), money.alias("total"), F.count_distinct("instrument").alias("instruments"))
+
+
 @query("history_new_buckets", f"""
     WITH h AS (SELECT event_type AS instrument, ts + INTERVAL 5 HOUR AS t FROM events),
     b AS (SELECT instrument, min(t)::DATE AS first_date, max(t)::DATE AS last_date FROM h GROUP BY instrument),

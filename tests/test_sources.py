@@ -68,3 +68,35 @@ def test_folder_with_only_markers_reads_as_empty(spark):
     open(f"{d}/_SUCCESS", "w").close()
     df = tables.read_or_empty(spark, d, schemas.SOLD)
     assert df.count() == 0 and df.columns == ["dealId", "close_level_responce"]
+
+
+def test_two_writers_commit_each_bucket_once(spark, tmp_path, monkeypatch):
+    """Writers that stage the same buckets at the same time: one commits a shared bucket, rows are read once; a lost writer leaves nothing."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier, local
+
+    root = str(tmp_path / "buckets")
+    assert files.read_buckets(spark, root, spark.createDataFrame([], "bucket string, v long").schema).count() == 0
+    gate, seen, real = Barrier(3, timeout=100), local(), files._publish
+
+    def together(*args):  # every writer's first entry is tried once all have staged
+        if not getattr(seen, "once", False):
+            seen.once = True
+            gate.wait()
+        return real(*args)
+    monkeypatch.setattr(files, "_publish", together)
+
+    def write(k):
+        df = spark.createDataFrame([(f"a/{b}", 10 * k + b) for b in range(k, k + 3)] + [(None, 0)], "bucket string, v long")
+        return k, sorted(r.bucket for r in files.commit_buckets(df, root).collect())
+
+    with ThreadPoolExecutor(3) as pool:
+        won = dict(pool.map(write, range(3)))
+    assert sorted(b for w in won.values() for b in w) == [f"a/{b}" for b in range(5)]
+    owner = {b: k for k, w in won.items() for b in w}
+    monkeypatch.setattr(files, "_publish", real)
+    lost = spark.createDataFrame([("a/9", 9)], "bucket string, v long")
+    lost.withColumn("_bucket", F.col("bucket")).write.partitionBy("_bucket").parquet(f"{root}/data/job=lost")
+    got = files.read_buckets(spark, root, lost.schema).collect()
+    assert sorted((r.bucket, r.v) for r in got) == [(b, 10 * k + int(b[2:])) for b, k in sorted(owner.items())]
+    assert files.commit_buckets(lost.withColumn("bucket", F.lit("a/1")), root).count() == 0
