@@ -9,7 +9,7 @@ the mean, decide.
 Sums of blocks come from prefix sums: a block is two points of the running sum, so a
 replicate costs two joined rows per block however long the blocks are, and no task holds a series.
 The first row of each block is a hash of seed, replicate and block number, so
-a retried task draws the same.
+a retried task draws the same. The pairs and their running sums are written once, in the shared folder.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barflow.operators import series
+from barflow.session import materialize
 
 
 def block_start(seed: int, replicate: Column, number: Column, starts: Column) -> Column:
@@ -39,9 +40,10 @@ def paired_block_bootstrap(trades: DataFrame, keys: Sequence[str], order: Sequen
     sums don't depend on their order; the driver sees nothing."""
     keys, order = list(keys), list(order)
     gain = (F.col(shadow).cast(f"decimal(28,{scale})") - F.col(deployed).cast(f"decimal(28,{scale})")).cast(f"decimal(28,{scale})")
-    pairs = trades.select(*keys, *order, gain.alias("_gain")).filter(F.col("_gain").isNotNull())
-    sums = series.running_sum(pairs, keys, order, "_gain", "_sum", keep_index=True).select(
-        *keys, F.col(series.IDX).cast("long").alias("_at"), "_sum")
+    # the pairs feed the index, the blocks' totals and the sizes; the sums both ends of every block
+    pairs = materialize(trades.select(*keys, *order, gain.alias("_gain")).filter(F.col("_gain").isNotNull()), "pairs")
+    sums = materialize(series.running_sum(pairs, keys, order, "_gain", "_sum", keep_index=True).select(
+        *keys, F.col(series.IDX).cast("long").alias("_at"), "_sum"), "sums")
     sizes = pairs.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.sum("_gain").alias("_total"))
     size = F.least(F.lit(block).cast("long"), F.col("n"))
     drawn = (sizes.select(*keys, "n", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("_rep"))
