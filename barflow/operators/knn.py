@@ -17,9 +17,13 @@ the nearest point it could hold is beyond the bound. Rows of node j lie
 * beyond the plane between p_j and the sibling p_i that is nearest to the query, so not
   nearer than ``(d(q, p_j)^2 - d(q, p_i)^2) / (2 d(p_i, p_j))``.
 
-Leaves are cut into blocks of about ``block_rows`` rows on either side, so a dense leaf (a
-vector that a third of all rows share) is many tasks; one task holds one block of each side
-and keeps the ``k`` best per query. Distances are computed by numpy inside the tasks.
+Leaves are put together, children of one upper node side by side, to groups of about
+``block_rows`` rows; a dense leaf (a vector that a third of all rows share) is cut into several
+blocks instead. A query goes once to each group with a leaf that it needs, together with the list
+of these leaves, so what is shuffled grows with the number of groups, not of leaves. One task
+holds one block of each side and keeps the ``k`` best per query; of equal vectors in a leaf the first
+``k`` count. Inside the tasks a matrix product leaves out the pairs whose distance is
+beyond the bound by more than its rounding error, the others' distances come from the differences.
 
 Rows are identified by one or more key columns; ties go to the smaller training
 key, so the result is a function of the rows.
@@ -229,58 +233,148 @@ def load(spark: SparkSession, path: str) -> KnnModel:
     return KnnModel(tree, spark.read.parquet(f"{path}/cells"), keys)
 
 
-def _top_k(q_mat, t_mat, k: int, budget: int = 2_000_000):
-    """Row, column and distance of the ``k`` best columns per row; equal
-    distances go to the smaller column. Rows are taken in chunks so that one
-    difference tensor stays under ``budget`` doubles."""
-    kk = min(k, len(t_mat))
-    chunk = max(1, min(1024, budget // max(1, t_mat.size)))
-    for s in range(0, len(q_mat), chunk):
-        dist = _distances(q_mat[s:s + chunk], t_mat)
-        rows = np.arange(len(dist))[:, None]
-        part = (np.argpartition(dist, kk - 1, axis=1)[:, :kk] if kk < dist.shape[1]
-                else np.broadcast_to(np.arange(dist.shape[1]), dist.shape).copy())
-        idx = np.take_along_axis(part, np.lexsort((part, dist[rows, part]), axis=1), axis=1)
-        # rows whose k-th distance ties with columns left out: full sort there
-        tied = np.nonzero((dist <= dist[rows, idx].max(axis=1, keepdims=True)).sum(axis=1) > kk)[0]
-        if len(tied):
-            full = np.lexsort((np.broadcast_to(np.arange(dist.shape[1]), (len(tied), dist.shape[1])), dist[tied]), axis=1)
-            idx[tied] = full[:, :kk]
-        yield np.repeat(np.arange(s, s + len(dist)), kk), idx.ravel(), dist[rows, idx].ravel()
-
-
-def _search(q: DataFrame, model: KnnModel, q_keys: list[str], t_keys: list[str], k: int, block_rows: int) -> DataFrame:
-    """The ``k`` best training rows for each row of ``q`` among those of the
-    query's ``cell``, per block of the cell (a few blocks' candidates per query)."""
+def _first_copies(mat: np.ndarray, cell: np.ndarray, k: int) -> np.ndarray:
+    """Places of the rows, but of equal vectors in a cell only of the first ``k``: the later ones lose every tie."""
+    if not mat.size:
+        return np.arange(len(mat))
+    wide = np.ascontiguousarray(np.column_stack([mat, cell]))
+    _, same = np.unique(wide.view(f"V{wide.dtype.itemsize * wide.shape[1]}").ravel(), return_inverse=True)
+    order = np.argsort(same, kind="stable")
+    return np.sort(order[_places(same[order]) < k])
+
+
+def _places(ascending: np.ndarray) -> np.ndarray:
+    """Number of equal values before each."""
+    head = np.concatenate([[True], ascending[1:] != ascending[:-1]]) if len(ascending) else np.zeros(0, bool)
+    at = np.arange(len(ascending))
+    return at - np.maximum.accumulate(np.where(head, at, 0))
+
+
+def _best(i: np.ndarray, j: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ``k`` best columns ``j`` of each row ``i``; equal distances go to the smaller column."""
+    order = np.lexsort((j, d, i))
+    order = order[_places(i[order]) < k]
+    return i[order], j[order], d[order]
+
+
+def _candidates(q_mat: np.ndarray, t_mat: np.ndarray, limit: np.ndarray, k: int,
+                budget: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, column and distance, in pieces of rows: all columns that may be among the ``k`` best of a row
+    and within its limit. Neither products nor differences hold more than ``budget`` numbers at a time."""
+    width, kk = t_mat.shape[1], min(k, len(t_mat))
+    centre = t_mat.mean(0)
+    centre = np.where(np.isfinite(centre), centre, 0.0)
+    t = t_mat - centre
+    square = np.einsum("ij,ij->i", t, t)
+    step, piece = max(1, budget // len(t_mat)), max(1, budget // max(1, width))
+    for s in range(0, len(q_mat), step):
+        q = q_mat[s:s + step] - centre
+        own = np.einsum("ij,ij->i", q, q)
+        slack = 8 * (width + 8) * np.finfo(float).eps * (own + square.max())  # above the error of the three terms
+        less = square[None, :] - 2 * (q @ t.T)  # squared distance, less the query's own square
+        cut = (limit[s:s + step] * (1 + 1e-9) + 1e-9) ** 2 - own + slack
+        keep = ~(less > cut[:, None])  # a distance that isn't a number stays
+        if keep.sum() > 32 * len(q) and kk < len(t_mat):
+            cut = np.minimum(cut, np.partition(less, kk - 1, axis=1)[:, kk - 1] + 2 * slack)
+            keep = ~(less > cut[:, None])
+        i, j = np.nonzero(keep)
+        d = np.empty(len(i))
+        for at in range(0, len(i), piece):
+            c = slice(at, at + piece)
+            diff = q_mat[s + i[c]] - t_mat[j[c]]
+            d[c] = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+        yield i + s, j, d
+
+
+def _nearest(q_mat: np.ndarray, leaves: Sequence[np.ndarray], limit: np.ndarray, t_mat: np.ndarray, cell: np.ndarray,
+             k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, column and distance of the ``k`` best columns per row in the leaves that the row needs;
+    a row's limit falls with each leaf."""
+    wanted = np.concatenate(leaves)
+    order = np.argsort(wanted, kind="stable")
+    asked, wanted = np.repeat(np.arange(len(leaves)), [len(x) for x in leaves])[order], wanted[order]
+    limit = limit.copy()
+    rows = _first_copies(t_mat, cell, k)
+    rows = rows[np.argsort(cell[rows], kind="stable")]
+    held = cell[rows]
+    none = np.zeros(0, int)
+    best = none, none, np.zeros(0)
+    for leaf in np.unique(held):
+        q = asked[slice(*np.searchsorted(wanted, [leaf, leaf + 1]))]
+        t = rows[slice(*np.searchsorted(held, [leaf, leaf + 1]))]
+        if not len(q):
+            continue
+        found = [_best(q[i], t[j], d, k) for i, j, d in _candidates(q_mat[q], t_mat[t], limit[q], k)]
+        best = _best(*(np.concatenate(x) for x in zip(best, *found)), k)
+        last = _places(best[0]) == k - 1
+        limit[best[0][last]] = np.fmin(limit[best[0][last]], best[2][last])
+    return best
+
+
+def _groups(tree: PivotTree, block_rows: int) -> tuple[np.ndarray, list[int]]:
+    """The group of each leaf, and the number of blocks of each group."""
+    group, held = np.zeros(max(1, len(tree.rows)), np.int32), [0]
+    for leaf in np.argsort(tree.parent, kind="stable"):
+        if held[-1] and held[-1] + tree.rows[leaf] > block_rows:
+            held.append(0)
+        held[-1] += int(tree.rows[leaf])
+        group[leaf] = len(held) - 1
+    return group, [max(1, -(-n // block_rows)) for n in held]
+
+
+def _search(q: DataFrame, q_blocks: DataFrame, model: KnnModel, q_keys: list[str], t_keys: list[str], k: int,
+            group: np.ndarray, t_blocks: list[int]) -> DataFrame:
+    """The ``k`` best training rows for each row of ``q`` among those of its ``leaves`` in its ``grp``,
+    per block of the group (a few blocks' candidates per query)."""
     t, spark = model.cells, q.sparkSession
-    held = [(i, max(1, -(-int(n) // block_rows))) for i, n in enumerate(model.tree.rows)] or [(0, 1)]
-    asked = q.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_rows)).cast("int").alias("q_blocks"))
-    sizes = asked.join(spark.createDataFrame(held, "cell int, t_blocks int"), "cell")  # a row per leaf
+    placed = spark.createDataFrame([(i, int(g)) for i, g in enumerate(group)], "cell int, grp int")
+    sizes = spark.createDataFrame(list(enumerate(t_blocks)), "grp int, t_blocks int").join(q_blocks, "grp")  # a row per group
+    keys = ["grp", "q_block", "t_block"]
+    parts = 8 * sum(t_blocks)  # so a task has a bounded number of a group's blocks
 
-    def dealt(df: DataFrame, keys: list[str], own: str, other: str) -> DataFrame:
-        j = df.join(sizes, "cell")
-        mine = F.pmod(F.xxhash64(*keys), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
-        return j.select(*df.columns, mine, F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block"))
+    def dealt(df: DataFrame, ids: list[str], own: str, other: str) -> DataFrame:
+        j = df.join(sizes, "grp")
+        mine = F.pmod(F.xxhash64(*ids), F.col(f"{own}_blocks")).cast("int").alias(f"{own}_block")
+        each = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1)).alias(f"{other}_block")
+        return j.select(*df.columns, mine, each).repartition(parts, *keys).groupBy(*keys)
 
     schema = f"{_fields(q, q_keys)}, {_fields(t, t_keys)}, distance double, t_y double"
+    cols = [*q_keys, *t_keys, "distance", "t_y"]
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        cols = [*q_keys, *t_keys, "distance", "t_y"]
         if not len(left) or not len(right):
             return pd.DataFrame({c: [] for c in cols})
         right = right.sort_values(t_keys, kind="stable").reset_index(drop=True)
-        out = []
-        for qi, ti, dist in _top_k(_matrix(left["q_vec"]), _matrix(right["t_vec"]), k):
-            a = left[q_keys].iloc[qi].reset_index(drop=True)
-            b = right[[*t_keys, "t_y"]].iloc[ti].reset_index(drop=True)
-            out.append(pd.concat([a, b], axis=1).assign(distance=dist)[cols])
-        return pd.concat(out, ignore_index=True)
-
-    group = ["cell", "q_block", "t_block"]
-    return (dealt(q, q_keys, "q", "t").groupBy(*group).cogroup(dealt(t, t_keys, "t", "q").groupBy(*group))
+        limit = left["bound"].to_numpy(dtype=float)
+        qi, ti, dist = _nearest(_matrix(left["q_vec"]), list(left["leaves"]), np.where(np.isnan(limit), np.inf, limit),
+                                _matrix(right["t_vec"]), right["cell"].to_numpy(), k)
+        a = left[q_keys].iloc[qi].reset_index(drop=True)
+        b = right[[*t_keys, "t_y"]].iloc[ti].reset_index(drop=True)
+        return pd.concat([a, b], axis=1).assign(distance=dist)[cols]
+
+    return (dealt(q, q_keys, "q", "t").cogroup(dealt(t.join(placed, "cell"), t_keys, "t", "q"))
             .applyInPandas(pair, schema))
 
 
+def _asked(group: np.ndarray, bound: np.ndarray, mat: np.ndarray, tree: PivotTree,
+           pairs: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """Query, group and the leaves there that the query still needs; ``pairs`` of query and leaf at a time."""
+    step = max(1, pairs // max(1, len(tree.pivots)))
+    for s in range(0, len(mat), step):
+        found = list(tree.visits(mat[s:s + step], bound[s:s + step]))
+        if not found:
+            continue
+        i, leaf = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((leaf, group[leaf], i))
+        i, leaf = i[order], leaf[order]
+        g = group[leaf]
+        head = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (g[1:] != g[:-1])])) if len(i) else np.zeros(0, int)
+        for h in range(0, len(head), 4096):  # vectors go out in small batches
+            start = head[h:h + 4096]
+            stop = head[h + 4096] if h + 4096 < len(head) else len(i)
+            yield s + i[start], g[start], np.split(leaf[start[0]:stop].astype(np.int32), start[1:] - start[0])
+
+
 def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str] = "id", vec: str = "vec",
            block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """k nearest training rows per query row: the query's key columns (one key:
@@ -288,17 +382,26 @@ def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str
     ``t_<name>``), ``distance`` and ``t_y``."""
     names = _keys(keys)
     q_keys, t_keys = [f"q{i}" for i in range(len(names))], [f"t{i}" for i in range(len(model.keys))]
-    tree = model.tree
+    tree, spark = model.tree, queries.sparkSession
+    group, t_blocks = _groups(tree, block_rows)
     q = queries.select(*[F.col(c).alias(n) for c, n in zip(names, q_keys)], F.col(vec).cast("array<double>").alias("q_vec"))
-    home = _dealt(q, "q_vec", tree)
-    first = _search(home, model, q_keys, t_keys, k, block_rows)
+    blocks = F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / F.lit(block_rows))).cast("int").alias("q_blocks")
+    asked = f"{_fields(q, [*q_keys, 'q_vec'])}, grp int, leaves array<int>, bound double"
+
+    def homes(batches):
+        for b in batches:
+            leaf, _, _ = tree.leaf_of(_matrix(b["q_vec"]))
+            yield b.assign(grp=group[leaf], leaves=list(leaf[:, None]), bound=np.nan)
+
+    home = q.mapInPandas(homes, asked)
+    first = _search(home, home.groupBy("grp").agg(blocks), model, q_keys, t_keys, k, group, t_blocks)
     # the best of the own leaf, and its k-th distance (none while it has fewer rows). All uses below share this
     # aggregate, so its shuffle is written once
     hit = F.struct("distance", *t_keys, "t_y")
     best = first.groupBy(*q_keys).agg(F.collect_list(hit).alias("_hits")).select(
         *[F.col(c).alias(f"_{c}") for c in q_keys], F.slice(F.sort_array("_hits"), 1, k).alias("_best"))
     on = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in q_keys]
-    bounded = home.join(best, on, "left").select(*q_keys, "q_vec", F.get(F.col("_best.distance"), F.lit(k - 1)).alias("bound"))
+    bounded = q.join(best, on, "left").select(*q_keys, "q_vec", F.get(F.col("_best.distance"), F.lit(k - 1)).alias("bound"))
 
     def visits(batches):
         for b in batches:
@@ -307,14 +410,17 @@ def search(queries: DataFrame, model: KnnModel, k: int, keys: str | Sequence[str
             if few.any():
                 bound = bound.copy()
                 bound[few] = tree.promised(mat[few], k)
-            for i, cell in tree.visits(mat, bound):
-                yield b[[*q_keys, "q_vec"]].iloc[i].assign(cell=cell.astype("int32"))
+            b = b.assign(bound=bound)
+            for i, grp, leaves in _asked(group, bound, mat, tree):
+                yield b.iloc[i].assign(grp=grp, leaves=leaves)[[*q_keys, "q_vec", "grp", "leaves", "bound"]]
 
     own = best.select(*[F.col(f"_{c}").alias(c) for c in q_keys], F.explode("_best").alias("_h")).select(
         *q_keys, *[F.col(f"_h.{c}").alias(c) for c in (*t_keys, "distance", "t_y")])
     if len(tree.pivots) > 1:
-        more = bounded.mapInPandas(visits, f"{_fields(home, [*q_keys, 'q_vec'])}, cell int")
-        own = own.unionByName(_search(more, model, q_keys, t_keys, k, block_rows))
+        more = bounded.mapInPandas(visits, asked)
+        # a query may come to every group, so all groups have the blocks of all queries
+        every = spark.createDataFrame([(g,) for g in range(len(t_blocks))], "grp int").crossJoin(q.agg(blocks))
+        own = own.unionByName(_search(more, every, model, q_keys, t_keys, k, group, t_blocks))
     best = Window.partitionBy(*q_keys).orderBy("distance", *t_keys)  # a few times k rows per query
     ranked = own.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     q_out = ["q_id"] if len(names) == 1 else names

@@ -214,3 +214,39 @@ def test_knn_tree_compares_few_pairs_and_loses_none():
     cold = sum(int(tree.rows[j]) for i, j in seen if not hot[i])
     print("share", pairs / every.size, "of the others", cold / (every.shape[1] * (~hot).sum()))
     assert cold < 0.1 * every.shape[1] * (~hot).sum()
+
+
+def test_knn_blocks_equal_brute_force_far_from_zero():
+    """The matrix product only leaves out: distances, ties and copies as by differences, also where the products cancel."""
+    rng = np.random.default_rng(5)
+    for offset, width in ((0.0, 64), (1e6, 3), (-999.0, 1)):
+        t = offset + np.concatenate([rng.normal(size=(400, width)), rng.integers(0, 2, (300, width)), np.full((500, width), 0.25)])
+        q = np.concatenate([t[::7], offset + rng.normal(size=(50, width))])
+        cell = rng.integers(0, 6, len(t))
+        leaves = [rng.choice(8, rng.integers(1, 6), replace=False) for _ in q]
+        limit = np.where(rng.random(len(q)) < 0.5, np.inf, 0.4 * np.sqrt(width))
+        i, j, d = knn._nearest(q, leaves, limit, t, cell, 3)
+        for n in range(len(q)):
+            e = np.sqrt(((t - q[n]) ** 2).sum(1))
+            want = [x for x in np.lexsort((np.arange(len(t)), e)) if cell[x] in leaves[n]][:3]
+            want = [x for x in want if e[x] <= limit[n]]
+            have = j[i == n].tolist()
+            assert have[:len(want)] == want and np.allclose(d[i == n][:len(want)], e[want])
+
+
+def test_knn_sends_a_query_once_to_a_group_of_leaves():
+    """Vectors without neighbours need nearly all leaves, but a block of 20,000 rows is one row for them."""
+    rng = np.random.default_rng(6)
+    rows = rng.normal(size=(20_000, 64))
+    tree = knn.PivotTree.of(rows[:200])
+    leaf, own, upper = tree.leaf_of(rows)
+    ring = [f(x[leaf == n]) for x in (own, upper) for f in (np.min, np.max) for n in range(200)]
+    tree = knn.PivotTree(tree.pivots, tree.parent, np.bincount(leaf, minlength=200), *np.array(ring).reshape(4, 200))
+    group, blocks = knn._groups(tree, 5_000)
+    assert max(np.bincount(group, tree.rows)) <= 5_000 and 4 <= len(blocks) <= 8 and set(blocks) == {1}
+    asked, bound = rng.normal(size=(500, 64)), np.full(500, 9.0)
+    pairs = [(i, n) for i, leaf in tree.visits(asked, bound) for i, n in zip(i.tolist(), leaf.tolist())]
+    sent = [(i, g, n) for i, g, n in ((i, g, x) for a, b, c in knn._asked(group, bound, asked, tree, 30_000)
+                                      for i, g, x in zip(a.tolist(), b.tolist(), c))]
+    assert len(pairs) > 50_000 and len(sent) == len({x[:2] for x in sent}) <= 500 * len(blocks)
+    assert sorted(pairs) == sorted((i, int(x)) for i, g, n in sent for x in n) and all((group[n] == g).all() for _, g, n in sent)
