@@ -9,6 +9,7 @@ property encodes whole texts.
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -32,6 +33,27 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+#: Stands for the ids of a word that isn't known yet (ids have four bytes each).
+_UNKNOWN = b"?"
+
+
+class _Words(dict):
+    """Ids by word. A word met before the last change of generations comes over from ``old``; one
+    that isn't known is noted in ``missing``."""
+
+    def __init__(self, old: dict[bytes, bytes]):
+        super().__init__()
+        self.old, self.missing = old, []
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            self.missing.append(word)
+            return _UNKNOWN
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """``encode`` gives ids as little-endian unsigned 32-bit integers."""
 
@@ -43,8 +65,9 @@ class Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         self.ends[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.by_word = self._splits()
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.model = self.tokenizer.model
+        self.direct = self._plainly()
+        self.young = _Words({})
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -55,6 +78,15 @@ class Encoder:
             self._ids(f" {a}{gap}{b}\n") == self._ids(a) + self._ids(b)
             for a in parts for b in parts for gap in (" ", "\t", "\n", "\x0b", "\x0c", "\r", "  "))
 
+    def _plainly(self) -> bool:
+        """Whether the model by itself has the ids of a word of a to z."""
+        words = ["a", "one", "zebra", "xqzjkv", "indistinguishable", "abcdefghijklmnopqrstuvwxyz"]
+        return self.by_word and all(self._word(w) == np.array(self._ids(w), "<u4").tobytes() for w in words)
+
+    def _word(self, word: str) -> bytes:
+        ids = [t.id for t in self.model.tokenize(word)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def encode(self, text: str | None) -> bytes:
         return next(self.encode_all([text]))
 
@@ -64,39 +96,51 @@ class Encoder:
             for t in texts:
                 yield np.array(self._ids(t or ""), "<u4").tobytes()
             return
-        held: list[list[list[bytes]]] = []  # per text: lists of units
+        held: list[list[tuple[list[bytes], list[bytes]] | bytes]] = []
         size = 0
         for t in texts:
             data = (t or "").encode("utf-8", "replace")
             plain = not t or t.isascii() or not _ODD.search(t)
             if len(data) > _PART:  # alone, and part by part
-                yield from self._looked_up(held)
+                yield from self._completed(held)
                 held, size = [], 0
-                yield b"".join(x for units in self._units(data, plain) for x in self._looked_up([[units]]))
+                yield b"".join(x for units in self._units(data, plain) for x in self._completed([[self._looked_up(units)]]))
                 continue
-            held.append(list(self._units(data, plain)))
+            held.append([self._looked_up(units) for units in self._units(data, plain)])
             size += len(data)
             if size > _PART:
-                yield from self._looked_up(held)
+                yield from self._completed(held)
                 held, size = [], 0
-        yield from self._looked_up(held)
+        yield from self._completed(held)
 
     def forget(self) -> None:
         """Drop the older generation of words: workers outlive their tasks."""
-        self.old = {}
+        self.young.old = {}
+
+    def _looked_up(self, units: list[bytes]) -> bytes | tuple[list[bytes], list[bytes]]:
+        """The units' ids; the units and the ids of each, if one isn't known yet."""
+        before = len(self.young.missing)
+        ids = list(map(self.young.__getitem__, units))
+        return b"".join(ids) if len(self.young.missing) == before else (units, ids)
 
-    def _looked_up(self, held: list[list[list[bytes]]]) -> Iterator[bytes]:
-        needed = set().union(*(units for text in held for units in text))
-        missing = needed.difference(self.young)
+    def _completed(self, held: list[list[bytes | tuple[list[bytes], list[bytes]]]]) -> Iterator[bytes]:
+        """The ids of each text; the words that were missing are encoded together."""
+        missing = list(dict.fromkeys(self.young.missing))
         if len(self.young) + len(missing) > REMEMBERED:
-            self.old, self.young = self.young, {}
-            missing = needed
-        known = {u: ids for u in missing if (ids := self.old.get(u)) is not None}
-        self.young.update(known)
-        self.young.update(self._encode_words([u for u in missing if u not in known]))
+            self.young = _Words(dict(self.young))
+        self.young.missing = []
+        self.young.update(self._encode_words(missing))
         ids_of = self.young.__getitem__
         for text in held:
-            yield b"".join([b"".join(map(ids_of, units)) for units in text])
+            for k, part in enumerate(text):
+                if isinstance(part, tuple):
+                    units, ids = part
+                    at = -1
+                    for _ in range(ids.count(_UNKNOWN)):
+                        at = ids.index(_UNKNOWN, at + 1)
+                        ids[at] = ids_of(units[at])
+                    text[k] = b"".join(ids)
+            yield b"".join(text)
 
     @staticmethod
     def _units(data: bytes, plain: bool) -> Iterator[list[bytes]]:
@@ -126,11 +170,15 @@ class Encoder:
                    for u in ((w,) if b"'" in w or b"<|" in w else _UNITS.findall(w.lower()))]
 
     def _encode_words(self, words: list[bytes]) -> dict[bytes, bytes]:
-        """Letters below U+0130 make one unit each, so such words are encoded in
-        a row and parted at the ids that end a unit; all others go one by one."""
+        """Letters below U+0130 make one unit each. Words of a to z go to the model as they are, if it
+        allows that; other such words are encoded in a row and parted at the ids that end a unit. All
+        others go one by one."""
         out: dict[bytes, bytes] = {}
         texts = {w: w.decode("utf-8", "replace") for w in words}
-        row = [w for w, t in texts.items() if t.isalpha() and max(t) < "İ"]
+        row = [w for w, t in texts.items() if t.isalpha() and (t.isascii() or max(t) < "İ")]
+        if self.direct:
+            out.update((w, self._word(texts[w])) for w in row if w.isascii() and w.islower())
+            row = [w for w in row if w not in out]
         for at in range(0, len(row), _CHUNK):
             part = row[at:at + _CHUNK]
             whole = self.tokenizer.encode_batch_fast([" ".join(texts[w] for w in part)], add_special_tokens=False)

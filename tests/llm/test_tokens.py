@@ -37,6 +37,28 @@ def test_words_give_the_ids_of_the_text(plain, monkeypatch):
     assert not other.by_word and other.encode("a  b\n c") == u32(other._ids("a  b\n c"))
 
 
+def test_a_known_word_is_looked_up_once_and_a_new_one_encoded_once(plain, monkeypatch):
+    encoder = tokens.Encoder(tokens.default_path())
+    assert encoder.direct
+    asked, batches = [], []
+    encode_words, batch = encoder._encode_words, encoder.tokenizer.encode_batch_fast
+
+    class Batches:
+        def encode_batch_fast(self, texts, **kw):
+            batches.extend(texts)
+            return batch(texts, **kw)
+    monkeypatch.setattr(encoder, "tokenizer", Batches())
+    monkeypatch.setattr(encoder, "_encode_words", lambda words: asked.append(sorted(words)) or encode_words(words))
+    texts = ["One two three two", "two zwölf one.", None, "three ONE"]
+    for _ in range(2):
+        assert list(encoder.encode_all(texts)) == [u32(plain(t)) for t in texts]
+    assert asked[0] == sorted("one two three zwölf .".encode().split()) and not any(asked[1:])
+    assert sorted(batches) == [".", "zwölf"]  # words of a to z are not normalised and split again
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    for _ in range(3):
+        assert list(encoder.encode_all([*texts, "four", "one five"])) == [u32(plain(t)) for t in [*texts, "four", "one five"]]
+
+
 def test_packing_is_gapless_and_unpadded(spark, plain):
     docs = [(r.doc_id, r.text) for r in queries.table(spark, SMALL, "documents").collect()]
     docs += [(-1, None), (-2, ""), (-3, "x " * 30_000), (-4, "y " * 4095), (-5, "y " * 4096)]
