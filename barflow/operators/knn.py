@@ -45,6 +45,8 @@ from barflow.session import materialize
 LEAF_ROWS = 1_000
 MAX_DOUBLES = 1 << 22
 DEFAULT_BLOCK_ROWS = 20_000
+#: Numbers (or pairs) that a step inside a task holds in one array, whatever the number of rows and nodes.
+PIECE = 1 << 18
 
 
 def _keys(x: str | Sequence[str]) -> list[str]:
@@ -60,7 +62,7 @@ def _distances(mat: np.ndarray, points: np.ndarray) -> np.ndarray:
     return np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
 
 
-def _chunks(rows: int, points: np.ndarray, budget: int = 2_000_000) -> Iterator[slice]:
+def _chunks(rows: int, points: np.ndarray, budget: int = PIECE) -> Iterator[slice]:
     """Pieces of the rows whose differences from all points stay under ``budget`` numbers."""
     step = max(1, min(4096, budget // max(1, points.size)))
     return (slice(s, min(rows, s + step)) for s in range(0, rows, step))
@@ -68,8 +70,8 @@ def _chunks(rows: int, points: np.ndarray, budget: int = 2_000_000) -> Iterator[
 
 def _beyond(d: np.ndarray, points: np.ndarray) -> np.ndarray:
     """Least distance of each query (row) from the points nearer to node j than to the node nearest to the query."""
-    own = d.argmin(1)
-    apart = _distances(points, points)[own]
+    own, at = np.unique(d.argmin(1), return_inverse=True)
+    apart = _distances(points[own], points)[at]  # not all pairs of points: a node may have very many children
     with np.errstate(divide="ignore", invalid="ignore"):
         return np.nan_to_num((d ** 2 - d.min(1)[:, None] ** 2) / (2 * apart), nan=0.0)
 
@@ -258,7 +260,7 @@ def _best(i: np.ndarray, j: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarr
 
 
 def _candidates(q_mat: np.ndarray, t_mat: np.ndarray, limit: np.ndarray, k: int,
-                budget: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+                budget: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Row, column and distance, in pieces of rows: all columns that may be among the ``k`` best of a row
     and within its limit. Neither products nor differences hold more than ``budget`` numbers at a time."""
     width, kk = t_mat.shape[1], min(k, len(t_mat))
@@ -286,6 +288,14 @@ def _candidates(q_mat: np.ndarray, t_mat: np.ndarray, limit: np.ndarray, k: int,
         yield i + s, j, d
 
 
+def _top_k(q_mat: np.ndarray, t_mat: np.ndarray, k: int, limit: np.ndarray | None = None,
+           budget: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row, column and distance of the ``k`` best columns of each row within its limit, in pieces of rows."""
+    limit = np.full(len(q_mat), np.inf) if limit is None else limit
+    for i, j, d in _candidates(q_mat, t_mat, limit, k, budget):
+        yield _best(i, j, d, k)
+
+
 def _nearest(q_mat: np.ndarray, leaves: Sequence[np.ndarray], limit: np.ndarray, t_mat: np.ndarray, cell: np.ndarray,
              k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, column and distance of the ``k`` best columns per row in the leaves that the row needs;
@@ -294,8 +304,7 @@ def _nearest(q_mat: np.ndarray, leaves: Sequence[np.ndarray], limit: np.ndarray,
     order = np.argsort(wanted, kind="stable")
     asked, wanted = np.repeat(np.arange(len(leaves)), [len(x) for x in leaves])[order], wanted[order]
     limit = limit.copy()
-    rows = _first_copies(t_mat, cell, k)
-    rows = rows[np.argsort(cell[rows], kind="stable")]
+    rows = np.argsort(cell, kind="stable")
     held = cell[rows]
     none = np.zeros(0, int)
     best = none, none, np.zeros(0)
@@ -304,7 +313,8 @@ def _nearest(q_mat: np.ndarray, leaves: Sequence[np.ndarray], limit: np.ndarray,
         t = rows[slice(*np.searchsorted(held, [leaf, leaf + 1]))]
         if not len(q):
             continue
-        found = [_best(q[i], t[j], d, k) for i, j, d in _candidates(q_mat[q], t_mat[t], limit[q], k)]
+        t = t[_first_copies(t_mat[t], cell[t], k)]
+        found = [(q[i], t[j], d) for i, j, d in _top_k(q_mat[q], t_mat[t], k, limit[q])]
         best = _best(*(np.concatenate(x) for x in zip(best, *found)), k)
         last = _places(best[0]) == k - 1
         limit[best[0][last]] = np.fmin(limit[best[0][last]], best[2][last])
@@ -357,7 +367,7 @@ def _search(q: DataFrame, q_blocks: DataFrame, model: KnnModel, q_keys: list[str
 
 
 def _asked(group: np.ndarray, bound: np.ndarray, mat: np.ndarray, tree: PivotTree,
-           pairs: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
+           pairs: int = PIECE) -> Iterator[tuple[np.ndarray, np.ndarray, list[np.ndarray]]]:
     """Query, group and the leaves there that the query still needs; ``pairs`` of query and leaf at a time."""
     step = max(1, pairs // max(1, len(tree.pivots)))
     for s in range(0, len(mat), step):

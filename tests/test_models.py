@@ -250,3 +250,35 @@ def test_knn_sends_a_query_once_to_a_group_of_leaves():
                                       for i, g, x in zip(a.tolist(), b.tolist(), c))]
     assert len(pairs) > 50_000 and len(sent) == len({x[:2] for x in sent}) <= 500 * len(blocks)
     assert sorted(pairs) == sorted((i, int(x)) for i, g, n in sent for x in n) and all((group[n] == g).all() for _, g, n in sent)
+
+
+def test_knn_tasks_hold_small_arrays():
+    """Numbers held at a time don't grow with the children of a node, the leaves asked for or the rows of a group."""
+    import tracemalloc
+    from barflow.operators import knn
+    r = np.random.default_rng(8)
+    points, queries = r.normal(size=(1_000, 64)), r.normal(size=(200, 64))
+
+    def peak(run):
+        tracemalloc.start()
+        out = run()
+        mb = tracemalloc.get_traced_memory()[1] / 1e6
+        tracemalloc.stop()
+        return mb, out
+    d = knn._distances(queries[:4], points)
+    mb, least = peak(lambda: knn._beyond(d, points))
+    own = d.argmin(1)
+    apart = np.linalg.norm(points[own][:, None] - points[None], axis=2)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        want = np.nan_to_num((d ** 2 - d.min(1)[:, None] ** 2) / (2 * apart), nan=0.0)
+    assert np.allclose(least, want) and mb < 20
+    rows = r.normal(size=(20_000, 64))
+    cell = (np.arange(len(rows)) % 20).astype(np.int32)
+    leaves = [np.arange(20, dtype=np.int32)] * len(queries)
+    mb, (i, j, dist) = peak(lambda: knn._nearest(queries, leaves, np.full(len(queries), np.inf), rows, cell, 3))
+    for q in range(0, len(queries), 40):
+        exact = np.linalg.norm(rows - queries[q], axis=1)
+        assert j[i == q].tolist() == exact.argsort()[:3].tolist() and np.allclose(dist[i == q], np.sort(exact)[:3])
+    assert mb < 20
+    mb, _ = peak(lambda: list(knn.PivotTree.of(points).visits(queries, np.full(len(queries), 1.0))))
+    assert mb < 20
