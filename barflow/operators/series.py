@@ -70,7 +70,7 @@ def _at_or_below(cuts: str, at: Column) -> Column:
 def _chunked(df: DataFrame, keys: list[str], order: list[str], time_col: str, chunk_seconds: int,
              chunk_rows: int) -> DataFrame:
     """Add ``_bucket``, ``_branch`` and ``_piece``: the time bucket, and the
-    row's place in its tree of splitters. Splitters are one row in
+    row's place in its tree of splitters (the piece's number tells the branch too). Splitters are one row in
     ``chunk_rows``, so their table is that much smaller than the input. A
     bucket's n splitters fall into about sqrt(n) branches of sqrt(n) each: a row
     meets the branches' first splitters, then those of its own branch, and is
@@ -91,7 +91,7 @@ def _chunked(df: DataFrame, keys: list[str], order: list[str], time_col: str, ch
     placed = (null_safe_join(base, tops, [*keys, "_bucket"], "left")
               .withColumn("_branch", _at_or_below("_tops", at)).drop("_tops"))
     return (null_safe_join(placed, leaves, [*keys, "_bucket", "_branch"], "left")
-            .withColumn("_piece", _at_or_below("_leaf", at)).drop("_leaf"))
+            .withColumn("_piece", F.shiftleft(F.col("_branch").cast("long"), 32) + _at_or_below("_leaf", at)).drop("_leaf"))
 
 
 def with_row_index(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str,
