@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from barflow.llm import pitman_yor as py
 from barflow.llm import queries
@@ -116,6 +117,26 @@ def test_tables_are_drawn_from_the_conditional():
     assert abs(many.mean() - np.mean(seated)) < 0.5 and (many >= 1).all()
 
 
+@pytest.mark.parametrize("c", [60, 700, 1500])
+@pytest.mark.parametrize(("d", "others", "above", "total"), [(0.5, 400, 30_000, 10**6), (0.75, 900, 50_000, 10**6), (0.95, 50_000, 9_000, 10**6), (0.1, 3, 0, 10**4)])
+def test_any_number_of_customers_is_drawn_from_the_conditional(c, d, others, above, total):
+    """Against the weights of all numbers of tables, built up customer by customer."""
+    pd, n = 0.6, 5_000
+    logs = np.array([0.0])  # of 1.. tables
+    for k in range(1, c):
+        with np.errstate(divide="ignore"):
+            stay = np.append(logs + np.log(k - d * np.arange(1, k + 1)), -np.inf)
+        logs = np.logaddexp(np.append(-np.inf, logs), stay)
+    j = np.arange(c)
+    logs += np.cumsum(np.log(py.STRENGTH + d * (others + j)) + np.log(np.maximum(above + j - pd, 1 - pd) / (py.PARENT_STRENGTH + total)))
+    upto = np.cumsum(np.exp(logs - logs.max()))
+    one = np.ones(n, np.int64)
+    got = py.draw_tables(np.arange(n, dtype=np.uint64), one, one * c, one, one * (others + 1), one * (above + 1), total, d, pd, py._stirling(d), 3)
+    assert got.min() >= 1 and got.max() <= c
+    share = np.cumsum(np.bincount(got, minlength=c + 1)[1:]) / n
+    assert np.abs(share - upto / upto[-1]).max() < 0.03
+
+
 def test_rare_contexts_have_restaurants(spark):
     """A word of fewer than a thousandth of all tokens tells what follows it."""
     r = random.Random(4)
