@@ -8,7 +8,8 @@ the tokens that end up at one terminal are a group.
 
 Counts of linked id pairs are summed over the corpus. Texts stay in the batches
 they were aligned in: a batch asks for the counts of its distinct pairs once,
-by a join, and its texts look them up in the answer.
+by a join, and its texts look them up in the answers, which are grouped by batch
+in Python's memory only. A batch is aligned in blocks, of which the figures stay.
 """
 
 from __future__ import annotations
@@ -27,9 +28,10 @@ from pyspark.sql import functions as F
 
 from barflow.llm.bpe import _byte_of
 from barflow.llm.common import scratch
+from barflow.llm.pitman_yor import _small, _wide
 
-#: Bytes of text aligned at once; a longer text goes alone.
-BATCH = 4 << 20
+#: Bytes of text of a batch, and of those aligned at once; a longer text goes alone.
+BATCH, BLOCK = 4 << 20, 1 << 18
 #: Texts of other characters are encoded by the tokenizer file's own library, so that tables of character classes agree.
 _ODD = re.compile("[^\\x00-\\x7f\xa0-ɏͰ-ԯ‐-‧€一-龥가-힣]")
 
@@ -171,14 +173,10 @@ class Batch:
         return ["".join(map(name, codes[start:stop].tolist()))[:-1] for start, stop in zip([0, *stops[:-1]], stops)]
 
 
-def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, kind))
-
-
-#: A batch of texts: per text its figures, per (text, pair) the pair's place in the batch's list and its links,
-#: per pair of the batch in how many of its texts it is linked.
+#: A batch of texts: per text its figures, per (text, pair) the pair's place in the batch's list and its links as narrow
+#: numbers, per pair of the batch in how many of its texts it is linked.
 STORED = ("batch long, id array<long>, known array<boolean>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-          "groups array<string>, n_pairs array<int>, place array<int>, links array<int>, pair array<long>, texts array<int>")
+          "groups array<string>, n_pairs array<int>, place binary, links binary, pair array<long>, texts array<int>")
 
 
 def _batches(paths: tuple[str, str], digest: bool):
@@ -186,60 +184,65 @@ def _batches(paths: tuple[str, str], digest: bool):
         tool = aligner(*paths)
         number = TaskContext.get().partitionId() << 32
         for b in batches:
-            held, size = [], 0
-            for key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                held.append((key, text or ""))
-                size += len(held[-1][1].encode("utf-8"))
-                if size > BATCH:
-                    yield _stored(number, held, Batch(tool, [t for _, t in held]), digest)
-                    number, held, size = number + 1, [], 0
-            if held:
-                yield _stored(number, held, Batch(tool, [t for _, t in held]), digest)
+            ids, blocks, texts, size, whole = [], [], [], 0, 0
+            for key, text in zip(b.column(0), b.column(1)):
+                ids.append(key.as_py())
+                texts.append(text.as_py() or "")
+                size += len(texts[-1].encode("utf-8"))
+                if size > BLOCK or whole + size > BATCH:
+                    blocks.append(_block(Batch(tool, texts), digest))
+                    texts, size, whole = [], 0, whole + size
+                if whole > BATCH:
+                    yield _stored(number, ids, blocks)
+                    number, ids, blocks, whole = number + 1, [], [], 0
+            if texts:
+                blocks.append(_block(Batch(tool, texts), digest))
+            if blocks:
+                yield _stored(number, ids, blocks)
                 number += 1
     return run
 
 
-def _stored(number: int, held: list, x: Batch, digest: bool) -> pa.RecordBatch:
-    text = np.repeat(np.arange(len(held)), x.n_links)
+def _block(x: Batch, digest: bool) -> tuple[list[np.ndarray], list[str]]:
+    """Per text the figures and its number of pairs, per (text, pair) the pair and its links; the texts' groups."""
+    text = np.repeat(np.arange(len(x.n_links)), x.n_links)
     order = np.lexsort((x.pair, text))
     pair, text = x.pair[order], text[order]
     head = np.flatnonzero(np.append(np.ones(min(1, len(pair)), bool), (pair[1:] != pair[:-1]) | (text[1:] != text[:-1])))
     links = np.diff(np.append(head, len(pair)))
-    distinct, place, texts = np.unique(pair[head], return_inverse=True, return_counts=True)
     groups = x.groups()
     if digest:
         groups = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+    return [x.n_a, x.n_b, x.n_groups, x.n_links, np.bincount(text[head], minlength=len(x.n_links)), pair[head], links], groups
+
+
+def _stored(number: int, ids: list, blocks: list[tuple]) -> pa.RecordBatch:
+    *figures, n_pairs, pair, links = (np.concatenate(x) for x in zip(*[b for b, _ in blocks]))
+    distinct, place, texts = np.unique(pair, return_inverse=True, return_counts=True)
     one = lambda v, kind: pa.array([v], pa.list_(kind))
-    ids = [k for k, _ in held]
     columns = [pa.array([number], pa.int64()), one([k or 0 for k in ids], pa.int64()), one([k is not None for k in ids], pa.bool_())]
-    columns += [one(v, pa.int64()) for v in (x.n_a, x.n_b, x.n_groups, x.n_links)]
-    columns += [one(groups, pa.string()), one(np.bincount(text[head], minlength=len(held)), pa.int32()),
-                one(place, pa.int32()), one(links, pa.int32()), one(distinct, pa.int64()), one(texts, pa.int32())]
+    columns += [one(v, pa.int64()) for v in figures]
+    columns += [one([g for _, groups in blocks for g in groups], pa.string()), one(n_pairs, pa.int32()),
+                *(pa.array([_small(v)], pa.binary()) for v in (place, links)), one(distinct, pa.int64()), one(texts, pa.int32())]
     return pa.record_batch(columns, names=[c.split()[0] for c in STORED.split(", ")])
 
 
 RESULT = ("id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
 
 
-def _scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for k in range(b.num_rows):
-            get = lambda name: b.column(name)[k].values  # noqa: E731, B023
-            known, n_pairs, links = get("known"), get("n_pairs").to_numpy(), get("links").to_numpy()
-            place = get("place").to_numpy()
-            answer = b.column("answer")[k]
-            count, best = np.zeros(0, np.int64), np.zeros(0, bool)
-            if answer.is_valid:
-                fields = answer.values
-                order = np.argsort(fields.field("place").to_numpy())
-                count = fields.field("count").to_numpy()[order]
-                best = fields.field("best").to_numpy(zero_copy_only=False)[order]
-            stops = np.concatenate([[0], np.cumsum(n_pairs)])
-            per_text = [np.concatenate([[0], np.cumsum(v)]) for v in (links * best[place], links * count[place])]
-            n_best, total = (v[stops[1:]] - v[stops[:-1]] for v in per_text)
-            ids = pa.array(get("id").to_numpy(), pa.int64(), mask=~known.to_numpy(zero_copy_only=False))
-            yield pa.record_batch([ids, *(get(c) for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(n_best, pa.int64()),
-                                   pa.array(total, pa.int64()), get("groups")], names=[c.split()[0] for c in RESULT.split(", ")])
+def _scored(batch: pa.Table, answers: pa.Table) -> pa.Table:
+    """The rows of a batch's texts by the answers for its pairs."""
+    get = lambda name: batch.column(name)[0].values
+    n_pairs = get("n_pairs").to_numpy()
+    place, links = (_wide(batch.column(name)[0].as_py(), int(n_pairs.sum())) for name in ("place", "links"))
+    order = np.argsort(answers.column("place").to_numpy())
+    count, best = (answers.column(name).to_numpy()[order] for name in ("count", "best"))
+    stops = np.concatenate([[0], np.cumsum(n_pairs)])
+    per_text = [np.concatenate([[0], np.cumsum(v)]) for v in (links * best[place], links * count[place])]
+    n_best, total = (v[stops[1:]] - v[stops[:-1]] for v in per_text)
+    ids = pa.array(get("id").to_numpy(), pa.int64(), mask=~get("known").to_numpy(zero_copy_only=False))
+    return pa.table([ids, *(get(c) for c in ("n_a", "n_b", "n_groups", "n_links")), pa.array(n_best, pa.int64()),
+                     pa.array(total, pa.int64()), get("groups")], names=[c.split()[0] for c in RESULT.split(", ")])
 
 
 def align(docs: DataFrame, paths: tuple[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -265,7 +268,6 @@ def align(docs: DataFrame, paths: tuple[str, str] | None = None, id_col: str = "
         judged = counts.join(F.broadcast(highest), "first_id").select(
             "pair", "count", (F.col("count") == F.col("highest")).alias("best"))
         asked = stored.select("batch", F.posexplode("pair").alias("place", "pair"))
-        answers = s.table(asked.join(judged, "pair").groupBy("batch")
-                          .agg(F.collect_list(F.struct("place", "count", "best")).alias("answer")), "answers")
-        out = stored.drop("pair", "texts").join(answers, "batch", "left").mapInArrow(_scored, RESULT)
+        answers = s.table(asked.join(judged, "pair").select("batch", "place", "count", "best"), "answers")
+        out = stored.drop("pair", "texts").groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(_scored, RESULT)
         return out.withColumnRenamed("id", id_col)

@@ -47,6 +47,36 @@ def test_against_brute(spark, plain, monkeypatch, size):
     assert sum(w[3] == 0 for w in want) > 2 and max(w[4] for w in want) > 100
 
 
+def test_blocks_and_answers_stay_small(spark, plain, monkeypatch):
+    """Python aligns a few texts of a batch at a time, whose narrow numbers stay; no aggregate or row in Spark holds a batch's answers."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from barflow.llm.common import Scratch
+
+    r = random.Random(5)
+    texts = [" ".join(r.choice(["alpha", "Beta,", "gamma9", "été"]) for _ in range(r.randrange(300))) for _ in range(300)] + ["long " * 100_000]
+    sizes, batch = [], align.Batch
+    monkeypatch.setattr(align, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    monkeypatch.setattr(align, "Batch", lambda tool, x: sizes.append(sum(map(len, x))) or batch(tool, x))
+    rows = pa.record_batch([pa.array(range(301)), pa.array(texts)], names=["id", "text"])
+    stored, = align._batches((A_PATH, B_PATH), True)(iter([rows]))
+    assert sum(sizes) == sum(map(len, texts)) and max(sizes) < (1 << 18) + 500_001 and len(sizes) > 1
+    assert stored.column("id")[0].as_py() == list(range(301))
+    pairs = sum(stored.column("n_pairs")[0].as_py())
+    assert len(stored.column("place")[0].as_py()) <= 2 * pairs
+
+    monkeypatch.undo()
+    made, table = [], Scratch.table
+    monkeypatch.setattr(Scratch, "table", lambda s, t, *a: made.append(t) or table(s, t, *a))
+    df = spark.createDataFrame(list(enumerate(texts[:40])), "doc_id long, text string")
+    got = align.align(df)
+    assert not any("collect_list" in x._jdf.queryExecution().toString() for x in [*made, got])
+    assert got.select(F.sum("n_links")).first()[0] == sum(w[3] for w in plain(texts[:40]))
+
+
 def test_pointers_reach_the_terminal():
     r = random.Random(2)
     for _ in range(200):
